@@ -10,6 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Rows of text that go to Python at once.
+BATCH = 256
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -37,6 +41,25 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint()
 
 
+def small_batches(frame: DataFrame) -> DataFrame:
+    """``frame``, whose session now hands Python a few texts at a time.
+
+    Arrow's default of 10,000 rows to a batch is 30 MB and more of text, kept
+    several times over by the JVM and each worker; the rows are read one by one
+    anyway.
+    """
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = frame.sparkSession.conf
+    if not 0 < int(conf.get(key)) <= BATCH:
+        conf.set(key, BATCH)
+    return frame
+
+
+def map_rows(frame: DataFrame, body: Callable, schema: str) -> DataFrame:
+    """``mapInArrow`` over small batches."""
+    return small_batches(frame).mapInArrow(body, schema)
+
+
 def fold_id(column: str):
     """CRC-32 of an id as text, the basis of every train and test split here."""
     return F.crc32(F.col(column).cast("string"))

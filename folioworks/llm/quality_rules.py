@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, per_row
+from .common import cut, map_rows, per_row
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SHORT_WORD = re.compile(r"\b[^\W\d_]{1,5}\b")
-FLUSH = 200_000
+FLUSH = 50_000
 POOLED = ""
 #: Character classes: lower, upper, other letter, mark, number, punctuation, symbol, separator, other.
 CLASSES = 9
@@ -107,13 +107,11 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 
 def _emit(counts: dict[str, tuple[np.ndarray, Counter]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    rows = []
     for lang, (classes, words) in counts.items():
-        rows += [(lang, str(i), True, int(n)) for i, n in enumerate(classes) if n]
-        rows += [(lang, w, False, n) for w, n in words.items()]
+        for is_class, keys, numbers in ((True, [str(i) for i in range(CLASSES)], classes.tolist()), (False, list(words), list(words.values()))):
+            n = len(keys)
+            yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(([lang] * n, keys, [is_class] * n, numbers), schema, strict=True)], schema=schema)
     counts.clear()
-    if rows:
-        yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
 
 
 def _count_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -134,9 +132,9 @@ def _count_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 def references(documents: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> dict:
     """By language: class shares, and its common words' shares of its short words. The pooled language is ``""``."""
     rows = documents.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
-    counted = rows.mapInArrow(_count_languages, "lang string, key string, is_class boolean, n long")
+    counted = map_rows(rows, _count_languages, "lang string, key string, is_class boolean, n long")
     counted = counted.groupBy("lang", "key", "is_class").agg(F.sum("n").alias("n"))
-    counted = cut(counted)
+    counted = cut(counted.where("n > 0"))
     pooled = counted.groupBy(F.lit(POOLED).alias("lang"), "key", "is_class").agg(F.sum("n").alias("n"))
     sizes = counted.where("is_class and lang <> ''").groupBy("lang").agg(F.sum("n").alias("size"))
     own = counted.join(F.broadcast(sizes.orderBy(F.desc("size"), "lang").limit(rules.most_languages)), "lang").drop("size")
@@ -191,4 +189,4 @@ def quality_verdicts(documents: DataFrame, rules: Rules = Rules(), id_col: str =
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     schema = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in names), ("base_failed", pa.bool_()), ("class_distance", pa.float64()), ("common_distance", pa.float64()), ("kept", pa.bool_())])
     body = per_row(schema, lambda doc_id, lang, text: (doc_id, *judge(text, lang, refs.value, rules)), "doc_id", "lang", "text")
-    return rows.mapInArrow(body, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, common_distance double, kept boolean")
+    return map_rows(rows, body, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, common_distance double, kept boolean")

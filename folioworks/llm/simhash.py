@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, per_row
+from .common import cut, map_rows, per_row
 from .components import connected_components
 
 SHINGLE = 3
@@ -69,7 +69,7 @@ def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "
     """``doc_id`` and ``fp``, the fingerprint as a signed long."""
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
-    return rows.mapInArrow(per_row(schema, _signed, "doc_id", "text"), "doc_id long, fp long")
+    return map_rows(rows, per_row(schema, _signed, "doc_id", "text"), "doc_id long, fp long")
 
 
 def _posting_key(i: int, j: int, number: int):
