@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .chat_format import rotate_perspectives
+from .common import fold_id, table
+from .html_extract import extract_main_text
+from .language_id import identify
 from .quality_rules import quality_verdicts
 from .simhash import simhash_classes
+from .source_mix import mix_sources
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -18,6 +22,32 @@ def query(function):
     return function
 
 
+@query
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    views = rotate_perspectives(table(spark, sf_dir, "conversations"))
+    joined = [F.concat_ws(",", F.transform(c, lambda x: x.cast("string"))).alias(c) for c in ("segment_chars", "segment_mask")]
+    return views.select("conv_id", "perspective", "part", "piece", F.col("n_turns").cast("long").alias("n_turns"), "text", *joined)
+
+
+@query
+def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.pmod(fold_id("doc_id"), F.lit(3)) == 1
+    predicted = identify(documents, F.coalesce(~held_out, F.lit(False)))
+    return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
@@ -27,3 +57,24 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     classes = simhash_classes(table(spark, sf_dir, "documents"))
     return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+ORACLES["op1_chat_format"] = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
+         coalesce(CAST(floor(turn / 256.0) AS BIGINT), -1) AS part
+  FROM conversations),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, part ORDER BY turn NULLS FIRST, role, text) AS place FROM turns),
+speakers AS (SELECT DISTINCT conv_id, role AS perspective FROM turns WHERE role <> 'system'),
+seen AS (
+  SELECT p.conv_id, s.perspective, part, (place - 1) // 256 AS piece, place,
+         '<|' || CASE WHEN role = perspective THEN 'assistant' WHEN role = 'system' THEN role ELSE 'user name=' || role END || '|>' || chr(10) AS header,
+         text || '<|end|>' || chr(10) AS body, CASE WHEN role = perspective THEN 1 ELSE 0 END AS mine
+  FROM placed p JOIN speakers s ON p.conv_id IS NOT DISTINCT FROM s.conv_id)
+SELECT conv_id, perspective, part, piece, count(*) AS n_turns,
+       string_agg(header || body, '' ORDER BY place) AS text,
+       string_agg(length(header) || ',' || length(body), ',' ORDER BY place) AS segment_chars,
+       string_agg('0,' || mine, ',' ORDER BY place) AS segment_mask
+FROM seen GROUP BY conv_id, perspective, part, piece
+"""
