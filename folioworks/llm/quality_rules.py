@@ -68,12 +68,16 @@ def _class_of(point: int) -> int:
 _TABLE: list[np.ndarray] = []
 
 
-def class_counts(text: str) -> np.ndarray:
-    """Counts of the character classes; points beyond the basic plane count as other."""
+def shape_codes(text: str) -> np.ndarray:
+    """The class of each character; points beyond the basic plane count as other."""
     if not _TABLE:
         _TABLE.append(np.array([_class_of(p) for p in range(1 << 16)], np.uint8))
-    points = np.frombuffer(text.encode("utf-32-le"), "<u4")
-    return np.bincount(_TABLE[0][np.minimum(points, 0xFFFF)], minlength=CLASSES)
+    return _TABLE[0][np.minimum(np.frombuffer(text.encode("utf-32-le"), "<u4"), 0xFFFF)]
+
+
+def class_counts(text: str) -> np.ndarray:
+    """Counts of the character classes."""
+    return np.bincount(shape_codes(text), minlength=CLASSES)
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -140,10 +144,12 @@ def references(documents: DataFrame, rules: Rules = Rules(), text_col: str = "te
     own = counted.join(F.broadcast(sizes.orderBy(F.desc("size"), "lang").limit(rules.most_languages)), "lang").drop("size")
     both = own.unionByName(pooled)
     totals = both.groupBy("lang", "is_class").agg(F.sum("n").alias("total"))
-    rank = Window.partitionBy("lang", "is_class").orderBy(F.desc("n"), "key")
-    top = both.withColumn("rank", F.row_number().over(rank)).where(F.col("is_class") | (F.col("rank") <= rules.common))
+    rank = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
+    frequent = both.where("not is_class").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= rules.common).drop("rank")
+    top = frequent.unionByName(both.where("is_class"))
     found: dict = {}
-    for lang, is_class, key, n, total in top.join(totals, ["lang", "is_class"]).select("lang", "is_class", "key", "n", "total").collect():
+    rows = top.join(totals, ["lang", "is_class"]).select("lang", "is_class", "key", "n", "total")
+    for lang, is_class, key, n, total in rows.orderBy("lang", F.desc("n"), "key").collect():
         classes, words = found.setdefault(lang, (np.zeros(CLASSES), {}))
         if is_class:
             classes[int(key)] = n / total
@@ -190,3 +196,15 @@ def quality_verdicts(documents: DataFrame, rules: Rules = Rules(), id_col: str =
     schema = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in names), ("base_failed", pa.bool_()), ("class_distance", pa.float64()), ("common_distance", pa.float64()), ("kept", pa.bool_())])
     body = per_row(schema, lambda doc_id, lang, text: (doc_id, *judge(text, lang, refs.value, rules)), "doc_id", "lang", "text")
     return map_rows(rows, body, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, common_distance double, kept boolean")
+
+
+def good_documents(documents: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows whose verdict is ``kept``, with all their columns."""
+    refs = documents.sparkSession.sparkContext.broadcast(references(documents, rules, text_col, lang_col))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pairs = zip(batch.column(text_col).to_pylist(), batch.column(lang_col).to_pylist(), strict=True)
+            yield batch.filter(pa.array([judge(text, lang, refs.value, rules)[-1] for text, lang in pairs], pa.bool_()))
+
+    return map_rows(documents, run, documents.schema)

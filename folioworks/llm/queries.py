@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 
 from .chat_format import rotate_perspectives
 from .common import fold_id, table
+from .decontaminate import contaminated_regions
 from .html_extract import extract_main_text
 from .language_id import identify
+from .quality_classifier import score_quality
 from .quality_rules import quality_verdicts
 from .simhash import simhash_classes
 from .source_mix import mix_sources
+from .suffix_dedup import repeat_digests
+from .toxicity import score_toxicity
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +38,11 @@ def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_main_text(table(spark, sf_dir, "pages"))
 
 
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
@@ -42,12 +51,29 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeat_digests(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.pmod(fold_id("doc_id"), F.lit(5)) == 0
+    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 @query
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+@query
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated_regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
