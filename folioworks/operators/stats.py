@@ -120,19 +120,21 @@ def character_counts(frame: DataFrame, text: str, *by: str) -> DataFrame:
     return chars.groupBy(*by, "c").agg(F.count("*").alias("n"))
 
 
-def _grams(sequence: Column, k: int) -> Column:
+def _grams(chars: str, k: int) -> Column:
     """Structs of each character that has k before it (``c``), and those (``ctx``).
 
-    Characters are taken from an array: ``substring`` walks a text from its start.
+    ``chars`` is a column of characters, computed before: inside the lambda an
+    expression would be evaluated again for every place.
     """
-    chars = F.split(sequence, "")
-    places = F.when(F.char_length(sequence) > k, F.sequence(F.lit(k), F.char_length(sequence) - 1))
-    return F.transform(places, lambda i: F.struct(F.concat(*(F.get(chars, i - j) for j in range(k, 0, -1))).alias("ctx"), F.get(chars, i).alias("c")))
+    array = F.col(chars)
+    places = F.when(F.size(array) > k, F.sequence(F.lit(k), F.size(array) - 1))
+    return F.transform(places, lambda i: F.struct(F.concat(*(F.get(array, i - j) for j in range(k, 0, -1))).alias("ctx"), F.get(array, i).alias("c")))
 
 
 def letter_grams(frame: DataFrame, text: str, k: int, *by: str) -> DataFrame:
     """Counts of ``ctx, c`` within each text's letters."""
-    rows = frame.select(*by, T.letters(F.col(text)).alias("letters")).select(*by, F.explode(_grams(F.col("letters"), k)).alias("g"))
+    chars = frame.select(*by, F.filter(F.split(T.letters(F.col(text)), ""), lambda c: c != "").alias("chars"))
+    rows = chars.select(*by, F.explode(_grams("chars", k)).alias("g"))
     return rows.groupBy(*by, "g.ctx", "g.c").agg(F.count("*").alias("n"))
 
 
@@ -158,8 +160,8 @@ def running_letter_grams(frame: DataFrame, text: str, k: int, order: str, bucket
     # One row a bucket: its end, and what ended before it.
     before = tails.select("bucket", ends(Window.partitionBy(F.lit(1)).orderBy("bucket"), "tail").alias("carried"))
     joined = rows.withColumn("near", ends(inside, "letters")).join(before, "bucket")
-    run = joined.select(F.right(F.concat("carried", "near"), F.lit(k)).alias("head"), "letters").select(F.concat("head", "letters").alias("run"))
-    grams = run.select(F.explode(_grams(F.col("run"), k)).alias("g"))
+    run = joined.select(F.right(F.concat("carried", "near"), F.lit(k)).alias("head"), "letters").select(F.filter(F.split(F.concat("head", "letters"), ""), lambda c: c != "").alias("chars"))
+    grams = run.select(F.explode(_grams("chars", k)).alias("g"))
     return grams.groupBy("g.ctx", "g.c").agg(F.count("*").alias("n"))
 
 

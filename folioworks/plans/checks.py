@@ -92,8 +92,8 @@ def broken_sequences(spark, sf_dir):
     return Q.broken_sequences(rows).select("record_id", "message")
 
 
-@query("""WITH k AS (SELECT l_orderkey * 10000000000 + cast(l_linenumber as bigint) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000 AS at, 'f' || (l_partkey % 120) || 'r:' || l_linenumber AS line_id, l_partkey % 120 AS num, l_linenumber AS idx FROM lineitem),
- o AS (SELECT *, lag(num) OVER w AS pn, lag(idx) OVER w AS p_idx FROM k WINDOW w AS (ORDER BY at)) SELECT line_id AS record_id, count(*) AS n FROM o WHERE num < pn OR (num = pn AND idx < p_idx) GROUP BY 1""")
+@query("""WITH k AS (SELECT l_orderkey * 10000000000 + cast(l_linenumber as bigint) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000 AS place, 'f' || (l_partkey % 120) || 'r:' || l_linenumber AS line_id, l_partkey % 120 AS num, l_linenumber AS idx FROM lineitem),
+ o AS (SELECT *, lag(num) OVER w AS pn, lag(idx) OVER w AS p_idx FROM k WINDOW w AS (ORDER BY place)) SELECT line_id AS record_id, count(*) AS n FROM o WHERE num < pn OR (num = pn AND idx < p_idx) GROUP BY 1""")
 def order_violations(spark, sf_dir):
     item = table(spark, sf_dir, "lineitem")
     page = F.concat(F.lit("f"), F.col("l_partkey") % 120, F.lit("r"))

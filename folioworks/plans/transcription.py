@@ -161,7 +161,7 @@ def page_records(spark, sf_dir):
   coalesce(string_agg(page_id, ',' ORDER BY coalesce(panel_number, 0), file, page_ord) FILTER (side = 'verso'), '') AS verso_page_ids, count(*) FILTER (side = 'verso') AS n_verso, bool_or(is_foldout_panel) AS panels, CAST(sum(line_count) AS BIGINT) AS total_lines, any_value(section) AS section_value,
   any_value(confidence) AS section_confidence FROM records GROUP BY folio_id),
  q AS (SELECT folio_id, quire_id FROM (SELECT *, row_number() OVER (PARTITION BY folio_id ORDER BY file, page_ord) AS r FROM records) WHERE r = 1),
- m AS (SELECT folio_id, currier_language FROM (SELECT folio_id, currier_language, row_number() OVER (PARTITION BY folio_id ORDER BY count(*) DESC, currier_language) AS r FROM records WHERE currier_language IS NOT NULL GROUP BY ALL) WHERE r = 1)
+ m AS (SELECT folio_id, currier_language FROM (SELECT folio_id, currier_language, row_number() OVER (PARTITION BY folio_id ORDER BY n DESC, currier_language) AS r FROM (SELECT folio_id, currier_language, count(*) AS n FROM records WHERE currier_language IS NOT NULL GROUP BY folio_id, currier_language)) WHERE r = 1)
  SELECT folio_id, folio_number, quire_id, recto_page_id, verso_page_ids, n_verso > 1 OR panels AS is_foldout, CASE WHEN n_verso > 1 OR panels THEN n_verso END AS panel_count, {MISSING.format('folio_number')} AS is_missing, total_lines, currier_language, section_value, section_confidence
  FROM f JOIN q USING (folio_id) LEFT JOIN m USING (folio_id)""")
 def folio_rollup(spark, sf_dir):
