@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ..functions.text import normalize_for_comparison
 from ..sources.tables import SOURCES, load_sources
@@ -16,7 +17,7 @@ LOW = 0.5
 AGREEING = ("exact_match", "normalized_match", "high_similarity")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio, in the order given and with junk detection; 0 if either is empty."""
     return pd.Series([SequenceMatcher(None, a, b).ratio() if a and b else 0.0 for a, b in zip(left, right, strict=True)], dtype=float)
@@ -96,7 +97,7 @@ def statistics(compared: DataFrame, left: str = "zl", right: str = "it") -> Data
     agreeing = F.col("exact_matches") + F.col("normalized_matches") + F.col("high_similarity_matches")
     counted = counted.withColumn("total_agreeing", agreeing)
     rate = F.when(F.col("both_eva_present") > 0, F.col("total_agreeing") / F.col("both_eva_present"))
-    return counted.withColumn("agreement_rate", F.coalesce(rate, F.lit(0.0))).withColumn("agreement_shown", F.coalesce(F.format_string("%.1f%%", rate * 100), F.lit("N/A")))
+    return counted.withColumn("agreement_rate", F.coalesce(rate, F.lit(0.0))).withColumn("agreement_shown", F.when(rate.isNotNull(), F.format_string("%.1f%%", rate * 100)).otherwise("N/A"))
 
 
 def source_counts(lines: DataFrame, source: str = "source_id", key: str = "line_id") -> DataFrame:
