@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 
 from .common import map_rows
 
-Q = 12
-EDITS = 0.06
+Q = 10
+EDITS = 0.085
 PIECE = 160
 STEP = 80
 LEAST = 40
@@ -56,7 +56,8 @@ def grams(data: np.ndarray) -> np.ndarray:
     two = (two[:-1] << np.uint64(8)) | two[1:]
     four = (two[:-2] << np.uint64(16)) | two[2:]
     eight = (four[:-4] << np.uint64(32)) | four[4:]
-    return eight[: len(data) - Q + 1] * np.uint64(0xD6E8FEB86659FD93) + four[8:] * np.uint64(0xA0761D6478BD642F)
+    n = len(data) - Q + 1
+    return eight[:n] * np.uint64(0xD6E8FEB86659FD93) + four[Q - 4 : Q - 4 + n] * np.uint64(0xA0761D6478BD642F)
 
 
 def _slots(code: np.ndarray) -> np.ndarray:
