@@ -49,13 +49,15 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert", "alertdialog"}
 
 TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
+    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z][^<>]*\Z|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
     re.S | re.I,
 )
 ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
 DIGITS = re.compile(r"\d+")
+#: A name that begins so tells what an element has beside it, not what it is.
+BESIDE = ("has-", "with-", "no-", "without-", "not-")
 NOISE = re.compile(
-    r"(?:^|[-_ ])(?:ad|ads|adv|advert|adverts|advertisement|advertising|adsense|sponsor|sponsored|promo|promotion|banner|cookie|cookies|consent|gdpr|notice|notices|alert|sidebar|side|aside|widget|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|pager|pagination|comment|comments|commentlist|disqus|reply|replies|respond|share|sharing|social|related|recommended|footer|foot|masthead|header|topbar|toolbar|subscribe|subscription|newsletter|signup|login|popup|modal|overlay|skip|search|copyright|disclaimer)(?:$|[-_ ])",
+    r"(?:^|[-_])(?:ad|ads|adv|advert|adverts|advertisement|advertising|adsense|sponsor|sponsored|promo|promotion|banner|cookie|cookies|consent|gdpr|notice|notices|alert|sidebar|side|aside|widget|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|pager|pagination|comment|comments|commentlist|disqus|reply|replies|respond|share|sharing|social|related|recommended|footer|foot|masthead|header|topbar|toolbar|subscribe|subscription|newsletter|signup|login|popup|modal|overlay|skip|search|copyright|disclaimer|announcement|paywall|discussion)(?:$|[-_])",
     re.I,
 )
 
@@ -75,7 +77,8 @@ def _noise(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
         return True
     if attributes.get("role", "").lower() in ROLES:
         return True
-    return any(NOISE.search(attributes.get(k, "")) for k in ("class", "id"))
+    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
+    return any(NOISE.search(name) for name in names if not name.lower().startswith(BESIDE))
 
 
 def _step(tag: str, attributes: dict[str, str]) -> str:

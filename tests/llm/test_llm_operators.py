@@ -160,6 +160,19 @@ def test_broken_pages(source):
     assert isinstance(text, str) and "<" not in text.strip("<")
 
 
+@pytest.mark.parametrize(
+    ("body", "due"),
+    [
+        ("<div class='layout has-sidebar'><main><h2>A</h2><p>long words here</p></main><aside><p>side</p></aside></div>", "A\n\nlong words here"),
+        ("<div id='content-1'><header><h1>T</h1></header><p>one<p>two<ul><li>x<li>y</ul></div><div id='comments'><p>me too</p></div>", "one\n\ntwo\n\nx\n\ny"),
+        ("<article><header><h1>T</h1></header><p>a<br>b</p><table><tr><td>1<td>2</table></article><div role='complementary'>r</div>", "T\n\na b\n\n1\n\n2"),
+        ("<article><p>kept</p><div class='share-buttons'>share</div><div style='display: none'>gone</div><noscript><p>off</p></noscript><p>end <b", "kept\n\nend"),
+    ],
+)
+def test_layouts(body, due):
+    assert extract(f"<html><body><nav>menu</nav>{body}", None) == due
+
+
 def test_hosts_vote_and_pages_follow(spark):
     good = "<html><body><div class='main-{0}'><p>" + "word " * 60 + "</p></div><div class='extra'><p>{1}</p></div></body></html>"
     rows = [(i, f"https://A.example.org:80/{i}", good.format(i, "short"), "x") for i in range(5)]
