@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from .common import map_rows, per_row
 
-SAMPLE = 20_000
+SAMPLE = 10_000
 GRADES = 3
 STEPS = 600
 DECAY = 1e-3
