@@ -90,7 +90,7 @@ def checked_text(text: Column) -> Column:
 
 
 def letter_count(checked: Column) -> Column:
-    return F.regexp_count(F.lower(checked), F.lit("[a-vx-z]")).cast("long")
+    return F.char_length(F.regexp_replace(F.lower(checked), "[^a-vx-z]+", "")).cast("long")
 
 
 def word_count(checked: Column) -> Column:
@@ -104,11 +104,30 @@ def compound_counts(text: Column, lower: bool = True) -> Column:
     return F.map_filter(counts, lambda _, n: n > 0)
 
 
+def unknown_text(checked: Column) -> Column:
+    """The characters of a text that are no letter, digit, mark or white space, in one pass over it."""
+    # U+212A is the one other character whose lower case is a letter of the alphabet.
+    return F.regexp_replace(checked, r"[a-vx-zA-VX-Z\u212A0-9., \t\n\r\-=?!*\[\]:{}'<>@;%$~]+", "")
+
+
+def unknown_characters(checked: Column) -> Column:
+    """Those characters, distinct and sorted."""
+    return F.array_sort(F.array_distinct(characters(unknown_text(checked))))
+
+
 def unknown_positions(checked: Column) -> Column:
-    """``pos, char`` of the characters that are no letter, digit, mark or white space."""
-    known = F.lit(SINGLE + SEPARATORS + LINE_MARKERS + EDITORIAL + "0123456789\t\n\r")
-    at = F.transform(characters(checked), lambda c, i: F.struct(i.alias("pos"), c.alias("char")))
-    return F.filter(at, lambda x: ~F.contains(known, F.lower(x.char)))
+    """``pos, char`` of those characters.
+
+    The characters and the ones sought are bound to a lambda's variable, as
+    they would be computed again for every character otherwise.
+    """
+    held = F.array(F.struct(characters(checked).alias("all"), F.array_join(unknown_characters(checked), "").alias("odd")))
+
+    def found(x: Column) -> Column:
+        at = F.transform(x["all"], lambda c, i: F.struct(i.alias("pos"), c.alias("char")))
+        return F.filter(at, lambda y: F.contains(x["odd"], y.char))
+
+    return F.element_at(F.transform(held, found), 1)
 
 
 def letter_frequencies(checked: Column) -> Column:
@@ -121,14 +140,15 @@ def letter_frequencies(checked: Column) -> Column:
 def validate(text: Column, strict: bool = False) -> Column:
     """A struct of counts, unknown characters and validity (which only ``strict`` can deny)."""
     checked = checked_text(text)
-    unknown = unknown_positions(checked)
+    n_unknown = F.char_length(unknown_text(checked)).cast("long")
     return F.struct(
-        (F.size(unknown) == 0 if strict else F.lit(True)).alias("is_valid"),
+        (n_unknown == 0 if strict else F.lit(True)).alias("is_valid"),
         letter_count(checked).alias("char_count"),
         word_count(checked).alias("word_count"),
-        F.array_sort(F.array_distinct(F.transform(unknown, lambda x: x.char))).alias("unknown_chars"),
-        unknown.alias("unknown_positions"),
+        n_unknown.alias("n_unknown"),
+        unknown_characters(checked).alias("unknown_chars"),
+        unknown_positions(checked).alias("unknown_positions"),
         letter_frequencies(checked).alias("char_frequencies"),
         compound_counts(checked, lower=False).alias("compound_counts"),
-        (F.size(unknown) if strict else F.lit(0)).alias("n_errors"),
+        (n_unknown if strict else F.lit(0).cast("long")).alias("n_errors"),
     )

@@ -141,28 +141,32 @@ def letter_grams(frame: DataFrame, text: str, k: int, *by: str) -> DataFrame:
 def running_letter_grams(frame: DataFrame, text: str, k: int, order: str, bucket: int = 1000) -> DataFrame:
     """Counts of ``ctx, c`` over the letters of all texts as one sequence in the order of a whole number.
 
-    The letters that run over from one text to the next are found without
-    ordering all texts in one task: texts are put in buckets of the order
-    column; a bucket's last k letters come from its last k texts with letters,
-    the ones before a bucket from the buckets' ends, and before a text from its
-    neighbours.
+    Contexts inside a text are counted where the text is read. Those that run
+    over from one text to the next need only each text's first and last k
+    letters: these short rows are put in buckets of the order column; what
+    comes before a text is found from its neighbours in the bucket and, for a
+    bucket's first texts, from the ends of the buckets before. No task orders
+    all texts.
     """
-    rows = frame.select(F.col(order).alias("at"), F.floor(F.col(order) / bucket).alias("bucket"), T.letters(F.col(text)).alias("letters")).where("letters <> ''")
+    letters = frame.select(F.col(order).alias("at"), T.letters(F.col(text)).alias("letters")).where("letters <> ''")
+    inside = letters.select(F.filter(F.split("letters", ""), lambda c: c != "").alias("chars")).select(F.explode(_grams("chars", k)).alias("g"))
 
-    def ends(over: Window, column: str) -> Column:
-        before = F.concat(*(F.coalesce(F.lag(column, i).over(over), F.lit("")) for i in range(k, 0, -1)))
+    edges = letters.select("at", F.floor(F.col("at") / bucket).alias("bucket"), F.left("letters", F.lit(k)).alias("head"), F.right("letters", F.lit(k)).alias("tail"))
+
+    def carried(over: Window) -> Column:
+        before = F.concat(*(F.coalesce(F.lag("tail", i).over(over), F.lit("")) for i in range(k, 0, -1)))
         return F.right(before, F.lit(k))
 
-    inside = Window.partitionBy("bucket").orderBy("at", "letters")
-    backwards = Window.partitionBy("bucket").orderBy(F.desc("at"), F.desc("letters"))
-    lasts = rows.select("bucket", F.right("letters", F.lit(k)).alias("tail"), F.row_number().over(backwards).alias("place")).where(F.col("place") <= k)
-    tails = lasts.groupBy("bucket").agg(F.right(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(-F.col("place"), "tail"))), lambda x: x.tail), ""), F.lit(k)).alias("tail"))
-    # One row a bucket: its end, and what ended before it.
-    before = tails.select("bucket", ends(Window.partitionBy(F.lit(1)).orderBy("bucket"), "tail").alias("carried"))
-    joined = rows.withColumn("near", ends(inside, "letters")).join(before, "bucket")
-    run = joined.select(F.right(F.concat("carried", "near"), F.lit(k)).alias("head"), "letters").select(F.filter(F.split(F.concat("head", "letters"), ""), lambda c: c != "").alias("chars"))
-    grams = run.select(F.explode(_grams("chars", k)).alias("g"))
-    return grams.groupBy("g.ctx", "g.c").agg(F.count("*").alias("n"))
+    neighbours = Window.partitionBy("bucket").orderBy("at", "head", "tail")
+    backwards = Window.partitionBy("bucket").orderBy(F.desc("at"), F.desc("head"), F.desc("tail"))
+    lasts = edges.select("bucket", "tail", F.row_number().over(backwards).alias("place")).where(F.col("place") <= k)
+    ends = lasts.groupBy("bucket").agg(F.right(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(-F.col("place"), "tail"))), lambda x: x.tail), ""), F.lit(k)).alias("tail"))
+    # One row a bucket.
+    starts = ends.select("bucket", carried(Window.partitionBy(F.lit(1)).orderBy("bucket")).alias("start"))
+    joined = edges.withColumn("near", carried(neighbours)).join(starts, "bucket")
+    run = joined.select(F.concat(F.right(F.concat("start", "near"), F.lit(k)), "head").alias("run"))
+    across = run.select(F.filter(F.split("run", ""), lambda c: c != "").alias("chars")).select(F.explode(_grams("chars", k)).alias("g"))
+    return inside.union(across).groupBy("g.ctx", "g.c").agg(F.count("*").alias("n"))
 
 
 def bigram_ratios(grams: DataFrame, singles: DataFrame, k: int = 15) -> DataFrame:
@@ -262,3 +266,13 @@ def corpus_compression(frame: DataFrame, text: str, order: str, block_bytes: int
     step = max(1, round((width.high - width.low + 1) * block_bytes / max(1, width.bytes)))
     blocks = rows.groupBy(F.floor((F.col("at") - width.low) / step).alias("block")).agg(F.sort_array(F.collect_list(F.struct("at", "text"))).alias("rows"))
     return compression(blocks.select("block", F.array_join("rows.text", " ").alias("text")), "text", "block", shuffled=shuffled)
+
+
+def summary(frame: DataFrame, text: str, page: str) -> dict:
+    """The headline figures of a corpus, for a report: overview, vocabulary, letters."""
+    overview = frame.agg(F.count("*").alias("lines"), F.count_distinct(page).alias("pages"), F.coalesce(F.sum(F.char_length(text)), F.lit(0)).alias("characters")).first().asDict()
+    words = vocabulary(counts(tokens(frame, text), "word")).first().asDict()
+    letters = character_counts(frame.select(T.letters(F.col(text)).alias(text)), text)
+    first = entropy(letters).first()
+    second = conditional_entropy(letter_grams(frame, text, 1)).first()
+    return overview | words | {"h0": first and first.h0, "h1": first and first.entropy, "h2": second and second.entropy, "top_letters": {r.c: r.n for r in top(letters, "c", 20).collect()}}

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from ..functions import charset
 from ..functions import text as T
 from ..operators import stats as S
-from .registry import query, table
+from ..operators.metadata import most_frequent
+from .registry import query, spread, table
 
 WORDS = r"""words AS (SELECT doc_id, lang, unnest(list_filter(regexp_split_to_array(text, '[.,\s]+'), lambda x: x <> '')) AS word FROM documents)"""
 COUNTS = WORDS + ", counts AS (SELECT word, count(*) AS n FROM words GROUP BY word)"
@@ -21,7 +22,7 @@ LETTERS = r"""letters AS (
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def words(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
@@ -106,7 +107,7 @@ CHECKED = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '
 def validate_documents(spark, sf_dir):
     v = documents(spark, sf_dir).select("doc_id", charset.validate(F.col("text")).alias("v"))
     n = lambda k: F.coalesce(F.col("v.compound_counts")[k], F.lit(0)).alias(f"n_{k}")
-    return v.select("doc_id", "v.char_count", "v.word_count", F.size("v.unknown_positions").cast("long").alias("n_unknown"), F.array_join("v.unknown_chars", "").alias("unknown"), n("ch"), n("sh"))
+    return v.select("doc_id", "v.char_count", "v.word_count", "v.n_unknown", F.array_join("v.unknown_chars", "").alias("unknown"), n("ch"), n("sh"))
 
 
 @query(r"""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(string_split(text, ''), lambda x: x <> '' AND NOT regexp_matches(x, '^[a-vx-z., @;0-9'']$')))), '') AS unclean,
@@ -127,6 +128,17 @@ def valid_words(spark, sf_dir):
     return word_counts(spark, sf_dir).groupBy(charset.is_valid_word(F.col("word")).alias("valid")).agg(F.count("*").alias("types"), F.sum("n").alias("tokens"))
 
 
+@query(f"""WITH t AS (SELECT unnest(string_split({CHECKED.format('text')}, '')) AS c FROM documents) SELECT c, count(*) AS n FROM t WHERE c <> '' AND NOT regexp_matches(lower(c), '^[a-vx-z0-9.,\\s\\-=?!*\\[\\]:{{}}''<>@;%$~]$') GROUP BY c""")
+def unknown_chars(spark, sf_dir):
+    odd = documents(spark, sf_dir).select(charset.unknown_text(charset.checked_text(F.col("text"))).alias("odd"))
+    return S.character_counts(odd, "odd").select("c", "n")
+
+
+@query("SELECT source, lang FROM (SELECT source, lang, row_number() OVER (PARTITION BY source ORDER BY n DESC, lang) AS r FROM (SELECT source, lang, count(*) AS n FROM documents GROUP BY ALL)) WHERE r = 1")
+def dominant_language(spark, sf_dir):
+    return documents(spark, sf_dir).groupBy("source").agg(most_frequent("lang").alias("lang"))
+
+
 SQUEEZE = "trim(regexp_replace({0}, '\\s+', ' ', 'g'))"
 STRIP = SQUEEZE.format(r"regexp_replace(regexp_replace(regexp_replace({0}, '\{{[^}}]*\}}', '', 'g'), '\[([^:\]]*):([^\]]*)\]', '\1', 'g'), '<[^>]*>', '', 'g')")
 
@@ -224,10 +236,12 @@ def lang_compare(spark, sf_dir):
     letters = docs.select("lang", T.letters(F.col("text")).alias("text"))
     one = S.entropy(S.character_counts(letters, "text", "lang"), "lang").select("lang", F.col("entropy").alias("h1"))
     two = S.conditional_entropy(S.letter_grams(docs, "text", 1, "lang"), "lang").select("lang", F.col("entropy").alias("h2"))
-    both = one.join(two, "lang")
-    a, b = (both.select(*(F.col(c).alias(f"{c}_{s}") for c in ("lang", "h1", "h2"))) for s in "ab")
-    diff = lambda c: F.round(F.abs(F.col(f"{c}_a") - F.col(f"{c}_b")), 6).alias(f"{c}_diff")
-    return a.join(b, F.col("lang_a") < F.col("lang_b")).select("lang_a", "lang_b", F.round("h1_a", 6).alias("h1_a"), F.round("h1_b", 6).alias("h1_b"), diff("h1"), diff("h2"))
+    # One row a language: pairs are made of one small array, so neither side is computed twice.
+    gathered = one.join(two, "lang").agg(F.sort_array(F.collect_list(F.struct("lang", "h1", "h2"))).alias("all"))
+    pairs = F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, F.size("all")), lambda y: F.struct(x.alias("a"), y.alias("b"))))
+    rows = gathered.select(F.explode(F.flatten(pairs)).alias("p")).select("p.a", "p.b")
+    diff = lambda c: F.round(F.abs(F.col(f"a.{c}") - F.col(f"b.{c}")), 6).alias(f"{c}_diff")
+    return rows.select(F.col("a.lang").alias("lang_a"), F.col("b.lang").alias("lang_b"), F.round("a.h1", 6).alias("h1_a"), F.round("b.h1", 6).alias("h1_b"), diff("h1"), diff("h2"))
 
 
 @query(f"""WITH {ALPHA}, p AS (SELECT unnest(string_split(left(word, 8), '')) AS c, generate_subscripts(string_split(left(word, 8), ''), 1) AS place FROM alpha),

@@ -299,3 +299,10 @@ def test_errors_and_logs(capsys):
     logs.get_logger("t").warning("yes", a=1)
     assert out.getvalue().endswith("WARNING folioworks.t: yes [a=1]\n")
     logging.getLogger("folioworks").handlers.clear()
+
+
+def test_summary(spark):
+    got = S.summary(texts(spark, "ab ab", "ba"), "t", "i")
+    assert (got["lines"], got["tokens"], got["types"], got["h0"], got["h1"], got["top_letters"]) == (2, 3, 2, 1.0, 1.0, {"a": 3, "b": 3})
+    empty = S.summary(spark.createDataFrame([], "i long, t string"), "t", "i")
+    assert empty["lines"] == empty["tokens"] == 0 and empty["h1"] is None
