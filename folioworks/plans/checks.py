@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions import charset
 from ..functions import text as T
+from ..operators import lines as L
 from ..operators import quality as Q
 from ..operators import verification as V
+from ..sources import ivtff
 from ..streaming.lines import windowed_counts
 from . import transcription as P
 from .registry import query, table
@@ -46,25 +49,19 @@ BROKEN_LINES = f"""{P.LINES}, damaged AS (SELECT * REPLACE (CASE WHEN hash_ % 10
 
 
 def damaged_lines(spark, sf_dir):
+    """Lines of the synthetic transcription, with their file, in which some cells are wrong."""
     lines = P.transcript(spark, sf_dir)
-    from ..operators import lines as L
-
-    # One file's table at a time has its file; the table itself has not, so it is built with the file as source.
-    rows = L.line_table(lines).drop("source", "source_version")
-    heads = P.ivtff.pages(lines, comments=False).select("file", "page_ord", F.col("page_id"))
-    loci = P.ivtff.loci(lines, comments=False).join(heads, ["file", "page_ord"])
-    del rows
+    heads = ivtff.pages(lines, comments=False).select("file", "page_ord", "page_id")
+    loci = ivtff.loci(lines, comments=False).join(heads, ["file", "page_ord"])
     raw = F.col("text")
-    from ..functions import charset
-
     checked = charset.checked_text(F.col("text_clean"))
-    table_ = loci.withColumn("text_clean", T.clean_for_analysis(raw)).select(
+    sound = loci.withColumn("text_clean", T.clean_for_analysis(raw)).select(
         "file", "page_id", F.col("locus_number").alias("line_number"), F.col("line_index").cast("long").alias("line_index"), F.concat_ws(":", "page_id", "locus_number").alias("line_id"), "text", "text_clean", charset.letter_count(checked).alias("char_count"), charset.word_count(checked).alias("word_count"),
         T.is_uncertain(raw).alias("has_uncertain"), T.is_illegible(raw).alias("has_illegible"), T.has_high_codes(raw).alias("has_high_ascii"),
     )
     h = F.substring("file", 2, 20).cast("long") * 7 + F.col("line_number") * 3 + F.char_length("text")
     hit = lambda n: h % n == 0
-    return table_.withColumns({
+    return sound.withColumns({
         "text_clean": F.when(hit(101), F.concat("text_clean", F.lit("<"))).when(hit(103), F.concat("text_clean", F.lit("?"))).when(hit(107), F.concat("text_clean", F.lit("W"))).otherwise(F.col("text_clean")),
         "has_uncertain": F.col("has_uncertain") != hit(109),
         "has_illegible": F.col("has_illegible") != hit(113),
@@ -108,8 +105,6 @@ def count_failures(spark, sf_dir):
 
 @query(f"""WITH {P.LINES} SELECT count(*) >= 4000 AS record_count, bool_and(page_id <> '') AS page_ids, count(DISTINCT line_id) = count(*) AS unique_line_ids, 100 * count(*) FILTER (char_count > 0) >= 95 * count(*) AS characters, count(DISTINCT page_id) > 200 AS pages, count(DISTINCT currier_language) >= 2 AS languages, count(DISTINCT line_type) >= 2 AS line_types FROM lines""")
 def smoke_checks(spark, sf_dir):
-    from ..operators import lines as L
-
     got = L.smoke_checks(P.line_rows(spark, sf_dir), {})
     keys = ["record_count", "page_ids", "unique_line_ids", "characters", "pages", "languages", "line_types"]
     return spark.range(1).select(*(F.lit(got[k]).alias(k) for k in keys))
