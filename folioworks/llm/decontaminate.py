@@ -3,7 +3,19 @@
 Texts and benchmark items are folded byte for byte (A-Z to lower case, ASCII
 white space to a blank), so positions stay those of the UTF-8 text. An item
 longer than ``piece`` bytes is searched as overlapping pieces, each its own
-pattern, so that a long part of an item is found as well as the whole.
+pattern, so that a long part of an item is found as well as the whole. Shorter
+quotes are found by windows of ``WINDOW`` bytes, one every ``WINDOW_STEP``,
+which are patterns without edits.
+
+What is found for certain (bytes are those of the folded text):
+
+* an item of at most ``piece`` bytes, whole, within its edits;
+* any passage of an item that holds a whole piece within its edits (one of
+  ``piece + step - 1`` = 239 bytes always does);
+* any verbatim passage of an item of ``WINDOW + WINDOW_STEP - 1`` = 63 bytes
+  or more;
+* items of fewer than q bytes, which have no q-gram: verbatim, between word
+  boundaries.
 
 A pattern of m bytes that occurs in a text with at most e edits shares at least
 m - q + 1 - q e of its q-grams with the text, all on diagonals (text position
@@ -20,8 +32,9 @@ document, item and region: ``doc_id, item_id, start, end`` (bytes of the text)
 and ``edits``. Overlapping regions of one item are joined.
 
 The index is broadcast in blocks of ``index_bytes`` of pattern text at most, so
-a benchmark of any size is searched, block by block. Items that are null or
-have fewer than ``least`` bytes are not searched; null texts have no hits.
+a benchmark of any size is searched, block by block. Items without text, null
+or blank, are not searched, nor those of fewer than ``least`` bytes; an item
+without an id is searched like others. Null texts have no hits.
 Repeated rows give repeated results.
 """
 
@@ -41,11 +54,15 @@ Q = 10
 EDITS = 0.085
 PIECE = 160
 STEP = 80
-LEAST = 40
-INDEX_BYTES = 4 << 20
+WINDOW = 48
+WINDOW_STEP = 16
+LEAST = 1
+INDEX_BYTES = 2 << 20
 PART = 1 << 20
 BITS = 22
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b in b"\t\n\v\f\r" else b for b in range(256))
+#: Bytes of words: digits, letters and all of other scripts.
+_WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
 
 
 def grams(data: np.ndarray) -> np.ndarray:
@@ -68,9 +85,14 @@ class Index:
     """Patterns of some benchmark items and their q-grams, sorted."""
 
     def __init__(self, items: list[tuple[int, str]], edits: float = EDITS, piece: int = PIECE, step: int = STEP):
-        self.patterns: list[tuple[int, bytes, int]] = []
+        self.patterns: list[tuple[int | None, bytes, int]] = []
+        self.short: dict[bytes, list[int | None]] = {}
         for item_id, text in items:
             data = text.encode().translate(_FOLD).strip()
+            if len(data) < Q:
+                if data:
+                    self.short.setdefault(data, []).append(item_id)
+                continue
             starts = range(0, max(1, len(data) - piece + step), step)
             for at in starts:
                 at = max(0, min(at, len(data) - piece))
@@ -78,17 +100,21 @@ class Index:
                 # The lemma needs at least one shared q-gram to say anything.
                 budget = min(int(edits * len(part)), (len(part) - Q) // Q)
                 self.patterns.append((item_id, part, max(0, budget)))
+            if len(data) > WINDOW:
+                for at in range(0, len(data) - WINDOW + WINDOW_STEP, WINDOW_STEP):
+                    at = min(at, len(data) - WINDOW)
+                    self.patterns.append((item_id, data[at : at + WINDOW], 0))
         codes, owners, places = [], [], []
         for number, (_, part, _) in enumerate(self.patterns):
             code = grams(np.frombuffer(part, np.uint8))
             codes.append(code)
-            owners.append(np.full(len(code), number, np.int64))
-            places.append(np.arange(len(code), dtype=np.int64))
+            owners.append(np.full(len(code), number, np.int32))
+            places.append(np.arange(len(code), dtype=np.int32))
         code = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
         order = np.argsort(code, kind="stable")
         self.codes = code[order]
-        self.owners = np.concatenate(owners)[order] if owners else np.zeros(0, np.int64)
-        self.places = np.concatenate(places)[order] if places else np.zeros(0, np.int64)
+        self.owners = np.concatenate(owners)[order] if owners else np.zeros(0, np.int32)
+        self.places = np.concatenate(places)[order] if places else np.zeros(0, np.int32)
         self.maybe = np.zeros(1 << BITS, bool)
         self.maybe[_slots(self.codes)] = True
         self.budgets = np.array([e for _, _, e in self.patterns], np.int64)
@@ -104,7 +130,19 @@ class Index:
         many = high - low
         at, low, many = at[many > 0], low[many > 0], many[many > 0]
         rows = np.repeat(low - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum()) if len(many) else np.zeros(0, np.int64)
-        return self.owners[rows], np.repeat(at, many) - self.places[rows]
+        return self.owners[rows].astype(np.int64), np.repeat(at, many) - self.places[rows]
+
+    def _short_items(self, data: bytes) -> Iterator[tuple[int | None, int, int, int]]:
+        """Items without a q-gram, verbatim and between word boundaries."""
+        if not self.short or not data:
+            return
+        is_word = _WORD[np.frombuffer(data, np.uint8)]
+        edge = np.concatenate(([True], ~(is_word[1:] & is_word[:-1]), [True]))
+        for length in {len(x) for x in self.short}:
+            last = max(0, len(data) - length + 1)
+            for at in np.flatnonzero(edge[:last] & edge[length : length + last]).tolist():
+                for item_id in self.short.get(data[at : at + length], ()):
+                    yield item_id, at, at + length, 0
 
     def _regions(self, data: bytes) -> Iterator[tuple[int, int, int, int]]:
         owners, diagonals = self._hits(np.frombuffer(data, np.uint8))
@@ -126,15 +164,15 @@ class Index:
                 tried.add((owner, found[1]))
                 yield item_id, *found
 
-    def search(self, text: str | None) -> list[tuple[int, int, int, int]]:
+    def search(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """``item_id, start, end, edits`` of the regions of a text, joined by item."""
         data = (text or "").encode().translate(_FOLD)
-        found = []
+        found = list(self._short_items(data))
         for at in range(0, max(1, len(data)), PART):
             base = max(0, at - 2 * PIECE)
             found += [(i, s + base, e + base, n) for i, s, e, n in self._regions(data[base : at + PART])]
-        joined: list[list[int]] = []
-        for item_id, start, end, edits in sorted(found):
+        joined: list[list] = []
+        for item_id, start, end, edits in sorted(found, key=lambda x: (x[0] is None, x[0] or 0, *x[1:])):
             if joined and joined[-1][0] == item_id and start <= joined[-1][2]:
                 joined[-1][2] = max(joined[-1][2], end)
                 joined[-1][3] = max(joined[-1][3], edits)
@@ -196,7 +234,7 @@ def contaminated_regions(documents: DataFrame, benchmark: DataFrame, id_col: str
     """``doc_id, item_id, start, end, edits`` of every region that holds benchmark text."""
     context = documents.sparkSession.sparkContext
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).dropna()
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).dropna(subset=["text"])
     schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "item_id", "start", "end", "edits")])
 
     def search_with(held):
@@ -218,7 +256,7 @@ def contaminated_regions(documents: DataFrame, benchmark: DataFrame, id_col: str
 def clean_documents(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", edits: float = EDITS, least: int = LEAST, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """The rows in which no benchmark text is found, with all their columns."""
     context = documents.sparkSession.sparkContext
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).dropna()
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).dropna(subset=["text"])
 
     def free_of(held):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,0 +1,34 @@
+"""Operators do the whole job: nothing is left out at a size."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+
+from folioworks.llm.decontaminate import Index, clean_documents, contaminated_regions
+
+
+def words(rng: random.Random, n: int) -> str:
+    return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 9))) for _ in range(n))
+
+
+# 8. Decontamination
+
+
+@pytest.mark.parametrize("size", [300, 110, 63])
+def test_every_verbatim_quote_of_63_bytes_is_found(size):
+    rng = random.Random(size)
+    item = words(rng, 80)[:size].strip().ljust(size, "x")
+    index = Index([(1, item)])
+    for at in range(0, size - 63 + 1):
+        text = words(rng, 20) + " " + item[at : at + 63] + " " + words(rng, 20)
+        assert {x[0] for x in index.search(text)} == {1}, at
+
+
+def test_short_items_and_items_without_an_id_are_searched(spark):
+    docs = spark.createDataFrame([(1, "They said: Twelve apples\nfell, and then"), (2, "category"), (3, "a CAT sat"), (4, "so 7+5=12, it is"), (5, None), (6, ""), (7, "an unnamed passage of text")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "twelve apples fell"), (2, "cat"), (3, "7+5=12"), (None, "unnamed passage"), (None, "of"), (4, None), (5, " \n")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in contaminated_regions(docs, bench).collect()}
+    assert got == {(1, 1), (3, 2), (4, 3), (7, None)}
+    assert sorted(r.doc_id for r in clean_documents(docs, bench).collect()) == [2, 5, 6]
