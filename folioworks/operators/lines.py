@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..errors import SmokeTestError
@@ -52,6 +52,21 @@ def in_order(table: DataFrame) -> DataFrame:
     return table.orderBy(ids.reading_order(F.col("page_id"), F.col("line_index")))
 
 
+def with_places(table: DataFrame, *ties: str) -> DataFrame:
+    """Every line with its ``place`` in reading order, from 1; ``ties`` order lines of equal keys.
+
+    A place is the number of lines on the pages before plus the rank on the
+    page: only page sizes, one row a page, are ordered in one task.
+    """
+    key = ids.reading_order(F.col("page_id"), F.col("line_index"))
+    page = F.struct(*(key[c].alias(c) for c in ("folio", "side", "panel", "page")))
+    rows = table.withColumn("_page", page)
+    earlier = Window.partitionBy(F.lit(1)).orderBy("_page").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = rows.groupBy("_page").agg(F.count("*").alias("_n")).select("_page", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_page").orderBy("line_index", *ties)))
+    return ranked.join(offsets, "_page").withColumn("place", F.col("_before") + F.col("_rank")).drop("_page", "_before", "_rank")
+
+
 def _counts(frame: DataFrame, key) -> dict[str, int]:
     return {k: n for k, n in frame.groupBy(F.coalesce(key, F.lit("unknown"))).count().collect()}
 

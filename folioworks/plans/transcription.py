@@ -109,6 +109,12 @@ def reading_order_first(spark, sf_dir):
     return first.select("line_id", "line_index", F.row_number().over(S.Window.partitionBy(F.lit(1)).orderBy("key", "line_id", "text")).cast("long").alias("place"))
 
 
+@query(f"WITH {LINES} SELECT line_id, line_index, row_number() OVER (ORDER BY CAST(regexp_extract(page_id, '^f([0-9]+)', 1) AS INT), CASE WHEN contains(page_id, 'v') THEN 1 ELSE 0 END, coalesce(TRY_CAST(nullif(regexp_extract(page_id, '[rv]([0-9]*)$', 1), '') AS INT), 0), line_index, line_id, text, file) AS place FROM lines")
+def reading_order(spark, sf_dir):
+    rows = L.line_table(transcript(spark, sf_dir)).select("page_id", "line_id", F.col("line_index").cast("long").alias("line_index"), "text")
+    return L.with_places(rows, "line_id", "text").select("line_id", "line_index", "place")
+
+
 @query(f"""WITH {LINES}, u AS (SELECT DISTINCT file, page_ord FROM loci)
  SELECT count(*) AS total_lines, CAST(sum(char_count) AS BIGINT) AS total_characters, CAST(sum(word_count) AS BIGINT) AS total_words, count(*) FILTER (has_high_ascii) AS lines_with_high_ascii,
  (SELECT count(*) FROM pages_) AS total_pages, (SELECT count(*) FROM u) AS pages_with_lines, (SELECT count(*) FROM pages_) - (SELECT count(*) FROM u) AS pages_without_lines FROM lines""")
