@@ -12,7 +12,9 @@ the pooled one, so what is broadcast is bounded by the parameters.
 
 Minimum-length guards: a histogram of a short text says little, so each
 distance counts only from a number of words on, and the distance allowed is a
-floor plus a slack that shrinks with the square root of the words.
+floor plus a slack that shrinks with the square root of the words. Common words
+are compared from as many words on as the histogram has common words (40);
+texts of 20 to 39 words are judged by the base rules and their classes.
 
 Nulls are texts without words, which fail. Lines are parts between line feeds.
 """
@@ -49,7 +51,7 @@ class Rules:
     class_words: int = 20
     class_floor: float = 0.10
     class_slack: float = 1.1
-    common_words: int = 100
+    common_words: int = 40
     common_floor: float = 0.25
     common_slack: float = 2.0
     common: int = 40

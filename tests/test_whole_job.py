@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folioworks.functions import ids
+from folioworks.llm.quality_rules import quality_verdicts
 from folioworks.llm.decontaminate import Index, clean_documents, contaminated_regions
 from folioworks.operators import lines as L
 from folioworks.plans import catalog
@@ -60,3 +61,21 @@ def test_places_follow_the_sort(spark):
     frame = spark.createDataFrame(rows, "page_id string, line_index int, line_id string").repartition(3)
     order = [r.line_id for r in frame.orderBy(ids.reading_order(F.col("page_id"), F.col("line_index")), "line_id").collect()]
     assert [r.line_id for r in L.with_places(frame, "line_id").orderBy("place").collect()] == order
+
+
+# 9. Quality rules
+
+
+def test_junk_of_40_to_99_words_fails_and_prose_stays(spark):
+    rng = random.Random(4)
+    common = ["the", "of", "and", "to", "in", "is", "that", "it", "for", "was", "on", "as"]
+
+    def prose(n: int) -> str:
+        return " ".join(rng.choice(common) if rng.random() < 0.5 else words(rng, 1) for _ in range(n))
+
+    rows = [(i, prose(rng.randint(40, 300)), "en") for i in range(200)]
+    rows += [(1000 + n, words(rng, n), "en") for n in range(40, 100, 5)]
+    got = {r.doc_id: r for r in quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert all(r.common_distance is not None for r in got.values())
+    assert not any(got[1000 + n].kept for n in range(40, 100, 5))
+    assert all(got[i].kept for i in range(200))
