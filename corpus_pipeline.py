@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from folioworks.llm.common import shared_checkpoints, table
 from folioworks.llm.decontaminate import clean_documents
 from folioworks.llm.quality_rules import good_documents
-from folioworks.llm.simhash import simhash_classes
+from folioworks.llm.simhash import one_of_each_class
 from folioworks.llm.source_mix import mix_sources
 from folioworks.llm.suffix_dedup import remove_repeats
 
@@ -26,16 +26,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash class, the one of the smallest doc_id.
+    """One row of each SimHash class, the one of the smallest doc_id; rows of one id may be of many classes.
 
-    Of rows that share that id any one stays. Rows without an id have no place
-    in that order: they stay.
+    Rows without an id have no place in that order: they stay.
     """
-    kept = simhash_classes(docs).where("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi")
-    if not docs.groupBy("doc_id").count().where("count > 1 and doc_id is not null").isEmpty():
-        rows = rows.dropDuplicates(["doc_id"])
-    return rows.select(docs.columns).union(docs.where("doc_id is null"))
+    return one_of_each_class(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

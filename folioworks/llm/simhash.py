@@ -18,7 +18,9 @@ such a value is common to them, and one value has 33 fingerprints at most. This
 finds the same links in linear space; no list is cut short.
 
 Nulls and texts without words have the fingerprint zero. Rows of one doc_id
-are kept apart as rows. Columns other than the id and the text are ignored.
+are kept apart as rows; their classes are told apart by ``root``, the smallest
+fingerprint of a class, as two classes can have the same smallest doc_id.
+Columns other than the id and the text are ignored.
 """
 
 from __future__ import annotations
@@ -60,16 +62,17 @@ def fingerprint(text: str | None) -> int:
     return int.from_bytes(np.packbits(2 * votes > len(hashes), bitorder="little").tobytes(), "little")
 
 
-def _signed(doc_id, text):
+def _signed(doc_id, text, *keys):
     value = fingerprint(text)
-    return doc_id, value - (1 << 64) if value >> 63 else value
+    return doc_id, value - (1 << 64) if value >> 63 else value, *keys
 
 
-def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id`` and ``fp``, the fingerprint as a signed long."""
-    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
-    return map_rows(rows, per_row(schema, _signed, "doc_id", "text"), "doc_id long, fp long")
+def fingerprints(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", keys: dict | None = None) -> DataFrame:
+    """``doc_id`` and ``fp``, the fingerprint as a signed long; then ``keys``, longs by name."""
+    keys = keys or {}
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *(c.alias(n) for n, c in keys.items()))
+    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "fp", *keys)])
+    return map_rows(rows, per_row(schema, _signed, "doc_id", "text", *keys), ", ".join(f"{n} long" for n in schema.names))
 
 
 def _posting_key(i: int, j: int, number: int):
@@ -113,9 +116,35 @@ def links(distinct: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
 
 def simhash_classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_list: int = LONG_LIST) -> DataFrame:
     """One row a document: ``doc_id``, ``fp`` and ``component_id``, the smallest doc_id of its class."""
-    prints = cut(fingerprints(documents, id_col, text_col))
+    return _rooted(fingerprints(documents, id_col, text_col), long_list).select("doc_id", "fp", "component_id")
+
+
+def one_of_each_class(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_list: int = LONG_LIST) -> DataFrame:
+    """The rows of ``documents`` without the others of their classes, with all their columns.
+
+    A class keeps its first row by id, fingerprint, and hashes of the text and
+    of the whole row, so a rerun chooses the same one; rows alike in every
+    column count as one. Rows without an id have no place in that order: they
+    stay.
+    """
+    text = F.col(text_col).cast("string")
+    hashes = {"text_hash": F.xxhash64(text), "row_hash": F.xxhash64(*(F.col(c) for c in documents.columns))}
+    classes = _rooted(fingerprints(documents, id_col, text_col, hashes), long_list)
+    order = ("doc_id", "fp", "text_hash", "row_hash")
+    firsts = classes.where("doc_id is not null").groupBy("root").agg(F.min(F.struct(*order)).alias("first"))
+    firsts = cut(firsts.select(F.col("first.doc_id").alias("_first_id"), F.col("first.row_hash").alias("_first_hash")))
+    here = documents.withColumn("_row_hash", hashes["row_hash"])
+    rows = here.join(firsts, (F.col(id_col).cast("long") == F.col("_first_id")) & (F.col("_row_hash") == F.col("_first_hash")), "left_semi")
+    if not classes.where("doc_id is not null").groupBy("doc_id", "row_hash").count().where("count > 1").isEmpty():
+        rows = rows.dropDuplicates([id_col, "_row_hash"])
+    return rows.select(documents.columns).union(documents.where(F.col(id_col).isNull()))
+
+
+def _rooted(prints: DataFrame, long_list: int) -> DataFrame:
+    """Fingerprints with ``root`` and ``component_id`` of their classes."""
+    prints = cut(prints)
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(links(least.select("fp"), long_list), "x", "y").withColumnRenamed("node", "fp")
     rooted = cut(least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     classes = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    return prints.join(classes.select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    return prints.join(classes.select("fp", "root", "component_id"), "fp")

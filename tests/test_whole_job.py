@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from folioworks.functions import ids
 from folioworks.llm.quality_rules import quality_verdicts
+import corpus_pipeline
 from folioworks.llm.decontaminate import Index, clean_documents, contaminated_regions
 from folioworks.operators import lines as L
 from folioworks.plans import catalog
@@ -79,3 +80,34 @@ def test_junk_of_40_to_99_words_fails_and_prose_stays(spark):
     assert all(r.common_distance is not None for r in got.values())
     assert not any(got[1000 + n].kept for n in range(40, 100, 5))
     assert all(got[i].kept for i in range(200))
+
+
+# The pipeline
+
+
+def test_rows_of_one_id_are_chosen_by_their_class(spark):
+    rng = random.Random(10)
+    one, two, three, four = (words(rng, 200) for _ in range(4))
+    rows = [
+        (1, one, "en", "a", 1),
+        # An unrelated text, and a copy of document 1 beside it.
+        (7, two, "en", "a", 1),
+        (7, one, "en", "b", 1),
+        # Two unrelated texts.
+        (8, three, "en", "a", 1),
+        (8, four, "en", "a", 1),
+        # A copy of one of them; a repeated row; rows of one text that differ elsewhere.
+        (9, four, "en", "a", 1),
+        (7, two, "en", "a", 1),
+        (8, three, "en", "c", 1),
+        (None, four, "en", "a", 1),
+    ]
+    got = []
+    for parts in (1, 5):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(parts)
+        kept = corpus_pipeline.near_duplicates(spark, docs, "")
+        assert kept.columns == docs.columns
+        got.append(sorted(map(tuple, kept.collect()), key=str))
+    assert got[0] == got[1]
+    assert sorted((r[0], r[1]) for r in got[0] if r[0]) == sorted([(1, one), (7, two), (8, three), (8, four)])
+    assert [r[1] for r in got[0] if r[0] is None] == [four]
