@@ -60,7 +60,7 @@ def targets(sized: DataFrame, cap: int = CAP) -> DataFrame:
     rising order of that ratio the level after capping the first k sources is
     (total - their caps) / (weights of the rest). The level sought is that of the
     first k whose next source is not below it; later levels are lower. There is
-    one row a source, and the draw checks their number.
+    one row a source.
     """
     by_source = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     order = Window.orderBy(F.col("source").asc_nulls_last())
@@ -117,6 +117,26 @@ def plan_streams(sized: DataFrame, block: int = BLOCK) -> DataFrame:
     return planned.withColumn("slots", passes * F.col("blocks") + place)
 
 
+def _small(by_source: DataFrame, sources: int) -> DataFrame:
+    """``by_source``, broadcast unless there are too many sources."""
+    return by_source if sources > MOST_SOURCES else F.broadcast(by_source)
+
+
+def _keys_by_range(drawn: DataFrame, planned: DataFrame, total: int, sources: int) -> DataFrame:
+    """``shard, slot, key``: the source in whose range of the summed weights each draw ``at`` lies.
+
+    Ranges are split at multiples of the mean weight, so draws and ranges meet
+    by an equal number; both sides together make twice the draws at most.
+    """
+    width = max(1, total // sources)
+    high = F.sum("slots").over(Window.orderBy("key").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # One row a source, as in ``targets``.
+    ranges = planned.where("slots > 0").select("key", "slots", high.alias("high")).withColumn("low", F.col("high") - F.col("slots"))
+    split = ranges.withColumn("range", F.explode(F.sequence(F.floor(F.col("low") / width), F.floor((F.col("high") - 1) / width))))
+    met = drawn.withColumn("range", F.floor(F.col("at") / width)).join(split.select("range", "low", "high", "key"), "range")
+    return met.where("low <= at and at < high").select("shard", "slot", "key")
+
+
 def draw_slots(planned: DataFrame, block: int = BLOCK, shard: int = SHARD) -> DataFrame:
     """``shard, slot, source, k, block, words``: every slot of the mix with the block it takes.
 
@@ -125,16 +145,17 @@ def draw_slots(planned: DataFrame, block: int = BLOCK, shard: int = SHARD) -> Da
     """
     spark = planned.sparkSession
     known = ["source", "key", "blocks", "slots", "source_size", "goal", "lacks", "short_at"]
-    weights = planned.select("key", "slots").orderBy("key").limit(MOST_SOURCES + 1).collect()
-    if len(weights) > MOST_SOURCES:
-        raise ValueError(f"over {MOST_SOURCES} sources; the draw holds the weights of so many at most")
-    bounds = [0, *accumulate(w.slots for w in weights)]
-    total = bounds[-1]
+    total, sources = planned.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.count("*")).first()
     tasks = max(1, math.ceil(total / 2_000_000))
     at = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(max(1, total)))
     drawn = spark.range(0, total, 1, tasks).select(F.col("id").alias("slot"), F.floor(F.col("id") / shard).alias("shard"), at.alias("at"))
-    picked = F.size(F.filter(_longs(bounds), lambda b: b <= F.col("at")))
-    drawn = drawn.select("shard", "slot", F.element_at(_longs([w.key for w in weights]), picked).alias("key"))
+    if sources > MOST_SOURCES:
+        drawn = _keys_by_range(drawn, planned, total, sources)
+    else:
+        weights = planned.select("key", "slots").orderBy("key").collect()
+        bounds = [0, *accumulate(w.slots for w in weights)]
+        picked = F.size(F.filter(_longs(bounds), lambda b: b <= F.col("at")))
+        drawn = drawn.select("shard", "slot", F.element_at(_longs([w.key for w in weights]), picked).alias("key"))
 
     counts = drawn.groupBy("key", "shard").agg(F.count("*").alias("n"))
     so_far = Window.partitionBy("key").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
@@ -142,8 +163,7 @@ def draw_slots(planned: DataFrame, block: int = BLOCK, shard: int = SHARD) -> Da
     within = Window.partitionBy("key", "shard").orderBy("slot")
     ranked = drawn.withColumn("rank", F.row_number().over(within) - 1)
     numbered = ranked.join(starts.select("key", "shard", "start"), ["key", "shard"]).select("shard", "slot", "key", (F.col("start") + F.col("rank")).alias("k"))
-    few = F.broadcast(planned.select(*known))
-    numbered = numbered.join(few, "key").where("k < slots")
+    numbered = numbered.join(_small(planned.select(*known), sources), "key").where("k < slots")
 
     # What the draws leave short of the streams' ends makes a last shard.
     made = counts.groupBy("key").agg(F.sum("n").alias("made"))
@@ -190,6 +210,7 @@ def mix_sources(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     cut_words = F.aggregate("cuts", F.lit(0).cast("long"), lambda a, c: a + F.greatest(F.lit(0).cast("long"), F.least(c - F.col("start"), F.col("p.words"))))
     taken = both.groupBy("row").agg(F.sum(F.col("whole") * F.col("p.words") + cut_words).alias("taken"))
     all_targets = targets(sized).select("source", "source_size", "target")
-    rows = sized.alias("d").join(F.broadcast(all_targets.alias("t")), F.col("d.source").eqNullSafe(F.col("t.source")))
+    sources = sized.select("source").distinct().count()
+    rows = sized.alias("d").join(_small(all_targets.alias("t"), sources), F.col("d.source").eqNullSafe(F.col("t.source")))
     rows = rows.select("d.row", "d.doc_id", "d.source", "d.size", "source_size", "target").join(taken, "row", "left")
     return rows.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))

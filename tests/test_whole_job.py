@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from folioworks.functions import ids
 from folioworks.llm.quality_rules import quality_verdicts
 import corpus_pipeline
+from folioworks.llm import source_mix
 from folioworks.llm.decontaminate import Index, clean_documents, contaminated_regions
 from folioworks.operators import lines as L
 from folioworks.plans import catalog
@@ -111,3 +112,18 @@ def test_rows_of_one_id_are_chosen_by_their_class(spark):
     assert got[0] == got[1]
     assert sorted((r[0], r[1]) for r in got[0] if r[0]) == sorted([(1, one), (7, two), (8, three), (8, four)])
     assert [r[1] for r in got[0] if r[0] is None] == [four]
+
+
+# 7. Mixing sources
+
+
+def test_mix_has_no_bound_of_sources(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(i, words(rng, rng.choice([0, 3, 70, 900])), f"s{i % 40}" if i % 7 else None) for i in range(300)] + [(1000, words(rng, 9000), "big"), (1001, "", "no words")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    due = sorted(map(tuple, source_mix.mix_sources(docs, shard=50).collect()))
+    planned = source_mix.plan_streams(source_mix.sizes(docs)).cache()
+    slots = sorted(map(str, source_mix.draw_slots(planned, shard=50).collect()))
+    monkeypatch.setattr(source_mix, "MOST_SOURCES", 10)
+    assert sorted(map(tuple, source_mix.mix_sources(docs, shard=50).collect())) == due
+    assert sorted(map(str, source_mix.draw_slots(planned, shard=50).collect())) == slots
