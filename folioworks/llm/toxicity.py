@@ -9,8 +9,9 @@ Labels say toxic or not. Grades are made from them: 0 for not toxic; toxic
 training texts are graded 1 to ``GRADES`` by how many of the discriminating
 words they hold. Words are discriminating if the likelihood ratio of their
 counts in toxic and other training texts exceeds what chance gives among so
-many words, and toxic texts hold them more often. Near copies among the
-training texts, by two minimal hashes, count once.
+many words, and toxic texts hold them more often. Near copies among the training
+texts count once: rows that share two minimal hashes and whose words and
+beginnings have a Jaccard similarity of ``ALIKE`` or more.
 
 The fit reads at most ``sample`` labelled rows, the ones whose id hashes
 lowest; every text is scored whole. Null and empty texts have no words, and
@@ -34,6 +35,7 @@ GRADES = 3
 STEPS = 600
 DECAY = 1e-3
 FEW = 3
+ALIKE = 0.8
 BEGINNINGS = (4, 5, 6, 7)
 WORD = re.compile(r"[^\W\d_]+")
 
@@ -45,16 +47,26 @@ def word_hashes(text: str | None) -> np.ndarray:
     return np.unique(np.fromiter(map(zlib.crc32, map(str.encode, words | begun)), np.uint32))
 
 
+def _alike(x: np.ndarray, y: np.ndarray) -> bool:
+    """Whether two sorted sets of hashes are near copies."""
+    if min(len(x), len(y)) < ALIKE * max(len(x), len(y)):
+        return False
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= ALIKE * (len(x) + len(y) - both)
+
+
 def _distinct_texts(rows: list[np.ndarray], toxic: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """One row of each group with the same two minimal hashes."""
-    seen, kept = set(), []
+    """The rows without near copies of rows before them."""
+    seen: dict[tuple, list[int]] = {}
+    kept = []
     for i, row in enumerate(rows):
         if len(row):
             mixed = (row * np.uint32(2654435761)) ^ (row >> np.uint32(15))
             key = (int(row[0]), int(mixed.min()), bool(toxic[i]))
-            if key in seen:
+            near = seen.setdefault(key, [])
+            if any(_alike(row, rows[j]) for j in near):
                 continue
-            seen.add(key)
+            near.append(i)
         kept.append(i)
     return [rows[i] for i in kept], toxic[kept]
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import random
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from folioworks.functions import ids
 from folioworks.llm.quality_rules import quality_verdicts
 import corpus_pipeline
 from folioworks.llm import source_mix
+from folioworks.llm.toxicity import _distinct_texts
 from folioworks.llm.decontaminate import Index, clean_documents, contaminated_regions
 from folioworks.operators import lines as L
 from folioworks.plans import catalog
@@ -127,3 +129,18 @@ def test_mix_has_no_bound_of_sources(spark, monkeypatch):
     monkeypatch.setattr(source_mix, "MOST_SOURCES", 10)
     assert sorted(map(tuple, source_mix.mix_sources(docs, shard=50).collect())) == due
     assert sorted(map(str, source_mix.draw_slots(planned, shard=50).collect())) == slots
+
+
+# 3. Toxicity
+
+
+def test_only_near_copies_are_left_out_of_the_fit():
+    rng = np.random.default_rng(3)
+    pool = np.unique(rng.integers(1, 2**32, 4000, dtype=np.uint32))
+    mixed = (pool * np.uint32(2654435761)) ^ (pool >> np.uint32(15))
+    # Every row has the hash that is least and the one that is least mixed.
+    shared = np.array([pool[0], pool[mixed.argmin()]])
+    rows = [np.unique(np.append(rng.choice(pool, 100, replace=False), shared)) for _ in range(30)]
+    copies = [np.delete(r, 50) for r in rows if r[50] not in shared]
+    kept, toxic = _distinct_texts(rows + copies, np.array([i % 2 == 0 for i in range(30)] + [bool(i % 2 == 0) for i, r in enumerate(rows) if r[50] not in shared]))
+    assert len(kept) == 30 and all((a == b).all() for a, b in zip(kept, rows, strict=True)) and toxic.sum() == 15
