@@ -1,34 +1,45 @@
 """Main text of web pages by consensus host paths.
 
-Each page is parsed into blocks of text below tag-class paths. A path names
-every element from the root by tag and classes, generalised: digits become
+Each page is read into blocks of text below tag-class paths. A path names every
+block element from the root by tag and classes, generalised: digits become
 ``#``, sibling positions do not count. Boilerplate (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments) takes no
-part, wherever it stands.
-
-1. Every page scores its containers: a block gives the length of its unlinked
-   text to the container it stands in and half of it to the one above.
-2. Each page votes for its best container's path; Spark sums votes and scores by
+part, wherever it stands; tags go before names inside an article.
+
+1. Every page scores its containers (body, article, main, section, div, center)
+   by the unlinked text anywhere below them, and walks down from the body: into
+   ``main`` if it holds half of the text, into an article that holds most of it,
+   into a division beside which there is next to nothing. It stops at an
+   article, at a container with headings or text of its own, and at one with
+   several parts. Lists, tables and quotes are never entered, they belong to what
+   they stand in. An article without a heading is left for the parent that has it.
+2. Each page votes for that container's path; Spark sums votes and scores by
    host and path, and the path with most votes (then score, then path) wins.
-3. Each page is extracted again below its host's winning path. A page without
-   such a container, or with no text there, falls back to its own best one.
+3. Each page is extracted again: all that stands below its host's winning path,
+   or below the page's own container if that holds the winning one and is not
+   the body. A page without the winning path, or with no text there, falls back
+   to its own container.
 
 Votes are combined before the shuffle, one row a host and path. Winners are
-broadcast only if their number is within a bound; otherwise pages and winners
-are joined by host, which adaptive execution can split.
+broadcast only if their number and their length are within bounds; otherwise
+pages and winners are joined by host, which adaptive execution can split.
 
 Text: character references are decoded, white space inside a block becomes one
 space, blocks are trimmed and joined in page order by two line feeds. Line
 breaks (``br``) are white space. Null html is an empty page; pages of a null or
-odd url share the host ``""``. Repeated page_ids are separate rows.
+odd url share the host ``""``. Repeated page_ids are separate rows, an empty
+table gives none, other columns are ignored. Pages of any length are read whole
+in one pass, in time that grows with their length whatever they hold: where
+quotes never end, or swallow the rest of the page, tags end at the next ``>``.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
-from collections import defaultdict
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -37,170 +48,361 @@ from pyspark.sql import functions as F
 from .common import cut, map_rows, per_row
 
 MOST_BROADCAST_HOSTS = 100_000
-LONGEST_PATH = 400
+MOST_BROADCAST_CHARS = 20_000_000
+#: Of a container's unlinked text: what ``main`` must hold, what an article must, what may stand beside a division.
+MAIN_SHARE, ARTICLE_SHARE, BESIDE_SHARE = 0.5, 0.8, 0.05
 
 # HTML elements by role.
-VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-BLOCK = set("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead title tr ul".split())
-CONTAINER = set("article blockquote body center details div dl figure main ol section table tbody td tr ul".split())
-SKIPPED = set("aside button canvas dialog datalist footer form head iframe input menu nav noscript object option select svg template textarea title video audio math".split())
-RAW = "script|style|noscript|template|textarea|title|iframe|svg|xmp"
-CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "menu", "menubar", "dialog", "alert", "alertdialog"}
-
-TOKEN = re.compile(
-    rf"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</?[a-zA-Z][^<>]*\Z|<({RAW})\b[^>]*>.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][\w:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|([^<]+|<)",
-    re.S | re.I,
-)
-ATTRIBUTE = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.S)
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+BLOCK = frozenset("address article aside blockquote caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup legend li main menu nav ol p pre search section summary table tbody td tfoot th thead tr ul".split())
+CONTAINER = frozenset("article center div main section".split())
+HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
+RAW = frozenset("iframe noembed noframes script style textarea title xmp".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
+SKIPPED = frozenset("aside button canvas datalist dialog footer menu nav noscript object option search select svg template video audio".split())
+TABLE_PARTS = {"caption": "caption td th tr tbody thead tfoot", "tbody": "caption td th tr tbody thead tfoot", "thead": "caption td th tr tbody thead tfoot", "tfoot": "caption td th tr tbody thead tfoot", "tr": "caption td th tr", "td": "caption td th", "th": "caption td th"}
+TABLE_PARTS = {tag: frozenset(closes.split()) for tag, closes in TABLE_PARTS.items()}
+SCOPES = frozenset("table td th caption".split())
+ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert alertdialog".split())
+
+# Words in the names of boilerplate. Own words, in two kinds: with those of the first a whole part of a page is
+# none of the article's; those of the second may be said of a frame around it, or of a part of the article.
+ALIEN = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion comment comments commentlist disqus reply replies respond related recommended recommendations share sharing newsletter subscribe subscription breadcrumb breadcrumbs pager pagination cookie cookies consent gdpr copyright paywall signup login".split())
+FRAME = frozenset("banner notice notices alert sidebar sidepanel aside menu nav navbar navigation social footer popup modal overlay announcement".split())
+LOOSE = frozenset("header foot masthead topbar toolbar widget skip search disclaimer discussion".split())
+WHOLE = frozenset("side left-side right-side side-bar side-panel side-column side-nav".split())
+#: A name that begins so tells what an element has beside it or is about, not what it is.
+BESIDE = ("has-", "with-", "no-", "without-", "not-", "category-", "tag-", "type-", "format-", "status-")
+WRAPPER = frozenset("wrap wrapper page container layout site outer inner row col column grid root app document shell frame center body".split())
+
+NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
+REST = re.compile(r"((?:[^>\"'=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+')|[=\"'])*+)>")
+ATTRIBUTE = re.compile(r"([^\s=/>\"'][^\s=/>]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|([^\s>]++)))?+")
+CLOSING = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.I) for tag in RAW}
 DIGITS = re.compile(r"\d+")
-#: A name that begins so tells what an element has beside it, not what it is.
-BESIDE = ("has-", "with-", "no-", "without-", "not-")
-NOISE = re.compile(
-    r"(?:^|[-_])(?:ad|ads|adv|advert|adverts|advertisement|advertising|adsense|sponsor|sponsored|promo|promotion|banner|cookie|cookies|consent|gdpr|notice|notices|alert|sidebar|side|aside|widget|menu|nav|navbar|navigation|breadcrumb|breadcrumbs|pager|pagination|comment|comments|commentlist|disqus|reply|replies|respond|share|sharing|social|related|recommended|footer|foot|masthead|header|topbar|toolbar|subscribe|subscription|newsletter|signup|login|popup|modal|overlay|skip|search|copyright|disclaimer|announcement|paywall|discussion)(?:$|[-_])",
-    re.I,
-)
+CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
 def _attributes(source: str) -> dict[str, str]:
-    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(source)} if source.strip(" /") else {}
+    return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(source)} if source.strip(" /\n") else {}
+
 
+def _named(name: str) -> int:
+    """How much a class or id says of boilerplate: 3 for alien, 2 for a frame, 1 for loose words, 0 for none."""
+    name = CAMEL.sub("-", name).lower().replace("_", "-")
+    if name.startswith(BESIDE):
+        return 0
+    words = set(name.split("-"))
+    return 3 if words & ALIEN else 2 if words & FRAME or name in WHOLE else 1 if words & LOOSE else 0
 
-def _noise(tag: str, attributes: dict[str, str], inside_article: bool) -> bool:
-    """Whether an element and all inside it is boilerplate."""
-    if tag in SKIPPED or tag == "header" and not inside_article:
-        return True
-    if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+
+@lru_cache(1 << 16)
+def _look(tag: str, source: str) -> tuple[int, int, str, bool]:
+    """What a tag's attributes say: boilerplate for certain (2), by name (as ``_named``), its step, whether it wraps."""
+    attributes = _attributes(source)
+    classes = attributes.get("class", "")
+    step = ".".join([tag, *sorted(DIGITS.sub("#", classes).split())])
+    names = f"{classes} {attributes.get('id', '')}".split()
     style = attributes.get("style", "").replace(" ", "").lower()
-    if "hidden" in attributes or attributes.get("aria-hidden") == "true" or "display:none" in style or "visibility:hidden" in style:
-        return True
-    if attributes.get("role", "").lower() in ROLES:
-        return True
-    names = f"{attributes.get('class', '')} {attributes.get('id', '')}".split()
-    return any(NOISE.search(name) for name in names if not name.lower().startswith(BESIDE))
+    role = attributes.get("role", "").lower()
+    gone = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style
+    named = max(map(_named, names), default=0)
+    wraps = not names or any(WRAPPER & set(CAMEL.sub("-", n).lower().replace("_", "-").split("-")) for n in names)
+    return (2 if gone else 1 if role in ROLES else 0), named, "main" + step[len(tag) :] if role == "main" and tag in CONTAINER else step, wraps
 
 
-def _step(tag: str, attributes: dict[str, str]) -> str:
-    classes = sorted(DIGITS.sub("#", attributes.get("class", "")).split())
-    return ".".join([tag, *classes])
+class _Open:
+    """An open block element."""
 
+    __slots__ = ("tag", "parent", "step", "noise", "link", "article", "number", "up", "part", "matched", "inline", "count", "open_here")
 
-class _Page:
-    """The text blocks of one page, each with the containers it stands in."""
+    def __init__(self, tag: str, parent: _Open | None, step: str, noise: int, link: bool, article: bool, number: int):
+        self.tag, self.parent, self.step, self.noise, self.link, self.article, self.number = tag, parent, step, noise, link, article, number
+        self.inline: list[tuple[str, int, bool]] = []
+        self.count: Counter = Counter()
+        self.matched = 0
 
-    def __init__(self, source: str):
-        self.blocks: list[tuple[tuple[int, ...], str, int]] = []
-        self.paths: list[str] = []
-        self._read(source)
 
-    def _read(self, source: str) -> None:
-        #: Open elements: tag, noise, number of the container or -1, path.
-        stack: list[tuple[str, bool, int, str]] = []
+class _Page:
+    """The text blocks of one page and its containers.
+
+    ``path`` is a winning path; ``chosen`` are then the containers at it.
+    """
+
+    def __init__(self, source: str, path: str | None = None):
+        #: Container, text, length of the unlinked text, whether it is a heading.
+        self.blocks: list[tuple[int, str, int, bool]] = []
+        root = _Open("body", None, "html>body", 0, False, False, 0)
+        root.up = root.part = 0
+        root.open_here = Counter()
+        self.frames = [root]
+        self.parents = [-1]
+        self.wraps = [True]
+        self.steps = path.split(">")[2:] if path else None
+        self.chosen = [0] if self.steps == [] else []
+        self._read(source, root)
+
+    def _read(self, source: str, root: _Open) -> None:
+        stack, everywhere = [root], Counter()
         pieces: list[str] = []
         linked = 0
-        links = 0
+        in_head, quotes = False, True
+        at, end = 0, len(source)
 
         def flush() -> None:
             nonlocal linked
             if pieces:
                 text = " ".join(entities.unescape("".join(pieces)).split())
                 if text:
-                    self.blocks.append((tuple(x[2] for x in stack if x[2] >= 0), text, max(0, len(text) - linked)))
+                    self.blocks.append((stack[-1].number, text, max(0, len(text) - linked), stack[-1].tag in HEADING))
                 pieces.clear()
             linked = 0
 
         def close(to: int) -> None:
-            nonlocal links
-            if any(x[0] in BLOCK for x in stack[to:]):
-                flush()
-            links -= sum(x[0] == "a" for x in stack[to:])
+            flush()
+            for frame in stack[to:]:
+                everywhere[frame.tag] -= 1
+                frame.parent.open_here[frame.tag] -= 1
             del stack[to:]
 
-        for m in TOKEN.finditer(source):
-            text = m[5]
-            if text is not None:
-                if stack and stack[-1][1]:
-                    continue
-                pieces.append(text)
-                if links:
-                    linked += len(text.strip())
+        def noise_here() -> int:
+            top = stack[-1]
+            return top.inline[-1][1] if top.inline else top.noise
+
+        def say(text: str) -> None:
+            nonlocal linked, in_head
+            if in_head:
+                if text.isspace():
+                    return
+                in_head = False
+            if noise_here():
+                return
+            pieces.append(text)
+            top = stack[-1]
+            if top.inline[-1][2] if top.inline else top.link:
+                linked += len(text.strip())
+
+        while at < end:
+            start = source.find("<", at)
+            if start < 0:
+                start = end
+            if start > at:
+                say(source[at:start])
+            at = start + 1
+            if at >= end:
+                if start < end:
+                    say("<")
+                break
+            letter = source[at]
+            if letter in "!?":
+                stop = source.find("-->", start + 2) if source.startswith("!--", at) else source.find(">", at)
+                at = end if stop < 0 else stop + (3 if source.startswith("!--", at) else 1)
                 continue
-            tag = m[3]
-            if tag is None:
+            closing = letter == "/"
+            found = NAME.match(source, at + closing)
+            if not found:
+                if closing and at + 1 < end:
+                    stop = source.find(">", at)
+                    at = end if stop < 0 else stop + 1
+                else:
+                    say("<")
                 continue
-            tag = tag.lower()
-            if m[2]:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == tag:
-                        close(i)
-                        break
-                    if stack[i][0] in CONTAINER and tag not in BLOCK:
-                        break
+            tag, at = found[0].lower(), found.end()
+            rest = REST.match(source, at) if quotes else None
+            if rest:
+                attributes, at = rest[1], rest.end()
+            else:
+                quotes = False
+                stop = source.find(">", at)
+                if stop < 0:
+                    break
+                attributes, at = source[at:stop], stop + 1
+            if closing:
+                self._end(tag, stack, everywhere, close, pieces)
+                in_head = in_head and tag != "head"
                 continue
-            if tag in VOID:
-                if not (stack and stack[-1][1]):
-                    if tag == "hr":
-                        flush()
-                    elif tag == "br":
-                        pieces.append(" ")
+            if in_head and tag not in IN_HEAD:
+                in_head = False
+            if tag in RAW:
+                shut = CLOSING[tag].search(source, at)
+                stop = source.find(">", shut.end()) if shut else -1
+                at = end if stop < 0 else stop + 1
+                continue
+            if tag in ("html", "body"):
                 continue
-            if tag in BLOCK:
-                closed = CLOSED_BY.get(tag, ())
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i][0] == "p" or stack[i][0] in closed:
-                        close(i)
-                    elif stack[i][0] in CONTAINER:
-                        break
-                flush()
-            attributes = _attributes(m[4])
-            path = f"{stack[-1][3]}>{_step(tag, attributes)}" if stack and stack[-1][3] else _step(tag, attributes)
-            noise = bool(stack and stack[-1][1]) or _noise(tag, attributes, any(x[0] in ("article", "main") for x in stack))
-            number = -1
-            if tag in CONTAINER and not noise:
-                number = len(self.paths)
-                self.paths.append(path[-LONGEST_PATH:])
-            if m[4].rstrip().endswith("/") and tag not in BLOCK:
+            if tag == "head":
+                in_head = len(stack) == 1 and not pieces and not self.blocks
                 continue
-            links += tag == "a"
-            stack.append((tag, noise, number, path))
+            if tag in VOID:
+                if tag == "hr":
+                    flush()
+                elif tag == "br" and not noise_here():
+                    pieces.append(" ")
+                continue
+            self._begin(tag, attributes, stack, everywhere, close, flush, noise_here)
         flush()
 
-    def scores(self) -> dict[int, float]:
-        found: dict[int, float] = defaultdict(float)
-        for containers, _, size in self.blocks:
-            if containers:
-                found[containers[-1]] += size
-                if len(containers) > 1:
-                    found[containers[-2]] += size / 2
+    def _end(self, tag, stack, everywhere, close, pieces) -> None:
+        if tag not in BLOCK:
+            if tag == "br":
+                pieces.append(" ")
+                return
+            top = stack[-1]
+            if top.count[tag]:
+                while True:
+                    name = top.inline.pop()[0]
+                    top.count[name] -= 1
+                    if name == tag:
+                        return
+            return
+        counts = everywhere if tag in TABLE_PARTS or tag == "table" else stack[-1].open_here
+        if counts[tag] > 0:
+            i = len(stack) - 1
+            while stack[i].tag != tag:
+                i -= 1
+            close(i)
+
+    def _begin(self, tag, source, stack, everywhere, close, flush, noise_here) -> None:
+        sure, named, step, wraps = _look(tag, source)
+        top = stack[-1]
+        if tag not in BLOCK:
+            if source.endswith("/"):
+                return
+            noise = max(noise_here(), 2 if sure or tag in SKIPPED or named >= (2 if top.article else 1) else 0)
+            link = tag == "a" or (top.inline[-1][2] if top.inline else top.link)
+            top.inline.append((tag, noise, link))
+            top.count[tag] += 1
+            return
+        if tag in TABLE_PARTS:
+            while stack[stack[-1].part].tag in TABLE_PARTS[tag]:
+                close(stack[-1].part)
+        else:
+            if stack[-1].tag == "p" or stack[-1].tag in HEADING and tag in HEADING:
+                close(len(stack) - 1)
+            if tag in ("li", "dt", "dd") and stack[stack[-1].up].tag in (("li",) if tag == "li" else ("dt", "dd")):
+                close(stack[-1].up)
+        flush()
+        top = stack[-1]
+        kind = step.split(".", 1)[0]
+        article = top.article or kind in ("article", "main")
+        if kind in ("article", "main"):
+            # A frame with a misleading name, or a form around the page, does not hide an article.
+            noise = 2 if noise_here() >= 2 or sure == 2 else 0
+        else:
+            own = 2 if sure == 2 or tag in SKIPPED else 1 if sure or tag == "form" or tag == "header" and not top.article else 0
+            if not own and not (top.article and (tag == "header" or tag in HEADING or tag == "hgroup")):
+                own = 2 if named == 3 else 1 if named >= (2 if top.article else 1) else 0
+            noise = max(noise_here(), own)
+        link = top.inline[-1][2] if top.inline else top.link
+        frame = _Open(tag, top, step, noise, link, article, top.number)
+        if tag in CONTAINER and not noise:
+            frame.number = len(self.frames)
+            self.frames.append(frame)
+            self.parents.append(top.number)
+            self.wraps.append(wraps)
+        place = len(stack)
+        frame.up = top.up if tag in ("div", "address", "p") else place
+        frame.part = place if tag in TABLE_PARTS or tag == "table" else top.part
+        frame.open_here = Counter() if tag in SCOPES else top.open_here
+        # The scope's owner counts the elements in it; a new scope starts below its own element.
+        top.open_here[tag] += 1
+        everywhere[tag] += 1
+        stack.append(frame)
+        if self.steps is not None and top.matched == place - 1 < len(self.steps) and self.steps[place - 1] == step:
+            frame.matched = place
+            if place == len(self.steps) and frame.number != top.number:
+                self.chosen.append(frame.number)
+
+    def scores(self) -> list[int]:
+        """Of each container, the unlinked text anywhere below it."""
+        found = [0] * len(self.frames)
+        for number, _, size, _ in self.blocks:
+            found[number] += size
+        for number in range(len(found) - 1, 0, -1):
+            found[self.parents[number]] += found[number]
         return found
 
-    def best(self) -> int | None:
-        """The container of the highest score; the first of equal ones."""
-        scores = self.scores()
-        return max(scores, key=lambda k: (scores[k], -k)) if scores else None
-
-    def text(self, chosen: set[int] | None) -> str:
-        """Blocks in the chosen containers, or all if there are none to choose."""
-        return "\n\n".join(text for containers, text, _ in self.blocks if chosen is None or not chosen.isdisjoint(containers))
+    def _below(self, chosen: list[int]) -> list[bool]:
+        inside = [False] * len(self.frames)
+        for number in chosen:
+            inside[number] = True
+        for number in range(1, len(inside)):
+            inside[number] = inside[number] or inside[self.parents[number]]
+        return inside
+
+    def _kind(self, number: int) -> str:
+        return self.frames[number].step.split(".", 1)[0] if number else "body"
+
+    def best(self, scores: list[int] | None = None) -> int:
+        """The container that a page's text stands in."""
+        scores = scores or self.scores()
+        children: dict[int, list[int]] = {}
+        for number in range(1, len(self.frames)):
+            children.setdefault(self.parents[number], []).append(number)
+        headings, direct = Counter(), Counter()
+        for number, _, size, heading in self.blocks:
+            direct[number] += size
+            headings[number] += heading and size > 0
+        for number in range(len(self.frames) - 1, 0, -1):
+            headings[self.parents[number]] += headings[number]
+        here = 0
+        mains = [n for n in range(1, len(self.frames)) if self._kind(n) == "main"]
+        if len(mains) == 1 and scores[mains[0]] >= MAIN_SHARE * scores[0] > 0:
+            here = mains[0]
+        inside = self._below([here])
+        in_article = [False] * len(self.frames)
+        articles = []
+        for number in range(1, len(self.frames)):
+            parent = self.parents[number]
+            in_article[number] = self._kind(number) == "article" or in_article[parent]
+            if in_article[number] and not in_article[parent] and inside[number]:
+                articles.append(number)
+        first = max(articles, key=lambda n: (scores[n], -n), default=None)
+        share = ARTICLE_SHARE * sum(scores[n] for n in articles)
+        if first is not None and scores[first] >= max(share, MAIN_SHARE * scores[here], 1):
+            parent = self.parents[first]
+            return parent if not headings[first] and headings[parent] and (parent or not here) else first
+        while self._kind(here) in ("body", "div", "section", "center") and self.wraps[here] and here in children and scores[here]:
+            child = max(children[here], key=lambda n: (scores[n], -n))
+            beside = scores[here] - scores[child]
+            if direct[here] or headings[here] > headings[child] or beside > BESIDE_SHARE * scores[here]:
+                break
+            here = child
+        return here
+
+    def path(self, number: int) -> str:
+        steps, frame = [], self.frames[number]
+        while frame is not None:
+            steps.append(frame.step)
+            frame = frame.parent
+        return ">".join(reversed(steps))
+
+    def text(self, chosen: list[int]) -> str:
+        """The blocks below the chosen containers."""
+        inside = self._below(chosen)
+        return "\n\n".join(text for number, text, _, _ in self.blocks if inside[number])
 
 
 def vote(source: str | None) -> tuple[str | None, float]:
-    """The path of the page's best container and its score."""
+    """The path of the page's container and its score; none for a page without text."""
     page = _Page(source or "")
-    best = page.best()
-    return (None, 0.0) if best is None else (page.paths[best], page.scores()[best])
+    if not page.blocks:
+        return None, 0.0
+    scores = page.scores()
+    best = page.best(scores)
+    return page.path(best), float(scores[best])
 
 
 def extract(source: str | None, path: str | None) -> str:
-    """The text below ``path``, or below the page's own best container."""
-    page = _Page(source or "")
-    chosen = {i for i, p in enumerate(page.paths) if p == path} if path else set()
-    text = page.text(chosen) if chosen else ""
-    if text:
-        return text
+    """The text below ``path``, or below the page's own container."""
+    page = _Page(source or "", path)
     best = page.best()
-    return page.text(None if best is None else {best})
+    wider = best and best not in page.chosen
+    if page.chosen and not (wider and page._below([best])[page.chosen[0]]):
+        text = page.text(page.chosen)
+        if text:
+            return text
+    return page.text([best])
 
 
 def host_of(url: str = "url"):
@@ -242,8 +444,9 @@ def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html"
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", most_hosts: int = MOST_BROADCAST_HOSTS) -> DataFrame:
     """One row a page: ``page_id, url, text, n_chars, path`` (the winning path of its host)."""
     winners = cut(winning_paths(pages, url_col, html_col))
+    hosts, chars = winners.agg(F.count("*"), F.coalesce(F.sum(F.char_length("host") + F.char_length("path")), F.lit(0))).first()
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host_of(url_col).alias("host"))
-    few = winners.count() <= most_hosts
+    few = hosts <= most_hosts and chars <= MOST_BROADCAST_CHARS
     joined = rows.join(F.broadcast(winners) if few else winners, "host", "left").select("page_id", "url", "html", "path")
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string()), ("n_chars", pa.int64()), ("path", pa.string())])
 
