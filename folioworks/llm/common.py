@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +22,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_checkpoints(spark: SparkSession) -> None:
-    """Make ``checkpoint()`` write to the cluster's shared folder.
+    """Make the context write to the cluster's shared folder.
 
     The folder comes from ``spark.checkpoint.dir``; only a local session that
     names none gets a folder of its own.
@@ -36,10 +38,52 @@ def shared_checkpoints(spark: SparkSession) -> None:
     context.setCheckpointDir(folder)
 
 
-def cut(frame: DataFrame) -> DataFrame:
-    """The rows of ``frame``, written once to the shared checkpoint folder."""
-    shared_checkpoints(frame.sparkSession)
-    return frame.checkpoint()
+class _Areas(threading.local):
+    """Folders written inside the scratch areas that a thread has open, innermost last."""
+
+    def __init__(self):
+        self.open: list[list[str]] = []
+
+
+_AREAS = _Areas()
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder of whatever file system it is in."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """An area whose tables are deleted at its end.
+
+    What it yields stores a frame for after the area, in the area around it;
+    outside of all areas a table stays until the checkpoint folder is cleared,
+    as the frames that read it may be used at any time.
+    """
+    _AREAS.open.append([])
+    outer = len(_AREAS.open) - 2
+    try:
+        yield lambda frame: _written(frame, outer)
+    finally:
+        for path in _AREAS.open.pop():
+            delete(spark, path)
+
+
+def _written(frame: DataFrame, area: int) -> DataFrame:
+    spark = frame.sparkSession
+    shared_checkpoints(spark)
+    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
+    if area >= 0:
+        _AREAS.open[area].append(path)
+    frame.write.parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def stored(frame: DataFrame) -> DataFrame:
+    """The rows of ``frame``, written once as a table in the shared checkpoint folder; this cuts its lineage."""
+    return _written(frame, len(_AREAS.open) - 1)
 
 
 def small_batches(frame: DataFrame) -> DataFrame:
@@ -61,18 +105,6 @@ def map_rows(frame: DataFrame, body: Callable, schema) -> DataFrame:
     return small_batches(frame).mapInArrow(body, schema)
 
 
-def stored(frame: DataFrame) -> DataFrame:
-    """The rows of ``frame``, written once as a table in the shared checkpoint folder.
-
-    Like ``cut``, but columnar and compressed; for rows that carry bytes or hashes.
-    """
-    spark = frame.sparkSession
-    shared_checkpoints(spark)
-    path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
-    frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
-
-
 def fold_id(column: str):
     """CRC-32 of an id as text, the basis of every train and test split here."""
     return F.crc32(F.col(column).cast("string"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import stored
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -38,11 +38,11 @@ def connected_components(edges: DataFrame, left: str, right: str, most_rounds: i
     follow can be split by adaptive execution.
     """
     a, b = F.col(left), F.col(right)
-    now = cut(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
+    now = stored(edges.where(a != b).select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).distinct())
     mark = _mark(now)
     if mark[0]:
         for _ in range(most_rounds):
-            now = cut(_small_star(_large_star(now)))
+            now = stored(_small_star(_large_star(now)))
             last, mark = mark, _mark(now)
             if mark == last:
                 break

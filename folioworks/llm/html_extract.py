@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_rows, per_row
+from .common import map_rows, per_row, stored
 
 MOST_BROADCAST_HOSTS = 100_000
 MOST_BROADCAST_CHARS = 20_000_000
@@ -443,7 +443,7 @@ def winning_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html"
 
 def extract_main_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", most_hosts: int = MOST_BROADCAST_HOSTS) -> DataFrame:
     """One row a page: ``page_id, url, text, n_chars, path`` (the winning path of its host)."""
-    winners = cut(winning_paths(pages, url_col, html_col))
+    winners = stored(winning_paths(pages, url_col, html_col))
     hosts, chars = winners.agg(F.count("*"), F.coalesce(F.sum(F.char_length("host") + F.char_length("path")), F.lit(0))).first()
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"), host_of(url_col).alias("host"))
     few = hosts <= most_hosts and chars <= MOST_BROADCAST_CHARS

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, map_rows, per_row
+from .common import map_rows, per_row, stored
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -140,7 +140,7 @@ def references(documents: DataFrame, rules: Rules = Rules(), text_col: str = "te
     rows = documents.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     counted = map_rows(rows, _count_languages, "lang string, key string, is_class boolean, n long")
     counted = counted.groupBy("lang", "key", "is_class").agg(F.sum("n").alias("n"))
-    counted = cut(counted.where("n > 0"))
+    counted = stored(counted.where("n > 0"))
     pooled = counted.groupBy(F.lit(POOLED).alias("lang"), "key", "is_class").agg(F.sum("n").alias("n"))
     sizes = counted.where("is_class and lang <> ''").groupBy("lang").agg(F.sum("n").alias("size"))
     own = counted.join(F.broadcast(sizes.orderBy(F.desc("size"), "lang").limit(rules.most_languages)), "lang").drop("size")

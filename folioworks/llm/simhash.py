@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_rows, per_row
+from .common import map_rows, per_row, stored
 from .components import connected_components
 
 SHINGLE = 3
@@ -95,7 +95,7 @@ def links(distinct: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
     connects the same fingerprints.
     """
     keys = F.array(*(_posting_key(i, j, n) for n, (i, j) in enumerate(PAIR_KEYS)))
-    posted = cut(distinct.select("fp", F.explode(keys).alias("key")))
+    posted = stored(distinct.select("fp", F.explode(keys).alias("key")))
     sizes = posted.groupBy("key").count().where("count > 1")
     lists = posted.join(sizes, "key")
     short = lists.where(F.col("count") <= long_list).groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("fps"))
@@ -132,7 +132,7 @@ def one_of_each_class(documents: DataFrame, id_col: str = "doc_id", text_col: st
     classes = _rooted(fingerprints(documents, id_col, text_col, hashes), long_list)
     order = ("doc_id", "fp", "text_hash", "row_hash")
     firsts = classes.where("doc_id is not null").groupBy("root").agg(F.min(F.struct(*order)).alias("first"))
-    firsts = cut(firsts.select(F.col("first.doc_id").alias("_first_id"), F.col("first.row_hash").alias("_first_hash")))
+    firsts = stored(firsts.select(F.col("first.doc_id").alias("_first_id"), F.col("first.row_hash").alias("_first_hash")))
     here = documents.withColumn("_row_hash", hashes["row_hash"])
     rows = here.join(firsts, (F.col(id_col).cast("long") == F.col("_first_id")) & (F.col("_row_hash") == F.col("_first_hash")), "left_semi")
     if not classes.where("doc_id is not null").groupBy("doc_id", "row_hash").count().where("count > 1").isEmpty():
@@ -142,9 +142,9 @@ def one_of_each_class(documents: DataFrame, id_col: str = "doc_id", text_col: st
 
 def _rooted(prints: DataFrame, long_list: int) -> DataFrame:
     """Fingerprints with ``root`` and ``component_id`` of their classes."""
-    prints = cut(prints)
+    prints = stored(prints)
     least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     roots = connected_components(links(least.select("fp"), long_list), "x", "y").withColumnRenamed("node", "fp")
-    rooted = cut(least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
+    rooted = stored(least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     classes = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
     return prints.join(classes.select("fp", "root", "component_id"), "fp")

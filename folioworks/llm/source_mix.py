@@ -35,7 +35,7 @@ from itertools import accumulate
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import stored
 
 WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 64
@@ -201,8 +201,8 @@ def mix_sources(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     ``draw_slots`` holds the mix itself: which block each slot of each shard takes.
     """
-    sized = cut(sizes(documents, id_col, text_col, source_col).withColumn("row", F.monotonically_increasing_id()))
-    planned = cut(plan_streams(sized, block))
+    sized = stored(sizes(documents, id_col, text_col, source_col).withColumn("row", F.monotonically_increasing_id()))
+    planned = stored(plan_streams(sized, block))
     slots = draw_slots(planned, block, shard)
     uses = slots.groupBy("source", "block").agg(F.count_if(F.col("words") >= block).alias("whole"), F.collect_list(F.when(F.col("words") < block, F.col("words"))).alias("cuts"))
     parts = pack_blocks(sized, block)

@@ -1,31 +1,44 @@
 """Exact repeats of long byte strings by bucket-pointer refinement.
 
 A byte is repeated if some string of ``LENGTH`` bytes covers it that also
-starts anywhere else, in the same text or another. Such strings are found
-without ordering every suffix:
-
-* Every window of LENGTH bytes belongs to one of its q-grams, its minimiser
-  (the first of least hash). Equal windows have equal minimisers at equal
-  offsets, so only the suffixes that start at minimisers, some one in sixty,
-  need be put in buckets.
-* Initial buckets are the q-grams at the minimisers. Buckets of one suffix are
-  done: none of its windows repeats.
-* A bucket is refined by the identifier of what lies at later (and earlier)
-  offsets: first of all windows of the suffix together (its span), then of runs
-  of ``RUN`` windows, then of single windows. Suffixes that share an
-  identifier have all the windows under it in common and are settled; one of
-  them stays in the bucket as its pointer, so that the others are compared to
-  it. Suffixes whose common part (the core of a run) nobody shares are done.
-  Each level takes over what the one before left open.
-
-All identifiers are 64-bit hashes. Counts are combined before each shuffle, so
-a hot bucket costs each task one row, and no group is gathered in one task but
-the repeats of one text. Broadcasts are bitmaps of fixed size, which only spare
-rows: the joins behind them are exact.
+starts anywhere else, in the same text or another. The suffixes that start so
+are put in buckets by their first q bytes, and buckets are refined by the
+identifiers of the buckets that later offsets are in, over and over:
+
+* Identifiers. The bucket of a suffix by its first 8 bytes is those bytes. The
+  bucket by 2h bytes is the pair of the bucket by h bytes at its offset and the
+  bucket by h bytes at the offset h further on, from 8 to 16, 32, 64 and 128
+  bytes; the bucket by LENGTH bytes is the pair of those by 128 bytes at its
+  offset and 72 bytes on. Every step uses again what the step before gave to
+  later offsets, for all suffixes of a text at once.
+* Initial buckets are those by Q = 64 bytes. Every window of LENGTH bytes
+  belongs to one of its q-grams, its minimiser (the first of least hash). Equal
+  windows have equal minimisers at equal offsets, so only the suffixes at
+  minimisers, some one in sixty, are counted: a bucket of one is done, none of
+  the windows that belong to it repeats.
+* Refinement. The windows of a suffix in an open bucket are sorted by what lies
+  at their offsets: first all of them together, then in runs of 32, of 8 and
+  single ones. A run's bucket is the bucket above it with the identifier of what
+  all of its windows share; its own identifier is the pair of the buckets of its
+  first and last window, which together cover it. Runs with equal identifiers in
+  one bucket are settled, all their windows repeat; one of them stays as the
+  bucket's pointer, so that others are compared to it. A run in a bucket of one
+  is done. The rest is open, and refined by the next, shorter runs.
+
+Identifiers are 64-bit mixes of pairs. Runs are settled only if bucket,
+identifier and a digest of the run's bytes by another hash all agree, 192 bits
+in all: no bytes of different texts are taken for equal short of a collision in
+all three. Counts are combined before each shuffle, so a hot bucket costs each
+task one row. Groups beyond ``HOT`` of all rows, no more than 1 / HOT by their
+number, are settled by a broadcast of that bound instead of the shuffle. Other
+broadcasts are bitmaps of fixed size, which only spare rows: what lies behind
+them is exact.
 
 Null texts are empty. Texts shorter than LENGTH have no repeats. Rows with the
 same id and text share their spans, and each is a repeat of the other. Matches
-never cross texts. Very long texts are read in parts that overlap.
+never cross texts. Very long texts are read in parts that overlap. An empty
+table gives an empty result; other columns are kept or ignored, whatever they
+are called.
 """
 
 from __future__ import annotations
@@ -41,32 +54,50 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import among, bitmap, repeated
-from .common import map_rows, per_row, small_batches, stored
+from .common import map_rows, per_row, scratch, small_batches, stored
 
 LENGTH = 200
 Q = 64
 WINDOWS = LENGTH - Q + 1
-RUN = 16
-PART = 1 << 23
+#: Lengths of the runs that open buckets are refined by, after all windows of a suffix together.
+RUNS = (32, 8, 1)
+PART = 1 << 20
+#: Bytes of texts that are worked on at once.
+CHUNK = 1 << 19
+#: A group is hot from this share of all rows on.
+HOT = 1 / 4096
 _PLACE = np.uint64(0xFFFFFF)
 _C = [np.uint64(c) for c in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
 
-def gram_hashes(data: np.ndarray) -> np.ndarray:
-    """Hashes of the q-grams of a byte array, at every position."""
-    words = data.astype(np.uint64)
-    words = (words[:-1] << np.uint64(8)) | words[1:]
-    words = (words[:-2] << np.uint64(16)) | words[2:]
-    words = (words[:-4] << np.uint64(32)) | words[4:]
-    n = len(data) - Q + 1
-    code = words[:n] * _C[0]
-    for at in range(8, Q, 8):
-        code ^= code >> np.uint64(29)
-        code *= _C[1]
-        code += words[at : at + n]
+def pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Identifiers of pairs of identifiers."""
+    code = left * _C[0]
     code ^= code >> np.uint64(32)
+    code += right
+    code *= _C[1]
+    code ^= code >> np.uint64(29)
     code *= _C[2]
-    return code ^ (code >> np.uint64(29))
+    return code ^ (code >> np.uint64(32))
+
+
+def gram_buckets(data: np.ndarray) -> np.ndarray:
+    """Buckets of all suffixes of a byte array by their first Q bytes, from those by half as many."""
+    code = data.astype(np.uint64)
+    for width in (1, 2, 4):
+        code = (code[:-width] << np.uint64(8 * width)) | code[width:]
+    width = 8
+    while width < Q:
+        code = pair(code[:-width], code[width:])
+        width *= 2
+    return code
+
+
+def _wider(code: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Buckets by ``width`` bytes, 2 Q to 4 Q of them, of the suffixes ``at``, from the buckets by Q at later offsets."""
+    low = pair(code[at], code[at + Q])
+    later = at + (width - 2 * Q)
+    return pair(low, pair(code[later], code[later + Q]))
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -80,17 +111,53 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
-def suffixes(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Bucket, position, first window and number of windows of each minimiser, part by part."""
-    for base in range(0, max(1, len(data) - LENGTH + 1), PART):
-        part = np.frombuffer(data, np.uint8)[base : base + PART + LENGTH - 1]
-        if len(part) < LENGTH:
-            return
-        code = gram_hashes(part)
-        least = _sliding_min((code & ~_PLACE) | np.arange(len(code), dtype=np.uint64), WINDOWS) & _PLACE
-        first = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
-        at = least[first].astype(np.int64)
-        yield code[at], at + base, first + base, np.diff(np.append(first, len(least)))
+def _parts(texts: Iterator[tuple[int, bytes]]) -> Iterator[list[tuple[int, int, bytes]]]:
+    """Key, base and bytes of texts or overlapping parts of texts, some CHUNK bytes at a time."""
+    held, size = [], 0
+    for key, data in texts:
+        for base in range(0, len(data) - LENGTH + 1, PART):
+            part = data[base : base + PART + LENGTH - 1]
+            held.append((key, base, part))
+            size += len(part)
+            if size > CHUNK:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+class Suffixes:
+    """The suffixes at the minimisers of some parts of texts, by arrays.
+
+    ``owner`` is the number of the part; ``place``, ``first`` and ``last`` are
+    the suffix and its first and last window in the bytes of all parts together;
+    ``bucket`` is the suffix's bucket by Q bytes.
+    """
+
+    def __init__(self, parts: list[tuple[int, int, bytes]]):
+        self.data = b"".join(p for _, _, p in parts)
+        lengths = np.array([len(p) for _, _, p in parts])
+        self.start = np.concatenate(([0], np.cumsum(lengths)))[:-1]
+        self.code = gram_buckets(np.frombuffer(self.data, np.uint8))
+        n = len(self.data) - LENGTH + 1
+        least = _sliding_min((self.code & ~_PLACE) | np.arange(len(self.code), dtype=np.uint64), WINDOWS) & _PLACE
+        # Windows that cross from one part to the next belong to no text.
+        whole = np.ones(n, bool)
+        for end in self.start[1:].tolist():
+            whole[max(0, end - LENGTH + 1) : end] = False
+        begins = whole.copy()
+        begins[1:] &= (least[1:] != least[:-1]) | ~whole[:-1]
+        ends = whole.copy()
+        ends[:-1] &= (least[1:] != least[:-1]) | ~whole[1:]
+        self.first, self.last = np.flatnonzero(begins), np.flatnonzero(ends)
+        self.place = least[self.first].astype(np.int64)
+        self.bucket = self.code[self.place]
+        self.owner = np.searchsorted(self.start, self.first, "right") - 1
+
+    def identifiers(self, few: np.ndarray) -> np.ndarray:
+        """What all windows of a suffix are told by: the buckets of the first and the last, and where the suffix lies."""
+        ends = pair(_wider(self.code, self.first[few], LENGTH), _wider(self.code, self.last[few], LENGTH))
+        return pair(ends, (self.place - self.first)[few].astype(np.uint64))
 
 
 def _long(values) -> pa.Array:
@@ -105,17 +172,8 @@ def _each_text(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, bytes]]
 
 
 def _buckets_only(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[np.ndarray] = []
-    size = 0
-    for _, data in _each_text(batches):
-        for code, _, _, _ in suffixes(data):
-            held.append(code)
-            size += len(code)
-        if size > 100_000:
-            yield pa.RecordBatch.from_arrays([_long(np.concatenate(held))], ["key"])
-            held, size = [], 0
-    if held:
-        yield pa.RecordBatch.from_arrays([_long(np.concatenate(held))], ["key"])
+    for parts in _parts(_each_text(batches)):
+        yield pa.RecordBatch.from_arrays([_long(Suffixes(parts).bucket)], ["key"])
 
 
 def _signed(values) -> pa.Array:
@@ -123,48 +181,60 @@ def _signed(values) -> pa.Array:
     return pa.array(np.array([v & 0xFFFFFFFFFFFFFFFF for v in values], np.uint64).view(np.int64))
 
 
-def _rows_of(found: list[tuple], names: list[str]) -> pa.RecordBatch:
-    columns = list(zip(*found, strict=True)) if found else [[] for _ in names]
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.binary()) if n == "data" else _signed(c) for n, c in zip(names, columns, strict=True)], names)
+def _digests(data: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    digest = xxhash.xxh3_64_intdigest
+    return np.fromiter((digest(data[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), np.uint64, len(starts))
 
 
 def _spans_in(held) -> Callable:
-    """Suffixes of buckets that may have others, with the identifiers of their spans.
+    """Suffixes in buckets that may have others, with the identifiers and digests of all their windows together.
 
     ``at`` packs the first window, the number of windows and the offset of the
     minimiser from the first window.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple] = []
-        for key, data in _each_text(batches):
-            for code, place, first, windows in suffixes(data):
-                few = among(held.value, code)
-                for c, p, f, n in zip(code[few].tolist(), place[few].tolist(), first[few].tolist(), windows[few].tolist(), strict=True):
-                    span = xxhash.xxh64_intdigest(data[f : f + n + LENGTH - 1], p - f)
-                    found.append((c, span, key, f << 16 | n << 8 | p - f))
-            if len(found) > 20_000:
-                yield _rows_of(found, ["g", "s", "k", "at"])
-                found = []
-        yield _rows_of(found, ["g", "s", "k", "at"])
+        for parts in _parts(_each_text(batches)):
+            found = Suffixes(parts)
+            few = np.flatnonzero(among(held.value, found.bucket))
+            if not len(few):
+                continue
+            first, last, owner = found.first[few], found.last[few], found.owner[few]
+            keys, bases = np.array([k for k, _, _ in parts], np.int64), np.array([b for _, b, _ in parts], np.int64)
+            at = (first - found.start[owner] + bases[owner]) << 16 | (last - first + 1) << 8 | (found.place[few] - first)
+            columns = [_long(found.bucket[few]), _long(found.identifiers(few)), _long(_digests(found.data, first, last + LENGTH)), pa.array(keys[owner]), pa.array(at)]
+            yield pa.RecordBatch.from_arrays(columns, ["g", "s", "d", "k", "at"])
 
     return run
 
 
+ITEMS = "g long, s long, d long, k long, at long"
+GROUP = ("g", "s", "d")
+
+
 def refine(items: DataFrame, *ids: str) -> tuple[DataFrame, DataFrame]:
     """One level: the items that identifiers settle, and those that stay open.
 
-    ``items`` has buckets ``g``, identifiers ``s`` and the item itself, ``ids``.
-    Settled items share bucket and identifier with another. Open are those alone
-    with their identifier in a bucket with others, and, of each settled
-    identifier in such a bucket, one item as its pointer.
+    ``items`` has buckets ``g``, identifiers ``s`` with digests ``d`` and the
+    item itself, ``ids``. Settled items share all three with another. Open are
+    those alone with their identifier, and, of each settled identifier in a
+    bucket that may have such, one item as its pointer.
     """
-    groups = items.groupBy("g", "s").agg(F.count("*").alias("n"), F.min(F.struct(*ids)).alias("pointer"))
-    buckets = groups.groupBy("g").agg(F.sum("n").alias("all"), F.max(F.col("n") == 1).alias("open")).where("all > 1").drop("all")
-    known = stored(groups.join(buckets, "g"))
-    judged = items.join(known.select("g", "s", "n"), ["g", "s"])
-    pointers = known.where("n > 1 and open").select("pointer.*")
-    return judged.where("n > 1").select(*ids), judged.where("n = 1").select(*ids).union(pointers)
+    context = items.sparkSession.sparkContext
+    groups = stored(items.groupBy(*GROUP).agg(F.count("*").alias("n"), F.min(F.struct(*ids)).alias("pointer")))
+    limit = max(1000, int(items.count() * HOT))
+    hot = groups.where(F.col("n") > limit).select(*GROUP)
+    marked = items.join(F.broadcast(hot.withColumn("hot", F.lit(True))), list(GROUP), "left")
+    cold = marked.where("hot is null").join(groups.where(F.col("n") <= limit).select(*GROUP, "n"), list(GROUP))
+    judged = stored(marked.where("hot").select(*ids, F.lit(True).alias("settled")).unionByName(cold.select(*ids, (F.col("n") > 1).alias("settled"))))
+    held = context.broadcast(bitmap(groups.where("n = 1").select(F.col("g").alias("key"))))
+
+    @F.pandas_udf("boolean")
+    def maybe(buckets: pd.Series) -> pd.Series:
+        return pd.Series(among(held.value, buckets.to_numpy(np.int64).view(np.uint64)))
+
+    pointers = groups.where("n > 1").where(maybe("g")).select("pointer.*")
+    return judged.where("settled").select(*ids), judged.where("not settled").select(*ids).unionByName(pointers)
 
 
 def _open_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,85 +246,85 @@ def _open_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for at in spans:
                 first, windows = at >> 16, at >> 8 & 0xFF
                 found.append((key, at, data[first : first + windows + LENGTH - 1]))
-        yield _rows_of(found, ["k", "at", "data"])
+                if len(found) > 10_000:
+                    yield _span_rows(found)
+                    found = []
+        yield _span_rows(found)
 
 
-def _runs(at: int) -> Iterator[tuple[int, int, int]]:
-    """Number, first and last window of each run of windows of a suffix.
-
-    Windows are numbered by the minimiser's offset in them, so equal windows
-    have equal numbers; a run is RUN numbers, of which the suffix may lack some.
-    """
-    first, windows, offset = at >> 16, at >> 8 & 0xFF, at & 0xFF
-    place = first + offset
-    for run in range((offset - windows + 1) // RUN, offset // RUN + 1):
-        low, high = max(offset - windows + 1, run * RUN), min(offset, run * RUN + RUN - 1)
-        yield run, place - high, place - low
+def _span_rows(found: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+    columns = list(zip(*found, strict=True)) if found else [[], [], []]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.binary()), strict=True)], ["k", "at", "data"])
 
 
-def _core(at: int, run: int, data: bytes) -> int:
-    """Identifier of the bytes common to all windows of a run, whichever of them the suffix has."""
-    first, offset = at >> 16, at & 0xFF
-    start = offset - run * RUN
-    return xxhash.xxh64_intdigest(data[max(0, start) : start + LENGTH - RUN + 1], run)
+class _Runs:
+    """The runs of ``length`` windows of some open spans, by arrays.
 
+    A window's number is the minimiser's offset in it, so equal windows have
+    equal numbers; run r holds the numbers from r * length on, of which a span
+    may lack some. ``within``, where given, are the packed runs of the level
+    before that are still open. ``bucket`` is made of the minimiser's bucket,
+    the run's number and what all windows of a full run share.
+    """
 
-def _each_open(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, bytes]]:
+    def __init__(self, spans: list[int], datas: list[bytes], length: int, within: list[list[int]] | None):
+        self.data = b"".join(datas)
+        base = np.concatenate(([0], np.cumsum([len(d) for d in datas])))[:-1]
+        at = np.array(spans, np.int64)
+        first, windows, offset = at >> 16, at >> 8 & 0xFF, at & 0xFF
+        owners, runs = [], []
+        for i, (n, o) in enumerate(zip(windows.tolist(), offset.tolist(), strict=True)):
+            wanted = [(int(x) >> 16) - (int(first[i])) for x in within[i]] if within else [0]
+            counts = [int(x) >> 8 & 0xFF for x in within[i]] if within else [n]
+            for start, count in zip(wanted, counts, strict=True):
+                # Numbers of these windows: the minimiser's offset in the last and in the first of them.
+                for r in range((o - start - count + 1) // length, (o - start) // length + 1):
+                    owners.append(i)
+                    runs.append((r, max(r * length, o - start - count + 1), min(r * length + length - 1, o - start)))
+        self.owner = np.array(owners, np.int64)
+        run, low, high = np.array(runs, np.int64).reshape(-1, 3).T
+        place = (base + offset)[self.owner]
+        self.code = gram_buckets(np.frombuffer(self.data, np.uint8))
+        shared = _wider(self.code, place - run * length, LENGTH - length + 1)
+        self.bucket = pair(pair(self.code[place], run.astype(np.uint64)), shared)
+        self.first, self.last = place - high, place - low
+        self.at = (first[self.owner] + self.first - base[self.owner]) << 16 | (high - low + 1) << 8
+
+
+def _run_batches(batches: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[list[int], list[int], _Runs]]:
     for batch in batches:
-        yield from zip(batch.column("k").to_pylist(), batch.column("at").to_pylist(), batch.column("data").to_pylist(), strict=True)
+        if batch.num_rows:
+            spans, datas = batch.column("at").to_pylist(), batch.column("data").to_pylist()
+            within = batch.column("runs").to_pylist() if "runs" in batch.schema.names else None
+            yield batch.column("k").to_pylist(), spans, _Runs(spans, datas, length, within)
+
 
+def _run_buckets(length: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, _, found in _run_batches(batches, length):
+            yield pa.RecordBatch.from_arrays([_long(found.bucket)], ["key"])
 
-def _cores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    found = []
-    for _, at, data in _each_open(batches):
-        found += [(_core(at, run, data),) for run, _, _ in _runs(at)]
-        if len(found) > 50_000:
-            yield _rows_of(found, ["key"])
-            found = []
-    yield _rows_of(found, ["key"])
+    return run
 
 
-def _runs_in(held) -> Callable:
-    """Runs whose core may have others, with identifiers of all their windows together.
+def _runs_in(held, length: int) -> Callable:
+    """Runs in buckets that may have others, with the identifiers and digests of all their windows together.
 
     ``at`` packs the run's first window and their number; ``suffix`` is that of
-    the suffix it is of.
+    the span it is of.
     """
 
     def run_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: list[tuple] = []
-        for key, at, data in _each_open(batches):
-            runs = list(_runs(at))
-            cores = [_core(at, run, data) for run, _, _ in runs]
-            few = among(held.value, np.array(cores, np.uint64))
-            base = at >> 16
-            for (run, low, high), core, maybe in zip(runs, cores, few, strict=True):
-                if maybe:
-                    span = xxhash.xxh64_intdigest(data[low - base : high - base + LENGTH], base + (at & 0xFF) - low)
-                    found.append((core, span, key, low << 16 | (high - low + 1) << 8, at))
-            if len(found) > 20_000:
-                yield _rows_of(found, ["g", "s", "k", "at", "suffix"])
-                found = []
-        yield _rows_of(found, ["g", "s", "k", "at", "suffix"])
+        for keys, spans, found in _run_batches(batches, length):
+            few = np.flatnonzero(among(held.value, found.bucket))
+            first, last, owner = found.first[few], found.last[few], found.owner[few]
+            ends = pair(_wider(found.code, first, LENGTH), _wider(found.code, last, LENGTH))
+            columns = [_long(found.bucket[few]), _long(ends), _long(_digests(found.data, first, last + LENGTH)), pa.array(np.array(keys, np.int64)[owner]), pa.array(found.at[few]), pa.array(np.array(spans, np.int64)[owner])]
+            yield pa.RecordBatch.from_arrays(columns, [*GROUP, "k", "at", "suffix"])
 
     return run_all
 
 
-def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The single windows of the open runs."""
-    found = []
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("k", "at", "data", "runs")]
-        for key, suffix, data, runs in zip(*columns, strict=True):
-            for at in runs:
-                first = (at >> 16) - (suffix >> 16)
-                found += [(xxhash.xxh64_intdigest(data[w : w + LENGTH]), key, (suffix >> 16) + w << 16 | 1 << 8) for w in range(first, first + (at >> 8 & 0xFF))]
-            if len(found) > 20_000:
-                yield _rows_of(found, ["key", "k", "at"])
-                found = []
-    yield _rows_of(found, ["key", "k", "at"])
-
-
 KEY, TEXT, SPANS = "_repeat_key", "_repeat_text", "_repeat_spans"
 
 
@@ -279,30 +349,32 @@ def _with_lists(rows: DataFrame, lists: DataFrame, context) -> tuple[DataFrame,
 
 def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``k``, the hash of id and text, and ``spans``, the packed windows of that text that repeat."""
-    context = documents.sparkSession.sparkContext
+    spark = documents.sparkSession
+    context = spark.sparkContext
     rows = _keyed(documents.select(id_col, text_col), id_col, text_col).where(F.octet_length(TEXT) >= LENGTH)
     texts = rows.select(F.col(KEY).alias("k"), F.col(TEXT).alias("text"))
 
-    # Level 0: buckets of q-grams, refined by whole spans.
-    held = context.broadcast(bitmap(repeated(map_rows(texts, _buckets_only, "key long"))))
-    spans, opened = refine(stored(map_rows(texts, _spans_in(held), "g long, s long, k long, at long")), "k", "at")
-
-    # The bytes of the open spans; from here on the texts are not needed.
-    lists = stored(opened.groupBy("k").agg(F.collect_set("at").alias("spans")))
-    near, _ = _with_lists(rows.select(KEY, TEXT), lists, context)
-    near = near.where(F.col(SPANS).isNotNull()).select(F.col(KEY).alias("k"), F.col(TEXT).alias("text"), F.col(SPANS).alias("spans"))
-    opened = stored(map_rows(near, _open_spans, "k long, at long, data binary"))
-
-    # Level 1: buckets of cores, refined by runs of windows.
-    held = context.broadcast(bitmap(repeated(map_rows(opened, _cores, "key long"))))
-    runs, open_runs = refine(stored(map_rows(opened, _runs_in(held), "g long, s long, k long, at long, suffix long")), "k", "at", "suffix")
-
-    # Level 2: single windows.
-    of = open_runs.groupBy("k", F.col("suffix").alias("at")).agg(F.collect_set(F.col("at")).alias("runs"))
-    windows = map_rows(opened.join(of, ["k", "at"]), _windows, "key long, k long, at long")
-    alike = windows.join(repeated(windows.select("key")), "key")
-    found = spans.union(runs.select("k", "at")).union(alike.select("k", "at"))
-    return found.groupBy("k").agg(F.collect_set("at").alias("spans"))
+    with scratch(spark) as kept:
+        # Initial buckets, refined by all windows of a suffix together.
+        held = context.broadcast(bitmap(repeated(map_rows(texts, _buckets_only, "key long"))))
+        found, opened = refine(stored(map_rows(texts, _spans_in(held), ITEMS)), "k", "at")
+
+        # The bytes of the open spans; from here on the texts are not needed.
+        lists = stored(opened.groupBy("k").agg(F.collect_set("at").alias("spans")))
+        near, _ = _with_lists(rows.select(KEY, TEXT), lists, context)
+        near = near.where(F.col(SPANS).isNotNull()).select(F.col(KEY).alias("k"), F.col(TEXT).alias("text"), F.col(SPANS).alias("spans"))
+        spans = stored(map_rows(near, _open_spans, "k long, at long, data binary"))
+
+        # Open buckets, refined by shorter and shorter runs of windows.
+        runs = spans
+        for length in RUNS:
+            held = context.broadcast(bitmap(repeated(map_rows(runs, _run_buckets(length), "key long"))))
+            settled, opened = refine(stored(map_rows(runs, _runs_in(held, length), f"{ITEMS}, suffix long")), "k", "at", "suffix")
+            found = found.unionByName(settled.select("k", "at"))
+            if length > 1:
+                of = opened.groupBy("k", F.col("suffix").alias("at")).agg(F.collect_set(F.col("at")).alias("runs"))
+                runs = stored(spans.join(of, ["k", "at"]))
+        return kept(found.groupBy("k").agg(F.collect_set("at").alias("spans")))
 
 
 def merged(spans: list[int] | None) -> list[tuple[int, int]]:
@@ -337,7 +409,7 @@ def _whole_characters(data: bytes, ranges: list[tuple[int, int]]) -> list[tuple[
 
 def _documents_with_spans(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``documents`` and the spans of each, null where nothing repeats."""
-    lists = stored(repeated_spans(documents, id_col, text_col))
+    lists = repeated_spans(documents, id_col, text_col)
     near, far = _with_lists(_keyed(documents, id_col, text_col), lists, documents.sparkSession.sparkContext)
     return near.unionByName(far.withColumn(SPANS, F.lit(None).cast("array<long>"))).drop(KEY)
 

@@ -305,15 +305,39 @@ def test_repeats_against_all_strings(spark):
 
 
 def test_repeats_in_parts(spark, monkeypatch):
-    """Texts longer than a part, seen through the generator that makes the suffixes."""
+    """Texts longer than a part, and parts worked on together, by the windows that their suffixes have."""
     from folioworks.llm import suffix_dedup
 
-    data = prose(random.Random(2), 700).encode()
-    whole = [np.concatenate(x) for x in zip(*suffix_dedup.suffixes(data), strict=True)]
+    texts = [(i, prose(random.Random(i), n).encode()) for i, n in enumerate((700, 90, 3, 400))]
+
+    def windows():
+        found = Counter()
+        for parts in suffix_dedup._parts(iter(texts)):
+            got = suffix_dedup.Suffixes(parts)
+            for owner, first, last, place, bucket in zip(got.owner, got.first, got.last, got.place, got.bucket, strict=True):
+                key, base, _ = parts[owner]
+                for window in range(first, last + 1):
+                    found[key, base + int(window - got.start[owner]), base + int(place - got.start[owner]), int(bucket)] += 1
+        return found
+
+    whole = windows()
+    assert len(whole) == sum(max(0, len(t) - LENGTH + 1) for _, t in texts) == whole.total()
     monkeypatch.setattr(suffix_dedup, "PART", 500)
-    parts = [np.concatenate(x) for x in zip(*suffix_dedup.suffixes(data), strict=True)]
-    assert parts[3].sum() == whole[3].sum() == len(data) - LENGTH + 1
-    assert set(parts[1]) == set(whole[1])
+    monkeypatch.setattr(suffix_dedup, "CHUNK", 800)
+    assert windows() == whole
+
+
+def test_buckets_are_those_of_the_bytes():
+    from folioworks.llm import suffix_dedup
+
+    data = (b"abcdefgh" * 40 + bytes(range(200)) + b"abcdefgh" * 40)[:800]
+    code = suffix_dedup.gram_buckets(np.frombuffer(data, np.uint8))
+    wide = suffix_dedup._wider(code, np.arange(len(data) - LENGTH + 1), LENGTH)
+    for found, width in ((code, suffix_dedup.Q), (wide, LENGTH)):
+        of: dict = {}
+        for i, bucket in enumerate(found.tolist()):
+            assert of.setdefault(data[i : i + width], bucket) == bucket
+        assert len(set(of.values())) == len(of)
 
 
 def test_removed_text_keeps_whole_characters(spark):
