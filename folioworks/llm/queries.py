@@ -46,8 +46,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents")
-    held_out = F.pmod(fold_id("doc_id"), F.lit(3)) == 1
-    predicted = identify(documents, F.coalesce(~held_out, F.lit(False)))
+    held_out = F.coalesce(F.pmod(fold_id("doc_id"), F.lit(3)) == 1, F.lit(False))
+    predicted = identify(documents, ~held_out & F.col("doc_id").isNotNull())
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
@@ -58,7 +58,7 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held_out = F.pmod(fold_id("doc_id"), F.lit(5)) == 0
+    held_out = F.coalesce(F.pmod(fold_id("doc_id"), F.lit(5)) == 0, F.lit(False))
     scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 

@@ -255,11 +255,49 @@ def test_no_letters_is_undetermined(spark):
     assert {r.lang_pred for r in identify(docs, F.lit(False)).collect()} == {"und"}
 
 
-def test_parts_of_long_texts_give_the_same_grams(monkeypatch):
-    text = prose(random.Random(3), 500) + "é漢 😀"
-    whole = np.sort(np.concatenate(list(gram_buckets(text))))
-    monkeypatch.setattr("folioworks.llm.language_id.PART", 97)
-    assert (np.sort(np.concatenate(list(gram_buckets(text)))) == whole).all()
+def grams_by_hand(texts):
+    found = Counter()
+    for i, text in enumerate(texts):
+        letters = "".join(c.lower() if c.isalpha() else " " for c in text)
+        found.update((i, letters[a : a + n]) for n in (1, 2, 3) for a in range(len(letters) - n + 1) if letters[a : a + n].strip())
+    return found
+
+
+@pytest.mark.parametrize("part", [1 << 18, 97, 5])
+def test_grams_by_hand_in_parts_of_any_length(monkeypatch, part):
+    texts = [prose(random.Random(3), 80) + "é漢 x", "", "a", "- b -", prose(random.Random(4), 30)]
+    monkeypatch.setattr("folioworks.llm.language_id.PART", part)
+    got = Counter()
+    for numbers, ids in gram_buckets(texts, 1 << 40):
+        assert (np.diff(numbers) >= 0).all()
+        got.update(zip(numbers.tolist(), ids.tolist(), strict=True))
+    due = grams_by_hand(texts)
+    assert sorted(got.values()) == sorted(due.values())
+    assert Counter(i for i, _ in got.elements()) == Counter(i for i, _ in due.elements())
+
+
+@pytest.mark.parametrize("block", [1, 2, 256])
+def test_naive_bayes_by_hand_in_any_blocks(spark, block):
+    """Every language counts, however many there are beyond a block."""
+    rng = random.Random(6)
+    rows = [(i, prose(random.Random(i % 5), 8) + rng.choice(["", " ka", " zu"]) + f" {chr(97 + i % 5) * 3}", f"l{i % 5}") for i in range(40)] + [(90, "12", "l1"), (91, None, "l0"), (92, "aaa", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in identify(docs, F.col("doc_id") < 30, block=block).collect()}
+    trained = [r for r in rows if r[0] < 30]
+    langs = sorted({r[2] for r in trained})
+    buckets = 1 << 14
+    counts = {x: Counter() for x in langs}
+    for _, text, lang in trained:
+        for _, ids in gram_buckets([text]):
+            counts[lang].update(ids.tolist())
+    for doc_id, text, _ in rows:
+        if not text or not any(c.isalpha() for c in text):
+            assert got[doc_id].lang_pred == "und" and got[doc_id].score == 0
+            continue
+        ids = [int(x) for _, part in gram_buckets([text]) for x in part]
+        logs = [np.log(sum(r[2] == x for r in trained) / len(trained)) + sum(np.log((counts[x][i] + 0.5) / (counts[x].total() + 0.5 * buckets)) for i in ids) for x in langs]
+        assert got[doc_id].lang_pred == langs[int(np.argmax(logs))]
+        assert got[doc_id].score == pytest.approx(1 / sum(np.exp(x - max(logs)) for x in logs), rel=1e-3)
 
 
 # 5. Suffix-array repeats
