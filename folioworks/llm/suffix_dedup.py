@@ -61,9 +61,9 @@ Q = 64
 WINDOWS = LENGTH - Q + 1
 #: Lengths of the runs that open buckets are refined by, after all windows of a suffix together.
 RUNS = (32, 8, 1)
-PART = 1 << 20
+PART = 1 << 18
 #: Bytes of texts that are worked on at once.
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 #: A group is hot from this share of all rows on.
 HOT = 1 / 4096
 _PLACE = np.uint64(0xFFFFFF)
