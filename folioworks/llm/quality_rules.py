@@ -6,9 +6,11 @@ histograms of character classes and of common words are compared to those of
 its language by the Jensen-Shannon distance (base 2, so from 0 to 1).
 
 References come from all rows: each language's class counts, and counts of its
-``common`` most frequent short words. The ``most_languages`` languages with
-the most text get references of their own, rows of other or no language use
-the pooled one, so what is broadcast is bounded by the parameters.
+``common`` most frequent short words; of equal counts the words that sort first.
+Every language has a reference of its own, rows of no language use the pooled
+one. References of the ``most_broadcast`` languages with most rows are
+broadcast, which is bounded by the parameters; rows of further languages, none
+of which is frequent, are joined to theirs.
 
 Minimum-length guards: a histogram of a short text says little, so each
 distance counts only from a number of words on, and the distance allowed is a
@@ -17,6 +19,11 @@ are compared from as many words on as the histogram has common words (40);
 texts of 20 to 39 words are judged by the base rules and their classes.
 
 Nulls are texts without words, which fail. Lines are parts between line feeds.
+Rows are judged one by one against the references, so repeated rows, also of one
+id, get equal verdicts; they count in the references as often as they are there.
+Whole texts of any length are judged, by one task each. An empty table gives an
+empty result. ``quality_verdicts`` ignores other columns, ``good_documents``
+keeps them, whatever they are called.
 """
 
 from __future__ import annotations
@@ -24,7 +31,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,13 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, per_row, stored
+from .common import map_rows, stored
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
 SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SHORT_WORD = re.compile(r"\b[^\W\d_]{1,5}\b")
 FLUSH = 50_000
+PART = 1 << 20
 POOLED = ""
 #: Character classes: lower, upper, other letter, mark, number, punctuation, symbol, separator, other.
 CLASSES = 9
@@ -55,7 +63,7 @@ class Rules:
     common_floor: float = 0.25
     common_slack: float = 2.0
     common: int = 40
-    most_languages: int = 512
+    most_broadcast: int = 512
 
 
 def _class_of(point: int) -> int:
@@ -79,7 +87,7 @@ def shape_codes(text: str) -> np.ndarray:
 
 def class_counts(text: str) -> np.ndarray:
     """Counts of the character classes."""
-    return np.bincount(shape_codes(text), minlength=CLASSES)
+    return sum((np.bincount(shape_codes(text[at : at + PART]), minlength=CLASSES) for at in range(0, len(text), PART)), np.zeros(CLASSES, np.int64))
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -114,50 +122,64 @@ def base_counts(text: str) -> tuple[int, int, int, int, int]:
 
 def _emit(counts: dict[str, tuple[np.ndarray, Counter]], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
     for lang, (classes, words) in counts.items():
-        for is_class, keys, numbers in ((True, [str(i) for i in range(CLASSES)], classes.tolist()), (False, list(words), list(words.values()))):
+        for is_class, keys, numbers in ((True, [str(i) for i in range(CLASSES + 1)], classes.tolist()), (False, list(words), list(words.values()))):
             n = len(keys)
             yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(([lang] * n, keys, [is_class] * n, numbers), schema, strict=True)], schema=schema)
     counts.clear()
 
 
 def _count_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts by language, flushed whenever they grow large."""
+    """Counts by language, flushed whenever they grow large; class ``CLASSES`` counts the rows."""
     schema = pa.schema([("lang", pa.string()), ("key", pa.string()), ("is_class", pa.bool_()), ("n", pa.int64())])
     counts: dict[str, tuple[np.ndarray, Counter]] = {}
     for batch in batches:
         for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            classes, words = counts.setdefault(lang or POOLED, (np.zeros(CLASSES + 1, np.int64), Counter()))
+            classes[CLASSES] += 1
             if text:
-                classes, words = counts.setdefault(lang or POOLED, (np.zeros(CLASSES, np.int64), Counter()))
-                classes += class_counts(text)
+                classes[:CLASSES] += class_counts(text)
                 words.update(SHORT_WORD.findall(text.lower()))
-        if sum(len(w) for _, w in counts.values()) > FLUSH:
+        if sum(len(w) + CLASSES for _, w in counts.values()) > FLUSH:
             yield from _emit(counts, schema)
     yield from _emit(counts, schema)
 
 
-def references(documents: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> dict:
-    """By language: class shares, and its common words' shares of its short words. The pooled language is ``""``."""
+def _reference(entries: list[dict]) -> tuple[np.ndarray, dict[str, float]]:
+    """Class shares and shares of common words, of rows ``is_class, key, share``."""
+    classes, words = np.zeros(CLASSES), {}
+    for entry in entries:
+        if entry["is_class"]:
+            classes[int(entry["key"])] = entry["share"]
+        else:
+            words[entry["key"]] = entry["share"]
+    return classes, words
+
+
+def references(documents: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> tuple[dict, DataFrame | None]:
+    """By language: class shares, and its common words' shares of its short words. The pooled language is ``""``.
+
+    The first result holds the pooled reference and those of the languages with
+    most rows. The second has the others as ``lang`` and ``reference``, if any.
+    """
     rows = documents.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     counted = map_rows(rows, _count_languages, "lang string, key string, is_class boolean, n long")
-    counted = counted.groupBy("lang", "key", "is_class").agg(F.sum("n").alias("n"))
-    counted = stored(counted.where("n > 0"))
+    counted = stored(counted.groupBy("lang", "key", "is_class").agg(F.sum("n").alias("n")).where("n > 0"))
+    is_rows = F.col("is_class") & (F.col("key") == str(CLASSES))
+    sizes = counted.where(is_rows & (F.col("lang") != POOLED)).select("lang", F.col("n").alias("size"))
+    frequent = [r.lang for r in sizes.orderBy(F.desc("size"), "lang").limit(rules.most_broadcast).collect()]
     pooled = counted.groupBy(F.lit(POOLED).alias("lang"), "key", "is_class").agg(F.sum("n").alias("n"))
-    sizes = counted.where("is_class and lang <> ''").groupBy("lang").agg(F.sum("n").alias("size"))
-    own = counted.join(F.broadcast(sizes.orderBy(F.desc("size"), "lang").limit(rules.most_languages)), "lang").drop("size")
-    both = own.unionByName(pooled)
+    both = counted.where(F.col("lang") != POOLED).unionByName(pooled).where(~is_rows)
     totals = both.groupBy("lang", "is_class").agg(F.sum("n").alias("total"))
     rank = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
-    frequent = both.where("not is_class").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= rules.common).drop("rank")
-    top = frequent.unionByName(both.where("is_class"))
-    found: dict = {}
-    rows = top.join(totals, ["lang", "is_class"]).select("lang", "is_class", "key", "n", "total")
-    for lang, is_class, key, n, total in rows.orderBy("lang", F.desc("n"), "key").collect():
-        classes, words = found.setdefault(lang, (np.zeros(CLASSES), {}))
-        if is_class:
-            classes[int(key)] = n / total
-        else:
-            words[key] = n / total
-    return found
+    common = both.where("not is_class").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= rules.common).drop("rank")
+    top = common.unionByName(both.where("is_class")).join(totals, ["lang", "is_class"])
+    # At most ``common`` words and all classes a language.
+    entry = F.struct("is_class", (F.col("n") / F.col("total")).alias("share"), "key")
+    lists = stored(top.groupBy("lang").agg(F.sort_array(F.collect_list(entry), asc=False).alias("reference")))
+    chosen = F.col("lang").isin([POOLED, *frequent])
+    found = {r.lang: _reference(r.reference) for r in lists.where(chosen).collect()}
+    # Languages whose rows hold no text have no reference and use the pooled one.
+    return found, None if len(frequent) < rules.most_broadcast else lists.where(~chosen)
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> float:
@@ -190,23 +212,46 @@ def judge(text: str | None, lang: str | None, refs: dict, rules: Rules) -> tuple
     return (*counts, failed, by_class, by_word, good)
 
 
+REFERENCE = "_language_reference"
+
+
+def _judged(documents: DataFrame, rules: Rules, text_col: str, lang_col: str, body: Callable, schema) -> DataFrame:
+    """``documents`` through ``body``, which gets a batch and the verdicts of its rows."""
+    refs, others = references(documents, rules, text_col, lang_col)
+    held = documents.sparkSession.sparkContext.broadcast(refs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, langs = batch.column(text_col).to_pylist(), batch.column(lang_col).to_pylist()
+            if REFERENCE in batch.schema.names:
+                own = batch.column(REFERENCE).to_pylist()
+                batch = batch.drop_columns([REFERENCE])
+                verdicts = [judge(t, x, {x: _reference(o)} if o else held.value, rules) for t, x, o in zip(texts, langs, own, strict=True)]
+            else:
+                verdicts = [judge(t, x, held.value, rules) for t, x in zip(texts, langs, strict=True)]
+            yield body(batch, verdicts)
+
+    if others is None:
+        return map_rows(documents, run, schema)
+    known = F.coalesce(F.col(lang_col).isin(list(refs)), F.lit(True))
+    others = others.select(F.col("lang").alias("_language"), F.col("reference").alias(REFERENCE))
+    rare = documents.where(~known).join(others, F.col(lang_col) == F.col("_language"), "left").drop("_language")
+    return map_rows(documents.where(known), run, schema).unionByName(map_rows(rare, run, schema))
+
+
 def quality_verdicts(documents: DataFrame, rules: Rules = Rules(), id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """One row a document: counts, ``base_failed``, ``class_distance``, ``common_distance``, ``kept``."""
-    refs = documents.sparkSession.sparkContext.broadcast(references(documents, rules, text_col, lang_col))
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    schema = pa.schema([("doc_id", pa.int64()), *((n, pa.int64()) for n in names), ("base_failed", pa.bool_()), ("class_distance", pa.float64()), ("common_distance", pa.float64()), ("kept", pa.bool_())])
-    body = per_row(schema, lambda doc_id, lang, text: (doc_id, *judge(text, lang, refs.value, rules)), "doc_id", "lang", "text")
-    return map_rows(rows, body, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, common_distance double, kept boolean")
+    schema = pa.schema([*((n, pa.int64()) for n in names), ("base_failed", pa.bool_()), ("class_distance", pa.float64()), ("common_distance", pa.float64()), ("kept", pa.bool_())])
 
+    def body(batch: pa.RecordBatch, verdicts: list[tuple]) -> pa.RecordBatch:
+        columns = list(zip(*verdicts, strict=True)) if verdicts else [()] * len(schema)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *(pa.array(c, f.type) for c, f in zip(columns, schema, strict=True))], ["doc_id", *schema.names])
 
-def good_documents(documents: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows whose verdict is ``kept``, with all their columns."""
-    refs = documents.sparkSession.sparkContext.broadcast(references(documents, rules, text_col, lang_col))
+    return _judged(rows, rules, "text", "lang", body, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, class_distance double, common_distance double, kept boolean")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = zip(batch.column(text_col).to_pylist(), batch.column(lang_col).to_pylist(), strict=True)
-            yield batch.filter(pa.array([judge(text, lang, refs.value, rules)[-1] for text, lang in pairs], pa.bool_()))
 
-    return map_rows(documents, run, documents.schema)
+def good_documents(documents: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """The rows whose verdict is ``kept``, with all their columns."""
+    return _judged(documents, rules, text_col, lang_col, lambda batch, verdicts: batch.filter(pa.array([v[-1] for v in verdicts], pa.bool_())), documents.schema)

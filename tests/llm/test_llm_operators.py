@@ -551,6 +551,67 @@ def test_distance_is_a_metric_between_zero_and_one():
     assert js_distance(p, p) == 0 and js_distance(p, q) == pytest.approx(1) and js_distance(p, q) == js_distance(q, p)
 
 
+def shares(counts):
+    total = sum(counts.values())
+    return {k: n / total for k, n in counts.items()} if total else {}
+
+
+def distance_by_hand(p, q):
+    def divergence(x, m):
+        return sum(v * np.log2(v / m[k]) for k, v in x.items() if v)
+
+    keys = set(p) | set(q)
+    m = {k: (p.get(k, 0) + q.get(k, 0)) / 2 for k in keys}
+    return max(0, (divergence(p, m) + divergence(q, m)) / 2) ** 0.5
+
+
+@pytest.mark.parametrize("most", [512, 2, 1])
+def test_verdicts_by_hand_for_any_number_of_languages(spark, most):
+    """References, distances and verdicts from plain counts; each language has its own reference."""
+    import re
+    import unicodedata
+
+    rng = random.Random(14)
+    other = str.maketrans("aeiouthns", "öäüßéxzqk")
+    rows = [(i, prose(rng, rng.randint(15, 200)).translate(other if i % 4 == 1 else {}) + (" #1." if i % 9 == 0 else ""), ["aa", "bb", "cc", None, ""][i % 5]) for i in range(50)]
+    rows += [(90, "", "dd"), (91, prose(rng, 60), "ee"), (92, prose(rng, 60).upper(), "ee"), (93, None, "aa")]
+    kinds = {"Ll": 0, "Lu": 1, "Lt": 1, "L": 2, "M": 3, "N": 4, "P": 5, "S": 6, "Z": 7}
+
+    def classes(text):
+        return Counter(7 if c in "\t\n\v\f\r" else kinds.get(unicodedata.category(c), kinds.get(unicodedata.category(c)[0], 8)) for c in text)
+
+    def short(text):
+        return Counter(re.findall(r"\b[^\W\d_]{1,5}\b", text.lower()))
+
+    by_class, by_word = defaultdict(Counter), defaultdict(Counter)
+    for _, text, lang in rows:
+        for key in {lang or "", ""}:
+            by_class[key].update(classes(text or ""))
+            by_word[key].update(short(text or ""))
+    rules = Rules(most_broadcast=most)
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in quality_verdicts(frame, rules).collect()}
+    for doc_id, text, lang in rows:
+        text, lang = text or "", lang or ""
+        n, r = len(text.split()), got[doc_id]
+        due_class = due_word = None
+        if n >= 20:
+            due_class = distance_by_hand(shares(classes(text)), shares(by_class[lang]))
+        if n >= 40:
+            top = dict(sorted(by_word[lang].items(), key=lambda x: (-x[1], x[0]))[:40])
+            mine, whole = short(text), by_word[lang].total()
+            due_word = distance_by_hand(
+                {**{w: mine[w] / mine.total() for w in top}, None: 1 - sum(mine[w] for w in top) / mine.total()},
+                {**{w: c / whole for w, c in top.items()}, None: 1 - sum(top.values()) / whole},
+            )
+        assert r.class_distance == (None if due_class is None else pytest.approx(due_class, abs=1e-6))
+        assert r.common_distance == (None if due_word is None else pytest.approx(due_word, abs=1e-6))
+        root = max(1, n) ** 0.5
+        assert r.kept == (not r.base_failed and (due_class or 0) <= 0.10 + 1.1 / root and (due_word or 0) <= 0.25 + 2.0 / root)
+    kept = {r.doc_id for r in good_documents(frame, rules).collect()}
+    assert kept == {i for i, r in got.items() if r.kept}
+
+
 # 10. SimHash
 
 
