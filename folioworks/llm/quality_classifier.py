@@ -7,31 +7,41 @@ the non-negative unbiased risk of positive-unlabelled learning:
     pi * R+(positives) + max(0, R-(unlabelled) - pi * R-(positives)),
 
 where pi is the class prior. Whenever the second part falls below zero its
-gradient is followed backwards. Trusted positives are training rows labelled 1;
-the unlabelled sample is training text whatever its label. Rows labelled 0 are
-used nowhere.
-
-The prior is estimated from the same two samples: a plain positives against
-unlabelled model ranks the text, and pi is the least ratio of the unlabelled
-share to the positive share above any threshold, over the upper part of the
-ranking where both shares are well measured.
-
-The fit reads at most ``sample`` positives and ``sample`` unlabelled rows, the
-ones whose id hashes lowest; every text is scored. Empty and null texts are
-scored by their measures like any other. With no positives or no text to learn
-from every score is the prior 0.5.
+gradient is followed backwards. Trusted positives are training rows labelled 1:
+at most ``sample`` ids, those that hash lowest. Unlabelled text is all training
+text, whatever its label. Rows labelled 0 are used nowhere.
+
+1. A plain model of the positives against ``sample`` unlabelled rows ranks texts.
+2. Every unlabelled text is measured and ranked. By ``BINS`` ranges of the ranking
+   Spark sums the measures and counts the texts, in whole numbers, so that no
+   order of rows or files changes a digit.
+3. The prior is the least ratio of the unlabelled share to the positive share
+   above any threshold over the upper part of the ranking, where both are well
+   measured; the unlabelled shares are of all texts.
+4. The risk is minimised over the positives and all unlabelled texts, each range
+   standing with its number for its texts' mean. Within a range texts rank
+   alike, so their losses are close to that of the mean.
+
+Every text is scored, a batch at a time. Empty and null texts are scored by their
+measures like any other. With no positives or no text to learn from every score
+is the prior 0.5. Texts are scored by themselves, so ties and repeated rows, also
+of one id, give equal scores; of the rows that share a chosen id ``2 * sample``
+at most are learned from. Texts of any length are measured whole. Null ids are
+kept. An empty table gives an empty result; other columns are ignored, whatever
+they are called.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, per_row
+from .common import map_rows
 from .quality_rules import CLASSES, base_counts, shape_codes
 
 SAMPLE = 4000
@@ -40,6 +50,11 @@ RATE = 0.05
 DECAY = 1e-4
 SHAPES = CLASSES**3
 MEASURES = 14
+#: Ranges of the ranking, and how finely their sums are counted.
+BINS = 128
+UNIT = 1 << 12
+#: Words that a share of words starts from, so that those of short texts are near the usual.
+USUAL = 10
 WIDTH = MEASURES + SHAPES
 PART = 1 << 20
 
@@ -67,8 +82,8 @@ def measures(text: str | None) -> np.ndarray:
         n_symbols / max(1, word_chars),
         dup_lines / lines,
         repeated / max(1, n_words),
-        frequent / some if len(words) >= 20 else 0,
-        len(set(words)) / some if len(words) >= 20 else 0.8,
+        max(0, frequent - 1) / (len(words) + USUAL),
+        (len(set(words)) + 0.8 * USUAL) / (len(words) + USUAL),
         upper / some,
         wordless / some,
         np.log1p(lines) / 10,
@@ -98,81 +113,153 @@ class _Adam:
         return self.rate * (self.first / (1 - 0.9**self.n)) / (np.sqrt(self.second / (1 - 0.999**self.n)) + 1e-8)
 
 
-def fit_risk(positives: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS) -> np.ndarray:
-    """Weights (the last is the intercept) that minimise the non-negative risk with logistic loss."""
+def _mean(rows: np.ndarray, values: np.ndarray, weights: np.ndarray | None) -> np.ndarray:
+    return rows.T @ values / len(rows) if weights is None else rows.T @ (values * weights) / weights.sum()
+
+
+def risk(w: np.ndarray, positives: np.ndarray, unlabelled: np.ndarray, prior: float, weights: np.ndarray | None = None) -> float:
+    """The non-negative risk with logistic loss, and the decay of the weights."""
+    zp, zu = positives @ w, unlabelled @ w
+    as_negative = np.average(np.logaddexp(0, zu), weights=weights) - prior * np.logaddexp(0, zp).mean()
+    return float(prior * np.logaddexp(0, -zp).mean() + max(0.0, as_negative) + DECAY / 2 * (w[:-1] ** 2).sum())
+
+
+def fit_risk(positives: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = STEPS, weights: np.ndarray | None = None) -> np.ndarray:
+    """Weights (the last is the intercept) that minimise the non-negative risk with logistic loss.
+
+    ``weights`` say how many texts each unlabelled row stands for.
+    """
     w, adam = np.zeros(positives.shape[1], np.float32), _Adam(positives.shape[1], RATE)
+    shares = None if weights is None else (weights / weights.mean()).astype(np.float32)
     for _ in range(steps):
         zp, zu = positives @ w, unlabelled @ w
         # Gradients of the mean losses log(1 + exp(-z)) and log(1 + exp(z)).
-        as_positive = positives.T @ (_sigmoid(zp) - 1) / len(zp)
-        wrong = prior * (positives.T @ _sigmoid(zp)) / len(zp)
-        negative = unlabelled.T @ _sigmoid(zu) / len(zu) - wrong
-        risk = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, zp).mean()
-        gradient = prior * as_positive + negative if risk >= 0 else -negative
+        as_positive = _mean(positives, _sigmoid(zp) - 1, None)
+        wrong = prior * _mean(positives, _sigmoid(zp), None)
+        negative = _mean(unlabelled, _sigmoid(zu), shares) - wrong
+        rest = np.average(np.logaddexp(0, zu), weights=shares) - prior * np.logaddexp(0, zp).mean()
+        gradient = prior * as_positive + negative if rest >= 0 else -negative
         gradient[:-1] += DECAY * w[:-1]
         w -= adam.step(gradient)
     return w
 
 
-def estimate_prior(positives: np.ndarray, unlabelled: np.ndarray, steps: int = STEPS // 2) -> float:
-    """The share of positives in the unlabelled sample, from a ranking of both."""
+def fit_ranking(positives: np.ndarray, unlabelled: np.ndarray, steps: int = STEPS // 2) -> np.ndarray:
+    """Weights of a plain model of positives against unlabelled rows."""
     w, adam = np.zeros(positives.shape[1], np.float32), _Adam(positives.shape[1], RATE)
     for _ in range(steps):
-        gradient = positives.T @ (_sigmoid(positives @ w) - 1) / len(positives) + unlabelled.T @ _sigmoid(unlabelled @ w) / len(unlabelled)
+        gradient = _mean(positives, _sigmoid(positives @ w) - 1, None) + _mean(unlabelled, _sigmoid(unlabelled @ w), None)
         gradient[:-1] += DECAY * w[:-1]
         w -= adam.step(gradient)
-    p, u = np.sort(positives @ w), np.sort(unlabelled @ w)
-    at = np.quantile(p, np.linspace(0.005, 0.5, 100))
-    over_p = 1 - np.searchsorted(p, at, "left") / len(p)
-    over_u = 1 - np.searchsorted(u, at, "left") / len(u)
-    return float(np.clip((over_u / over_p).min(), 0.05, 0.98))
+    return w
 
 
-class Model:
-    """Standardised features and the fitted weights."""
-
-    def __init__(self, positives: np.ndarray, unlabelled: np.ndarray):
-        self.prior, self.weights = 0.5, None
-        if not len(positives) or not len(unlabelled):
-            return
-        both = np.concatenate([positives, unlabelled])
-        self.mean, self.scale = both.mean(axis=0), np.maximum(both.std(axis=0), 0.02)
-        p, u = self._scaled(positives), self._scaled(unlabelled)
-        self.prior = estimate_prior(p, u)
-        self.weights = fit_risk(p, u, self.prior)
-
-    def _scaled(self, rows: np.ndarray) -> np.ndarray:
+def thresholds(positives: np.ndarray, unlabelled: np.ndarray) -> np.ndarray:
+    """Bounds of the ranges: quantiles of the upper part of the positive scores, and of all scores."""
+    half = BINS // 2
+    return np.unique(np.concatenate([np.quantile(positives, np.linspace(0.005, 0.5, half)), np.quantile(unlabelled, np.linspace(0, 1, BINS - half + 1)[1:-1])]))
+
+
+def prior_above(positives: np.ndarray, bounds: np.ndarray, counts: np.ndarray) -> float:
+    """The share of positives among texts, of which ``counts`` are in the ranges between ``bounds``."""
+    over_p = 1 - np.searchsorted(np.sort(positives), bounds, "left") / len(positives)
+    over_u = np.cumsum(counts[::-1])[::-1][1:] / max(1, counts.sum())
+    return float(np.clip((over_u / over_p)[over_p >= 0.5 - 1e-9].min(initial=1.0), 0.05, 0.98))
+
+
+def estimate_prior(positives: np.ndarray, unlabelled: np.ndarray, steps: int = STEPS // 2) -> float:
+    """The share of positives in unlabelled rows that are all at hand."""
+    w = fit_ranking(positives, unlabelled, steps)
+    bounds = thresholds(positives @ w, unlabelled @ w)
+    return prior_above(positives @ w, bounds, np.bincount(np.searchsorted(bounds, unlabelled @ w, "right"), minlength=len(bounds) + 1))
+
+
+class Scale:
+    """Standardised features, with a column of ones."""
+
+    def __init__(self, rows: np.ndarray):
+        self.mean, self.scale = rows.mean(axis=0), np.maximum(rows.std(axis=0), 0.02)
+
+    def __call__(self, rows: np.ndarray) -> np.ndarray:
         scaled = np.clip((rows - self.mean) / self.scale, -8, 8)
         return np.concatenate([scaled, np.ones((len(rows), 1))], axis=1).astype(np.float32)
 
-    def score(self, text: str | None) -> float:
-        if self.weights is None:
-            return self.prior
-        return float(_sigmoid(self._scaled(measures(text)[None, :]) @ self.weights)[0])
 
+class Model:
+    """The fitted weights over standardised features; without weights all scores are the prior."""
 
-def learn(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Model:
-    """The model of bounded samples of the rows where ``trains`` (over ``doc_id``) holds."""
-    ids = documents.select(F.col(id_col).cast("long").alias("doc_id")).where(trains)
-    trusted = labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("doc_id")).where(trains)
+    def __init__(self, scale: Scale | None = None, weights: np.ndarray | None = None, prior: float = 0.5):
+        self.scale, self.weights, self.prior = scale, weights, prior
 
-    def lowest(frame: DataFrame, kind: str) -> DataFrame:
-        return frame.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct().withColumn(kind, F.lit(True))
+    def score(self, texts: list[str | None]) -> np.ndarray:
+        """Scores of a batch of texts."""
+        if self.weights is None or not texts:
+            return np.full(len(texts), self.prior)
+        return _sigmoid(self.scale(np.array([measures(t) for t in texts])) @ self.weights).astype(float)
 
-    chosen = lowest(trusted, "positive").join(lowest(ids, "unlabelled"), "doc_id", "full")
-    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # At most two samples of ids.
-    rows = rows.join(F.broadcast(chosen), "doc_id").select("text", F.coalesce("positive", F.lit(False)).alias("positive"), F.coalesce("unlabelled", F.lit(False)).alias("unlabelled"))
-    schema = pa.schema([("positive", pa.bool_()), ("unlabelled", pa.bool_()), ("features", pa.binary())])
-    body = per_row(schema, lambda text, p, u: (p, u, measures(text).astype(np.float16).tobytes()), "text", "positive", "unlabelled")
-    found = map_rows(rows, body, "positive boolean, unlabelled boolean, features binary").collect()
-    pick = lambda k: np.array([np.frombuffer(r[2], np.float16) for r in found if r[k]][: 2 * sample], np.float32).reshape(-1, WIDTH)
-    return Model(pick(0), pick(1))
+
+def _in_bins(held, bounds_and_ranking) -> Callable:
+    """Of each range of the ranking the number of texts and the sums of their standardised features, as whole numbers."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds, ranking = bounds_and_ranking
+        sums = np.zeros((len(bounds) + 1, WIDTH + 1), np.int64)
+        for batch in batches:
+            if batch.num_rows:
+                rows = held.value(np.array([measures(t) for t in batch.column("text").to_pylist()]))
+                np.add.at(sums, np.searchsorted(bounds, rows @ ranking, "right"), np.rint(rows * UNIT).astype(np.int64))
+        bins, features = np.nonzero(sums)
+        yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), pa.array(features, pa.int32()), pa.array(sums[bins, features])], ["bin", "feature", "n"])
+
+    return run
+
+
+def learn(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Model:
+    """The model of the rows where ``trains`` (over ``doc_id``) holds: a bounded sample of positives, all unlabelled text."""
+    context = documents.sparkSession.sparkContext
+    texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(trains)
+    trusted = labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("doc_id")).where(trains)
+    schema = pa.schema([("doc_id", pa.int64()), ("features", pa.binary())])
+
+    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            features = [measures(t).astype(np.float16).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(features, pa.binary())], schema=schema)
+
+    def sampled(ids: DataFrame) -> np.ndarray:
+        # At most ``sample`` ids, and at most twice as many rows whatever ids repeat.
+        chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
+        rows = map_rows(texts.join(F.broadcast(chosen), "doc_id"), featured, "doc_id long, features binary")
+        found = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(2 * sample).select("features").toArrow().column("features").to_pylist()
+        return np.array([np.frombuffer(x, np.float16) for x in found], np.float32).reshape(-1, WIDTH)
+
+    positives = sampled(trusted)
+    if not len(positives):
+        return Model()
+    unlabelled = sampled(texts.select("doc_id"))
+    scale = Scale(np.concatenate([positives, unlabelled]))
+    positives, unlabelled = scale(positives), scale(unlabelled)
+    ranking = fit_ranking(positives, unlabelled)
+    bounds = thresholds(positives @ ranking, unlabelled @ ranking)
+
+    parts = map_rows(texts.select("text"), _in_bins(context.broadcast(scale), (bounds, ranking)), "bin int, feature int, n long")
+    found = parts.groupBy("bin", "feature").agg(F.sum("n").alias("n")).toArrow()
+    sums = np.zeros((len(bounds) + 1, WIDTH + 1))
+    sums[found.column("bin").to_numpy(), found.column("feature").to_numpy()] = found.column("n").to_numpy()
+    # The last feature of a text is 1.
+    counts = sums[:, -1] / UNIT
+    means = (sums / np.maximum(1, counts)[:, None] / UNIT).astype(np.float32)[counts > 0]
+    prior = prior_above(positives @ ranking, bounds, counts)
+    return Model(scale, fit_risk(positives, means, prior, weights=counts[counts > 0]), prior)
 
 
 def score_quality(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> DataFrame:
     """``doc_id`` and ``score``, the probability of label 1, of every document."""
     model = documents.sparkSession.sparkContext.broadcast(learn(documents, labels, trains, id_col, text_col, label_col, sample))
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    schema = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
-    return map_rows(rows, per_row(schema, lambda doc_id, text: (doc_id, model.value.score(text)), "doc_id", "text"), "doc_id long, score double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.value.score(batch.column("text").to_pylist()))], ["doc_id", "score"])
+
+    return map_rows(rows, run, "doc_id long, score double")

@@ -20,7 +20,7 @@ from folioworks.llm.components import connected_components
 from folioworks.llm.decontaminate import Index, align, clean_documents, contaminated_regions
 from folioworks.llm.html_extract import extract, extract_main_text, winning_paths
 from folioworks.llm.language_id import gram_buckets, identify
-from folioworks.llm.quality_classifier import estimate_prior, fit_risk, score_quality
+from folioworks.llm.quality_classifier import DECAY, estimate_prior, fit_risk, risk, score_quality
 from folioworks.llm.quality_rules import Rules, base_counts, good_documents, js_distance, quality_verdicts
 from folioworks.llm.simhash import fingerprint, links, simhash_classes
 from folioworks.llm.source_mix import draw_slots, mix_sources, plan_streams, sizes, targets
@@ -409,6 +409,47 @@ def test_prior_and_risk_on_known_mixtures():
     assert w[0] > 0 and 1 / (1 + np.exp(-(w[0] * -3 + w[1]))) < 0.1 < 0.9 < 1 / (1 + np.exp(-(w[0] * 2.5 + w[1])))
 
 
+def test_risk_is_at_its_least():
+    """No small step from the fitted weights lowers the risk as defined, computed apart."""
+    rng = np.random.default_rng(1)
+    one = np.ones((500, 1))
+    p = np.hstack([rng.normal(1, 1, (500, 2)), one]).astype(np.float32)
+    u = np.hstack([np.where(rng.random((500, 1)) < 0.5, rng.normal(1, 1, (500, 2)), rng.normal(-1, 1, (500, 2))), one]).astype(np.float32)
+
+    def by_hand(w, prior):
+        positive = sum(np.log1p(np.exp(-float(x @ w))) for x in p) / len(p)
+        as_negative = sum(np.log1p(np.exp(float(x @ w))) for x in p) / len(p)
+        unlabelled = sum(np.log1p(np.exp(float(x @ w))) for x in u) / len(u)
+        return prior * positive + max(0, unlabelled - prior * as_negative)
+
+    w = fit_risk(p, u, 0.5, steps=600)
+    assert risk(w, p, u, 0.5) == pytest.approx(by_hand(w, 0.5) + DECAY / 2 * float(w[:-1] @ w[:-1]), rel=1e-4)
+    assert all(by_hand(w + 0.3 * step, 0.5) > by_hand(w, 0.5) - 1e-3 for step in np.vstack([np.eye(3), -np.eye(3)]))
+    # A row that stands for k rows is as good as k rows.
+    k = rng.integers(1, 4, len(u))
+    assert np.allclose(fit_risk(p, u, 0.5, weights=k), fit_risk(p, np.repeat(u, k, axis=0), 0.5), atol=2e-2)
+
+
+def test_every_unlabelled_text_counts(spark, monkeypatch):
+    """Numbers and sums by range are those of all texts, whatever the partitions; the sample only sets the ranges."""
+    from folioworks.llm import quality_classifier as Q
+
+    rng = random.Random(15)
+    rows = [(i, prose(rng, rng.randint(0, 80)) + " ###" * (i % 3)) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1) for i in range(0, 300, 3)], "doc_id long, quality int")
+    seen = []
+    fit = Q.fit_risk
+    monkeypatch.setattr(Q, "fit_risk", lambda p, u, prior, weights: seen.append((u, weights, prior)) or fit(p, u, prior, weights=weights))
+    for parts in (1, 7):
+        model = Q.learn(docs.repartition(parts), marks, F.lit(True), sample=40)
+        means, counts, _ = seen[-1]
+        assert counts.sum() == 300
+        whole = model.scale(np.array([Q.measures(t) for _, t in rows]))
+        assert np.allclose((means * counts[:, None]).sum(axis=0), whole.sum(axis=0), atol=0.5)
+    assert (seen[0][0] == seen[1][0]).all() and (seen[0][1] == seen[1][1]).all() and seen[0][2] == seen[1][2]
+
+
 # 7. Mixing
 
 
