@@ -25,7 +25,7 @@ from folioworks.llm.quality_rules import Rules, base_counts, good_documents, js_
 from folioworks.llm.simhash import fingerprint, links, simhash_classes
 from folioworks.llm.source_mix import draw_slots, mix_sources, plan_streams, sizes, targets
 from folioworks.llm.suffix_dedup import LENGTH, merged, remove_repeats, repeat_digests
-from folioworks.llm.toxicity import fit, score_toxicity, word_hashes
+from folioworks.llm.toxicity import fit, likelihood, score_toxicity, word_hashes
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Column names that the operators use inside.
@@ -228,6 +228,43 @@ def test_thresholds_are_ordered_and_weights_shared():
     assert len(word_hashes(None)) == 0
 
 
+def test_likelihood_is_at_its_most():
+    """No small step of weights or thresholds raises the ordinal likelihood, computed apart."""
+    rng = np.random.default_rng(2)
+    words = np.array([3, 7, 9], np.uint32)
+    rows = [np.array(sorted({int(rng.integers(20, 99)), *words[rng.random(3) < 0.4].tolist()}), np.uint32) for _ in range(400)]
+    held = np.array([[w in r for w in words] for r in rows], float)
+    grades = np.clip(held @ [1, 2, 3] + rng.integers(-1, 2, 400), 0, 3).astype(int)
+    model = fit(rows, grades, words, steps=3000)
+
+    def by_hand(weights, length, cuts):
+        total = 0.0
+        for row, g in zip(rows, grades, strict=True):
+            z = sum(w for w, k in zip(weights, words, strict=True) if k in row) + length * np.log(1 + len(row))
+            for k, t in enumerate(cuts, 1):
+                p = 1 / (1 + np.exp(-(z - t)))
+                total += np.log(p if g >= k else 1 - p)
+        return total
+
+    best = by_hand(model.weights, model.length, model.thresholds)
+    assert best == pytest.approx(likelihood(model, rows, grades), rel=1e-6)
+    for i in range(3):
+        for d in (-0.3, 0.3):
+            step = np.eye(3)[i] * d
+            assert by_hand(model.weights + step, model.length, model.thresholds) < best
+            assert by_hand(model.weights, model.length, model.thresholds + step / 3) < best
+
+
+def test_given_grades_are_learnt_as_they_are(spark):
+    rng = random.Random(3)
+    bad = ["vilest", "grossly", "scummish"]
+    rows = [(i, prose(rng, 50) + " " + " ".join(bad[: i % 4]), i % 4) for i in range(400)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    got = {r.doc_id: r for r in score_toxicity(docs, spark.createDataFrame([(r[0], r[2]) for r in rows[:300]], "doc_id long, toxic int")).collect()}
+    assert sum(got[r[0]].grade == r[2] for r in rows[300:]) > 95
+    assert all(abs(got[r[0]].expected_severity - r[2]) < 0.6 for r in rows[300:])
+
+
 def test_held_out_toxicity(spark):
     folder = "/root/testdata/sf0.01"
     docs, marks = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
