@@ -79,7 +79,7 @@ def _parts(texts: list[str]) -> Iterator[list[tuple[int, str, int]]]:
 
 
 def gram_buckets(texts: list[str], buckets: int = BUCKETS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Text number and bucket of all n-grams that hold a letter, sorted by number, some texts at a time."""
+    """Text number and bucket of all n-grams that hold a letter, sorted by number, some texts and one length at a time."""
     for parts in _parts(texts):
         points = _folded("".join(p for _, p, _ in parts)).astype(np.uint64)
         lengths = np.array([len(p) for _, p, _ in parts])
@@ -88,7 +88,6 @@ def gram_buckets(texts: list[str], buckets: int = BUCKETS) -> Iterator[tuple[np.
         begin = np.repeat(ends - lengths + [o for _, _, o in parts], lengths)
         owner = np.repeat([n for n, _, _ in parts], lengths)
         at = np.arange(len(points))
-        numbers, codes = [], []
         for order in ORDERS:
             n = len(points) - order + 1
             if n <= 0:
@@ -101,12 +100,8 @@ def gram_buckets(texts: list[str], buckets: int = BUCKETS) -> Iterator[tuple[np.
                 letters |= part != 32
             # Inside one part, and not wholly within what it shares with the one before.
             letters &= (at[:n] + order <= end[:n]) & (at[:n] + order > begin[:n])
-            numbers.append(owner[:n][letters])
-            codes.append(((code[letters] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % buckets)
-        number, code = np.concatenate(numbers), np.concatenate(codes)
-        order = np.argsort(number, kind="stable")
-        if len(order):
-            yield number[order], code[order]
+            if letters.any():
+                yield owner[:n][letters], ((code[letters] * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) % buckets
 
 
 def _counted(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
@@ -149,7 +144,7 @@ class Model:
             for at in range(0, len(ids), step):
                 rows = number[at : at + step]
                 starts = np.flatnonzero(np.concatenate(([True], rows[1:] != rows[:-1])))
-                out[rows[starts]] += np.add.reduceat(self.matrix[ids[at : at + step]], starts, axis=0, dtype=np.float64)
+                out[rows[starts]] += np.add.reduceat(self.matrix[ids[at : at + step]].astype(np.float64), starts, axis=0)
         return out
 
 
