@@ -542,6 +542,75 @@ def test_slots_take_every_block_once_a_pass(spark):
         assert [s.block for s in found[:n]] != sorted(s.block for s in found[:n])
 
 
+def mixed_rows():
+    rng = random.Random(21)
+    rows = [(i, prose(rng, rng.randint(0, 40)), f"s{i % 9}" if i % 3 else "hot") for i in range(200)]
+    rows += [(None, "one two three", "hot")] * 70 + [(None, None, "hot"), (7, "one two three", None), (7, "one two three", None), (8, "w " * 700, "s1")]
+    return rows
+
+
+def test_taken_words_by_hand(spark, monkeypatch):
+    """Each slot's words, laid over the packed documents one by one; rows that are alike share one place."""
+    from folioworks.llm import source_mix as M
+
+    block = 8
+    monkeypatch.setattr(M, "GROUP", 3)
+    docs = spark.createDataFrame(mixed_rows(), "doc_id long, text string, source string").repartition(5)
+    sized = sizes(docs.withColumn("text_hash", F.xxhash64("text")), "doc_id", "text", "source", "text_hash").withColumn("row", F.monotonically_increasing_id()).cache()
+    words, owner_size = defaultdict(dict), {}
+    for part in M.pack_blocks(sized, block, 20).collect():
+        for at in range(part.start, part.start + part.words):
+            assert words[part.source].setdefault(part.block * block + at, part.row) == part.row
+        owner_size[part.row] = part.size
+    for source, of in words.items():
+        assert sorted(of) == list(range(len(of))), source
+        assert all(n == owner_size[row] for row, n in Counter(of.values()).items())
+    assert sum(map(len, words.values())) == sum(len((r[1] or "").split()) for r in mixed_rows())
+    taken = Counter()
+    for slot in draw_slots(plan_streams(sized, block), block, 16).collect():
+        for at in range(slot.words):
+            if slot.block * block + at in words[slot.source]:
+                taken[words[slot.source][slot.block * block + at]] += 1
+    due = Counter((r.doc_id, r.source, r["size"], taken[r.row]) for r in sized.collect())
+    assert due == Counter((r.doc_id, r.source, r["size"], r.taken) for r in mix_sources(docs, block=block, shard=16, cell_rows=20).collect())
+
+
+def test_many_sources_and_groups_change_nothing(spark, monkeypatch):
+    from folioworks.llm import source_mix as M
+
+    docs = spark.createDataFrame(mixed_rows(), "doc_id long, text string, source string")
+    plain = sorted(map(str, mix_sources(docs, block=8, shard=16).collect()))
+    for name, value in (("MOST_SOURCES", 3), ("FEW_SOURCES", 2), ("GROUP", 2)):
+        monkeypatch.setattr(M, name, value)
+        assert sorted(map(str, mix_sources(docs.repartition(3), block=8, shard=16).collect())) == plain, name
+
+
+def test_permutations_are_whole_and_stir(spark):
+    from folioworks.llm.source_mix import permuted
+
+    sizes_ = [*range(1, 40), 97, 256, 257, 1000, 100_000]
+    rows = spark.createDataFrame([(n, 11 * n) for n in sizes_], "blocks long, key long")
+    rows = rows.withColumn("wide", F.ceil(F.sqrt("blocks")).cast("long")).withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    there = permuted(rows, "at", "to")
+    got = there.groupBy("blocks").agg(F.count_distinct("to").alias("n"), F.min("to").alias("low"), F.max("to").alias("high"), F.count_if(F.col("at") == F.col("to")).alias("same")).collect()
+    assert all(r.n == r.blocks and r.low == 0 and r.high == r.blocks - 1 for r in got)
+    assert max(r.same for r in got if r.blocks >= 97) < 10
+    assert permuted(there, "to", "back", backwards=True).where("back <> at").isEmpty()
+
+
+def test_targets_by_sums_settle_as_by_hand(spark):
+    rng = random.Random(2)
+    rows = [(i, "w " * rng.choice([0, 1, 2, 30, 400]), f"h{i:03d}") for i in range(120)] + [(1, "w w", None)]
+    got = targets(sizes(spark.createDataFrame(rows, "doc_id long, text string, source string"))).collect()
+    by_name = sorted(got, key=lambda r: (r.source is None, r.source or ""))
+    assert [r.weight for r in by_name] == [i % 3 + 1 for i in range(121)]
+    low, high = 0.0, 1e9
+    for _ in range(200):
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(3 * r.source_size, level * r.weight) for r in got) < sum(r.source_size for r in got) else (low, level)
+    assert all(r.target == pytest.approx(min(3 * r.source_size, low * r.weight), rel=1e-6) for r in got)
+
+
 # 8. Decontamination
 
 
