@@ -65,25 +65,30 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     _AREAS.open.append([])
     outer = len(_AREAS.open) - 2
     try:
-        yield lambda frame: _written(frame, outer)
+        yield lambda frame: _written(frame, outer)[1]
     finally:
         for path in _AREAS.open.pop():
             delete(spark, path)
 
 
-def _written(frame: DataFrame, area: int) -> DataFrame:
+def _written(frame: DataFrame, area: int) -> tuple[str, DataFrame]:
     spark = frame.sparkSession
     shared_checkpoints(spark)
     path = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/table-{uuid.uuid4().hex}"
     if area >= 0:
         _AREAS.open[area].append(path)
     frame.write.parquet(path)
-    return spark.read.schema(frame.schema).parquet(path)
+    return path, spark.read.schema(frame.schema).parquet(path)
+
+
+def stored_at(frame: DataFrame) -> tuple[str, DataFrame]:
+    """As ``stored``, with the table's path before it."""
+    return _written(frame, len(_AREAS.open) - 1)
 
 
 def stored(frame: DataFrame) -> DataFrame:
     """The rows of ``frame``, written once as a table in the shared checkpoint folder; this cuts its lineage."""
-    return _written(frame, len(_AREAS.open) - 1)
+    return stored_at(frame)[1]
 
 
 def small_batches(frame: DataFrame) -> DataFrame:

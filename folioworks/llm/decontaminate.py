@@ -31,11 +31,17 @@ The budget e is ``edits`` of the pattern's length. The result is one row a
 document, item and region: ``doc_id, item_id, start, end`` (bytes of the text)
 and ``edits``. Overlapping regions of one item are joined.
 
-The index is broadcast in blocks of ``index_bytes`` of pattern text at most, so
-a benchmark of any size is searched, block by block. Items without text, null
-or blank, are not searched, nor those of fewer than ``least`` bytes; an item
-without an id is searched like others. Null texts have no hits.
-Repeated rows give repeated results.
+The index is broadcast in blocks of ``index_bytes`` of item text at most, one
+block at a time: what a block finds or leaves is written before the next one is
+made, so a benchmark of any size is searched with the memory of a block. Hits are
+counted some ``HITS`` at a time, so a text of one q-gram over and over takes no
+more memory than others. Texts of any length are searched whole, in overlapping
+parts. Items without text, null or blank, are not searched, nor those of fewer
+than ``least`` bytes; an item without an id is searched like others. Null and
+empty texts have no hits. Repeated rows, also of one id, give repeated results;
+of regions of one item that touch the joined one is given, with the most edits.
+Empty tables give no regions and leave all documents. Other columns are ignored,
+or kept by ``clean_documents``, whatever they are called.
 """
 
 from __future__ import annotations
@@ -48,7 +54,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import delete, map_rows, stored, stored_at
 
 Q = 10
 EDITS = 0.085
@@ -59,6 +65,7 @@ WINDOW_STEP = 16
 LEAST = 1
 INDEX_BYTES = 2 << 20
 PART = 1 << 20
+HITS = 1 << 20
 BITS = 22
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b in b"\t\n\v\f\r" else b for b in range(256))
 #: Bytes of words: digits, letters and all of other scripts.
@@ -121,16 +128,33 @@ class Index:
         lengths = np.array([len(p) for _, p, _ in self.patterns], np.int64)
         self.needed = np.maximum(1, lengths - Q + 1 - Q * self.budgets)
 
-    def _hits(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pattern and diagonal of every q-gram the text shares with a pattern."""
+    def _hits(self, data: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Pattern and diagonal of every q-gram the text shares with a pattern, some HITS at a time."""
         code = grams(data)
         at = np.flatnonzero(self.maybe[_slots(code)])
         found = code[at]
-        low, high = np.searchsorted(self.codes, found, "left"), np.searchsorted(self.codes, found, "right")
-        many = high - low
+        low = np.searchsorted(self.codes, found, "left")
+        many = np.searchsorted(self.codes, found, "right") - low
         at, low, many = at[many > 0], low[many > 0], many[many > 0]
-        rows = np.repeat(low - np.concatenate(([0], np.cumsum(many)[:-1])), many) + np.arange(many.sum()) if len(many) else np.zeros(0, np.int64)
-        return self.owners[rows].astype(np.int64), np.repeat(at, many) - self.places[rows]
+        so_far = np.cumsum(many)
+        start = 0
+        while start < len(at):
+            done = so_far[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(so_far, done + HITS, "right")))
+            n = many[start:end]
+            rows = np.repeat(low[start:end] - (so_far[start:end] - n - done), n) + np.arange(so_far[end - 1] - done)
+            yield self.owners[rows].astype(np.int64), np.repeat(at[start:end], n) - self.places[rows]
+            start = end
+
+    def _bands(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Patterns and bands with their counts of hits; band b holds the hits of the half bands b and b + 1."""
+        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for owners, diagonals in self._hits(data):
+            half, hits = np.unique((owners << 32) | (diagonals + PIECE + Q) // (self.budgets[owners] + 1), return_counts=True)
+            merged, place = np.unique(np.concatenate([keys, half, half - 1]), return_inverse=True)
+            counts = np.bincount(place, np.concatenate([counts, hits, hits]), minlength=len(merged)).astype(np.int64)
+            keys = merged
+        return keys, counts
 
     def _short_items(self, data: bytes) -> Iterator[tuple[int | None, int, int, int]]:
         """Items without a q-gram, verbatim and between word boundaries."""
@@ -145,14 +169,7 @@ class Index:
                     yield item_id, at, at + length, 0
 
     def _regions(self, data: bytes) -> Iterator[tuple[int, int, int, int]]:
-        owners, diagonals = self._hits(np.frombuffer(data, np.uint8))
-        if not len(owners):
-            return
-        half = self.budgets[owners] + 1
-        bands = (diagonals + PIECE + Q) // half
-        # Band b holds the hits of the half bands b and b + 1.
-        own = owners << 32
-        keys, counts = np.unique(np.concatenate([own | bands, own | (bands - 1)]), return_counts=True)
+        keys, counts = self._bands(np.frombuffer(data, np.uint8))
         enough = counts >= self.needed[keys >> 32]
         tried: set[tuple[int, int]] = set()
         for key in keys[enough].tolist():
@@ -216,8 +233,9 @@ def align(pattern: bytes, data: bytes, low: int, high: int, budget: int) -> tupl
     return (starts[k], len(pattern) + low + k, costs[k]) if costs[k] <= budget else None
 
 
-def _blocks(items: DataFrame, least: int, index_bytes: int) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, least: int, index_bytes: int) -> Iterator[list[tuple[int, str]]]:
     """Benchmark items in blocks of bounded size, streamed to the driver one partition at a time."""
+    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
     block, held = [], 0
     for item_id, text in items.where(F.octet_length("text") >= least).toLocalIterator():
         size = len(text.encode())
@@ -230,42 +248,71 @@ def _blocks(items: DataFrame, least: int, index_bytes: int) -> Iterator[list[tup
         yield block
 
 
+#: The index that a worker has made last, with the items it is of.
+_MADE: list = [None, None]
+
+
+def _index(items: list[tuple[int, str]], edits: float) -> Index:
+    if _MADE[0] is not items:
+        _MADE[:] = [items, Index(items, edits)]
+    return _MADE[1]
+
+
+REGION = pa.schema([(n, pa.int64()) for n in ("doc_id", "item_id", "start", "end", "edits")])
+
+
 def contaminated_regions(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", edits: float = EDITS, least: int = LEAST, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """``doc_id, item_id, start, end, edits`` of every region that holds benchmark text."""
     context = documents.sparkSession.sparkContext
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).dropna(subset=["text"])
-    schema = pa.schema([(n, pa.int64()) for n in ("doc_id", "item_id", "start", "end", "edits")])
+    columns = ", ".join(f"{n} long" for n in REGION.names)
 
     def search_with(held):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(held.value, edits)
+            index = _index(held.value, edits)
             for batch in batches:
                 found = [(d, *x) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for x in index.search(t)]
-                columns = list(zip(*found, strict=True)) if found else [[]] * len(schema)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+                values = list(zip(*found, strict=True)) if found else [[]] * len(REGION)
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], schema=REGION)
 
         return run
 
-    parts = [map_rows(rows, search_with(context.broadcast(block)), "doc_id long, item_id long, start long, end long, edits long") for block in _blocks(items, least, index_bytes)]
+    blocks = _blocks(benchmark, item_col, item_text_col, least, index_bytes)
+    parts, block = [], next(blocks, None)
+    while block is not None:
+        held, following = context.broadcast(block), next(blocks, None)
+        found = map_rows(rows, search_with(held), columns)
+        if parts or following is not None:
+            found = stored(found)
+            held.destroy()
+        parts.append(found)
+        block = following
     if not parts:
-        return rows.limit(0).select("doc_id", *(F.lit(0).cast("long").alias(n) for n in ("item_id", "start", "end", "edits")))
+        return rows.limit(0).select("doc_id", *(F.lit(0).cast("long").alias(n) for n in REGION.names[1:]))
     return reduce(DataFrame.unionAll, parts)
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", edits: float = EDITS, least: int = LEAST, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """The rows in which no benchmark text is found, with all their columns."""
     context = documents.sparkSession.sparkContext
-    items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).dropna(subset=["text"])
 
     def free_of(held):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            index = Index(held.value, edits)
+            index = _index(held.value, edits)
             for batch in batches:
                 yield batch.filter(pa.array([not index.search(t) for t in batch.column(text_col).to_pylist()], pa.bool_()))
 
         return run
 
-    for block in _blocks(items, least, index_bytes):
-        documents = map_rows(documents, free_of(context.broadcast(block)), documents.schema)
+    blocks = _blocks(benchmark, item_col, item_text_col, least, index_bytes)
+    block, written = next(blocks, None), None
+    while block is not None:
+        held, following = context.broadcast(block), next(blocks, None)
+        documents = map_rows(documents, free_of(held), documents.schema)
+        if written is not None or following is not None:
+            last, written, documents = written, *stored_at(documents)
+            held.destroy()
+            if last is not None:
+                delete(documents.sparkSession, last)
+        block = following
     return documents

@@ -655,6 +655,47 @@ def test_regions_are_spans_of_the_text(spark):
     assert {(r.doc_id, r.item_id) for r in one_by_one.collect()} == set(got)
 
 
+@pytest.mark.parametrize("hits", [1 << 20, 50, 1])
+def test_hits_are_counted_in_parts_of_any_size(monkeypatch, hits):
+    rng = random.Random(31)
+    items = [(i, prose(rng, 30)) for i in range(4)] + [(9, "a " * 60)]
+    index = Index(items)
+    text = prose(rng, 40) + items[1][1] + " a a" * 70 + items[3][1][20:]
+    data = text.encode()
+    due = Counter()
+    for number, (_, pattern, budget) in enumerate(index.patterns):
+        for i in range(len(pattern) - 9):
+            for j in range(len(data) - 9):
+                if pattern[i : i + 10] == data[j : j + 10]:
+                    half = (j - i + 160 + 10) // (budget + 1)
+                    due[number, half] += 1
+                    due[number, half - 1] += 1
+    monkeypatch.setattr("folioworks.llm.decontaminate.HITS", hits)
+    keys, counts = index._bands(np.frombuffer(data, np.uint8))
+    assert {(k >> 32, k & 0xFFFFFFFF): n for k, n in zip(keys.tolist(), counts.tolist(), strict=True)} == due
+
+
+def test_one_gram_over_and_over_takes_bounded_memory():
+    import tracemalloc
+
+    index = Index([(1, "a " * 80)])
+    tracemalloc.start()
+    assert index.search("a " * 40_000)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150e6
+
+
+def test_regions_of_hard_tables(spark, hard, benchmark):
+    wide = hard.select("*", *(F.lit("x").alias(c) for c in [*CLASH, "item_id", "start", "end", "edits"]))
+    plain = sorted(map(str, contaminated_regions(hard, benchmark).collect()))
+    assert plain and sorted(map(str, contaminated_regions(wide, benchmark).collect())) == plain
+    ids = sorted(map(str, clean_documents(hard, benchmark).select("doc_id").collect()))
+    for size in (1, 100):
+        assert sorted(map(str, contaminated_regions(wide, benchmark, index_bytes=size).collect())) == plain
+        assert sorted(map(str, clean_documents(wide, benchmark, index_bytes=size).select("doc_id").collect())) == ids
+
+
 def test_alignment_counts_edits():
     assert align(b"abcdefgh", b"xxabcdefghyy", 0, 4, 1) == (2, 10, 0)
     assert align(b"abcdefgh", b"xxabcXefghyy", 0, 4, 1) == (2, 10, 1)
