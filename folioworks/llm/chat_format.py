@@ -10,26 +10,65 @@ carry 0. ``text`` is the concatenation of the segments, ``segment_chars`` their
 lengths in code points and ``segment_mask`` their masks.
 
 Long dialogues come in parts: part k holds the turns numbered 256 k to
-256 k + 255 (and is divided further if more rows than that share those
-numbers), so no task gathers a whole conversation. A view's parts, put
-together by ``part`` and ``piece``, are the whole rendering.
-
-Turns are ordered by number, role, text; repeated rows stay. A null text is
-empty, a null role is ``unknown``, a null turn number comes first (part -1),
-rows of a null conversation form one conversation. Other columns are ignored.
-A conversation of context roles alone has no view.
+256 k + 255, turns without a number are part -1 and come first. A part of more
+rows than that, as numbers may be missing or repeat, is divided into pieces of
+256 rows. A view's parts, put together by ``part`` and ``piece``, are the whole
+rendering.
+
+Turns are ordered by number, role, text; repeated rows stay. No task orders a
+whole conversation, however its turns are numbered: parts of more than ``CROWD``
+rows are sorted by ranges over all tasks, equal rows too, and a row's place is the
+number of its part's rows in the ranges before, and its own place in its range.
+
+A null text is empty, a null role is ``unknown``, rows of a null conversation form
+one conversation. Texts of any length are rendered whole. Markers inside texts
+and roles are left as they are; the lengths of the segments, not the markers, say
+where a turn ends. Other columns are ignored, whatever they are called. A
+conversation of context roles alone has no view; an empty table gives none.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import stored
+
 PART = 256
+#: Rows of one part that a task may order.
+CROWD = 4096
+MOST_RANGES = 20_000
 CONTEXT = ("system",)
 END = "<|end|>\n"
 
 
+def _placed(turns: DataFrame) -> DataFrame:
+    """Turns with their ``place`` in their part, from 1."""
+    order = [F.col("turn").asc_nulls_first(), "role", "text"]
+    ranked = lambda rows: rows.withColumn("place", F.row_number().over(Window.partitionBy("conv_id", "part").orderBy(*order)))
+    crowded = stored(turns.groupBy("conv_id", "part").agg(F.count("*").alias("rows")).where(F.col("rows") > CROWD))
+    if crowded.isEmpty():
+        return ranked(turns)
+    names = turns.columns
+    same = F.col("t.conv_id").eqNullSafe(F.col("c.conv_id")) & (F.col("t.part") == F.col("c.part"))
+    told = turns.alias("t").join(crowded.alias("c"), same, "left").select("t.*", "c.rows")
+    tasks = math.ceil(crowded.agg(F.sum("rows")).first()[0] / CROWD)
+    # Equal rows are spread by a number of their own, written down, so that they fill several ranges and a lost task gives the same.
+    salted = stored(told.where("rows is not null").select(*names).withColumn("salt", F.rand(0)))
+    spread = salted.repartitionByRange(min(tasks, MOST_RANGES), "conv_id", "part", *order, "salt")
+    ranges = stored(spread.withColumn("range", F.spark_partition_id()))
+    counts = ranges.groupBy("conv_id", "part", "range").agg(F.count("*").alias("n"))
+    # One row a part and range.
+    earlier = Window.partitionBy("conv_id", "part").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.withColumn("start", F.coalesce(F.sum("n").over(earlier), F.lit(0))).drop("n")
+    inside = ranges.withColumn("rank", F.row_number().over(Window.partitionBy("conv_id", "part", "range").orderBy(*order)))
+    same = F.col("i.conv_id").eqNullSafe(F.col("s.conv_id")) & (F.col("i.part") == F.col("s.part")) & (F.col("i.range") == F.col("s.range"))
+    hot = inside.alias("i").join(starts.alias("s"), same).select(*(f"i.{c}" for c in names), (F.col("start") + F.col("rank")).cast("int").alias("place"))
+    return ranked(told.where("rows is null").select(*names)).unionByName(hot)
+
+
 def rotate_perspectives(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", part: int = PART, context: tuple[str, ...] = CONTEXT) -> DataFrame:
     """``conv_id, perspective, part, piece, n_turns, text, segment_chars, segment_mask`` of every view."""
     turns = conversations.select(
@@ -38,8 +77,7 @@ def rotate_perspectives(conversations: DataFrame, conv_col: str = "conv_id", tur
         F.coalesce(F.col(role_col).cast("string"), F.lit("unknown")).alias("role"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     ).withColumn("part", F.coalesce(F.floor(F.col("turn") / part), F.lit(-1)).cast("long"))
-    in_part = Window.partitionBy("conv_id", "part").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    placed = turns.withColumn("place", F.row_number().over(in_part)).withColumn("piece", F.floor((F.col("place") - 1) / part).cast("long"))
+    placed = _placed(turns).withColumn("piece", F.floor((F.col("place") - 1) / part).cast("long"))
     pieces = placed.groupBy("conv_id", "part", "piece").agg(F.sort_array(F.collect_list(F.struct("place", "role", "text"))).alias("turns"))
 
     speakers = turns.where(~F.col("role").isin(*context)).select("conv_id", F.col("role").alias("perspective")).distinct()

@@ -8,8 +8,10 @@ Two such fingerprints differ in at most two of eight bytes, so they share at
 least six positional bytes. The inverted index posts every distinct fingerprint
 under its positional bytes, four positions to a posting key: the eight
 positions form four neighbouring pairs, of which two at least must agree, which
-makes six keys. A pair from one posting list is kept if its tally of shared
-positional bytes reaches six, and is then verified by counting bits.
+makes six keys. A posting holds the positional bytes beyond its key, so a pair
+from one list has a tally of the four bytes of the key and of those further
+positions that agree. Pairs whose tally reaches six, the guaranteed least, are
+kept and verified by counting bits.
 
 Long posting lists do not emit pairs: within a list only the 32 bits beyond the
 key can differ, so each fingerprint is posted again under the 33 values that
@@ -19,8 +21,11 @@ finds the same links in linear space; no list is cut short.
 
 Nulls and texts without words have the fingerprint zero. Rows of one doc_id
 are kept apart as rows; their classes are told apart by ``root``, the smallest
-fingerprint of a class, as two classes can have the same smallest doc_id.
-Columns other than the id and the text are ignored.
+fingerprint of a class, as two classes can have the same smallest doc_id. Rows
+without an id are of classes like others; a class of such rows alone has no
+``component_id``. Texts of any length are hashed whole, their votes counted in
+parts. An empty table gives an empty result. Columns other than the id and the
+text are ignored, whatever they are called.
 """
 
 from __future__ import annotations
@@ -28,12 +33,14 @@ from __future__ import annotations
 from itertools import accumulate, combinations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, per_row, stored
+from .bitmap import among, bitmap
+from .common import map_rows, per_row, scratch, small_batches, stored
 from .components import connected_components
 
 SHINGLE = 3
@@ -102,42 +109,61 @@ def links(distinct: DataFrame, long_list: int = LONG_LIST) -> DataFrame:
     pairs = F.flatten(
         F.transform("fps", lambda x, i: F.transform(F.slice("fps", i + 2, long_list), lambda y: F.struct(x.alias("x"), y.alias("y"))))
     )
-    near = short.select(F.explode(pairs).alias("p")).select("p.x", "p.y")
+    near = short.select("key", F.explode(pairs).alias("p")).select("key", "p.x", "p.y")
     masks = F.array(*(F.array(*(F.lit(b).cast("long") for b in _other_bits(i, j))) for i, j in PAIR_KEYS))
     number = F.shiftright("key", 32).cast("int")
     spread = lists.where(F.col("count") > long_list).select("key", "fp", F.explode(F.element_at(masks, number + 1)).alias("mask"))
     hubs = spread.groupBy("key", F.col("fp").bitwiseXOR(F.col("mask")).alias("hub")).agg(F.sort_array(F.collect_set("fp")).alias("fps"))
-    far = hubs.where(F.size("fps") > 1).select(F.element_at("fps", 1).alias("x"), F.explode(F.slice("fps", 2, 33)).alias("y"))
+    far = hubs.where(F.size("fps") > 1).select("key", F.element_at("fps", 1).alias("x"), F.explode(F.slice("fps", 2, 33)).alias("y"))
     differ = F.col("x").bitwiseXOR(F.col("y"))
-    shared = sum((F.shiftrightunsigned(differ, 8 * n).bitwiseAND(F.lit(0xFF)) == 0).cast("int") for n in range(POSITIONS))
-    tallied = near.union(far).where(shared >= POSITIONS - DISTANCE)
-    return tallied.where(F.bit_count(differ) <= DISTANCE).distinct()
+    agree = [(F.shiftrightunsigned(differ, 8 * n).bitwiseAND(F.lit(0xFF)) == 0).cast("int") for n in range(POSITIONS)]
+    # Of each key, how many positions beyond its own four agree.
+    beyond = F.array(*(sum(agree[n] for n in range(POSITIONS) if n // 2 not in pair) for pair in PAIR_KEYS))
+    tallied = near.union(far).withColumn("tally", F.lit(POSITIONS // 2) + F.element_at(beyond, number + 1))
+    counted = tallied.where(F.col("tally") >= POSITIONS - DISTANCE)
+    return counted.where(F.bit_count(differ) <= DISTANCE).select("x", "y").distinct()
 
 
 def simhash_classes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_list: int = LONG_LIST) -> DataFrame:
     """One row a document: ``doc_id``, ``fp`` and ``component_id``, the smallest doc_id of its class."""
-    return _rooted(fingerprints(documents, id_col, text_col), long_list).select("doc_id", "fp", "component_id")
+    with scratch(documents.sparkSession) as kept:
+        return kept(_rooted(fingerprints(documents, id_col, text_col), long_list).select("doc_id", "fp", "component_id"))
 
 
 def one_of_each_class(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text", long_list: int = LONG_LIST) -> DataFrame:
     """The rows of ``documents`` without the others of their classes, with all their columns.
 
-    A class keeps its first row by id, fingerprint, and hashes of the text and
-    of the whole row, so a rerun chooses the same one; rows alike in every
-    column count as one. Rows without an id have no place in that order: they
-    stay.
+    A class keeps its first row by id (null last), fingerprint, and hashes of
+    the text and of the whole row, so a rerun chooses the same one; rows alike in
+    every column count as one. Only rows that may have to go are shuffled, which
+    a bitmap of fixed size tells.
     """
+    spark = documents.sparkSession
     text = F.col(text_col).cast("string")
     hashes = {"text_hash": F.xxhash64(text), "row_hash": F.xxhash64(*(F.col(c) for c in documents.columns))}
-    classes = _rooted(fingerprints(documents, id_col, text_col, hashes), long_list)
-    order = ("doc_id", "fp", "text_hash", "row_hash")
-    firsts = classes.where("doc_id is not null").groupBy("root").agg(F.min(F.struct(*order)).alias("first"))
-    firsts = stored(firsts.select(F.col("first.doc_id").alias("_first_id"), F.col("first.row_hash").alias("_first_hash")))
-    here = documents.withColumn("_row_hash", hashes["row_hash"])
-    rows = here.join(firsts, (F.col(id_col).cast("long") == F.col("_first_id")) & (F.col("_row_hash") == F.col("_first_hash")), "left_semi")
-    if not classes.where("doc_id is not null").groupBy("doc_id", "row_hash").count().where("count > 1").isEmpty():
-        rows = rows.dropDuplicates([id_col, "_row_hash"])
-    return rows.select(documents.columns).union(documents.where(F.col(id_col).isNull()))
+    names = {"doc_id": "_dup_id", "text_hash": "_dup_text", "row_hash": "_dup_row"}
+    with scratch(spark) as kept:
+        classes = _rooted(fingerprints(documents, id_col, text_col, hashes), long_list)
+        rows = classes.groupBy("root", "fp", *names).agg(F.count("*").alias("n"))
+        order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", "text_hash", "row_hash")
+        firsts = rows.groupBy("root").agg(F.min(order).alias("first"), F.sum("n").alias("all")).where(F.col("all") > 1)
+        known = rows.join(firsts, "root").withColumn("_dup_first", order == F.col("first"))
+        # Rows that go, and those that stay once though they are there twice.
+        marked = known.where("not _dup_first or n > 1").select(*(F.col(c).alias(x) for c, x in names.items()), "_dup_first").distinct()
+        marked = kept(marked)
+    held = spark.sparkContext.broadcast(bitmap(marked.select(F.col("_dup_row").alias("key"))))
+
+    @F.pandas_udf("boolean")
+    def maybe(keys: pd.Series) -> pd.Series:
+        return pd.Series(among(held.value, keys.to_numpy(np.int64).view(np.uint64)))
+
+    here = small_batches(documents).withColumn("_dup_here", hashes["row_hash"]).withColumn("_dup_maybe", maybe("_dup_here"))
+    near = here.where("_dup_maybe").withColumn("_dup_body", hashes["text_hash"]).alias("d").join(
+        marked.alias("m"), (F.col("d._dup_here") == F.col("m._dup_row")) & (F.col("d._dup_body") == F.col("m._dup_text")) & F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("m._dup_id")), "left"
+    )
+    once = near.where("_dup_first").dropDuplicates(["_dup_id", "_dup_text", "_dup_row"])
+    stay = here.where("not _dup_maybe").select(documents.columns).union(near.where("_dup_first is null").select(documents.columns))
+    return stay.union(once.select(documents.columns))
 
 
 def _rooted(prints: DataFrame, long_list: int) -> DataFrame:

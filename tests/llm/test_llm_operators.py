@@ -141,6 +141,19 @@ def test_long_and_odd_conversations_come_in_whole_parts(spark):
     assert rotate_perspectives(turns(spark, rows).limit(0)).collect() == []
 
 
+def test_crowded_parts_are_ordered_alike(spark, monkeypatch):
+    """Parts with a large share of all rows, also of equal rows, give what one window gives."""
+    rng = random.Random(5)
+    rows = [(1, None, rng.choice("ab"), prose(rng, 2), "x") for _ in range(700)] + [(1, None, "a", "same", "x")] * 500 + [(None, 3, "b", None, "x")] * 300
+    rows += [(2, i, "ab"[i % 2], str(i), "x") for i in range(40)]
+    frame = turns(spark, rows).repartition(3)
+    due = sorted(map(str, rotate_perspectives(frame).collect()))
+    monkeypatch.setattr("folioworks.llm.chat_format.CROWD", 50)
+    assert sorted(map(str, rotate_perspectives(frame).collect())) == due
+    wide = frame.select("*", *(F.lit("x").alias(c) for c in ("piece", "place", "rows", "range", "salt", "rank", "start", "perspective", "turns", "n_turns")))
+    assert sorted(map(str, rotate_perspectives(wide).collect())) == due
+
+
 # 2. HTML extraction
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><header><h1>Site</h1></header><nav><ul><li><a href="/">Home</a></li></ul></nav>
@@ -889,6 +902,47 @@ def test_queries_have_the_contract_columns(spark):
         assert [c for c in got if c in columns] == [c for c in columns if c in got] and set(columns) <= set(got), name
 
 
+def test_near_duplicates_row_by_row(spark):
+    """One row of each class, whatever ids repeat or are missing; other classes stay whole. By hand, over all pairs."""
+    rng = random.Random(17)
+    base = [prose(rng, 60) for _ in range(6)]
+    near = base[0].replace(base[0].split()[5], "other", 1)
+    rows = [(1, base[0]), (1, base[1]), (2, base[0]), (3, near), (None, base[0]), (None, base[2]), (None, base[2]), (None, base[3]), (7, base[3]), (1, base[1]), (5, None), (6, ""), (None, " "), (9, base[4]), (9, base[4] + "  "), (9, base[5])]
+    rows = [(i, t, "en" if n % 2 else None, "s", n if n < 9 else None) for n, (i, t) in enumerate(rows)]
+    rows += [(9, base[5], None, "s", None)] * 3
+    root = roots_by_hand([fingerprint_by_hand(r[1]) for r in rows])
+    due = set()
+    for group in set(root):
+        due.add(min(((r[0] is None, r[0] or 0) for r, g in zip(rows, root, strict=True) if g == group)) + (group,))
+    for parts in (1, 4):
+        frame = spark.createDataFrame(rows, DOCS).select("*", *(F.lit("x").alias(c) for c in ("root", "fp", "first", "n", "last", "all", "row_hash", "text_hash"))).repartition(parts)
+        got = corpus_pipeline.STAGES[1][1](spark, frame, "")
+        assert got.columns == frame.columns
+        kept = got.collect()
+        assert len(kept) == len(due)
+        assert {(r.doc_id is None, r.doc_id or 0) for r in kept} == {d[:2] for d in due}
+        prints = [fingerprint_by_hand(r.text) for r in kept]
+        assert len(set(roots_by_hand(prints))) == len(kept)
+    first = spark.createDataFrame(rows, DOCS)
+    assert sorted(map(str, corpus_pipeline.STAGES[1][1](spark, first, "").collect())) == sorted(map(str, corpus_pipeline.STAGES[1][1](spark, first.repartition(7), "").collect()))
+    assert corpus_pipeline.STAGES[1][1](spark, first.limit(0), "").collect() == []
+
+
+def test_pipeline_stages_on_hard_tables(spark, hard, tmp_path):
+    folder = str(tmp_path)
+    spark.createDataFrame([(1, hard_rows()[3][1][:150]), (None, None)], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+    wide = hard.select("*", *(F.lit("x").alias(c) for c in CLASH))
+    for frame in (hard, wide, hard.limit(0)):
+        docs = frame
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, docs, folder)
+            if name != corpus_pipeline.STAGES[-1][0]:
+                assert out.columns == frame.columns
+                docs = spark.createDataFrame(out.collect(), docs.schema)
+            else:
+                assert out.count() == docs.count()
+
+
 def test_pipeline_stage_by_stage_against_brute_force(spark):
     folder = "/root/testdata/sf0.001"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
