@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioworks.llm.common import shared_checkpoints, table
+from folioworks.llm.common import delete, shared_checkpoints, table
 from folioworks.llm.decontaminate import clean_documents
 from folioworks.llm.quality_rules import good_documents
 from folioworks.llm.simhash import one_of_each_class
@@ -26,10 +26,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each SimHash class, the one of the smallest doc_id; rows of one id may be of many classes.
-
-    Rows without an id have no place in that order: they stay.
-    """
+    """One row of each SimHash class, the one of the smallest doc_id, null last; rows of one id may be of many classes."""
     return one_of_each_class(docs)
 
 
@@ -62,7 +59,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows; each stage is written to the shared folder and read again."""
+    """The last stage's rows; each stage is written to the shared folder and read again.
+
+    A stage's table is deleted when the next one's is there; the last one's stays
+    until the folder is cleared, as the rows returned are read from it.
+    """
     shared_checkpoints(spark)
     folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
     docs = table(spark, sf_dir, "documents")
@@ -70,4 +71,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if number:
+            delete(spark, f"{folder}/{number - 1}")
     return docs
