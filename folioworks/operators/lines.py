@@ -9,19 +9,19 @@ from pyspark.sql import functions as F
 
 from ..errors import SmokeTestError
 from ..functions import charset, ids, text
-from ..sources.ivtff import formats, loci, pages, read_lines
+from ..sources.ivtff import formats, loci, pages_with_counts, read_lines
 from ..sources.tables import file_hashes
 
 COLUMNS = "page_id line_number line_index line_id text text_clean line_type position quire section currier_language hand illustration_type char_count word_count has_uncertain has_illegible has_alternatives has_high_ascii source source_version".split()
+#: The name of the rules that made ``text_clean``, for reports.
+TEXT_POLICY = "clean_for_analysis"
 
 
 def line_table(lines: DataFrame, source_name: str = "primary", source_version: str = "") -> DataFrame:
     """One row a locus, with its page's attributes. ``lines`` is a frame of ``file, line_no, line``."""
-    heads = pages(lines, comments=False).select("file", "page_ord", "page_id", "variables")
-    rows = loci(lines, comments=False).join(heads, ["file", "page_ord"])
     raw = F.col("text")
-    rows = rows.withColumn("text_clean", text.clean_for_analysis(raw))
-    checked = charset.checked_text(F.col("text_clean"))
+    rows = loci(lines, comments=False, with_page=True).withColumn("text_clean", text.clean_for_analysis(raw))
+    rows, checked = rows.withColumn("checked", charset.checked_text(F.col("text_clean"))), F.col("checked")
     return rows.select(
         "page_id",
         F.col("locus_number").alias("line_number"),
@@ -55,46 +55,51 @@ def in_order(table: DataFrame) -> DataFrame:
 def with_places(table: DataFrame, *ties: str) -> DataFrame:
     """Every line with its ``place`` in reading order, from 1; ``ties`` order lines of equal keys.
 
-    A place is the number of lines on the pages before plus the rank on the
-    page: only page sizes, one row a page, are ordered in one task.
+    A place is the number of lines in the folios before, on the folio's pages
+    before, and the rank on the page: one task orders the folios, one row each.
     """
     key = ids.reading_order(F.col("page_id"), F.col("line_index"))
-    page = F.struct(*(key[c].alias(c) for c in ("folio", "side", "panel", "page")))
-    rows = table.withColumn("_page", page)
-    earlier = Window.partitionBy(F.lit(1)).orderBy("_page").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = rows.groupBy("_page").agg(F.count("*").alias("_n")).select("_page", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_page").orderBy("line_index", *ties)))
-    return ranked.join(offsets, "_page").withColumn("place", F.col("_before") + F.col("_rank")).drop("_page", "_before", "_rank")
+    rows = table.withColumn("_folio", key["folio"]).withColumn("_page", F.struct(*(key[c].alias(c) for c in ("side", "panel", "page"))))
+    pages = rows.groupBy("_folio", "_page").agg(F.count("*").alias("_n"))
+    earlier = Window.unboundedPreceding, -1
+    folios = pages.groupBy("_folio").agg(F.sum("_n").alias("_n")).select("_folio", F.coalesce(F.sum("_n").over(Window.orderBy("_folio").rowsBetween(*earlier)), F.lit(0)).alias("_base"))
+    inside = pages.withColumn("_inside", F.coalesce(F.sum("_n").over(Window.partitionBy("_folio").orderBy("_page").rowsBetween(*earlier)), F.lit(0)))
+    offsets = inside.join(folios, "_folio").select("_folio", "_page", (F.col("_base") + F.col("_inside")).alias("_before"))
+    ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_folio", "_page").orderBy("line_index", *ties)))
+    return ranked.join(offsets, ["_folio", "_page"]).withColumn("place", F.col("_before") + F.col("_rank")).drop("_folio", "_page", "_before", "_rank")
 
 
 def _counts(frame: DataFrame, key) -> dict[str, int]:
     return {k: n for k, n in frame.groupBy(F.coalesce(key, F.lit("unknown"))).count().collect()}
 
 
-def build_report(lines: DataFrame, table: DataFrame) -> dict:
-    """Counts over the pages and lines of a build; ``table`` should be cached, it is read several times."""
-    heads = pages(lines, comments=False)
+def build_report(lines: DataFrame, table: DataFrame, policy: str = TEXT_POLICY, most_warnings: int = 1000) -> dict:
+    """Counts over the pages and lines of a build; ``table`` should be cached, it is read several times.
+
+    Of the warnings ``most_warnings`` are listed and the others counted.
+    """
+    heads = pages_with_counts(lines).cache()
     section = ids.section_of_page(F.col("page_id"), F.col("variables.illustration"))
-    used = loci(lines, comments=False).select("file", "page_ord").distinct()
-    empty = heads.join(used, ["file", "page_ord"], "left_anti")
     sums = table.agg(F.count("*").alias("total_lines"), F.coalesce(F.sum("char_count"), F.lit(0)).alias("total_characters"), F.coalesce(F.sum("word_count"), F.lit(0)).alias("total_words"), F.count_if("has_high_ascii").alias("lines_with_high_ascii")).first().asDict()
     form = formats(lines).orderBy("file").first()
-    without = sorted(r.page_id for r in empty.select("page_id").collect())
-    total = heads.count()
+    total, without = heads.agg(F.count("*"), F.count_if(F.expr("n_loci = 0"))).first()
+    odd = table.where(~charset.is_clean(F.col("text_clean")))
+    warnings = [f"{r[0]} holds characters that clean text must not: {' '.join(r[1])}" for r in odd.select("line_id", charset.unclean_characters(F.col("text_clean"))).orderBy("line_id").limit(most_warnings).collect()]
+    more = odd.count() - len(warnings) if len(warnings) == most_warnings else 0
     return sums | {
         "build_date": datetime.datetime.now(datetime.UTC).strftime("%Y-%m-%dT%H:%M:%SZ"),
         "format_version": form and form.format_version,
         "format_options": form and form.format_options,
         "total_pages": total,
         "total_pages_in_source": total,
-        "pages_with_lines": total - len(without),
-        "pages_without_lines": len(without),
-        "page_ids_without_lines": without,
+        "pages_with_lines": total - without,
+        "pages_without_lines": without,
+        "page_ids_without_lines": [r.page_id for r in heads.where("n_loci = 0").select("page_id").orderBy("page_id").toLocalIterator()],
         "pages_by_language": _counts(heads, F.col("variables.language")),
         "pages_by_section": _counts(heads, section),
         "lines_by_type": _counts(table, F.col("line_type")),
-        "text_clean_policy": "centralized_v0.2.1",
-        "warnings": [f"Invalid chars in {r[0]}: {r[1]}" for r in table.where(~charset.is_clean(F.col("text_clean"))).select("line_id", charset.unclean_characters(F.col("text_clean"))).orderBy("line_id").limit(1000).collect()],
+        "text_clean_policy": policy,
+        "warnings": warnings + ([f"... and {more} more"] if more > 0 else []),
         "errors": [],
     }
 

@@ -5,19 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import ids, text
-from ..sources.ivtff import loci, pages, read_lines
+from ..functions import ids
+from ..sources.ivtff import pages_with_counts, read_lines
 from ..sources.tables import file_hashes
 
 
 def page_records(lines: DataFrame, attribution: str = "consensus") -> DataFrame:
     """One row a page header, with ``page_ord`` as source order. Pages without loci stay."""
-    counts = loci(lines, comments=False).groupBy("file", "page_ord").agg(
-        F.count_if(F.expr("locus_type = 'P'")).alias("line_count"),
-        F.count_if(F.expr("locus_type = 'L'")).alias("label_count"),
-        F.bool_or(text.strip(F.col("text")) != "").alias("has_text"),
-    )
-    rows = pages(lines, comments=False).join(counts, ["file", "page_ord"], "left").withColumn("page_id", F.lower("page_id"))
+    rows = pages_with_counts(lines).withColumn("page_id", F.lower("page_id"))
     page, number = F.col("page_id"), ids.folio_number(F.col("page_id"))
     return rows.select(
         "file",
@@ -33,9 +28,9 @@ def page_records(lines: DataFrame, attribution: str = "consensus") -> DataFrame:
         F.col("variables.language").alias("currier_language"),
         F.col("variables.hand").alias("hand"),
         F.col("variables.illustration").alias("illustration_type"),
-        F.coalesce("line_count", F.lit(0)).alias("line_count"),
-        F.coalesce("label_count", F.lit(0)).alias("label_count"),
-        F.coalesce("has_text", F.lit(False)).alias("has_text"),
+        "line_count",
+        "label_count",
+        "has_text",
         ids.panel(page).isNotNull().alias("is_foldout_panel"),
         ids.panel(page).alias("panel_number"),
         ids.total_panels(page).alias("total_panels"),

@@ -50,9 +50,7 @@ BROKEN_LINES = f"""{P.LINES}, damaged AS (SELECT * REPLACE (CASE WHEN hash_ % 10
 
 def damaged_lines(spark, sf_dir):
     """Lines of the synthetic transcription, with their file, in which some cells are wrong."""
-    lines = P.transcript(spark, sf_dir)
-    heads = ivtff.pages(lines, comments=False).select("file", "page_ord", "page_id")
-    loci = ivtff.loci(lines, comments=False).join(heads, ["file", "page_ord"])
+    loci = ivtff.loci(P.transcript(spark, sf_dir), comments=False, with_page=True)
     raw = F.col("text")
     checked = charset.checked_text(F.col("text_clean"))
     sound = loci.withColumn("text_clean", T.clean_for_analysis(raw)).select(

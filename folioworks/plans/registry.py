@@ -27,10 +27,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(frame: DataFrame) -> DataFrame:
-    """``frame`` over all cores if it was read in fewer parts than there are; larger tables stay as they are.
+def spread(frame: DataFrame, least_bytes: int = 64 << 20) -> DataFrame:
+    """``frame``, a table as read, over all cores if its files are fewer and small; larger tables stay as they are.
 
     A small table in one row group is one task, however much work its rows make.
     """
     cores = frame.sparkSession.sparkContext.defaultParallelism
-    return frame.repartition(cores) if frame.rdd.getNumPartitions() < cores else frame
+    small = len(frame.inputFiles()) < cores and frame._jdf.queryExecution().analyzed().stats().sizeInBytes() < least_bytes * cores
+    return frame.repartition(cores) if small else frame

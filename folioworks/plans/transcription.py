@@ -33,7 +33,7 @@ def transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
     return said.union(heads).union(loci).union(form)
 
 
-TRANSCRIPT = f"""transcript AS (
+TRANSCRIPT = f"""transcript AS MATERIALIZED (
  SELECT 'c' || o_custkey AS file, o_orderkey * 10000000000 AS line_no, concat('# order ', cast(o_orderkey as string)) AS line FROM orders WHERE o_orderkey % 6 = 0
  UNION ALL SELECT 'c' || o_custkey, o_orderkey * 10000000000 + 1, {_HEADER} FROM orders
  UNION ALL SELECT 'c' || o_custkey, {_PLACE}, {_LOCUS} FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
@@ -42,7 +42,7 @@ PAGE = "'^<(f[0-9]+[rv][0-9]*)>\\s*(.*)$'"
 VAR = "nullif(list_last(regexp_extract_all(header, '\\${0}=([^\\s$>]+)', 1)), '')"
 PARSED = f"""{TRANSCRIPT},
  kinds AS (SELECT *, regexp_matches(line, {PAGE}) AS is_page, regexp_matches(line, {LOCUS}) AS is_locus FROM transcript),
- placed AS (SELECT *, CAST(sum(CAST(is_page AS INT)) OVER (PARTITION BY file ORDER BY line_no) AS BIGINT) AS page_ord FROM kinds),
+ placed AS MATERIALIZED (SELECT *, CAST(sum(CAST(is_page AS INT)) OVER (PARTITION BY file ORDER BY line_no) AS BIGINT) AS page_ord FROM kinds),
  heads AS (SELECT file, page_ord, line_no, regexp_extract(line, {PAGE}, 1) AS page_id, regexp_extract(line, {PAGE}, 2) AS header FROM placed WHERE is_page),
  pages_ AS (SELECT file, page_ord, line_no, page_id, {VAR.format('Q')} AS quire, {VAR.format('P')} AS page_in_quire, TRY_CAST({VAR.format('B')} AS INT) AS bifolio, {VAR.format('I')} AS illustration, {VAR.format('L')} AS language, {VAR.format('H')} AS hand FROM heads),
  loci AS (SELECT file, page_ord, line_no, regexp_extract(line, {LOCUS}, 1) AS locus_page_id, CAST(regexp_extract(line, {LOCUS}, 2) AS INT) AS locus_number, nullif(regexp_extract(line, {LOCUS}, 3), '') AS position,
@@ -88,7 +88,7 @@ CHECKED = r"regexp_replace(clean, '@[0-9]+;', '', 'g')"
 LINES = f"""{PARSED},
  stripped AS (SELECT l.*, p.page_id, quire, language, hand, illustration, CAST(regexp_extract(p.page_id, '^f([0-9]+)', 1) AS INT) AS num, {STRIP} AS s FROM loci l JOIN pages_ p USING (file, page_ord)),
  cleaned AS (SELECT *, trim(replace(translate(s, '?!*', ''), 'I', 'i')) AS clean FROM stripped),
- lines AS (SELECT file, page_id, locus_number AS line_number, line_index, page_id || ':' || locus_number AS line_id, text, clean AS text_clean, CASE locus_type WHEN 'P' THEN 'paragraph' WHEN 'L' THEN 'label' WHEN 'C' THEN 'circle' WHEN 'R' THEN 'radius' ELSE 'unknown' END AS line_type,
+ lines AS MATERIALIZED (SELECT file, page_id, locus_number AS line_number, line_index, page_id || ':' || locus_number AS line_id, text, clean AS text_clean, CASE locus_type WHEN 'P' THEN 'paragraph' WHEN 'L' THEN 'label' WHEN 'C' THEN 'circle' WHEN 'R' THEN 'radius' ELSE 'unknown' END AS line_type,
   position, quire, {SECTION} AS section, language AS currier_language, hand, illustration AS illustration_type, CAST(length(regexp_replace(lower({CHECKED}), '[^a-vx-z]', '', 'g')) AS BIGINT) AS char_count,
   CAST(len(list_filter(regexp_split_to_array({CHECKED}, '[.,\\s]+'), lambda x: x <> '')) AS BIGINT) AS word_count, contains(s, '?') AS has_uncertain, regexp_matches(s, '[!*]') AS has_illegible, contains(text, '[') AND contains(text, ':') AS has_alternatives, regexp_matches(text, '@[0-9]+;') AS has_high_ascii FROM cleaned)"""
 
@@ -119,12 +119,9 @@ def reading_order(spark, sf_dir):
  SELECT count(*) AS total_lines, CAST(sum(char_count) AS BIGINT) AS total_characters, CAST(sum(word_count) AS BIGINT) AS total_words, count(*) FILTER (has_high_ascii) AS lines_with_high_ascii,
  (SELECT count(*) FROM pages_) AS total_pages, (SELECT count(*) FROM u) AS pages_with_lines, (SELECT count(*) FROM pages_) - (SELECT count(*) FROM u) AS pages_without_lines FROM lines""")
 def build_lines_report(spark, sf_dir):
-    lines = transcript(spark, sf_dir)
     sums = line_rows(spark, sf_dir).agg(F.count("*").alias("total_lines"), F.sum("char_count").alias("total_characters"), F.sum("word_count").alias("total_words"), F.count_if("has_high_ascii").alias("lines_with_high_ascii"))
-    records = M.page_records(lines)
     # A page has lines if any locus was counted on it.
-    used = ivtff.loci(lines, comments=False).select("file", "page_ord").distinct()
-    pages = records.select("file", "page_ord").join(used.withColumn("used", F.lit(True)), ["file", "page_ord"], "left").agg(F.count("*").alias("total_pages"), F.count("used").alias("pages_with_lines"), F.count_if(F.expr("used is null")).alias("pages_without_lines"))
+    pages = ivtff.pages_with_counts(transcript(spark, sf_dir)).agg(F.count("*").alias("total_pages"), F.count_if(F.expr("n_loci > 0")).alias("pages_with_lines"), F.count_if(F.expr("n_loci = 0")).alias("pages_without_lines"))
     return sums.crossJoin(F.broadcast(pages))
 
 
@@ -216,8 +213,6 @@ def canonical_json_sha(spark, sf_dir):
 
 @query(f"WITH {LINES} SELECT line_id, file, length(regexp_replace(lower(text), '[^a-vx-z]', '', 'g')) AS raw_letters, char_count FROM lines WHERE has_high_ascii")
 def high_code_lines(spark, sf_dir):
-    lines = transcript(spark, sf_dir)
-    heads = ivtff.pages(lines, comments=False).select("file", "page_ord", "page_id")
-    rows = ivtff.loci(lines, comments=False).join(heads, ["file", "page_ord"])
-    clean = charset.checked_text(T.clean_for_analysis(F.col("text")))
-    return rows.where(T.has_high_codes(F.col("text"))).select(F.concat_ws(":", "page_id", "locus_number").alias("line_id"), "file", charset.letter_count(F.col("text")).alias("raw_letters"), charset.letter_count(clean).alias("char_count"))
+    rows = ivtff.loci(transcript(spark, sf_dir), comments=False, with_page=True).where(T.has_high_codes(F.col("text")))
+    rows = rows.withColumn("clean", charset.checked_text(T.clean_for_analysis(F.col("text"))))
+    return rows.select(F.concat_ws(":", "page_id", "locus_number").alias("line_id"), "file", charset.letter_count(F.col("text")).alias("raw_letters"), charset.letter_count(F.col("clean")).alias("char_count"))

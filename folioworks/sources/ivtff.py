@@ -1,9 +1,12 @@
 """Reading transcription files: ordered lines to pages and loci.
 
-A file is one row that is split into numbered lines; everything positional is
-a window over the lines of one file, so files are read in parallel. A page is
-a header's occurrence (``page_ord``), not its id: a repeated header opens a new
-page and its lines count from 1 again.
+Files are read in their splits, so a file of any size is read in parallel, and
+lines are numbered over the splits. Everything positional is a running value
+over the lines of a file: the pages so far, the header last met, the loci before
+it. Such values run within a split, and what a split starts with is carried from
+the ends of the splits before it, one row each. Frames of lines without splits
+are windows over files. A page is a header's occurrence (``page_ord``), not its
+id: a repeated header opens a new page and its lines count from 1 again.
 """
 
 from __future__ import annotations
@@ -31,9 +34,13 @@ def _numbered(texts: DataFrame, breaks: str) -> DataFrame:
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """``file, line_no, line`` of text files; bytes that are no UTF-8 become U+FFFD."""
-    texts = spark.read.text(paths, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    return _numbered(texts, FILE_BREAKS)
+    """``file, line_no, line`` of text files, and the ``split`` a line is of; bytes that are no UTF-8 become U+FFFD."""
+    rows = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), F.make_valid_utf8("value").alias("line"))
+    # Lines of a split are numbered without gaps; one row a split is summed over its file.
+    sizes = rows.groupBy("file", "split").agg(F.min("at").alias("first"), F.count("*").alias("n"))
+    earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+    bases = sizes.select("file", "split", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    return rows.join(bases, ["file", "split"]).select("file", (F.col("at") - F.col("first") + F.col("base") + 1).alias("line_no"), "line", "split")
 
 
 def lines_of(texts: DataFrame) -> DataFrame:
@@ -70,14 +77,31 @@ def classify(lines: DataFrame) -> DataFrame:
 def placed(lines: DataFrame) -> DataFrame:
     """Classified lines with their page and comment group.
 
-    ``page_ord`` numbers the headers of a file, 0 before the first. ``island``
-    counts the accepted pages and loci before a line: comments go to the next one.
+    ``page_ord`` numbers the headers of a file, 0 before the first, and ``head``
+    is the header last met (its ``line_no`` and ``line``). ``line_index`` counts
+    the loci since then. ``island`` counts the accepted pages and loci before a
+    line: comments go to the next one.
     """
-    before = Window.partitionBy("file").orderBy("line_no")
-    upto, earlier = before.rowsBetween(Window.unboundedPreceding, 0), before.rowsBetween(Window.unboundedPreceding, -1)
-    marked = classify(lines).withColumn("page_ord", F.sum((F.col("kind") == "page").cast("int")).over(upto))
-    accepted = (F.col("kind") == "page") | ((F.col("kind") == "locus") & (F.col("page_ord") > 0))
-    return marked.withColumn("accepted", accepted).withColumn("island", F.coalesce(F.sum(F.col("accepted").cast("int")).over(earlier), F.lit(0)))
+    split = ["split"] if "split" in lines.columns else []
+    before = Window.partitionBy("file", *split).orderBy("line_no")
+    upto = before.rowsBetween(Window.unboundedPreceding, 0)
+    is_page, is_locus = F.col("kind") == "page", F.col("kind") == "locus"
+    seen = classify(lines).withColumn("pages_", F.sum(is_page.cast("int")).over(upto)).withColumn("loci_", F.sum(is_locus.cast("int")).over(upto))
+    head = F.when(is_page, F.struct("line_no", "line", F.col("loci_").alias("loci")))
+    seen = seen.withColumn("last_", F.last(head, True).over(upto)).withColumn("first_", F.first(head["loci"], True).over(upto))
+    if split:
+        ends = seen.groupBy("file", "split").agg(F.max_by(F.struct("pages_", "loci_", "last_", "first_"), "line_no").alias("end"))
+        earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
+        sums = ends.withColumn("pages0", F.coalesce(F.sum("end.pages_").over(earlier), F.lit(0))).withColumn("loci0", F.coalesce(F.sum("end.loci_").over(earlier), F.lit(0)))
+        last = F.when(F.col("end.last_").isNotNull(), F.struct(F.col("end.last_.line_no"), F.col("end.last_.line"), (F.col("end.last_.loci") + F.col("loci0")).alias("loci")))
+        carried = sums.select("file", "split", "pages0", "loci0", F.last(last, True).over(earlier).alias("last0"), F.first(F.col("end.first_") + F.col("loci0"), True).over(earlier).alias("first0"))
+        seen = seen.join(carried, ["file", "split"])
+        here = F.when(F.col("last_").isNotNull(), F.struct("last_.line_no", "last_.line", (F.col("last_.loci") + F.col("loci0")).alias("loci")))
+        seen = seen.withColumns({"pages_": F.col("pages_") + F.col("pages0"), "last_": F.coalesce(here, F.col("last0")), "first_": F.coalesce("first0", F.col("first_") + F.col("loci0")), "loci_": F.col("loci_") + F.col("loci0")})
+    accepted = is_page | (is_locus & (F.col("pages_") > 0))
+    # Loci before the first header are not accepted and belong to no page.
+    island = F.when(F.col("pages_") > 0, F.col("pages_") + F.col("loci_") - F.col("first_")).otherwise(0) - accepted.cast("int")
+    return seen.select(*lines.columns, "kind", F.col("pages_").cast("long").alias("page_ord"), F.struct("last_.line_no", "last_.line").alias("head"), (F.col("loci_") - F.col("last_.loci")).cast("int").alias("line_index"), accepted.alias("accepted"), island.cast("long").alias("island"))
 
 
 def check_strict(lines: DataFrame) -> None:
@@ -86,8 +110,8 @@ def check_strict(lines: DataFrame) -> None:
     first = bad.orderBy("file", "line_no").select("file", "line_no", "kind", "line").first()
     if first:
         if first.kind == "other":
-            raise MalformedLocusError(f"Line {first.line_no}: Unrecognized format: {first.line[:50]}", first.line_no, first.line)
-        raise MissingPageContextError(f"Line {first.line_no}: Locus without page context", first.line_no, first.line)
+            raise MalformedLocusError(f"line {first.line_no} is of no known kind: {first.line[:80]!r}", first.line_no, first.line)
+        raise MissingPageContextError(f"line {first.line_no} has a locus, but no page header stands before it", first.line_no, first.line)
 
 
 def _with_comments(events: DataFrame, marked: DataFrame) -> DataFrame:
@@ -97,25 +121,20 @@ def _with_comments(events: DataFrame, marked: DataFrame) -> DataFrame:
     return joined.withColumn("comments", F.coalesce(F.col("said.text"), F.array().cast("array<string>"))).drop("said", "island")
 
 
+def _page_columns(line: str) -> list[Column]:
+    return [F.regexp_extract(line, PAGE, 1).alias("page_id"), header_variables(F.regexp_extract(line, PAGE, 2)).alias("variables")]
+
+
 def pages(lines: DataFrame, comments: bool = True) -> DataFrame:
     """One row a page header: ``file, page_ord, line_no, page_id, variables`` and its comments."""
     marked = placed(lines)
-    found = marked.where("kind = 'page'").select("file", "page_ord", "line_no", F.regexp_extract("line", PAGE, 1).alias("page_id"), header_variables(F.regexp_extract("line", PAGE, 2)).alias("variables"), "island")
+    found = marked.where("kind = 'page'").select("file", "page_ord", "line_no", *_page_columns("line"), "island")
     return _with_comments(found, marked) if comments else found.drop("island")
 
 
-def loci(lines: DataFrame, comments: bool = True) -> DataFrame:
-    """One row a locus below a header, with the header's page (``page_ord``).
-
-    ``line_index`` counts a page's loci. The locus' own page id may differ from
-    its page's; ``locus_id`` is made of its own.
-    """
-    marked = placed(lines)
+def _locus_columns() -> list[Column]:
     part = lambda k: F.regexp_extract("line", LOCUS, k)
-    found = marked.where("kind = 'locus' and page_ord > 0").select(
-        "file",
-        "page_ord",
-        "line_no",
+    return [
         part(1).alias("locus_page_id"),
         part(2).cast("int").alias("locus_number"),
         F.nullif(part(3), F.lit("")).alias("position"),
@@ -125,12 +144,38 @@ def loci(lines: DataFrame, comments: bool = True) -> DataFrame:
         strip(part(7)).alias("text"),
         F.concat(F.substring_index("line", ">", 1), F.lit(">")).alias("raw_locator"),
         F.concat_ws(":", part(1), part(2).cast("int")).alias("locus_id"),
-        F.row_number().over(Window.partitionBy("file", "page_ord").orderBy("line_no")).alias("line_index"),
-        "island",
-    )
+        F.col("line_index"),
+    ]
+
+
+def loci(lines: DataFrame, comments: bool = True, with_page: bool = False) -> DataFrame:
+    """One row a locus below a header, with the header's page (``page_ord``).
+
+    ``line_index`` counts a page's loci. The locus' own page id may differ from
+    its page's; ``locus_id`` is made of its own. ``with_page`` adds the page's
+    ``page_id`` and ``variables``, from the header that each line carries.
+    """
+    marked = placed(lines)
+    here = marked.where("kind = 'locus' and page_ord > 0")
+    found = here.select("file", "page_ord", "line_no", *_locus_columns(), *(_page_columns("head.line") if with_page else []), "island")
     return _with_comments(found, marked) if comments else found.drop("island")
 
 
+def pages_with_counts(lines: DataFrame) -> DataFrame:
+    """``file, page_ord, page_id, variables`` of every page, with what its loci sum up to, in one pass.
+
+    ``n_loci`` are all loci, ``line_count`` and ``label_count`` those of
+    paragraphs and labels; ``has_text`` tells whether any holds text.
+    """
+    marked = placed(lines).where("kind in ('page', 'locus') and page_ord > 0")
+    of_type = lambda letter: F.count_if((F.col("kind") == "locus") & (F.regexp_extract("line", LOCUS, 4) == letter))
+    text = F.when(F.col("kind") == "locus", strip(F.regexp_extract("line", LOCUS, 7)) != "")
+    counted = marked.groupBy("file", "page_ord").agg(
+        F.max(F.when(F.col("kind") == "page", F.col("line"))).alias("head"), F.count_if(F.col("kind") == "locus").alias("n_loci"), of_type("P").alias("line_count"), of_type("L").alias("label_count"), F.coalesce(F.bool_or(text), F.lit(False)).alias("has_text")
+    )
+    return counted.select("file", "page_ord", *_page_columns("head"), "n_loci", "line_count", "label_count", "has_text")
+
+
 def formats(lines: DataFrame) -> DataFrame:
     """``file, format_version, format_options`` by the last format header of each file."""
     found = classify(lines).where("kind = 'format'")

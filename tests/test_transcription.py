@@ -74,7 +74,7 @@ def test_formats_last_one_wins(spark, parsed):
 def test_odd_lines_are_skipped_or_raise(spark, line):
     content = f"<f1r> <! $Q=A>\n{line}\n"
     assert ivtff.parse_text(spark, content).loci.count() == 0
-    with pytest.raises(MalformedLocusError, match="Line 2: Unrecognized format"):
+    with pytest.raises(MalformedLocusError, match="line 2 is of no known kind"):
         ivtff.parse_text(spark, content, strict=True)
 
 
