@@ -137,18 +137,28 @@ def letter_frequencies(checked: Column) -> Column:
     return F.map_filter(counts, lambda _, n: n > 0)
 
 
-def validate(text: Column, strict: bool = False) -> Column:
-    """A struct of counts, unknown characters and validity (which only ``strict`` can deny)."""
-    checked = checked_text(text)
+#: Parts of a validation that cost a pass over the text each.
+DETAILS = ("unknown_chars", "unknown_positions", "char_frequencies", "compound_counts")
+
+
+def validate_checked(checked: Column, strict: bool = False, details: tuple[str, ...] = DETAILS) -> Column:
+    """A struct of counts, the details named, and validity (which only ``strict`` can deny), of ``checked_text``.
+
+    ``checked`` should be a column of its own, computed in an earlier projection:
+    it is used by every part.
+    """
     n_unknown = F.char_length(unknown_text(checked)).cast("long")
+    made = {"unknown_chars": unknown_characters, "unknown_positions": unknown_positions, "char_frequencies": letter_frequencies, "compound_counts": lambda c: compound_counts(c, lower=False)}
     return F.struct(
         (n_unknown == 0 if strict else F.lit(True)).alias("is_valid"),
         letter_count(checked).alias("char_count"),
         word_count(checked).alias("word_count"),
         n_unknown.alias("n_unknown"),
-        unknown_characters(checked).alias("unknown_chars"),
-        unknown_positions(checked).alias("unknown_positions"),
-        letter_frequencies(checked).alias("char_frequencies"),
-        compound_counts(checked, lower=False).alias("compound_counts"),
+        *(made[d](checked).alias(d) for d in DETAILS if d in details),
         (n_unknown if strict else F.lit(0).cast("long")).alias("n_errors"),
     )
+
+
+def validate(text: Column, strict: bool = False) -> Column:
+    """The same of a text as it is."""
+    return validate_checked(checked_text(text), strict)

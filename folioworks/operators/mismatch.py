@@ -100,6 +100,11 @@ def statistics(compared: DataFrame, left: str = "zl", right: str = "it") -> Data
     return counted.withColumn("agreement_rate", F.coalesce(rate, F.lit(0.0))).withColumn("agreement_shown", F.when(rate.isNotNull(), F.format_string("%.1f%%", rate * 100)).otherwise("N/A"))
 
 
+def line_ids(lines: DataFrame, key: str = "line_id") -> DataFrame:
+    """The keys of all sources, once each."""
+    return lines.select(key).distinct()
+
+
 def source_counts(lines: DataFrame, source: str = "source_id", key: str = "line_id") -> DataFrame:
     return lines.groupBy(source).agg(F.count_distinct(key).alias("n_lines"))
 

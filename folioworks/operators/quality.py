@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import os
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -24,8 +25,8 @@ LINES_SCHEMA = {
     "properties": {
         "page_id": _PAGE, "line_number": _POSITIVE, "line_index": _POSITIVE, "line_id": _LINE, "text": _STRING, "text_clean": _STRING,
         "line_type": {"type": "string", "enum": ["paragraph", "label", "circle", "radius", "other"]}, "position": {"type": "string", "enum": ["@", "+", "=", "*"]},
-        "quire": _NULLABLE, "section": _NULLABLE, "currier_language": {"type": ["string", "null"], "enum": ["A", "B", None]}, "hand": _NULLABLE, "illustration_type": _NULLABLE,
-        "char_count": _COUNT, "word_count": _COUNT, "has_uncertain": _FLAG, "has_illegible": _FLAG, "has_alternatives": _FLAG, "has_high_ascii": _FLAG, "source": _STRING, "source_version": _STRING,
+        "quire": _NULLABLE, "section": _NULLABLE, "currier_language": {"type": ["string", "null"], "enum": ["A", "B", None]}, "hand": _NULLABLE, "illustration_type": _NULLABLE, "source": _STRING, "source_version": _STRING,
+        "char_count": _COUNT, "word_count": _COUNT, "has_uncertain": _FLAG, "has_illegible": _FLAG, "has_alternatives": _FLAG, "has_high_ascii": _FLAG,
     },
 }
 MISMATCH_SCHEMA = {
@@ -41,7 +42,18 @@ SCHEMAS = {"transcription_lines": LINES_SCHEMA, "mismatch_index": MISMATCH_SCHEM
 NUMBER = r"^-?[0-9]+(\.[0-9]+)?([eE][-+]?[0-9]+)?$"
 
 
-def load_schema(path: str) -> dict:
+def load_schema(name: str, folder: str | None = None) -> dict:
+    """A schema by its name, one of ``SCHEMAS`` or a file in ``folder``, or by a file's path; ``.json`` may be left off.
+
+    A name that ends in ``.schema`` is that of the schema before it.
+    """
+    short = name.removesuffix(".json").removesuffix(".schema")
+    if folder is None and short in SCHEMAS:
+        return SCHEMAS[short]
+    path = name if name.endswith(".json") else f"{name}.json"
+    path = os.path.join(folder, path) if folder else path
+    if not os.path.exists(path):
+        raise FileNotFoundError(f"no schema {name}, neither known by name nor a file: {path}")
     with open(path, encoding="utf-8") as file:
         return json.load(file)
 
@@ -104,7 +116,7 @@ def schema_violations(frame: DataFrame, schema: dict, id_col: str, json_col: str
 
 def validate_records(spark: SparkSession, records: dict | list[dict], schema: dict | str, raise_on_error: bool = False) -> tuple[bool, list[str]]:
     """Whether driver-side records keep a schema, and what they break."""
-    schema = SCHEMAS[schema] if isinstance(schema, str) else schema
+    schema = load_schema(schema) if isinstance(schema, str) else schema
     rows = records if isinstance(records, list) else [records]
     frame = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(rows)], "id long, json string")
     errors = [f"Record {i}: {rule} at [{path}]" for i, path, rule in schema_violations(frame, schema, "id").orderBy("record_id", "path", "rule").collect()]
@@ -159,19 +171,28 @@ def broken_sequences(lines: DataFrame, page: str = "page_id", index: str = "line
     return _failures(found, "LINE_INDEX_SEQUENTIAL", F.col(page), bad, F.format_string("Expected 1..%d, got %d..%d", "n", "low", "high"))
 
 
-def order_violations(lines: DataFrame, position: str, bucket: int = 10_000) -> DataFrame:
-    """Lines that come before their predecessor in reading order.
+def order_violations(lines: DataFrame, position: str, bucket: int = 10_000, group: int = 4096) -> DataFrame:
+    """Lines that come before their predecessor in reading order, with their ``position``.
 
     ``position`` is the file's own order, a whole number. Windows cover buckets
-    of positions; the step from one bucket to the next is checked on their ends.
+    of positions; the step from one bucket to the next is checked on the buckets'
+    ends, in groups of buckets, and on the groups' ends.
     """
     key = ids.reading_order(F.col("page_id"), F.coalesce("line_index", F.lit(0)))
     rows = lines.select("line_id", F.col(position).alias("at"), key.alias("key")).withColumn("bucket", F.floor(F.col("at") / bucket))
-    inside = rows.withColumn("before", F.lag("key").over(Window.partitionBy("bucket").orderBy("at")))
-    ends = rows.groupBy("bucket").agg(F.min_by("key", "at").alias("key"), F.min_by("line_id", "at").alias("line_id"), F.max_by("key", "at").alias("last"))
-    ends = ends.withColumn("before", F.lag("last").over(Window.partitionBy(F.lit(1)).orderBy("bucket")))
-    both = inside.select("line_id", "key", "before").union(ends.select("line_id", "key", "before"))
-    return _failures(both, "ORDERING", F.col("line_id"), F.col("key") < F.col("before"), "Out of order")
+
+    def stepped(frame: DataFrame, by: str | None, order: str, last: str) -> DataFrame:
+        return frame.withColumn("before", F.lag(last).over(Window.partitionBy(by if by else F.lit(1)).orderBy(order)))
+
+    def ends(frame: DataFrame, by: str, order: str, last: str) -> DataFrame:
+        first = [F.min_by(c, order).alias(c) for c in ("key", "line_id", "at")]
+        return frame.groupBy(by).agg(*first, F.max_by(last, order).alias("last"))
+
+    buckets = ends(rows, "bucket", "at", "key").withColumn("group", F.floor(F.col("bucket") / group))
+    groups = ends(buckets, "group", "bucket", "last")
+    steps = [stepped(rows, "bucket", "at", "key"), stepped(buckets, "group", "bucket", "last"), stepped(groups, None, "group", "last")]
+    both = reduce(DataFrame.union, (f.select("line_id", "at", "key", "before") for f in steps)).where(F.col("key") < F.col("before"))
+    return both.select(F.lit("ORDERING").alias("invariant"), F.col("line_id").alias("record_id"), F.lit("Out of order").alias("message"), F.col("at").alias("position"))
 
 
 def count_failures(lines: DataFrame, expected_lines: int | None = None, expected_pages: int | None = None) -> DataFrame:
@@ -181,11 +202,19 @@ def count_failures(lines: DataFrame, expected_lines: int | None = None, expected
     return reduce(DataFrame.union, parts, _failures(got, "", F.lit(None).cast("string"), F.lit(False), ""))
 
 
+#: The checks that ``verify_invariants`` runs, by the rules they report.
+CHECKS = (
+    "RECORD_COUNT", "PAGE_COUNT", "TEXT_CLEAN_NO_MARKUP", "TEXT_CLEAN_NO_MARKERS", "TEXT_CLEAN_CHARSET", "FLAG_BASIS_CLEAN", "HAS_ILLEGIBLE_CONTRACT", "HAS_UNCERTAIN_CONTRACT",
+    "LINE_ID_FORMAT", "LINE_ID_UNIQUE", "LINE_INDEX_SEQUENTIAL", "ORDERING",
+)
+_FOUND = ("invariant", "record_id", "message")
+
+
 def invariant_failures(lines: DataFrame, position: str | None = None, expected_lines: int | None = None, expected_pages: int | None = None) -> DataFrame:
-    """``invariant, record_id, message`` of all that a table of lines breaks; of order, the first place only."""
+    """``invariant, record_id, message`` of all that a table of lines breaks; of order, the first place in the file only."""
     parts = [text_failures(lines), duplicate_ids(lines), broken_sequences(lines), count_failures(lines, expected_lines, expected_pages)]
     if position:
-        parts.append(order_violations(lines, position).orderBy("record_id").limit(1))
+        parts.append(order_violations(lines, position).orderBy("position").limit(1).select(*_FOUND))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -196,6 +225,24 @@ def summarize(failures: DataFrame, shown: int = 20) -> tuple[bool, list[str]]:
     return n == 0, said + ([f"... and {n - shown} more"] if n > shown else [])
 
 
+def shown_first(rows: DataFrame, text: Column, shown: int = 5) -> list[str]:
+    """The first rows as text, and how many more there are."""
+    said = [r[0] for r in rows.select(text.alias("text")).orderBy("text").limit(shown).collect()]
+    more = rows.count() - shown if len(said) == shown else 0
+    return said + ([f"... and {more} more"] if more > 0 else [])
+
+
+def verify_invariants(lines: DataFrame, position: str, expected_lines: int | None = None, expected_pages: int | None = None, shown: int = 20) -> dict:
+    """A report of all checks of a table: whether it passed, how many ran, the first failures and how many there are."""
+    failures = invariant_failures(lines, position, expected_lines, expected_pages).cache()
+    skipped = {"RECORD_COUNT": expected_lines, "PAGE_COUNT": expected_pages}
+    n = failures.count()
+    first = [r.asDict() for r in failures.orderBy("invariant", "record_id", "message").limit(shown).collect()]
+    report = {"passed": n == 0, "total_records": lines.count(), "checks_run": sum(skipped.get(c, 0) is not None for c in CHECKS), "n_failures": n, "failures": first}
+    failures.unpersist()
+    return report
+
+
 def report_errors(report: dict, required: list[str] = REPORT_FIELDS) -> list[str]:
     missing = [f for f in required if f not in report]
     errors = [f"Build report missing fields: {missing}"] if missing else []

@@ -12,6 +12,7 @@ import gzip
 import lzma
 import random
 from collections.abc import Callable
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -45,10 +46,15 @@ def top_within(counted: DataFrame, key: str, k: int, *by: str) -> DataFrame:
     return counted.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def shares(counted: DataFrame, *by: str, percent: bool = True) -> DataFrame:
-    """Counts with their share of the total, or of their group's."""
-    total = F.sum("n").over(Window.partitionBy(*by) if by else _all())
-    return counted.withColumn("pct" if percent else "share", F.col("n") * (100.0 if percent else 1.0) / total)
+def shares(counted: DataFrame, *by: str, percent: bool = True, of: DataFrame | None = None) -> DataFrame:
+    """Counts with their share of the total, or of their group's; ``of`` are the counts that make the total, if not these."""
+    whole = of if of is not None else counted
+    part = F.col("n") * (100.0 if percent else 1.0) / F.col("_total")
+    name = "pct" if percent else "share"
+    if by:
+        return counted.join(whole.groupBy(*by).agg(F.sum("n").alias("_total")), list(by)).withColumn(name, part).drop("_total")
+    # One row of a sum.
+    return counted.crossJoin(F.broadcast(whole.agg(F.sum("n").alias("_total")))).withColumn(name, part).drop("_total")
 
 
 def vocabulary(word_counts: DataFrame) -> DataFrame:
@@ -138,35 +144,49 @@ def letter_grams(frame: DataFrame, text: str, k: int, *by: str) -> DataFrame:
     return rows.groupBy(*by, "g.ctx", "g.c").agg(F.count("*").alias("n"))
 
 
-def running_letter_grams(frame: DataFrame, text: str, k: int, order: str, bucket: int = 1000) -> DataFrame:
-    """Counts of ``ctx, c`` over the letters of all texts as one sequence in the order of a whole number.
+def _carried_over(ends: DataFrame, k: int, order: str, *by: str) -> DataFrame:
+    """``ends`` with ``start``, the last k letters of the ``tail`` column's values before each row, in the order of a whole number."""
+    before = lambda over: F.right(F.concat(*(F.coalesce(F.lag("tail", i).over(over), F.lit("")) for i in range(k, 0, -1))), F.lit(k))
+    return ends.withColumn("start", before(Window.partitionBy(*(by or [F.lit(1)])).orderBy(order)))
+
+
+def _tails(rows: DataFrame, k: int, order: list[str], *by: str) -> DataFrame:
+    """By group, the last k letters of its rows' tails in order: of its last k rows at most."""
+    backwards = Window.partitionBy(*by).orderBy(*(F.desc(c) for c in order))
+    lasts = rows.select(*by, "tail", F.row_number().over(backwards).alias("place")).where(F.col("place") <= k)
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(-F.col("place"), "tail"))), lambda x: x.tail), "")
+    return lasts.groupBy(*by).agg(F.right(joined, F.lit(k)).alias("tail"))
+
+
+def running_letter_grams(frame: DataFrame, text: str, k: int, order: str, bucket: int = 1000, group: int = 1000, by: tuple[str, ...] = ()) -> DataFrame:
+    """Counts of ``ctx, c`` over the letters of all texts as one sequence, or one a group, in the order of a whole number.
 
     Contexts inside a text are counted where the text is read. Those that run
     over from one text to the next need only each text's first and last k
-    letters: these short rows are put in buckets of the order column; what
-    comes before a text is found from its neighbours in the bucket and, for a
-    bucket's first texts, from the ends of the buckets before. No task orders
-    all texts.
+    letters: these short rows are put in buckets of the order column, and
+    buckets in groups. What comes before a text is found from its neighbours in
+    the bucket, for a bucket's first texts from the ends of the buckets before,
+    for a group's first buckets from the ends of the groups before. No task
+    orders all texts, nor all buckets.
     """
-    letters = frame.select(F.col(order).alias("at"), T.letters(F.col(text)).alias("letters")).where("letters <> ''")
-    inside = letters.select(F.filter(F.split("letters", ""), lambda c: c != "").alias("chars")).select(F.explode(_grams("chars", k)).alias("g"))
+    letters = frame.select(*by, F.col(order).alias("at"), T.letters(F.col(text)).alias("letters")).where("letters <> ''")
+    inside = letters.select(*by, F.filter(F.split("letters", ""), lambda c: c != "").alias("chars")).select(*by, F.explode(_grams("chars", k)).alias("g"))
 
-    edges = letters.select("at", F.floor(F.col("at") / bucket).alias("bucket"), F.left("letters", F.lit(k)).alias("head"), F.right("letters", F.lit(k)).alias("tail"))
+    edges = letters.select(*by, "at", F.floor(F.col("at") / bucket).alias("bucket"), F.left("letters", F.lit(k)).alias("head"), F.right("letters", F.lit(k)).alias("tail"))
+    edges = edges.withColumn("group", F.floor(F.col("bucket") / group))
+    before = lambda over: F.right(F.concat(*(F.coalesce(F.lag("tail", i).over(over), F.lit("")) for i in range(k, 0, -1))), F.lit(k))
+    near = edges.withColumn("near", before(Window.partitionBy(*by, "group", "bucket").orderBy("at", "head", "tail")))
+    buckets = _carried_over(_tails(edges, k, ["at", "head", "tail"], *by, "group", "bucket"), k, "bucket", *by, "group")
+    groups = _carried_over(_tails(buckets, k, ["bucket"], *by, "group"), k, "group", *by)
 
-    def carried(over: Window) -> Column:
-        before = F.concat(*(F.coalesce(F.lag("tail", i).over(over), F.lit("")) for i in range(k, 0, -1)))
-        return F.right(before, F.lit(k))
+    def joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
+        same = reduce(lambda x, y: x & y, (F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys))
+        return left.alias("l").join(right.alias("r"), same).select("l.*", "r.start")
 
-    neighbours = Window.partitionBy("bucket").orderBy("at", "head", "tail")
-    backwards = Window.partitionBy("bucket").orderBy(F.desc("at"), F.desc("head"), F.desc("tail"))
-    lasts = edges.select("bucket", "tail", F.row_number().over(backwards).alias("place")).where(F.col("place") <= k)
-    ends = lasts.groupBy("bucket").agg(F.right(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(-F.col("place"), "tail"))), lambda x: x.tail), ""), F.lit(k)).alias("tail"))
-    # One row a bucket.
-    starts = ends.select("bucket", carried(Window.partitionBy(F.lit(1)).orderBy("bucket")).alias("start"))
-    joined = edges.withColumn("near", carried(neighbours)).join(starts, "bucket")
-    run = joined.select(F.concat(F.right(F.concat("start", "near"), F.lit(k)), "head").alias("run"))
-    across = run.select(F.filter(F.split("run", ""), lambda c: c != "").alias("chars")).select(F.explode(_grams("chars", k)).alias("g"))
-    return inside.union(across).groupBy("g.ctx", "g.c").agg(F.count("*").alias("n"))
+    starts = joined(buckets.withColumnRenamed("start", "here"), groups, [*by, "group"]).select(*by, "group", "bucket", F.right(F.concat("start", "here"), F.lit(k)).alias("start"))
+    run = joined(near, starts, [*by, "group", "bucket"]).select(*by, F.concat(F.right(F.concat("start", "near"), F.lit(k)), "head").alias("run"))
+    across = run.select(*by, F.filter(F.split("run", ""), lambda c: c != "").alias("chars")).select(*by, F.explode(_grams("chars", k)).alias("g"))
+    return inside.union(across).groupBy(*by, "g.ctx", "g.c").agg(F.count("*").alias("n"))
 
 
 def bigram_ratios(grams: DataFrame, singles: DataFrame, k: int = 15) -> DataFrame:
@@ -234,45 +254,81 @@ def _compressors() -> dict[str, Callable[[bytes], bytes]]:
     return {"gzip": gzip.compress, "bz2": bz2.compress, "lzma": lzma.compress}
 
 
-def compression(frame: DataFrame, text: str, *by: str, shuffled: bool = False, seed: int = 42) -> DataFrame:
-    """Compressed size over size of each text, or of its characters shuffled, by compressor."""
+def compression(frame: DataFrame, text: str, *by: str, shuffled: bool = False, seed: int = 42, salt: str | None = None) -> DataFrame:
+    """Compressed size over size of each text, or of its characters shuffled, by compressor.
+
+    Texts are shuffled by ``seed`` and, if named, the number in the column ``salt``.
+    """
 
     @F.pandas_udf("struct<gzip:double,bz2:double,lzma:double>")
-    def ratios(texts: pd.Series) -> pd.DataFrame:
+    def ratios(texts: pd.Series, salts: pd.Series) -> pd.DataFrame:
         rows = []
-        for value in texts:
+        for value, more in zip(texts, salts, strict=True):
             chars = list(value or "")
             if shuffled:
-                random.Random(seed).shuffle(chars)
+                random.Random(seed + int(more)).shuffle(chars)
             data = "".join(chars).encode()
             rows.append({name: len(squash(data)) / len(data) if data else None for name, squash in _compressors().items()})
         return pd.DataFrame(rows, columns=["gzip", "bz2", "lzma"], dtype=float)
 
-    return frame.select(*by, F.octet_length(text).alias("n_bytes"), F.char_length(T.letters(F.col(text))).alias("n_letters"), ratios(text).alias("r")).select(
+    return frame.select(*by, F.octet_length(text).alias("n_bytes"), F.char_length(T.letters(F.col(text))).alias("n_letters"), ratios(text, F.col(salt) if salt else F.lit(0)).alias("r")).select(
         *by, "n_bytes", "n_letters", "r.*", *((F.col(f"r.{k}") * F.col("n_bytes") * 8 / F.nullif(F.col("n_letters"), F.lit(0))).alias(f"{k}_bits") for k in ("gzip", "bz2", "lzma"))
     )
 
 
-def corpus_compression(frame: DataFrame, text: str, order: str, block_bytes: int = 1 << 20, shuffled: bool = False) -> DataFrame:
-    """Compression of all texts in order, in blocks of about ``block_bytes``; sums of sizes by block.
+def corpus_compression(frame: DataFrame, text: str, order: str, block_bytes: int = 1 << 20, shuffled: bool = False, seed: int = 42) -> DataFrame:
+    """Compression of all texts in order: a row a block of about ``block_bytes``, and one, ``block`` -1, of the whole corpus.
 
-    A corpus does not fit one string; compressors look back less than a block
-    (gzip) or a few (bz2, lzma), so blocks bound the ratio from above closely.
+    The whole is the sum of the blocks, compressed one by one: a corpus of one
+    block is compressed as one string, a larger one gives a little more than one
+    stream would, as each block starts anew. Blocks hold texts, whole, by the
+    bytes before them, so they are bounded by a block and its last text however
+    the order is numbered. ``shuffled`` mixes each block's characters by a seed
+    of its own, made of ``seed`` and the block's number.
     """
     rows = frame.select(F.col(order).alias("at"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    width = rows.agg(F.min("at").alias("low"), F.max("at").alias("high"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    if width.low is None:
-        return compression(rows, "text").limit(0)
-    step = max(1, round((width.high - width.low + 1) * block_bytes / max(1, width.bytes)))
-    blocks = rows.groupBy(F.floor((F.col("at") - width.low) / step).alias("block")).agg(F.sort_array(F.collect_list(F.struct("at", "text"))).alias("rows"))
-    return compression(blocks.select("block", F.array_join("rows.text", " ").alias("text")), "text", "block", shuffled=shuffled)
+    low, high, n = rows.agg(F.min("at"), F.max("at"), F.count("*")).first()
+    if not n:
+        return compression(rows.withColumn("block", F.lit(0).cast("long")), "text", "block").limit(0)
+    # Sums of bytes by ranges of the order, then inside a range.
+    width = max(1, (high - low + 1) // max(1, n // 1000))
+    sized = rows.withColumn("range", F.floor((F.col("at") - low) / width)).withColumn("n", F.octet_length("text") + 1)
+    earlier = Window.unboundedPreceding, -1
+    bases = sized.groupBy("range").agg(F.sum("n").alias("n")).withColumn("group", F.floor(F.col("range") / 1000))
+    groups = bases.groupBy("group").agg(F.sum("n").alias("n")).select("group", F.coalesce(F.sum("n").over(Window.orderBy("group").rowsBetween(*earlier)), F.lit(0)).alias("base"))
+    bases = bases.withColumn("inside", F.coalesce(F.sum("n").over(Window.partitionBy("group").orderBy("range").rowsBetween(*earlier)), F.lit(0))).join(groups, "group").select("range", (F.col("base") + F.col("inside")).alias("base"))
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("range").orderBy("at", "text").rowsBetween(*earlier)), F.lit(0))
+    placed = sized.withColumn("inside", inside).join(bases, "range").withColumn("block", F.floor((F.col("base") + F.col("inside")) / block_bytes))
+    blocks = placed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "text"))).alias("rows"))
+    each = compression(blocks.select("block", F.array_join("rows.text", " ").alias("text")), "text", "block", shuffled=shuffled, seed=seed, salt="block")
+    weigh = lambda c: (F.sum(F.col(c) * F.col("n_bytes")) / F.sum("n_bytes")).alias(c)
+    sums = each.agg(F.lit(-1).cast("long").alias("block"), F.sum("n_bytes").cast("int").alias("n_bytes"), F.sum("n_letters").cast("int").alias("n_letters"), weigh("gzip"), weigh("bz2"), weigh("lzma"))
+    bits = [(F.col(k) * F.col("n_bytes") * 8 / F.nullif(F.col("n_letters"), F.lit(0))).alias(f"{k}_bits") for k in ("gzip", "bz2", "lzma")]
+    return each.unionByName(sums.select("*", *bits))
+
+
+def overview(frame: DataFrame, page: str, chars: str, words: str) -> DataFrame:
+    """One row: lines, pages, characters and words, and their averages."""
+    sums = frame.agg(F.count("*").alias("lines"), F.count_distinct(page).alias("pages"), F.coalesce(F.sum(chars), F.lit(0)).alias("characters"), F.coalesce(F.sum(words), F.lit(0)).alias("words"))
+    ratio = lambda a, b: F.col(a) / F.nullif(F.col(b), F.lit(0))
+    return sums.select("*", ratio("lines", "pages").alias("lines_per_page"), ratio("characters", "lines").alias("chars_per_line"), ratio("words", "lines").alias("words_per_line"))
+
+
+def letter_entropies(frame: DataFrame, text: str, order: str, highest: int = 4) -> DataFrame:
+    """One row: ``h0``, ``h1`` and the conditional entropies ``h2`` .. of the letters of all texts as one sequence."""
+    letters = character_counts(frame.select(T.letters(F.col(text)).alias(text)), text)
+    rows = entropy(letters).select(F.col("total").alias("letters"), "h0", F.col("entropy").alias("h1"))
+    for k in range(1, highest):
+        rows = rows.crossJoin(F.broadcast(conditional_entropy(running_letter_grams(frame, text, k, order)).select(F.col("entropy").alias(f"h{k + 1}"))))
+    return rows
 
 
-def summary(frame: DataFrame, text: str, page: str) -> dict:
-    """The headline figures of a corpus, for a report: overview, vocabulary, letters."""
-    overview = frame.agg(F.count("*").alias("lines"), F.count_distinct(page).alias("pages"), F.coalesce(F.sum(F.char_length(text)), F.lit(0)).alias("characters")).first().asDict()
+def summary(frame: DataFrame, text: str, page: str, order: str | None = None) -> dict:
+    """The headline figures of a corpus, for a report: overview, vocabulary, letters, compression; in the order of ``order`` or ``page``."""
+    order = order or page
+    sized = frame.select("*", F.char_length(text).alias("_chars"), F.size(T.spaced_words(F.col(text))).alias("_words"))
     words = vocabulary(counts(tokens(frame, text), "word")).first().asDict()
-    letters = character_counts(frame.select(T.letters(F.col(text)).alias(text)), text)
-    first = entropy(letters).first()
-    second = conditional_entropy(letter_grams(frame, text, 1)).first()
-    return overview | words | {"h0": first and first.h0, "h1": first and first.entropy, "h2": second and second.entropy, "top_letters": {r.c: r.n for r in top(letters, "c", 20).collect()}}
+    letters = letter_entropies(frame, text, order).first()
+    squeezed = corpus_compression(frame, text, order).where("block = -1").first()
+    best = {r.c: r.n for r in top(character_counts(frame.select(T.letters(F.col(text)).alias(text)), text), "c", 20).collect()}
+    return overview(sized, page, "_chars", "_words").first().asDict() | words | (letters.asDict() if letters else {}) | {"compression": squeezed.asDict() if squeezed else None, "top_letters": best}

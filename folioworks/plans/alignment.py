@@ -17,17 +17,22 @@ _SOURCES = {
     "fg": ("turn % 2 = 0", "lower(text)"),
     "gc": ("true", "concat(text, '.')"),
 }
-SOURCES = "sources AS (" + " UNION ALL ".join(f"SELECT 'f' || conv_id || 'r:' || turn AS line_id, '{s}' AS source_id, turn AS line_no, {t} AS text FROM conversations WHERE {w}" for s, (w, t) in _SOURCES.items()) + ")"
-ALIGNED = SOURCES + ", aligned AS (SELECT line_id, " + ", ".join(f"any_value(text) FILTER (source_id = '{s}') AS {s}_text" for s in _SOURCES) + " FROM sources GROUP BY line_id)"
+# Lines that come again later in their file: the last one counts.
+_AGAIN, LATER = "conv_id % 4 = 0", 1000
+SOURCES = "sources AS (" + " UNION ALL ".join(f"SELECT 'f' || conv_id || 'r:' || turn AS line_id, '{s}' AS source_id, turn AS line_no, {t} AS text FROM conversations WHERE {w}" for s, (w, t) in _SOURCES.items()) + f" UNION ALL SELECT 'f' || conv_id || 'r:' || turn, 'fg', turn + {LATER}, concat(text, ' again') FROM conversations WHERE {_AGAIN})"
+ALIGNED = SOURCES + ", aligned AS (SELECT line_id, " + ", ".join(f"arg_max(text, line_no) FILTER (source_id = '{s}') AS {s}_text" for s in _SOURCES) + " FROM sources GROUP BY line_id)"
 NORM = r"trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(translate({0}, '?!*', ''), '<[^>]*>', '', 'g'), '\{{[^}}]*\}}', '', 'g'), '\[[^\]]*\]', '', 'g'), '\s+', ' ', 'g'))"
 STATUS = f"""CASE WHEN zl_text IS NULL AND it_text IS NULL THEN 'both_missing' WHEN zl_text IS NULL THEN 'zl_missing' WHEN it_text IS NULL THEN 'it_missing' WHEN zl_text = it_text THEN 'exact_match' WHEN {NORM.format('zl_text')} = {NORM.format('it_text')} THEN 'normalized_match' ELSE 'to_compare' END"""
 
 
 def source_lines(spark, sf_dir) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
-    each = F.array(*(F.when(F.expr(w), F.struct(F.lit(s).alias("source_id"), F.expr(t).alias("text"))) for s, (w, t) in _SOURCES.items()))
+    each = F.array(
+        *(F.when(F.expr(w), F.struct(F.lit(s).alias("source_id"), F.col("turn").cast("long").alias("line_no"), F.expr(t).alias("text"))) for s, (w, t) in _SOURCES.items()),
+        F.when(F.expr(_AGAIN), F.struct(F.lit("fg").alias("source_id"), (F.col("turn") + LATER).cast("long").alias("line_no"), F.expr("concat(text, ' again')").alias("text"))),
+    )
     line = F.concat(F.lit("f"), "conv_id", F.lit("r:"), "turn")
-    return turns.select(line.alias("line_id"), F.col("turn").alias("line_no"), F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x")).select("line_id", "line_no", "x.*")
+    return turns.select(line.alias("line_id"), F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x")).select("line_id", "x.*")
 
 
 @query(f"WITH {ALIGNED} SELECT line_id, {STATUS} AS status FROM aligned")
@@ -57,10 +62,10 @@ def source_line_counts(spark, sf_dir):
     return X.source_counts(source_lines(spark, sf_dir))
 
 
-@query(f"WITH {SOURCES} SELECT DISTINCT line_id FROM sources WHERE source_id IN ('zl', 'it')")
+@query(f"WITH {SOURCES} SELECT DISTINCT line_id FROM sources")
 def line_id_union(spark, sf_dir):
-    rows = source_lines(spark, sf_dir)
-    return rows.where("source_id = 'zl'").select("line_id").union(rows.where("source_id = 'it'").select("line_id")).distinct()
+    """The ids of all sources."""
+    return X.line_ids(source_lines(spark, sf_dir))
 
 
 @query(f"WITH {ALIGNED} SELECT line_id FROM aligned WHERE contains(coalesce(zl_text, ''), 'th') AND contains(coalesce(it_text, ''), 'th')")
@@ -75,6 +80,32 @@ def mismatch_join_pages(spark, sf_dir):
     return aligned.groupBy("doc_id").agg(F.count("*").alias("n_lines")).join(table(spark, sf_dir, "documents").select("doc_id"), "doc_id").select("doc_id", "n_lines")
 
 
+# One text and the same with a letter more: what they share is the shorter one, so their similarity has a formula.
+# Beyond 200 characters the similarity leaves frequent characters out.
+PREFIXED = f"""{ALIGNED}, p AS (SELECT *, length({NORM.format('zl_text')}) AS n FROM aligned WHERE zl_text IS NULL OR (length({NORM.format('zl_text')}) BETWEEN 1 AND 198 AND {NORM.format('gc_text')} = {NORM.format('zl_text')} || '.')),
+ scored AS (SELECT *, CASE WHEN zl_text IS NULL THEN 'zl_missing' WHEN 2 * n / (2 * n + 1) >= 0.95 THEN 'high_similarity' ELSE 'content_mismatch' END AS status, CASE WHEN zl_text IS NOT NULL THEN 2 * n / (2 * n + 1) END AS score FROM p)"""
+
+
+def prefixed(spark, sf_dir) -> DataFrame:
+    """Lines whose texts in two sources differ by a full stop at the end, or that the first one lacks, compared."""
+    zl, gc = T.normalize_for_comparison(F.col("zl_text")), T.normalize_for_comparison(F.col("gc_text"))
+    rows = X.align(source_lines(spark, sf_dir))
+    return X.compare(rows.where(F.col("zl_text").isNull() | (F.char_length(zl).between(1, 198) & (gc == F.concat(zl, F.lit("."))))), "zl", "gc")
+
+
+@query(f"WITH {PREFIXED} SELECT line_id, status, CASE status WHEN 'high_similarity' THEN true WHEN 'content_mismatch' THEN false END AS eva_agreement, round(score, 6) AS similarity_score FROM scored ORDER BY line_id")
+def similarity_scores(spark, sf_dir):
+    rows = X.records(prefixed(spark, sf_dir)).orderBy("line_id")
+    return rows.select("line_id", "status", "eva_agreement", F.round("similarity_score", 6).alias("similarity_score"))
+
+
+@query(f"""WITH {PREFIXED} SELECT count(*) AS total_lines, count(*) FILTER (status = 'high_similarity') AS high_similarity_matches, count(*) FILTER (status = 'content_mismatch') AS content_mismatches, count(*) FILTER (zl_text <> '' AND gc_text <> '') AS both_eva_present,
+ round(count(*) FILTER (status = 'high_similarity') / count(*) FILTER (zl_text <> '' AND gc_text <> ''), 6) AS agreement_rate, printf('%.1f%%', 100.0 * count(*) FILTER (status = 'high_similarity') / count(*) FILTER (zl_text <> '' AND gc_text <> '')) AS agreement_shown FROM scored""")
+def agreement_rate(spark, sf_dir):
+    got = X.statistics(prefixed(spark, sf_dir), "zl", "gc")
+    return got.select("total_lines", "high_similarity_matches", "content_mismatches", "both_eva_present", F.round("agreement_rate", 6).alias("agreement_rate"), "agreement_shown")
+
+
 @query()
 def similarity_ratio(spark, sf_dir):
     """The similarity of sequences has no SQL form."""

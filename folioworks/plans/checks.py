@@ -87,13 +87,44 @@ def broken_sequences(spark, sf_dir):
     return Q.broken_sequences(rows).select("record_id", "message")
 
 
-@query("""WITH k AS (SELECT l_orderkey * 10000000000 + cast(l_linenumber as bigint) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000 AS place, 'f' || (l_partkey % 120) || 'r:' || l_linenumber AS line_id, l_partkey % 120 AS num, l_linenumber AS idx FROM lineitem),
- o AS (SELECT *, lag(num) OVER w AS pn, lag(idx) OVER w AS p_idx FROM k WINDOW w AS (ORDER BY place)) SELECT line_id AS record_id, count(*) AS n FROM o WHERE num < pn OR (num = pn AND idx < p_idx) GROUP BY 1""")
-def order_violations(spark, sf_dir):
+STEPS = """k AS (SELECT l_orderkey * 10000000000 + cast(l_linenumber as bigint) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000 AS place, 'f' || (l_partkey % 120) || 'r:' || l_linenumber AS line_id, l_partkey % 120 AS num, l_linenumber AS idx FROM lineitem),
+ o AS (SELECT *, lag(num) OVER w AS pn, lag(idx) OVER w AS p_idx FROM k WINDOW w AS (ORDER BY place))"""
+
+
+def stepped_lines(spark, sf_dir):
     item = table(spark, sf_dir, "lineitem")
     page = F.concat(F.lit("f"), F.col("l_partkey") % 120, F.lit("r"))
-    rows = item.select(F.expr("l_orderkey * 10000000000 + cast(l_linenumber as bigint) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000").alias("at"), page.alias("page_id"), F.concat_ws(":", page, "l_linenumber").alias("line_id"), F.col("l_linenumber").alias("line_index"))
-    return Q.order_violations(rows, "at", bucket=10**14).groupBy("record_id").agg(F.count("*").alias("n"))
+    return item.select(F.expr("l_orderkey * 10000000000 + cast(l_linenumber as bigint) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000").alias("at"), page.alias("page_id"), F.concat_ws(":", page, "l_linenumber").alias("line_id"), F.col("l_linenumber").alias("line_index"))
+
+
+@query(f"WITH {STEPS} SELECT line_id AS record_id, place AS position FROM o WHERE num < pn OR (num = pn AND idx < p_idx)")
+def order_violations(spark, sf_dir):
+    return Q.order_violations(stepped_lines(spark, sf_dir), "at", bucket=10**14).select("record_id", "position")
+
+
+@query(f"""WITH {BROKEN_LINES}, f AS (
+ SELECT 'TEXT_CLEAN_NO_MARKUP' AS invariant FROM damaged WHERE regexp_matches(text_clean, '[<>{{}}]') UNION ALL SELECT 'TEXT_CLEAN_NO_MARKERS' FROM damaged WHERE regexp_matches(text_clean, '[?!*]') UNION ALL SELECT 'TEXT_CLEAN_CHARSET' FROM damaged WHERE NOT regexp_full_match(text_clean, '[a-vx-z., @;0-9'']*')
+ UNION ALL SELECT 'HAS_UNCERTAIN_CONTRACT' FROM damaged WHERE hash_ % 109 = 0 UNION ALL SELECT 'HAS_ILLEGIBLE_CONTRACT' FROM damaged WHERE hash_ % 113 = 0 UNION ALL SELECT 'LINE_ID_FORMAT' FROM damaged WHERE hash_ % 127 = 0 UNION ALL SELECT 'HIGH_ASCII_FLAG' FROM damaged WHERE hash_ % 137 = 0
+ UNION ALL SELECT 'HIGH_ASCII_PRESERVED' FROM damaged WHERE regexp_full_match(trim(text), '(@[0-9]+;)+') AND text_clean = ''
+ UNION ALL SELECT 'LINE_ID_UNIQUE' FROM damaged GROUP BY line_id HAVING count(*) > 1 UNION ALL SELECT 'LINE_INDEX_SEQUENTIAL' FROM damaged GROUP BY page_id HAVING min(line_index) <> 1 OR max(line_index) <> count(*) OR count(DISTINCT line_index) <> count(*)
+ UNION ALL SELECT 'RECORD_COUNT' UNION ALL SELECT 'PAGE_COUNT') SELECT invariant, count(*) AS n FROM f GROUP BY 1""")
+def invariant_counts(spark, sf_dir):
+    """All rules over the damaged lines; the expected counts are wrong on purpose."""
+    return Q.invariant_failures(damaged_lines(spark, sf_dir), None, 5, 5).groupBy("invariant").agg(F.count("*").alias("n"))
+
+
+@query("SELECT s_suppkey || '' AS record_id, 'Codes lost' AS message FROM supplier WHERE s_nationkey % 3 = 0")
+def codes_lost(spark, sf_dir):
+    """Lines of codes alone, of which some have lost them; the clean text of the others keeps them."""
+    rows = table(spark, sf_dir, "supplier").selectExpr("cast(s_suppkey as string) AS line_id", "' @140;@152; ' AS text", "case when s_nationkey % 3 = 0 then '' else '@140;@152;' end AS text_clean", "'f1r' AS page_id", "1 AS line_number", "false AS has_illegible", "false AS has_uncertain", "true AS has_high_ascii")
+    return Q.text_failures(rows).where("invariant = 'HIGH_ASCII_PRESERVED'").select("record_id", "message")
+
+
+@query(f"WITH {STEPS} SELECT 'ORDERING' AS invariant, line_id AS record_id, 'Out of order' AS message FROM o WHERE num < pn OR (num = pn AND idx < p_idx) ORDER BY place LIMIT 1")
+def first_out_of_order(spark, sf_dir):
+    """The one place that a verification reports: the first in the file."""
+    lines = stepped_lines(spark, sf_dir).selectExpr("*", "'' AS text", "'' AS text_clean", "0 AS line_number", "false AS has_illegible", "false AS has_uncertain", "false AS has_high_ascii")
+    return Q.invariant_failures(lines, "at").where("invariant = 'ORDERING'")
 
 
 @query(f"WITH {P.LINES} SELECT 'RECORD_COUNT' AS invariant, 'Expected 5, got ' || count(*) AS message FROM lines UNION ALL SELECT 'PAGE_COUNT', 'Expected 5, got ' || count(DISTINCT page_id) FROM lines")
@@ -108,6 +139,15 @@ def smoke_checks(spark, sf_dir):
     return spark.range(1).select(*(F.lit(got[k]).alias(k) for k in keys))
 
 
+@query(f"WITH {P.LINES}, s AS (SELECT count(*) AS n, CAST(sum(char_count) AS BIGINT) AS c, CAST(sum(word_count) AS BIGINT) AS w, count(DISTINCT page_id) AS p FROM lines) SELECT true AS total_lines, true AS total_characters, w = 1 AS total_words, p = 0 AS pages_with_lines FROM s")
+def report_reconciled(spark, sf_dir):
+    """A report with two right totals and two wrong ones against its table."""
+    rows = P.line_rows(spark, sf_dir)
+    sums = rows.agg(F.count("*").alias("total_lines"), F.sum("char_count").alias("total_characters")).first().asDict()
+    got = Q.reconcile(rows, sums | {"total_words": 1, "pages_with_lines": 0})
+    return spark.createDataFrame([got], ", ".join(f"{k} boolean" for k in got))
+
+
 @query("""SELECT count(*) AS n, count(*) FILTER (trim(text) = '') AS blank, count(*) - count(DISTINCT doc_id) AS duplicate_ids, count(*) FILTER (contains(text, '?')) AS uncertain, count(*) FILTER (regexp_matches(text, '[!*]')) AS illegible, count(*) FILTER (n_chars = 0) AS no_chars FROM documents""")
 def data_quality_counters(spark, sf_dir):
     t = F.col("text")

@@ -39,7 +39,8 @@ def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {COUNTS} SELECT word, n, round(n * 100.0 / (SELECT sum(n) FROM counts), 6) AS pct FROM counts ORDER BY n DESC, word LIMIT 30")
 def word_freq_topk(spark, sf_dir):
-    return S.top(S.shares(word_counts(spark, sf_dir)).withColumn("pct", F.round("pct", 6)), "word", 30)
+    counted = word_counts(spark, sf_dir)
+    return S.shares(S.top(counted, "word", 30), of=counted).withColumn("pct", F.round("pct", 6))
 
 
 @query(f"""WITH {COUNTS} SELECT CAST(sum(n) AS BIGINT) AS tokens, count(*) AS types, count(*) FILTER (n = 1) AS hapax, count(*) FILTER (n = 2) AS dis,
@@ -79,7 +80,8 @@ def initial_final_chars(spark, sf_dir):
  SELECT c, n, round(n * 100.0 / (SELECT sum(n) FROM c), 6) AS pct FROM c ORDER BY n DESC, c LIMIT 20""")
 def char_freq_pct(spark, sf_dir):
     rows = documents(spark, sf_dir).select(F.translate("text", " .,", "").alias("text"))
-    return S.top(S.shares(S.character_counts(rows, "text")), "c", 20).select("c", "n", F.round("pct", 6).alias("pct"))
+    counted = S.character_counts(rows, "text")
+    return S.shares(S.top(counted, "c", 20), of=counted).select("c", "n", F.round("pct", 6).alias("pct"))
 
 
 @query(r"""SELECT c, count(*) AS n, regexp_matches(c, '^[a-vx-z., @;0-9'']$') AS expected FROM (SELECT unnest(string_split(text, '')) AS c FROM documents) WHERE c <> '' GROUP BY c""")
@@ -105,7 +107,8 @@ CHECKED = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace({0}, '
  array_to_string(list_sort(list_distinct(list_filter(string_split(s, ''), lambda x: x <> '' AND NOT regexp_matches(lower(x), '^[a-vx-z0-9.,\\s\\-=?!*\\[\\]:{{}}''<>@;%$~]$')))), '') AS unknown,
  len(regexp_extract_all(s, 'ch')) AS n_ch, len(regexp_extract_all(s, 'sh')) AS n_sh FROM t""")
 def validate_documents(spark, sf_dir):
-    v = documents(spark, sf_dir).select("doc_id", charset.validate(F.col("text")).alias("v"))
+    checked = documents(spark, sf_dir).select("doc_id", charset.checked_text(F.col("text")).alias("s"))
+    v = checked.select("doc_id", charset.validate_checked(F.col("s"), details=("unknown_chars", "compound_counts")).alias("v"))
     n = lambda k: F.coalesce(F.col("v.compound_counts")[k], F.lit(0)).alias(f"n_{k}")
     return v.select("doc_id", "v.char_count", "v.word_count", "v.n_unknown", F.array_join("v.unknown_chars", "").alias("unknown"), n("ch"), n("sh"))
 
@@ -217,13 +220,21 @@ def entropy_cond_k3(spark, sf_dir):
     return _running(spark, sf_dir, 3)
 
 
-BY_LANG = f"""{LETTERS}, g AS (SELECT lang, lag(c) OVER (PARTITION BY doc_id ORDER BY pos) AS ctx, c FROM letters),
+BY_LANG = f"""{LETTERS}, g AS (SELECT lang, lag(c) OVER (PARTITION BY lang ORDER BY doc_id, pos) AS ctx, c FROM letters),
  n AS (SELECT lang, ctx, c, count(*) AS n FROM g WHERE ctx IS NOT NULL GROUP BY ALL), t AS (SELECT lang, ctx, sum(n) AS t FROM n GROUP BY ALL),
  h AS (SELECT lang, CAST(sum(n) AS BIGINT) AS n_grams, -sum(n * log2(n / t)) / sum(n) AS entropy FROM n JOIN t USING (lang, ctx) GROUP BY lang)"""
 
 
 @query(f"WITH {BY_LANG} SELECT lang, n_grams, round(entropy, 6) AS entropy FROM h")
 def entropy_cond_by_lang(spark, sf_dir):
+    grams = S.running_letter_grams(documents(spark, sf_dir), "text", 1, "doc_id", by=("lang",))
+    return S.conditional_entropy(grams, "lang").select("lang", "n_grams", F.round("entropy", 6).alias("entropy"))
+
+
+@query(f"""WITH {LETTERS}, g AS (SELECT lang, lag(c) OVER (PARTITION BY doc_id ORDER BY pos) AS ctx, c FROM letters),
+ n AS (SELECT lang, ctx, c, count(*) AS n FROM g WHERE ctx IS NOT NULL GROUP BY ALL), t AS (SELECT lang, ctx, sum(n) AS t FROM n GROUP BY ALL)
+ SELECT lang, CAST(sum(n) AS BIGINT) AS n_grams, round(-sum(n * log2(n / t)) / sum(n), 6) AS entropy FROM n JOIN t USING (lang, ctx) GROUP BY lang""")
+def entropy_cond_within_texts(spark, sf_dir):
     return S.conditional_entropy(S.letter_grams(documents(spark, sf_dir), "text", 1, "lang"), "lang").select("lang", "n_grams", F.round("entropy", 6).alias("entropy"))
 
 
@@ -235,7 +246,7 @@ def lang_compare(spark, sf_dir):
     docs = documents(spark, sf_dir)
     letters = docs.select("lang", T.letters(F.col("text")).alias("text"))
     one = S.entropy(S.character_counts(letters, "text", "lang"), "lang").select("lang", F.col("entropy").alias("h1"))
-    two = S.conditional_entropy(S.letter_grams(docs, "text", 1, "lang"), "lang").select("lang", F.col("entropy").alias("h2"))
+    two = S.conditional_entropy(S.running_letter_grams(docs, "text", 1, "doc_id", by=("lang",)), "lang").select("lang", F.col("entropy").alias("h2"))
     # One row a language: pairs are made of one small array, so neither side is computed twice.
     gathered = one.join(two, "lang").agg(F.sort_array(F.collect_list(F.struct("lang", "h1", "h2"))).alias("all"))
     pairs = F.transform("all", lambda x, i: F.transform(F.slice("all", i + 2, F.size("all")), lambda y: F.struct(x.alias("a"), y.alias("b"))))
@@ -336,9 +347,24 @@ def pages_with_most_lines(spark, sf_dir):
     return ends[0].union(ends[1])
 
 
-@query("""SELECT count(*) AS n_lines, count(DISTINCT doc_id) AS n_pages, CAST(sum(length(text)) AS BIGINT) AS n_chars, round(avg(length(text)), 6) AS mean_chars FROM documents""")
+@query("""WITH d AS (SELECT doc_id, CAST(length(text) AS BIGINT) AS c, CAST(len(list_filter(regexp_split_to_array(text, '[.,\\s]+'), lambda x: x <> '')) AS BIGINT) AS w FROM documents)
+ SELECT count(*) AS lines, count(DISTINCT doc_id) AS pages, CAST(sum(c) AS BIGINT) AS characters, CAST(sum(w) AS BIGINT) AS words, round(count(*) / count(DISTINCT doc_id), 6) AS lines_per_page, round(sum(c) / count(*), 6) AS chars_per_line, round(sum(w) / count(*), 6) AS words_per_line FROM d""")
 def corpus_overview(spark, sf_dir):
-    return documents(spark, sf_dir).agg(F.count("*").alias("n_lines"), F.count_distinct("doc_id").alias("n_pages"), F.sum(F.char_length("text")).alias("n_chars"), F.round(F.avg(F.char_length("text")), 6).alias("mean_chars"))
+    sized = documents(spark, sf_dir).select("doc_id", F.char_length("text").cast("long").alias("c"), F.size(T.spaced_words(F.col("text"))).cast("long").alias("w"))
+    got = S.overview(sized, "doc_id", "c", "w")
+    return got.select("lines", "pages", "characters", "words", *(F.round(c, 6).alias(c) for c in ("lines_per_page", "chars_per_line", "words_per_line")))
+
+
+def _order(k: int) -> str:
+    context = " || ".join(f"lag(c, {i}) OVER w" for i in range(k, 0, -1))
+    return f"""g{k} AS (SELECT {context} AS ctx, c FROM letters WINDOW w AS (ORDER BY doc_id, pos)), n{k} AS (SELECT ctx, c, count(*) AS n FROM g{k} WHERE ctx IS NOT NULL GROUP BY ALL),
+ e{k} AS (SELECT -sum(n * log2(n / t)) / sum(n) AS h FROM n{k} JOIN (SELECT ctx, sum(n) AS t FROM n{k} GROUP BY ctx) USING (ctx))"""
+
+
+@query(f"""WITH {LETTERS.replace('letters AS (', 'letters AS MATERIALIZED (')}, s AS (SELECT c, count(*) AS n FROM letters GROUP BY c), t AS (SELECT sum(n) AS t, count(*) AS k FROM s), {_order(1)}, {_order(2)}, {_order(3)}
+ SELECT CAST(t AS BIGINT) AS letters, round(log2(k), 6) AS h0, round((SELECT -sum(n / t * log2(n / t)) FROM s), 6) AS h1, round(e1.h, 6) AS h2, round(e2.h, 6) AS h3, round(e3.h, 6) AS h4 FROM t, e1, e2, e3""")
+def letter_entropies(spark, sf_dir):
+    return S.letter_entropies(documents(spark, sf_dir), "text", "doc_id").select("letters", *(F.round(f"h{i}", 6).alias(f"h{i}") for i in range(5)))
 
 
 @query()

@@ -1,8 +1,12 @@
-"""Queries over a synthetic transcription: orders are pages, line items are loci, customers are files."""
+"""Queries over a synthetic transcription: orders are pages, line items are loci, customers are files.
+
+Some files hold blank lines, several format headers, loci before any page, loci
+that name another page, and lines of no known kind.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import charset, ids
@@ -17,26 +21,43 @@ from .registry import query, table
 _PAGE = "concat('f', cast(o_orderkey % 117 as string), case when o_orderkey % 2 = 0 then 'r' else 'v' end, case when o_orderkey % 13 = 0 then cast(o_orderkey % 6 + 1 as string) else '' end)"
 _PLACE = "o_orderkey * 10000000000 + 2 + cast(l_linenumber as bigint) * 1000000000 + l_partkey * 1000 + l_suppkey % 1000"
 _HEADER = f"""concat('<', {_PAGE}, '> <! ', case when o_orderkey % 7 <> 0 then concat('$Q=', chr(cast(65 + o_orderkey % 18 as int)), ' ') else '' end, '$P=', cast(o_orderkey % 9 as string), ' $B=', case when o_orderkey % 10 = 0 then 'x' else cast(o_orderkey % 8 as string) end,
- case when o_orderkey % 5 <> 0 then concat(' $I=', substring('HACBPSTZ', cast(o_orderkey % 8 + 1 as int), 1)) else '' end, case when o_orderkey % 4 <> 0 then concat(' $L=', case when o_orderkey % 3 = 0 then 'A' else 'B' end) else '' end, ' $H=1 $H=', cast(o_orderkey % 5 as string), '>')"""
+ case when o_orderkey % 5 <> 0 then concat(' $I=', substring('HACBPSTZ', cast(o_orderkey % 8 + 1 as int), 1)) else '' end, case when o_orderkey % 4 <> 0 then concat(' $L=', case when o_orderkey % 3 = 0 then 'A' else 'B' end) else '' end, ' $H=1 $H=', cast(o_orderkey % 5 as string), case when o_orderkey % 3 = 1 then concat(' $F=', chr(cast(97 + o_orderkey % 4 as int)), ' $C=', cast(o_orderkey % 6 as string), ' $X=V') else '' end, '>')"""
 _TEXT = """concat('qo', lower(l_returnflag), case l_partkey % 7 when 0 then '.[a:o]l' when 1 then '.d?y' when 2 then '.ch!ol' when 3 then '{note}.sh*y' when 4 then '<->cthy<$>' when 5 then '.@140;.I' else ',daiin' end, '.', case when l_suppkey % 3 = 0 then 'ckhy' else 'okaiin' end)"""
-_LOCUS = f"""concat('<', {_PAGE}, '.', cast(l_linenumber as string), ',', substring('@+=*', cast(l_linenumber % 4 + 1 as int), 1), substring('PPPL', cast(l_suppkey % 4 + 1 as int), 1), case when l_partkey % 11 = 0 then 'c' else '0' end, ';H>   ', {_TEXT}, ' ')"""
+_LOCUS = f"""concat('<', case when l_partkey % 97 = 0 then 'f1r' else {_PAGE} end, '.', cast(l_linenumber as string), ',', substring('@+=*', cast(l_linenumber % 4 + 1 as int), 1), substring('PPPLCR', cast(l_suppkey % 6 + 1 as int), 1), case when l_partkey % 11 = 0 then 'c' else '0' end, ';H>   ', {_TEXT}, ' ')"""
+
+
+# Lines beside headers and loci, by order: which orders, the place after the order's first, the line.
+_OTHERS = [
+    ("o_orderkey % 6 = 0", 0, "concat('# order ', cast(o_orderkey as string))"),
+    ("o_orderkey % 8 = 0", 2_500_000_000, "concat('#  between ', cast(o_orderkey as string))"),
+    ("o_orderkey % 9 = 0", 2, "'   '"),
+    ("o_orderkey % 40 = 0", 3, "concat('<f1r.bad> ', cast(o_orderkey as string))"),
+    ("o_orderkey % 50 = 0", -1, "concat('#=IVTFF Eva- 2.', cast(o_orderkey % 7 as string), case when o_orderkey % 3 = 0 then '' else ' M 6' end)"),
+]
+_FIRST = [("true", -3, "'#=IVTFF Eva- 2.0 M 5'"), ("o_custkey % 5 = 0", -2, "'<f9r.1,@P0;H> before.any.page'")]
 
 
 def transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``file, line_no, line`` of the synthetic files."""
     orders, items = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
-    file = F.concat(F.lit("c"), F.col("o_custkey"))
-    said = orders.where("o_orderkey % 6 = 0").select(file.alias("file"), (F.col("o_orderkey") * 10_000_000_000).alias("line_no"), F.expr("concat('# order ', cast(o_orderkey as string))").alias("line"))
-    heads = orders.select(file.alias("file"), (F.col("o_orderkey") * 10_000_000_000 + 1).alias("line_no"), F.expr(_HEADER).alias("line"))
-    loci = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(file.alias("file"), F.expr(_PLACE).alias("line_no"), F.expr(_LOCUS).alias("line"))
-    form = orders.groupBy(file.alias("file")).agg(F.lit(-1).cast("long").alias("line_no"), F.lit("#=IVTFF Eva- 2.0 M 5").alias("line"))
-    return said.union(heads).union(loci).union(form)
-
-
-TRANSCRIPT = f"""transcript AS MATERIALIZED (
- SELECT 'c' || o_custkey AS file, o_orderkey * 10000000000 AS line_no, concat('# order ', cast(o_orderkey as string)) AS line FROM orders WHERE o_orderkey % 6 = 0
- UNION ALL SELECT 'c' || o_custkey, o_orderkey * 10000000000 + 1, {_HEADER} FROM orders
- UNION ALL SELECT 'c' || o_custkey, {_PLACE}, {_LOCUS} FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
+    file = F.concat(F.lit("c"), F.col("o_custkey")).alias("file")
+    place = F.col("o_orderkey") * 10_000_000_000
+
+    def lines_by(rows: list, at: Column) -> Column:
+        each = F.array(*(F.when(F.expr(which), F.struct((at + after).alias("line_no"), F.expr(line).alias("line"))) for which, after, line in rows))
+        return F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x")
+
+    of_orders = orders.select(file, lines_by([*_OTHERS, ("true", 1, _HEADER)], place)).select("file", "x.*")
+    of_files = orders.select("o_custkey").distinct().select(file, lines_by(_FIRST, F.lit(0).cast("long"))).select("file", "x.*")
+    loci = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(file, F.expr(_PLACE).alias("line_no"), F.expr(_LOCUS).alias("line"))
+    return of_orders.union(of_files).union(loci)
+
+
+TRANSCRIPT = "transcript AS MATERIALIZED (" + " UNION ALL ".join([
+    *(f"SELECT 'c' || o_custkey AS file, o_orderkey * 10000000000 + {after} AS line_no, {line} AS line FROM orders WHERE {which}" for which, after, line in [*_OTHERS, ("true", 1, _HEADER)]),
+    *(f"SELECT DISTINCT 'c' || o_custkey, CAST({after} AS BIGINT), {line} FROM orders WHERE {which}" for which, after, line in _FIRST),
+    f"SELECT 'c' || o_custkey, {_PLACE}, {_LOCUS} FROM lineitem JOIN orders ON l_orderkey = o_orderkey",
+]) + ")"
 LOCUS = "'^<(f[0-9]+[rv][0-9]*)\\.([0-9]+),([+@=*]?)([PLCR])([0-9]*)(?:;([A-Z]))?>(.*)$'"
 PAGE = "'^<(f[0-9]+[rv][0-9]*)>\\s*(.*)$'"
 VAR = "nullif(list_last(regexp_extract_all(header, '\\${0}=([^\\s$>]+)', 1)), '')"
@@ -44,7 +65,7 @@ PARSED = f"""{TRANSCRIPT},
  kinds AS (SELECT *, regexp_matches(line, {PAGE}) AS is_page, regexp_matches(line, {LOCUS}) AS is_locus FROM transcript),
  placed AS MATERIALIZED (SELECT *, CAST(sum(CAST(is_page AS INT)) OVER (PARTITION BY file ORDER BY line_no) AS BIGINT) AS page_ord FROM kinds),
  heads AS (SELECT file, page_ord, line_no, regexp_extract(line, {PAGE}, 1) AS page_id, regexp_extract(line, {PAGE}, 2) AS header FROM placed WHERE is_page),
- pages_ AS (SELECT file, page_ord, line_no, page_id, {VAR.format('Q')} AS quire, {VAR.format('P')} AS page_in_quire, TRY_CAST({VAR.format('B')} AS INT) AS bifolio, {VAR.format('I')} AS illustration, {VAR.format('L')} AS language, {VAR.format('H')} AS hand FROM heads),
+ pages_ AS (SELECT file, page_ord, line_no, page_id, {VAR.format('Q')} AS quire, {VAR.format('P')} AS page_in_quire, TRY_CAST({VAR.format('B')} AS INT) AS bifolio, {VAR.format('I')} AS illustration, {VAR.format('L')} AS language, {VAR.format('H')} AS hand, {VAR.format('F')} AS folio, TRY_CAST({VAR.format('C')} AS INT) AS cluster, {VAR.format('X')} AS extraneous FROM heads),
  loci AS (SELECT file, page_ord, line_no, regexp_extract(line, {LOCUS}, 1) AS locus_page_id, CAST(regexp_extract(line, {LOCUS}, 2) AS INT) AS locus_number, nullif(regexp_extract(line, {LOCUS}, 3), '') AS position,
   regexp_extract(line, {LOCUS}, 4) AS locus_type, TRY_CAST(nullif(regexp_extract(line, {LOCUS}, 5), '') AS INT) AS subtype, nullif(regexp_extract(line, {LOCUS}, 6), '') AS transcriber, trim(regexp_extract(line, {LOCUS}, 7)) AS text,
   row_number() OVER (PARTITION BY file, page_ord ORDER BY line_no) AS line_index FROM placed WHERE is_locus AND page_ord > 0)"""
@@ -56,24 +77,45 @@ def ivtff_parse_lines(spark, sf_dir):
     return rows.select("file", "page_ord", "locus_page_id", "locus_number", "position", "locus_type", "subtype", "transcriber", "text", "locus_id", "line_index")
 
 
-@query(f"WITH {PARSED} SELECT file, page_ord, page_id, quire, page_in_quire, bifolio, illustration, language, hand FROM pages_")
+@query(f"WITH {PARSED} SELECT file, page_ord, page_id, quire, page_in_quire, bifolio, illustration, language, hand, folio, cluster, extraneous FROM pages_")
 def page_variables(spark, sf_dir):
-    return ivtff.pages(transcript(spark, sf_dir), comments=False).select("file", "page_ord", "page_id", *(f"variables.{c}" for c in ("quire", "page_in_quire", "bifolio", "illustration", "language", "hand")))
+    return ivtff.pages(transcript(spark, sf_dir), comments=False).select("file", "page_ord", "page_id", *(f"variables.{c}" for c in ("quire", "page_in_quire", "bifolio", "illustration", "language", "hand", "folio", "cluster", "extraneous")))
+
 
+COMMENTED = f"""{PARSED}, e AS (SELECT *, sum(CAST(is_page OR (is_locus AND page_ord > 0) AS INT)) OVER (PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS island FROM placed),
+ c AS (SELECT file, island, string_agg(trim(substr(line, 2)), '|' ORDER BY line_no) AS said FROM e WHERE line LIKE '#%' AND line NOT LIKE '#=IVTFF %' GROUP BY ALL)"""
 
-@query(f"""WITH {PARSED}, c AS (SELECT file, page_ord + 1 AS page_ord, string_agg(trim(substr(line, 2)), '|' ORDER BY line_no) AS said FROM placed WHERE line LIKE '#%' GROUP BY ALL) SELECT file, page_ord, page_id, coalesce(said, '') AS comments FROM pages_ LEFT JOIN c USING (file, page_ord)""")
+
+@query(f"WITH {COMMENTED} SELECT file, page_ord, regexp_extract(line, {PAGE}, 1) AS page_id, coalesce(said, '') AS comments FROM e LEFT JOIN c USING (file, island) WHERE is_page")
 def page_comments(spark, sf_dir):
     return ivtff.pages(transcript(spark, sf_dir)).select("file", "page_ord", "page_id", F.array_join("comments", "|").alias("comments"))
 
 
-@query("SELECT DISTINCT 'c' || o_custkey AS file, 'Eva-' AS format_version, '2.0 M 5' AS format_options FROM orders")
+@query(rf"""WITH {TRANSCRIPT} SELECT file, arg_max(regexp_extract(line, '^#=IVTFF\s+(\S+)', 1), line_no) AS format_version, nullif(arg_max(trim(regexp_extract(line, '^#=IVTFF\s+\S+\s*(.*)$', 1)), line_no), '') AS format_options FROM transcript WHERE line LIKE '#=IVTFF %' GROUP BY file""")
 def format_headers(spark, sf_dir):
     return ivtff.formats(transcript(spark, sf_dir))
 
 
-@query(f"WITH {TRANSCRIPT} SELECT CASE WHEN regexp_matches(line, {PAGE}) THEN 'page' WHEN regexp_matches(line, {LOCUS}) THEN 'locus' WHEN line LIKE '#%' THEN 'comment' ELSE 'other' END AS kind, count(*) AS n FROM transcript GROUP BY 1")
+@query(f"WITH {TRANSCRIPT} SELECT CASE WHEN trim(line) = '' THEN 'blank' WHEN line LIKE '#=IVTFF %' THEN 'format' WHEN line LIKE '#%' THEN 'comment' WHEN regexp_matches(line, {PAGE}) THEN 'page' WHEN regexp_matches(line, {LOCUS}) THEN 'locus' ELSE 'other' END AS kind, count(*) AS n FROM transcript GROUP BY 1")
 def line_kinds(spark, sf_dir):
-    return ivtff.classify(transcript(spark, sf_dir).where("line_no >= 0")).groupBy("kind").agg(F.count("*").alias("n"))
+    return ivtff.classify(transcript(spark, sf_dir)).groupBy("kind").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {PARSED} SELECT file, line_no, CASE WHEN is_locus THEN 'no page' ELSE 'unknown' END AS reason FROM placed WHERE (is_locus AND page_ord = 0) OR NOT (is_locus OR is_page OR line LIKE '#%' OR trim(line) = '')")
+def strict_errors(spark, sf_dir):
+    return ivtff.strict_errors(transcript(spark, sf_dir)).select("file", "line_no", "reason")
+
+
+@query(f"""WITH {PARSED} SELECT file, page_ord, line_index, regexp_extract(line, '^(<[^>]*>)', 1) AS raw_locator, 'Locus(' || locus_page_id || ':' || locus_number || ': ' || CASE WHEN length(text) > 30 THEN left(text, 30) || '...' ELSE text END || ')' AS shown
+ FROM loci JOIN placed USING (file, page_ord, line_no)""")
+def locus_labels(spark, sf_dir):
+    rows = ivtff.loci(transcript(spark, sf_dir), comments=False)
+    return rows.select("file", "page_ord", F.col("line_index").cast("long").alias("line_index"), "raw_locator", ivtff.shown(F.col("locus_id"), F.col("text")).alias("shown"))
+
+
+@query(f"WITH {COMMENTED} SELECT file, line_no, said AS comments FROM e JOIN c USING (file, island) WHERE is_locus AND page_ord > 0")
+def locus_comments(spark, sf_dir):
+    return ivtff.loci(transcript(spark, sf_dir)).where(F.size("comments") > 0).select("file", "line_no", F.array_join("comments", "|").alias("comments"))
 
 
 @query(f"WITH {TRANSCRIPT} SELECT c, count(*) AS n FROM (SELECT unnest(string_split(trim(regexp_extract(line, '^[^>]*>(.*)$', 1)), '')) AS c FROM transcript WHERE line LIKE '<f%' AND contains(line, '>')) WHERE c <> '' GROUP BY c")
@@ -205,6 +247,22 @@ def folio_sections(spark, sf_dir):
     return rows.select("p_partkey", "page_id", number.alias("folio"), section["value"].alias("section"), section["disputed"].alias("disputed"), ids.is_missing(number).alias("missing"), ids.is_foldout(F.col("page_id")).alias("foldout"))
 
 
+@query("""SELECT p_partkey, CAST(p_partkey % 130 AS INT) AS folio, CASE WHEN p_partkey % 2 = 0 THEN 'r' ELSE 'v' END AS side, CASE WHEN p_partkey % 9 = 0 THEN CAST(p_partkey % 6 + 1 AS INT) END AS panel FROM part""")
+def page_id_parts(spark, sf_dir):
+    page = F.concat(F.when(F.col("p_partkey") % 7 == 0, "F").otherwise("f"), F.col("p_partkey") % 130, F.when(F.col("p_partkey") % 2 == 0, "r").otherwise("v"), F.when(F.col("p_partkey") % 9 == 0, (F.col("p_partkey") % 6 + 1).cast("string")).otherwise(""))
+    return table(spark, sf_dir, "part").select("p_partkey", ids.parse_page_id(page).alias("x")).select("p_partkey", "x.*")
+
+
+@query(f"WITH {RECORDS}, f AS (SELECT folio_id, any_value(folio_number) AS num FROM records GROUP BY 1), q AS (SELECT DISTINCT quire_id FROM records WHERE quire_id IS NOT NULL) SELECT 'folio' AS kind, folio_id AS id, row_number() OVER (ORDER BY num) AS place FROM f UNION ALL SELECT 'quire', quire_id, row_number() OVER (ORDER BY quire_id) FROM q")
+def leaf_order(spark, sf_dir):
+    pages = page_rows(spark, sf_dir)
+    # One row a folio and a quire.
+    folios = pages.select(F.lit("folio").alias("kind"), F.col("folio_id").alias("id"), ids.folio_key(F.col("folio_id")).alias("number")).distinct()
+    quires = pages.where("quire_id is not null").select(F.lit("quire").alias("kind"), F.col("quire_id").alias("id"), F.lit(0).alias("number")).distinct()
+    placed = folios.union(quires).withColumn("place", F.row_number().over(S.Window.partitionBy("kind").orderBy("number", "id")))
+    return placed.select("kind", "id", F.col("place").cast("long").alias("place"))
+
+
 @query("""SELECT n_nationkey, sha256('{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}') AS sha, left(sha256(n_name), 12) AS version FROM nation""")
 def canonical_json_sha(spark, sf_dir):
     rows = table(spark, sf_dir, "nation")

@@ -104,12 +104,18 @@ def placed(lines: DataFrame) -> DataFrame:
     return seen.select(*lines.columns, "kind", F.col("pages_").cast("long").alias("page_ord"), F.struct("last_.line_no", "last_.line").alias("head"), (F.col("loci_") - F.col("last_.loci")).cast("int").alias("line_index"), accepted.alias("accepted"), island.cast("long").alias("island"))
 
 
+def strict_errors(lines: DataFrame) -> DataFrame:
+    """``file, line_no, line, reason`` of lines of no known kind (``unknown``) and loci outside all pages (``no page``)."""
+    marked = placed(lines)
+    bad = marked.where((F.col("kind") == "other") | ((F.col("kind") == "locus") & (F.col("page_ord") == 0)))
+    return bad.select("file", "line_no", "line", F.when(F.col("kind") == "other", "unknown").otherwise("no page").alias("reason"))
+
+
 def check_strict(lines: DataFrame) -> None:
     """Raise on the first line that is none of the known kinds, or a locus outside all pages."""
-    bad = placed(lines).where((F.col("kind") == "other") | ((F.col("kind") == "locus") & (F.col("page_ord") == 0)))
-    first = bad.orderBy("file", "line_no").select("file", "line_no", "kind", "line").first()
+    first = strict_errors(lines).orderBy("file", "line_no").first()
     if first:
-        if first.kind == "other":
+        if first.reason == "unknown":
             raise MalformedLocusError(f"line {first.line_no} is of no known kind: {first.line[:80]!r}", first.line_no, first.line)
         raise MissingPageContextError(f"line {first.line_no} has a locus, but no page header stands before it", first.line_no, first.line)
 
