@@ -64,9 +64,12 @@ def with_places(table: DataFrame, *ties: str) -> DataFrame:
     earlier = Window.unboundedPreceding, -1
     folios = pages.groupBy("_folio").agg(F.sum("_n").alias("_n")).select("_folio", F.coalesce(F.sum("_n").over(Window.orderBy("_folio").rowsBetween(*earlier)), F.lit(0)).alias("_base"))
     inside = pages.withColumn("_inside", F.coalesce(F.sum("_n").over(Window.partitionBy("_folio").orderBy("_page").rowsBetween(*earlier)), F.lit(0)))
-    offsets = inside.join(folios, "_folio").select("_folio", "_page", (F.col("_base") + F.col("_inside")).alias("_before"))
+    # Lines without a page have no folio either; they come first.
+    based = inside.alias("i").join(folios.alias("f"), F.col("i._folio").eqNullSafe(F.col("f._folio")))
+    offsets = based.select(F.col("i._folio").alias("_at_folio"), F.col("i._page").alias("_at_page"), (F.col("_base") + F.col("_inside")).alias("_before"))
     ranked = rows.withColumn("_rank", F.row_number().over(Window.partitionBy("_folio", "_page").orderBy("line_index", *ties)))
-    return ranked.join(offsets, ["_folio", "_page"]).withColumn("place", F.col("_before") + F.col("_rank")).drop("_folio", "_page", "_before", "_rank")
+    here = F.col("_folio").eqNullSafe(F.col("_at_folio")) & F.col("_page").eqNullSafe(F.col("_at_page"))
+    return ranked.join(offsets, here).withColumn("place", F.col("_before") + F.col("_rank")).select(*table.columns, "place")
 
 
 def _counts(frame: DataFrame, key) -> dict[str, int]:
