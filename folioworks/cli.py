@@ -1,4 +1,4 @@
-"""Command line: ``python -m folioworks.cli lines|metadata|mismatch|check|profile``."""
+"""Command line: ``python -m folioworks.cli lines|metadata|mismatch|check|profile|fetch|verify``."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ import sys
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
+from .errors import EngineError
 from .functions import ids
 from .logs import configure
 from .operators import lines as L
@@ -18,6 +19,7 @@ from .operators import mismatch as X
 from .operators import quality as Q
 from .operators import verification as V
 from .sources import sinks, tables
+from .sources.ivtff import read_lines
 
 
 def _lines(spark: SparkSession, args: argparse.Namespace) -> int:
@@ -26,7 +28,7 @@ def _lines(spark: SparkSession, args: argparse.Namespace) -> int:
     if args.format in ("jsonl", "both"):
         digest = sinks.write_canonical_jsonl(table, f"{out}/lines.jsonl", ids.reading_order(F.col("page_id"), F.col("line_index")))
         sinks.write_sums({"lines.jsonl": digest}, f"{out}/SHA256SUMS")
-        sinks.write_json(sinks.manifest(report, "lines", args.version, "lines.jsonl", digest, ["lines.parquet", "lines_build_report.json"]), f"{out}/release_manifest.json")
+        sinks.write_json(sinks.manifest(report, "lines", args.version, "lines.jsonl", digest, {"lines.parquet": "the same rows, written by Spark", "lines_build_report.json": "holds the time of the build"}, args.source_name), f"{out}/release_manifest.json")
     if args.format in ("parquet", "both"):
         sinks.write_parquet(table, f"{out}/lines.parquet")
     sinks.write_json(report, f"{out}/lines_build_report.json")
@@ -54,25 +56,53 @@ def _mismatch(spark: SparkSession, args: argparse.Namespace) -> int:
 def _check(spark: SparkSession, args: argparse.Namespace) -> int:
     path = f"{args.output_dir}/lines.jsonl"
     if not os.path.exists(path):
-        print(json.dumps({"ok": False, "failures": ["OUTPUT_EXISTS"]}))
+        print(json.dumps({"passed": False, "checks_run": 0, "failures": ["OUTPUT_EXISTS"]}))
         return 1
-    raw = tables.read_raw_jsonl(spark, path)
-    errors = [f"{r.line_id}: missing {r.missing}" for r in Q.missing_fields(raw).select(F.get_json_object("json", "$.line_id").alias("line_id"), "missing").limit(5).collect()]
-    rows = tables.read_jsonl(spark, path)
-    ok, said = Q.summarize(Q.invariant_failures(rows, None, args.lines, args.pages))
+    try:
+        rows = tables.read_jsonl(spark, path)
+    except EngineError as error:
+        print(json.dumps({"passed": False, "checks_run": 0, "failures": [str(error)]}))
+        return 1
+    lacking = Q.missing_fields(tables.read_raw_jsonl(spark, path))
+    errors = Q.shown_first(lacking, F.concat(F.coalesce(F.get_json_object("json", "$.line_id"), F.lit("?")), F.lit(" lacks "), F.array_join("missing", ", ")))
+    # The file's own order is part of what is checked.
+    numbered = read_lines(spark, path).where(F.col("line").rlike(r"\S")).select(F.from_json("line", rows.schema).alias("r"), F.col("line_no").alias("_line_no")).select("r.*", "_line_no")
+    found = Q.verify_invariants(numbered, "_line_no", args.lines, args.pages) if not errors else {"passed": False, "checks_run": 0, "failures": [], "n_failures": 0}
     report = f"{args.output_dir}/lines_build_report.json"
     if os.path.exists(report):
         with open(report, encoding="utf-8") as file:
-            errors += Q.report_errors(json.load(file))
-    print(json.dumps({"ok": ok and not errors, "failures": errors + said}, indent=None if args.json else 2, ensure_ascii=False))
-    return int(bool(errors) or not ok)
+            built = json.load(file)
+        errors += Q.report_errors(built)
+        errors += [] if errors else [f"report and table differ in {k}" for k, same in Q.reconcile(rows, built).items() if not same]
+    more = found["n_failures"] - len(found["failures"])
+    said = errors + [f"[{f['invariant']}] {f['record_id']}: {f['message']}" for f in found["failures"]] + ([f"... and {more} more"] if more > 0 else [])
+    passed = found["passed"] and not errors
+    print(json.dumps({"passed": passed, "checks_run": found["checks_run"], "failures": said}, indent=None if args.json else 2, ensure_ascii=False))
+    return int(not passed)
 
 
 def _profile(spark: SparkSession, args: argparse.Namespace) -> int:
     texts = spark.read.text(args.files, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    rows = V.profile(texts).collect()
-    print(json.dumps([r.asDict(True) for r in rows], indent=2, ensure_ascii=False))
-    return int(any(r.errors for r in rows))
+    rows = [r.asDict(True) for r in V.profile(texts).collect()]
+    if args.save:
+        sinks.write_json({r["file"]: r for r in rows}, args.save)
+    print(json.dumps(rows, indent=2, ensure_ascii=False))
+    return int(any(r["errors"] for r in rows))
+
+
+def _fetch(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Fetch all sources of a registry and lock their hashes in it."""
+    found = tables.fetch_all(tables.read_registry(args.registry), args.cache)
+    tables.write_registry(found, args.registry)
+    print(json.dumps({name: s.status for name, s in found.items()}, indent=2))
+    return int(any(s.status != "verified" for s in found.values()))
+
+
+def _verify(spark: SparkSession, args: argparse.Namespace) -> int:
+    keywords = {name: tuple(words.split(",")) for name, words in (k.split("=", 1) for k in args.keywords)}
+    results = V.verify_all(spark, tables.read_registry(args.registry), keywords, args.save)
+    print(json.dumps(results, indent=2, ensure_ascii=False))
+    return int(not results["_run"]["all_passed"])
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -100,9 +130,17 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     four.add_argument("--json", action="store_true")
     five = commands.add_parser("profile", help="profile source files")
     five.add_argument("files", nargs="+")
+    five.add_argument("--save")
+    six = commands.add_parser("fetch", help="fetch registered sources and lock their hashes")
+    six.add_argument("registry")
+    six.add_argument("--cache", default="cache")
+    seven = commands.add_parser("verify", help="verify what registered sources give")
+    seven.add_argument("registry")
+    seven.add_argument("--keywords", nargs="*", default=[], metavar="NAME=WORD,WORD")
+    seven.add_argument("--save")
     args = parser.parse_args(argv)
     configure()
-    run = {"lines": _lines, "metadata": _metadata, "mismatch": _mismatch, "check": _check, "profile": _profile}[args.command]
+    run = {"lines": _lines, "metadata": _metadata, "mismatch": _mismatch, "check": _check, "profile": _profile, "fetch": _fetch, "verify": _verify}[args.command]
     return run(spark or SparkSession.builder.appName("folioworks").getOrCreate(), args)
 
 

@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.charset import SINGLE, characters
+from ..sources.sinks import write_json
+from ..sources.tables import Source, probe
 
 PAGE = r"<f[0-9]+[rv][0-9]*>"
 OLD_LOCUS = r"<f[0-9]+[rv][0-9]*\.\w+\.[0-9]+[;\w]*>"
@@ -67,3 +72,41 @@ def profile(files: DataFrame, name: str = "file", content: str = "value") -> Dat
 def against_hashes(found: DataFrame, expected: DataFrame) -> DataFrame:
     """Files with their expected hash beside the one found (``file, sha256`` on both sides), and whether they agree."""
     return expected.withColumnRenamed("sha256", "expected").join(found.select("file", "sha256"), "file", "left").withColumn("matches", F.coalesce(F.col("sha256") == F.col("expected"), F.lit(False)))
+
+
+def verify_source(spark: SparkSession, source: Source, keywords: tuple[str, ...] = (), get: Callable = probe) -> dict:
+    """What a source's address gives: status, type, size, hash, and its profile or the keywords found.
+
+    A transcription must have pages and lines; a page with ``keywords`` must hold
+    one of them. A hash other than the registered one is a warning.
+    """
+    result: dict = {"name": source.name, "url": source.url, "status": None, "errors": [], "warnings": []}
+    try:
+        content, status, kind = get(source.url)
+    except OSError as error:
+        return result | {"passed": False, "errors": [f"cannot be reached: {error}"]}
+    frame = spark.createDataFrame([(source.name, bytearray(content))], "file string, content binary")
+    text = F.make_valid_utf8(F.col("content").cast("string"))
+    result |= {"status": status, "content_type": kind, "size": len(content), "sha256": frame.select(F.sha2("content", 256)).first()[0]}
+    if status != 200:
+        result["errors"].append(f"status {status}")
+    elif keywords:
+        if not frame.select(mentions(text, *keywords)).first()[0]:
+            result["errors"].append(f"none of the words {', '.join(keywords)}")
+    else:
+        found = profile(frame.select("file", text.alias("value"))).first().asDict(True)
+        result |= {k: found[k] for k in ("looks_like_ivtff", "structure", "characters", "transcribers")}
+        result["errors"] += found["errors"]
+        result["warnings"] += ["unknown characters: " + " ".join(found["characters"]["unknown"])] if found["has_unknown_characters"] else []
+    if source.sha256 and source.sha256 != result["sha256"]:
+        result["warnings"].append("not the registered hash")
+    return result | {"passed": not result["errors"]}
+
+
+def verify_all(spark: SparkSession, sources: dict[str, Source], keywords: dict[str, tuple[str, ...]] | None = None, save_to: str | None = None, get: Callable = probe) -> dict:
+    """The results of all sources by name, and under ``_run`` when they were had and whether all passed; saved if asked."""
+    results: dict = {name: verify_source(spark, s, (keywords or {}).get(name, ()), get) for name, s in sources.items()}
+    results["_run"] = {"at": datetime.datetime.now(datetime.UTC).isoformat(timespec="seconds"), "all_passed": all(r["passed"] for r in results.values())}
+    if save_to:
+        write_json(results, save_to)
+    return results

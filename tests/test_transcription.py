@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -243,3 +244,102 @@ def test_sources(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.fetch(url, str(tmp_path / "c/y"), "0")
     assert not (tmp_path / "c/y").exists()
+
+
+def test_every_public_name_is_there():
+    import folioworks
+
+    assert all(getattr(folioworks, name) is not None for name in folioworks.__all__) and set(folioworks.__all__) <= set(dir(folioworks))
+    with pytest.raises(AttributeError):
+        folioworks.nothing  # noqa: B018
+
+
+def test_bad_json_lines_are_named(spark, tmp_path):
+    (tmp_path / "b.jsonl").write_text('{"a": 1}\n\n{"a": \n[1]\n')
+    with pytest.raises(ValueError, match="line 3 is no JSON object"):
+        tables.read_jsonl(spark, str(tmp_path / "b.jsonl"), "a int")
+
+
+def test_large_files_are_read_in_splits(spark, tmp_path):
+    """A file in many splits gives what one split gives: numbers, pages, comments and indexes."""
+    rng = random.Random(3)
+    lines = ["#=IVTFF Eva- 2.0", "<f9r.1,@P0;H> too early"]
+    for page in range(40):
+        lines += [f"# about {page}", f"<f{page + 1}r> <! $L=A>"]
+        lines += [rng.choice([f"<f{page + 1}r.{i},@P0;H> daiin.{i}", "", "# said", "odd"]) for i in range(rng.randint(0, 30))]
+    (tmp_path / "s.txt").write_text("\n".join(lines) + "\n")
+    path = str(tmp_path / "s.txt")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    tables_of = lambda x: [sorted(map(str, f.collect())) for f in (ivtff.loci(x), ivtff.pages(x), ivtff.strict_errors(x), ivtff.pages_with_counts(x))]
+    whole = tables_of(ivtff.read_lines(spark, path))
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        read = ivtff.read_lines(spark, path)
+        assert read.select("split").distinct().count() > 10
+        assert [(r.line_no, r.line) for r in read.orderBy("line_no").collect()] == list(enumerate(lines, 1))
+        assert tables_of(read) == whole
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    one = ivtff.lines_of(spark.createDataFrame([("x", "\n".join(lines))], "file string, value string"))
+    assert sorted(r.line_index for r in ivtff.loci(one).collect()) == sorted(r.line_index for r in ivtff.loci(ivtff.read_lines(spark, path)).collect())
+
+
+def test_registry_is_fetched_locked_and_verified(spark, tmp_path):
+    source = tmp_path / "s.txt"
+    source.write_text("#=IVTFF\n<f1r>\n<f1r.P.1;H> daiin\n")
+    page = tmp_path / "p.html"
+    page.write_text("<p>A concordance</p>")
+    registry = str(tmp_path / "r.json")
+    tables.write_registry({"s": tables.Source("s", source.as_uri()), "p": tables.Source("p", page.as_uri()), "none": tables.Source("none", (tmp_path / "none").as_uri())}, registry)
+    assert cli.main(["fetch", registry, "--cache", str(tmp_path / "c")], spark) == 1
+    found = tables.read_registry(registry)
+    assert {n: s.status for n, s in found.items()} == {"s": "verified", "p": "verified", "none": "failed"} and found["s"].sha256 == tables.sha256_of_file(str(source))
+    assert tables.registry_table(spark, found).count() == 3
+    saved = str(tmp_path / "v/results.json")
+    assert cli.main(["verify", registry, "--keywords", "p=concordance,index", "--save", saved], spark) == 1
+    got = json.load(open(saved))
+    assert got["s"]["passed"] and got["p"]["passed"] and not got["none"]["passed"] and not got["_run"]["all_passed"]
+    assert got["s"]["status"] == 200 and got["s"]["structure"]["line_count"] == 1
+    del found["none"]
+    source.write_text("nothing here")
+    tables.write_registry(found, registry)
+    assert cli.main(["verify", registry, "--save", saved], spark) == 1
+    got = json.load(open(saved))
+    assert got["s"]["warnings"] and len(got["s"]["errors"]) == 2
+
+
+def test_splits_of_a_data_set(spark, tmp_path):
+    rows = spark.createDataFrame([(1, "train"), (2, "test"), (3, "train")], "n int, split string")
+    sinks.write_splits(rows, str(tmp_path / "set"))
+    got = spark.read.parquet(str(tmp_path / "set"))
+    assert {(r.n, r.split) for r in got.collect()} == {(1, "train"), (2, "test"), (3, "train")}
+    assert spark.read.parquet(str(tmp_path / "set/split=train")).count() == 2
+
+
+def test_check_finds_the_first_line_out_of_order(spark, tmp_path, capsys):
+    source = tmp_path / "s.txt"
+    source.write_text(SAMPLE)
+    out = str(tmp_path / "out")
+    cli.main(["lines", "--source", str(source), "--output-dir", out], spark)
+    path = tmp_path / "out/lines.jsonl"
+    lines = path.read_text().splitlines()
+    path.write_text("\n".join(lines[::-1]) + "\n")
+    capsys.readouterr()
+    assert cli.main(["check", "--output-dir", out, "--lines", "6", "--pages", "3", "--json"], spark) == 1
+    got = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert got["checks_run"] == 12 and got["failures"] == [f"[ORDERING] {json.loads(lines[-2])['line_id']}: Out of order"]
+    path.write_text("\n".join(json.dumps({"line_id": f"f1r:{i}"}) for i in range(9)))
+    assert cli.main(["check", "--output-dir", out, "--json"], spark) == 1
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["failures"][5] == "... and 4 more"
+
+
+def test_schemas_by_name(tmp_path):
+    from folioworks.operators import quality
+
+    assert quality.load_schema("transcription_lines") is quality.load_schema("transcription_lines.schema.json") is quality.LINES_SCHEMA
+    (tmp_path / "own.json").write_text('{"type": "object"}')
+    assert quality.load_schema("own", str(tmp_path)) == quality.load_schema(str(tmp_path / "own")) == {"type": "object"}
+    with pytest.raises(FileNotFoundError):
+        quality.load_schema("nobody")
