@@ -126,6 +126,13 @@ def character_counts(frame: DataFrame, text: str, *by: str) -> DataFrame:
     return chars.groupBy(*by, "c").agg(F.count("*").alias("n"))
 
 
+def presence(counted: DataFrame, marks: str) -> DataFrame:
+    """Of each of some characters, whether and how often the counts ``c, n`` have it."""
+    wanted = counted.sparkSession.createDataFrame([(m,) for m in marks], "c string")
+    found = wanted.join(counted.where(F.col("c").isin(*marks)), "c", "left")
+    return found.select("c", F.col("n").isNotNull().alias("present"), F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def _grams(chars: str, k: int) -> Column:
     """Structs of each character that has k before it (``c``), and those (``ctx``).
 

@@ -132,11 +132,10 @@ def count_failures(spark, sf_dir):
     return Q.count_failures(P.line_rows(spark, sf_dir), 5, 5).select("invariant", "message")
 
 
-@query(f"""WITH {P.LINES} SELECT count(*) >= 4000 AS record_count, bool_and(page_id <> '') AS page_ids, count(DISTINCT line_id) = count(*) AS unique_line_ids, 100 * count(*) FILTER (char_count > 0) >= 95 * count(*) AS characters, count(DISTINCT page_id) > 200 AS pages, count(DISTINCT currier_language) >= 2 AS languages, count(DISTINCT line_type) >= 2 AS line_types FROM lines""")
+@query(f"""WITH {P.LINES} SELECT count(*) >= 4000 AS record_count, bool_and(page_id <> '') AS page_ids, count(DISTINCT line_id) = count(*) AS unique_line_ids, 100 * count(*) FILTER (char_count > 0) >= 95 * count(*) AS characters, count(DISTINCT page_id) > 200 AS pages, count(DISTINCT currier_language) >= 2 AS languages, count(DISTINCT line_type) >= 2 AS line_types, bool_and(line_id <> '') AS line_ids, false AS no_errors, count(*) > 0 AS fields FROM lines""")
 def smoke_checks(spark, sf_dir):
-    got = L.smoke_checks(P.line_rows(spark, sf_dir), {})
-    keys = ["record_count", "page_ids", "unique_line_ids", "characters", "pages", "languages", "line_types"]
-    return spark.range(1).select(*(F.lit(got[k]).alias(k) for k in keys))
+    got = L.smoke_checks(P.line_rows(spark, sf_dir), {"errors": ["one"]})
+    return spark.range(1).select(*(F.lit(v).alias(k) for k, v in got.items()))
 
 
 @query(f"WITH {P.LINES}, s AS (SELECT count(*) AS n, CAST(sum(char_count) AS BIGINT) AS c, CAST(sum(word_count) AS BIGINT) AS w, count(DISTINCT page_id) AS p FROM lines) SELECT true AS total_lines, true AS total_characters, w = 1 AS total_words, p = 0 AS pages_with_lines FROM s")
@@ -156,16 +155,17 @@ def data_quality_counters(spark, sf_dir):
     )
 
 
-_PROFILE = "concat('#=IVTFF Eva- 2.0', chr(10), '<f', cast(s_suppkey as string), 'r>', chr(10), '<f', cast(s_suppkey as string), 'r.P.1;', case when s_nationkey % 2 = 0 then 'H' else 'T' end, '> ', lower(s_name), chr(10), case when s_nationkey % 3 = 0 then '<f1v.P.2;C> daiin' else '' end)"
+_PROFILE = "concat('#=IVTFF Eva- 2.0', chr(10), case when s_suppkey % 7 = 0 then '' else concat('<f', cast(s_suppkey as string), 'r>') end, chr(10), case when s_suppkey % 11 = 0 then '<' else '<f' end, cast(s_suppkey as string), 'r.P.1;', case when s_nationkey % 2 = 0 then 'H' else 'T' end, '> ', lower(s_name), chr(10), case when s_nationkey % 3 = 0 then '<f1v.P.2;C> daiin' else '' end)"
 
 
 @query(f"""WITH t AS (SELECT s_suppkey, {_PROFILE} AS v FROM supplier), c AS (SELECT s_suppkey, v, list_sort(list_distinct(list_filter(string_split(regexp_replace(lower(array_to_string(regexp_extract_all(v, '<f[0-9]+[rv][0-9]*\\.\\w+\\.[0-9]+[;\\w]*>\\s*([^<]+)', 1), ' ')), '[.\\-=,\\s\\[\\]{{}}!?*@0-9<>]', '', 'g'), ''), lambda x: x <> ''))) AS found FROM t)
  SELECT s_suppkey, sha256(v) AS sha256, len(list_distinct(regexp_extract_all(v, '<f[0-9]+[rv][0-9]*>'))) AS page_count, len(regexp_extract_all(v, '<f[0-9]+[rv][0-9]*\\.\\w+\\.[0-9]+[;\\w]*>')) AS line_count, array_to_string(list_sort(list_distinct(regexp_extract_all(v, ';([A-Z])>', 1))), '') AS transcribers,
- array_to_string(list_filter(found, lambda x: regexp_matches(x, '[a-vx-z]')), '') AS known, array_to_string(list_filter(found, lambda x: NOT regexp_matches(x, '[a-vx-z]')), '') AS unknown FROM c""")
+ array_to_string(list_filter(found, lambda x: regexp_matches(x, '[a-vx-z]')), '') AS known, array_to_string(list_filter(found, lambda x: NOT regexp_matches(x, '[a-vx-z]')), '') AS unknown,
+ concat_ws(',', CASE WHEN NOT regexp_matches(v, '<f[0-9]+[rv][0-9]*>') THEN 'Cannot identify page boundaries' END, CASE WHEN NOT regexp_matches(v, '<f[0-9]+[rv][0-9]*\\.\\w+\\.[0-9]+[;\\w]*>') THEN 'Cannot identify line boundaries' END) AS errors, true AS looks_like_ivtff FROM c""")
 def source_profile(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.expr(_PROFILE).alias("value"))
     got = V.profile(rows, "s_suppkey")
-    return got.select(F.col("file").alias("s_suppkey"), "sha256", F.col("structure.page_count").cast("long").alias("page_count"), F.col("structure.line_count").cast("long").alias("line_count"), F.array_join("transcribers", "").alias("transcribers"), F.array_join("characters.known", "").alias("known"), F.array_join("characters.unknown", "").alias("unknown"))
+    return got.select(F.col("file").alias("s_suppkey"), "sha256", F.col("structure.page_count").cast("long").alias("page_count"), F.col("structure.line_count").cast("long").alias("line_count"), F.array_join("transcribers", "").alias("transcribers"), F.array_join("characters.known", "").alias("known"), F.array_join("characters.unknown", "").alias("unknown"), F.array_join("errors", ",").alias("errors"), "looks_like_ivtff")
 
 
 @query("SELECT page_id, contains(lower(html), 'article') OR contains(lower(html), 'concordance') AS listed FROM pages")

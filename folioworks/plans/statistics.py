@@ -89,6 +89,13 @@ def charset_audit(spark, sf_dir):
     return S.character_counts(documents(spark, sf_dir), "text").select("c", "n", charset.is_clean(F.col("c")).alias("expected"))
 
 
+@query(r"""WITH m AS (SELECT unnest(string_split('''?!*~', '')) AS c), d AS (SELECT c, count(*) AS n FROM (SELECT unnest(string_split(text, '')) AS c FROM documents) GROUP BY c)
+ SELECT m.c, n IS NOT NULL AS present, coalesce(n, 0) AS n FROM m LEFT JOIN d USING (c)""")
+def charset_presence(spark, sf_dir):
+    """The marks that an audit of the alphabet asks for by name."""
+    return S.presence(S.character_counts(documents(spark, sf_dir), "text").select("c", "n"), "'?!*~")
+
+
 @query(r"""WITH c AS (SELECT c, count(*) AS n FROM (SELECT unnest(string_split(text, '')) AS c FROM documents) WHERE c <> '' GROUP BY c)
  SELECT c, n, CASE WHEN regexp_matches(lower(c), '^[acdehiklmnopqrsty]$') THEN 'basic' WHEN regexp_matches(lower(c), '^[fgxjvbuz]$') THEN 'rare' WHEN c IN ('.', ',', ' ') THEN 'special'
   WHEN regexp_matches(c, '^[?!*\[\]:{}''<>@;%$~]$') THEN 'editorial' ELSE 'unknown' END AS category,
@@ -113,6 +120,18 @@ def validate_documents(spark, sf_dir):
     return v.select("doc_id", "v.char_count", "v.word_count", "v.n_unknown", F.array_join("v.unknown_chars", "").alias("unknown"), n("ch"), n("sh"))
 
 
+@query(f"""WITH t AS (SELECT doc_id, string_split({CHECKED.format('text')}, '') AS s FROM documents), u AS (SELECT doc_id, s, list_filter(generate_series(1, len(s)), lambda i: s[i] <> '' AND NOT regexp_matches(lower(s[i]), '^[a-vx-z0-9.,\\s\\-=?!*\\[\\]:{{}}''<>@;%$~]$')) AS p FROM t),
+ f AS (SELECT doc_id, string_agg(c || ':' || n, ',' ORDER BY c) AS frequencies FROM (SELECT doc_id, lower(c) AS c, count(*) AS n FROM (SELECT doc_id, unnest(s) AS c FROM t) WHERE regexp_matches(lower(c), '^[a-vx-z]$') GROUP BY ALL) GROUP BY doc_id)
+ SELECT doc_id, len(p) = 0 AS is_valid, len(p) AS n_errors, array_to_string(list_transform(p, lambda i: (i - 1) || s[i]), ' ') AS positions, coalesce(frequencies, '') AS frequencies FROM u LEFT JOIN f USING (doc_id)""")
+def validate_details(spark, sf_dir):
+    """Strict validity, the places of unknown characters and the letters' frequencies."""
+    checked = documents(spark, sf_dir).select("doc_id", charset.checked_text(F.col("text")).alias("s"))
+    v = checked.select("doc_id", charset.validate_checked(F.col("s"), True, ("unknown_positions", "char_frequencies")).alias("v"))
+    places = F.transform("v.unknown_positions", lambda x: F.concat(x.pos.cast("string"), x.char))
+    counted = F.transform(F.array_sort(F.map_entries("v.char_frequencies")), lambda x: F.concat(x.key, F.lit(":"), x.value.cast("string")))
+    return v.select("doc_id", "v.is_valid", "v.n_errors", F.array_join(places, " ").alias("positions"), F.array_join(counted, ",").alias("frequencies"))
+
+
 @query(r"""SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(string_split(text, ''), lambda x: x <> '' AND NOT regexp_matches(x, '^[a-vx-z., @;0-9'']$')))), '') AS unclean,
  regexp_matches(text, '[<>{}]') AS markup, regexp_matches(text, '[?!*]') AS marks FROM documents WHERE NOT regexp_full_match(text, '[a-vx-z., @;0-9'']*')""")
 def text_clean_charset(spark, sf_dir):
