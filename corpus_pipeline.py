@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from folioworks.llm.common import delete, shared_checkpoints, table
 from folioworks.llm.decontaminate import clean_documents
 from folioworks.llm.quality_rules import good_documents
+from folioworks.llm.queries import texts
 from folioworks.llm.simhash import one_of_each_class
 from folioworks.llm.source_mix import mix_sources
 from folioworks.llm.suffix_dedup import remove_repeats
@@ -66,7 +67,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     shared_checkpoints(spark)
     folder = f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/pipeline-{uuid.uuid4().hex}"
-    docs = table(spark, sf_dir, "documents")
+    docs = texts(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES):
         path = f"{folder}/{number}"
         stage(spark, docs, sf_dir).write.parquet(path)
