@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.registry import spread
 from .chat_format import rotate_perspectives
 from .common import fold_id, table
 from .decontaminate import contaminated_regions
@@ -21,6 +22,11 @@ QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of texts; a small one over all cores, as its few row groups would make as many tasks."""
+    return spread(table(spark, sf_dir, name), 8 << 20)
+
+
 def query(function):
     QUERIES[function.__name__] = function
     return function
@@ -28,24 +34,24 @@ def query(function):
 
 @query
 def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    views = rotate_perspectives(table(spark, sf_dir, "conversations"))
+    views = rotate_perspectives(texts(spark, sf_dir, "conversations"))
     joined = [F.concat_ws(",", F.transform(c, lambda x: x.cast("string"))).alias(c) for c in ("segment_chars", "segment_mask")]
     return views.select("conv_id", "perspective", "part", "piece", F.col("n_turns").cast("long").alias("n_turns"), "text", *joined)
 
 
 @query
 def op2_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return extract_main_text(table(spark, sf_dir, "pages"))
+    return extract_main_text(texts(spark, sf_dir, "pages"))
 
 
 @query
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return score_toxicity(texts(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 @query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents")
+    documents = texts(spark, sf_dir, "documents")
     held_out = F.coalesce(F.pmod(fold_id("doc_id"), F.lit(3)) == 1, F.lit(False))
     predicted = identify(documents, ~held_out & F.col("doc_id").isNotNull())
     return predicted.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
@@ -53,35 +59,35 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeat_digests(table(spark, sf_dir, "documents"))
+    return repeat_digests(texts(spark, sf_dir, "documents"))
 
 
 @query
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(F.pmod(fold_id("doc_id"), F.lit(5)) == 0, F.lit(False))
-    scored = score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
+    scored = score_quality(texts(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
 @query
 def op7_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = mix_sources(table(spark, sf_dir, "documents"))
+    mixed = mix_sources(texts(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
 @query
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated_regions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated_regions(texts(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 @query
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_verdicts(table(spark, sf_dir, "documents"))
+    return quality_verdicts(texts(spark, sf_dir, "documents"))
 
 
 @query
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    classes = simhash_classes(table(spark, sf_dir, "documents"))
+    classes = simhash_classes(texts(spark, sf_dir, "documents"))
     return classes.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
