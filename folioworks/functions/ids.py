@@ -36,7 +36,7 @@ def panel(page_id: Column) -> Column:
 def parse_page_id(page_id: Column) -> Column:
     """Struct of folio, side and panel; raises on a malformed id."""
     found = F.struct(folio_number(page_id).alias("folio"), side_letter(page_id).alias("side"), panel(page_id).alias("panel"))
-    bad = F.raise_error(F.concat(F.lit("Invalid page_id: "), page_id)).cast("struct<folio:int,side:string,panel:int>")
+    bad = F.raise_error(F.concat(F.lit("no page id: "), page_id)).cast("struct<folio:int,side:string,panel:int>")
     return F.when(folio_number(page_id).isNotNull(), found).otherwise(bad)
 
 

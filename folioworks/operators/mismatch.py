@@ -65,6 +65,7 @@ def records(compared: DataFrame, sources: tuple[str, ...] = tuple(SOURCES)) -> D
     """The full record of each line id: its parts, texts, verdict, sources there and not, notes."""
     there = lambda yes: F.filter(F.array(*(F.when(F.col(f"{s}_text").isNotNull() == yes, F.lit(s)) for s in sources)), lambda x: x.isNotNull())
     low = (F.col("status") == "content_mismatch") & (F.col("similarity_score") < LOW)
+    # Fixed value: the note of a low score.
     note = F.array(F.format_string("Low similarity: %.2f%%", F.col("similarity_score") * 100))
     return compared.select(
         F.substring_index("line_id", ":", 1).alias("page_id"),

@@ -143,15 +143,15 @@ def text_failures(lines: DataFrame) -> DataFrame:
     differs = lambda name, due: F.coalesce(F.col(name), F.lit(False)) != due
     only_codes = text.strip(raw).rlike(r"^(@[0-9]+;)+$")
     rules = {
-        "TEXT_CLEAN_NO_MARKUP": (charset.has_markup(clean), "Forbidden markup"),
-        "TEXT_CLEAN_NO_MARKERS": (charset.has_uncertainty_marks(clean), "Uncertainty markers present"),
-        "TEXT_CLEAN_CHARSET": (~charset.is_clean(clean), F.concat(F.lit("Invalid: "), F.array_join(charset.unclean_characters(clean), ""))),
-        "FLAG_BASIS_CLEAN": (~text.is_stripped(basis), "Stripping failed"),
-        "HAS_ILLEGIBLE_CONTRACT": (differs("has_illegible", basis.rlike("[!*]")), "Flag differs from text"),
-        "HAS_UNCERTAIN_CONTRACT": (differs("has_uncertain", F.contains(basis, F.lit("?"))), "Flag differs from text"),
-        "LINE_ID_FORMAT": (line != F.concat_ws(":", F.coalesce("page_id", F.lit("")), F.coalesce("line_number", F.lit(0))), "Id differs from page and number"),
-        "HIGH_ASCII_FLAG": (differs("has_high_ascii", text.has_high_codes(raw)), "Flag differs from text"),
-        "HIGH_ASCII_PRESERVED": (only_codes & (clean == ""), "Codes lost"),
+        "TEXT_CLEAN_NO_MARKUP": (charset.has_markup(clean), "clean text holds markup"),
+        "TEXT_CLEAN_NO_MARKERS": (charset.has_uncertainty_marks(clean), "clean text holds marks of doubt"),
+        "TEXT_CLEAN_CHARSET": (~charset.is_clean(clean), F.concat(F.lit("clean text holds "), F.array_join(charset.unclean_characters(clean), ""))),
+        "FLAG_BASIS_CLEAN": (~text.is_stripped(basis), "stripping leaves tags or braces"),
+        "HAS_ILLEGIBLE_CONTRACT": (differs("has_illegible", basis.rlike("[!*]")), "the flag is not what the text says"),
+        "HAS_UNCERTAIN_CONTRACT": (differs("has_uncertain", F.contains(basis, F.lit("?"))), "the flag is not what the text says"),
+        "LINE_ID_FORMAT": (line != F.concat_ws(":", F.coalesce("page_id", F.lit("")), F.coalesce("line_number", F.lit(0))), "the id is not made of page and number"),
+        "HIGH_ASCII_FLAG": (differs("has_high_ascii", text.has_high_codes(raw)), "the flag is not what the text says"),
+        "HIGH_ASCII_PRESERVED": (only_codes & (clean == ""), "clean text has lost its codes"),
     }
     broken = [F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(rule).alias("invariant"), (F.lit(said) if isinstance(said, str) else said).alias("message"))) for rule, (bad, said) in rules.items()]
     rows = lines.select("line_id", F.explode(F.filter(F.array(*broken), lambda x: x.isNotNull())).alias("v"))
@@ -168,7 +168,7 @@ def broken_sequences(lines: DataFrame, page: str = "page_id", index: str = "line
     at = F.coalesce(F.col(index), F.lit(0))
     found = lines.groupBy(page).agg(F.count("*").alias("n"), F.min(at).alias("low"), F.max(at).alias("high"), F.count_distinct(at).alias("kinds"))
     bad = (F.col("low") != 1) | (F.col("high") != F.col("n")) | (F.col("kinds") != F.col("n"))
-    return _failures(found, "LINE_INDEX_SEQUENTIAL", F.col(page), bad, F.format_string("Expected 1..%d, got %d..%d", "n", "low", "high"))
+    return _failures(found, "LINE_INDEX_SEQUENTIAL", F.col(page), bad, F.format_string("%d lines are numbered %d to %d", "n", "low", "high"))
 
 
 def order_violations(lines: DataFrame, position: str, bucket: int = 10_000, group: int = 4096) -> DataFrame:
@@ -192,17 +192,17 @@ def order_violations(lines: DataFrame, position: str, bucket: int = 10_000, grou
     groups = ends(buckets, "group", "bucket", "last")
     steps = [stepped(rows, "bucket", "at", "key"), stepped(buckets, "group", "bucket", "last"), stepped(groups, None, "group", "last")]
     both = reduce(DataFrame.union, (f.select("line_id", "at", "key", "before") for f in steps)).where(F.col("key") < F.col("before"))
-    return both.select(F.lit("ORDERING").alias("invariant"), F.col("line_id").alias("record_id"), F.lit("Out of order").alias("message"), F.col("at").alias("position"))
+    return both.select(F.lit("ORDERING").alias("invariant"), F.col("line_id").alias("record_id"), F.lit("comes before the line before it").alias("message"), F.col("at").alias("position"))
 
 
 def count_failures(lines: DataFrame, expected_lines: int | None = None, expected_pages: int | None = None) -> DataFrame:
     got = lines.agg(F.count("*").alias("lines"), F.count_distinct(F.coalesce("page_id", F.lit(""))).alias("pages"))
     checks = [("RECORD_COUNT", "lines", expected_lines), ("PAGE_COUNT", "pages", expected_pages)]
-    parts = [_failures(got, rule, F.lit(None).cast("string"), F.col(c) != n, F.format_string(f"Expected {n}, got %d", c)) for rule, c, n in checks if n is not None]
+    parts = [_failures(got, rule, F.lit(None).cast("string"), F.col(c) != n, F.format_string(f"%d, not {n}", c)) for rule, c, n in checks if n is not None]
     return reduce(DataFrame.union, parts, _failures(got, "", F.lit(None).cast("string"), F.lit(False), ""))
 
 
-#: The checks that ``verify_invariants`` runs, by the rules they report.
+#: The checks that ``verify_invariants`` runs, by the rules they report. The names of the rules.
 CHECKS = (
     "RECORD_COUNT", "PAGE_COUNT", "TEXT_CLEAN_NO_MARKUP", "TEXT_CLEAN_NO_MARKERS", "TEXT_CLEAN_CHARSET", "FLAG_BASIS_CLEAN", "HAS_ILLEGIBLE_CONTRACT", "HAS_UNCERTAIN_CONTRACT",
     "LINE_ID_FORMAT", "LINE_ID_UNIQUE", "LINE_INDEX_SEQUENTIAL", "ORDERING",
@@ -245,8 +245,8 @@ def verify_invariants(lines: DataFrame, position: str, expected_lines: int | Non
 
 def report_errors(report: dict, required: list[str] = REPORT_FIELDS) -> list[str]:
     missing = [f for f in required if f not in report]
-    errors = [f"Build report missing fields: {missing}"] if missing else []
-    return errors + (["Build report: text_clean_policy is None"] if report.get("text_clean_policy") is None else [])
+    errors = [f"the build report lacks {', '.join(missing)}"] if missing else []
+    return errors + (["the build report names no text_clean_policy"] if report.get("text_clean_policy") is None else [])
 
 
 def reconcile(lines: DataFrame, report: dict) -> dict[str, bool]:

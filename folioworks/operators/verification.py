@@ -63,7 +63,7 @@ def profile(files: DataFrame, name: str = "file", content: str = "value") -> Dat
         transcribers(text).alias("transcribers"),
     )
     errors = F.filter(
-        F.array(F.when(~F.col("structure.can_parse_pages"), "Cannot identify page boundaries"), F.when(~F.col("structure.can_parse_lines"), "Cannot identify line boundaries")),
+        F.array(F.when(~F.col("structure.can_parse_pages"), "no page header is found"), F.when(~F.col("structure.can_parse_lines"), "no line locator is found")),
         lambda x: x.isNotNull(),
     )
     return rows.select("*", errors.alias("errors"), (F.size("characters.unknown") > 0).alias("has_unknown_characters"))

@@ -81,7 +81,7 @@ def dup_line_ids(spark, sf_dir):
     return Q.duplicate_ids(damaged_lines(spark, sf_dir)).select("record_id", "message")
 
 
-@query(f"""WITH {BROKEN_LINES} SELECT file || '/' || page_id AS record_id, 'Expected 1..' || count(*) || ', got ' || min(line_index) || '..' || max(line_index) AS message FROM damaged GROUP BY file, page_id HAVING min(line_index) <> 1 OR max(line_index) <> count(*) OR count(DISTINCT line_index) <> count(*)""")
+@query(f"""WITH {BROKEN_LINES} SELECT file || '/' || page_id AS record_id, count(*) || ' lines are numbered ' || min(line_index) || ' to ' || max(line_index) AS message FROM damaged GROUP BY file, page_id HAVING min(line_index) <> 1 OR max(line_index) <> count(*) OR count(DISTINCT line_index) <> count(*)""")
 def broken_sequences(spark, sf_dir):
     rows = damaged_lines(spark, sf_dir).withColumn("page_id", F.concat_ws("/", "file", "page_id"))
     return Q.broken_sequences(rows).select("record_id", "message")
@@ -113,21 +113,21 @@ def invariant_counts(spark, sf_dir):
     return Q.invariant_failures(damaged_lines(spark, sf_dir), None, 5, 5).groupBy("invariant").agg(F.count("*").alias("n"))
 
 
-@query("SELECT s_suppkey || '' AS record_id, 'Codes lost' AS message FROM supplier WHERE s_nationkey % 3 = 0")
+@query("SELECT s_suppkey || '' AS record_id, 'clean text has lost its codes' AS message FROM supplier WHERE s_nationkey % 3 = 0")
 def codes_lost(spark, sf_dir):
     """Lines of codes alone, of which some have lost them; the clean text of the others keeps them."""
     rows = table(spark, sf_dir, "supplier").selectExpr("cast(s_suppkey as string) AS line_id", "' @140;@152; ' AS text", "case when s_nationkey % 3 = 0 then '' else '@140;@152;' end AS text_clean", "'f1r' AS page_id", "1 AS line_number", "false AS has_illegible", "false AS has_uncertain", "true AS has_high_ascii")
     return Q.text_failures(rows).where("invariant = 'HIGH_ASCII_PRESERVED'").select("record_id", "message")
 
 
-@query(f"WITH {STEPS} SELECT 'ORDERING' AS invariant, line_id AS record_id, 'Out of order' AS message FROM o WHERE num < pn OR (num = pn AND idx < p_idx) ORDER BY place LIMIT 1")
+@query(f"WITH {STEPS} SELECT 'ORDERING' AS invariant, line_id AS record_id, 'comes before the line before it' AS message FROM o WHERE num < pn OR (num = pn AND idx < p_idx) ORDER BY place LIMIT 1")
 def first_out_of_order(spark, sf_dir):
     """The one place that a verification reports: the first in the file."""
     lines = stepped_lines(spark, sf_dir).selectExpr("*", "'' AS text", "'' AS text_clean", "0 AS line_number", "false AS has_illegible", "false AS has_uncertain", "false AS has_high_ascii")
     return Q.invariant_failures(lines, "at").where("invariant = 'ORDERING'")
 
 
-@query(f"WITH {P.LINES} SELECT 'RECORD_COUNT' AS invariant, 'Expected 5, got ' || count(*) AS message FROM lines UNION ALL SELECT 'PAGE_COUNT', 'Expected 5, got ' || count(DISTINCT page_id) FROM lines")
+@query(f"WITH {P.LINES} SELECT 'RECORD_COUNT' AS invariant, count(*) || ', not 5' AS message FROM lines UNION ALL SELECT 'PAGE_COUNT', count(DISTINCT page_id) || ', not 5' FROM lines")
 def count_failures(spark, sf_dir):
     return Q.count_failures(P.line_rows(spark, sf_dir), 5, 5).select("invariant", "message")
 
@@ -161,7 +161,7 @@ _PROFILE = "concat('#=IVTFF Eva- 2.0', chr(10), case when s_suppkey % 7 = 0 then
 @query(f"""WITH t AS (SELECT s_suppkey, {_PROFILE} AS v FROM supplier), c AS (SELECT s_suppkey, v, list_sort(list_distinct(list_filter(string_split(regexp_replace(lower(array_to_string(regexp_extract_all(v, '<f[0-9]+[rv][0-9]*\\.\\w+\\.[0-9]+[;\\w]*>\\s*([^<]+)', 1), ' ')), '[.\\-=,\\s\\[\\]{{}}!?*@0-9<>]', '', 'g'), ''), lambda x: x <> ''))) AS found FROM t)
  SELECT s_suppkey, sha256(v) AS sha256, len(list_distinct(regexp_extract_all(v, '<f[0-9]+[rv][0-9]*>'))) AS page_count, len(regexp_extract_all(v, '<f[0-9]+[rv][0-9]*\\.\\w+\\.[0-9]+[;\\w]*>')) AS line_count, array_to_string(list_sort(list_distinct(regexp_extract_all(v, ';([A-Z])>', 1))), '') AS transcribers,
  array_to_string(list_filter(found, lambda x: regexp_matches(x, '[a-vx-z]')), '') AS known, array_to_string(list_filter(found, lambda x: NOT regexp_matches(x, '[a-vx-z]')), '') AS unknown,
- concat_ws(',', CASE WHEN NOT regexp_matches(v, '<f[0-9]+[rv][0-9]*>') THEN 'Cannot identify page boundaries' END, CASE WHEN NOT regexp_matches(v, '<f[0-9]+[rv][0-9]*\\.\\w+\\.[0-9]+[;\\w]*>') THEN 'Cannot identify line boundaries' END) AS errors, true AS looks_like_ivtff FROM c""")
+ concat_ws(',', CASE WHEN NOT regexp_matches(v, '<f[0-9]+[rv][0-9]*>') THEN 'no page header is found' END, CASE WHEN NOT regexp_matches(v, '<f[0-9]+[rv][0-9]*\\.\\w+\\.[0-9]+[;\\w]*>') THEN 'no line locator is found' END) AS errors, true AS looks_like_ivtff FROM c""")
 def source_profile(spark, sf_dir):
     rows = table(spark, sf_dir, "supplier").select("s_suppkey", F.expr(_PROFILE).alias("value"))
     got = V.profile(rows, "s_suppkey")
