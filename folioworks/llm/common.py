@@ -91,6 +91,24 @@ def stored(frame: DataFrame) -> DataFrame:
     return stored_at(frame)[1]
 
 
+#: A key is hot from one in so many of all rows on, and from ``LEAST_HOT`` rows on.
+HOT, LEAST_HOT = 4096, 1000
+
+
+def join_sized(rows: DataFrame, sized: DataFrame, keys: list[str], n: str, total: int) -> DataFrame:
+    """``rows`` joined to ``sized``, which has one row a key and in ``n`` how many ``rows`` have that key.
+
+    Keys of more than one in ``HOT`` of the ``total`` rows, of which there are
+    less than ``HOT``, are broadcast, so their rows stay where they are; the
+    others meet by a shuffle. No key is null.
+    """
+    limit = max(LEAST_HOT, total // HOT)
+    hot = sized.where(F.col(n) > limit)
+    marked = rows.join(F.broadcast(hot.withColumn("_hot", F.lit(True))), keys, "left")
+    cold = marked.where("_hot is null").select(rows.columns).join(sized.where(F.col(n) <= limit), keys)
+    return marked.where("_hot").drop("_hot").unionByName(cold)
+
+
 def small_batches(frame: DataFrame) -> DataFrame:
     """``frame``, whose session now hands Python a few texts at a time.
 

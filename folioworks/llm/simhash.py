@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import among, bitmap
-from .common import map_rows, per_row, scratch, small_batches, stored
+from .common import join_sized, map_rows, per_row, scratch, small_batches, stored
 from .components import connected_components
 
 SHINGLE = 3
@@ -144,10 +144,10 @@ def one_of_each_class(documents: DataFrame, id_col: str = "doc_id", text_col: st
     names = {"doc_id": "_dup_id", "text_hash": "_dup_text", "row_hash": "_dup_row"}
     with scratch(spark) as kept:
         classes = _rooted(fingerprints(documents, id_col, text_col, hashes), long_list)
-        rows = classes.groupBy("root", "fp", *names).agg(F.count("*").alias("n"))
+        rows = stored(classes.groupBy("root", "fp", *names).agg(F.count("*").alias("n")))
         order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", "text_hash", "row_hash")
-        firsts = rows.groupBy("root").agg(F.min(order).alias("first"), F.sum("n").alias("all")).where(F.col("all") > 1)
-        known = rows.join(firsts, "root").withColumn("_dup_first", order == F.col("first"))
+        firsts = rows.groupBy("root").agg(F.min(order).alias("first"), F.sum("n").alias("all"), F.count("*").alias("kinds")).where(F.col("all") > 1)
+        known = join_sized(rows, firsts, ["root"], "kinds", rows.count()).withColumn("_dup_first", order == F.col("first"))
         # Rows that go, and those that stay once though they are there twice.
         marked = known.where("not _dup_first or n > 1").select(*(F.col(c).alias(x) for c, x in names.items()), "_dup_first").distinct()
         marked = kept(marked)
@@ -169,8 +169,9 @@ def one_of_each_class(documents: DataFrame, id_col: str = "doc_id", text_col: st
 def _rooted(prints: DataFrame, long_list: int) -> DataFrame:
     """Fingerprints with ``root`` and ``component_id`` of their classes."""
     prints = stored(prints)
-    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    least = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count("*").alias("rows")))
     roots = connected_components(links(least.select("fp"), long_list), "x", "y").withColumnRenamed("node", "fp")
     rooted = stored(least.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
-    classes = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root")
-    return prints.join(classes.select("fp", "root", "component_id"), "fp")
+    components = rooted.groupBy("root").agg(F.min("least").alias("component_id"), F.count("*").alias("prints"))
+    classes = stored(join_sized(rooted, components, ["root"], "prints", rooted.count()))
+    return join_sized(prints, classes.select("fp", "root", "component_id", "rows"), ["fp"], "rows", prints.count()).drop("rows")
