@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, stored
+from .common import map_rows, scratch, stored
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -47,6 +47,7 @@ SPACES = "\x20\x09\x0a\x0b\x0c\x0d"
 SHORT_WORD = re.compile(r"\b[^\W\d_]{1,5}\b")
 FLUSH = 50_000
 PART = 1 << 20
+VOCABULARY_PARTS = 64
 POOLED = ""
 #: Character classes: lower, upper, other letter, mark, number, punctuation, symbol, separator, other.
 CLASSES = 9
@@ -163,23 +164,28 @@ def references(documents: DataFrame, rules: Rules = Rules(), text_col: str = "te
     """
     rows = documents.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     counted = map_rows(rows, _count_languages, "lang string, key string, is_class boolean, n long")
-    counted = stored(counted.groupBy("lang", "key", "is_class").agg(F.sum("n").alias("n")).where("n > 0"))
-    is_rows = F.col("is_class") & (F.col("key") == str(CLASSES))
-    sizes = counted.where(is_rows & (F.col("lang") != POOLED)).select("lang", F.col("n").alias("size"))
-    frequent = [r.lang for r in sizes.orderBy(F.desc("size"), "lang").limit(rules.most_broadcast).collect()]
-    pooled = counted.groupBy(F.lit(POOLED).alias("lang"), "key", "is_class").agg(F.sum("n").alias("n"))
-    both = counted.where(F.col("lang") != POOLED).unionByName(pooled).where(~is_rows)
-    totals = both.groupBy("lang", "is_class").agg(F.sum("n").alias("total"))
-    rank = Window.partitionBy("lang").orderBy(F.desc("n"), "key")
-    common = both.where("not is_class").withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= rules.common).drop("rank")
-    top = common.unionByName(both.where("is_class")).join(totals, ["lang", "is_class"])
-    # At most ``common`` words and all classes a language.
-    entry = F.struct("is_class", (F.col("n") / F.col("total")).alias("share"), "key")
-    lists = stored(top.groupBy("lang").agg(F.sort_array(F.collect_list(entry), asc=False).alias("reference")))
-    chosen = F.col("lang").isin([POOLED, *frequent])
-    found = {r.lang: _reference(r.reference) for r in lists.where(chosen).collect()}
-    # Languages whose rows hold no text have no reference and use the pooled one.
-    return found, None if len(frequent) < rules.most_broadcast else lists.where(~chosen)
+    with scratch(documents.sparkSession) as kept:
+        counted = stored(counted.groupBy("lang", "key", "is_class").agg(F.sum("n").alias("n")).where("n > 0"))
+        is_rows = F.col("is_class") & (F.col("key") == str(CLASSES))
+        sizes = counted.where(is_rows & (F.col("lang") != POOLED)).select("lang", F.col("n").alias("size"))
+        frequent = [r.lang for r in sizes.orderBy(F.desc("size"), "lang").limit(rules.most_broadcast).collect()]
+        pooled = counted.groupBy(F.lit(POOLED).alias("lang"), "key", "is_class").agg(F.sum("n").alias("n"))
+        both = counted.where(F.col("lang") != POOLED).unionByName(pooled).where(~is_rows)
+        totals = both.groupBy("lang", "is_class").agg(F.sum("n").alias("total"))
+        # The most frequent of each of some parts of the vocabulary, then of those.
+        common = both.where("not is_class").withColumn("part", F.pmod(F.xxhash64("key"), F.lit(VOCABULARY_PARTS)))
+        for parts in (["lang", "part"], ["lang"]):
+            rank = Window.partitionBy(*parts).orderBy(F.desc("n"), "key")
+            common = common.withColumn("rank", F.row_number().over(rank)).where(F.col("rank") <= rules.common).drop("rank")
+        common = common.drop("part")
+        top = common.unionByName(both.where("is_class")).join(totals, ["lang", "is_class"])
+        # At most ``common`` words and all classes a language.
+        entry = F.struct("is_class", (F.col("n") / F.col("total")).alias("share"), "key")
+        lists = kept(top.groupBy("lang").agg(F.sort_array(F.collect_list(entry), asc=False).alias("reference")))
+        chosen = F.col("lang").isin([POOLED, *frequent])
+        found = {r.lang: _reference(r.reference) for r in lists.where(chosen).collect()}
+        # Languages whose rows hold no text have no reference and use the pooled one.
+        return found, None if len(frequent) < rules.most_broadcast else lists.where(~chosen)
 
 
 def js_distance(p: np.ndarray, q: np.ndarray) -> float:
