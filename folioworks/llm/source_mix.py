@@ -49,13 +49,14 @@ WORD = r"[^\x20\x09-\x0D]+"
 BLOCK = 64
 SHARD = 4096
 CAP = 3
-CELL_ROWS = 5_000
+CELL_ROWS = 1_000
 #: Cells or shards that one window of a prefix sum orders.
 GROUP = 4_096
 ROUNDS = 8
 #: Steps of a walk back among n numbers; fewer than 17 are outside if n is up to 256, one in 16 at most if it is larger.
 WALK = 17
-SLOTS_PER_TASK = 250_000
+#: Slots that a task draws: so many at most, and so many at least if there are cores to spare.
+MOST_SLOTS, LEAST_SLOTS = 2_000_000, 20_000
 SEED = 7
 MOST_SOURCES = 20_000
 #: Sources up to which a slot finds its own among the bounds of all by counting.
@@ -68,11 +69,16 @@ def sizes(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), words.alias("size"), *others)
 
 
-def before(frame: DataFrame, by: str, at: str, value: str, name: str, group: int = GROUP) -> DataFrame:
+def before(frame: DataFrame, by: str, at: str, value: str, name: str, places: int) -> DataFrame:
     """``frame`` with ``name``, the sum of ``value`` at the places before ``at`` (a whole number) of the same ``by``.
 
-    There is one row a place. Windows cover ``group`` places or the groups.
+    There is one row a place, and ``places`` of them in a ``by`` at most. Windows
+    cover ``GROUP`` places, or the groups.
     """
+    if places <= GROUP:
+        earlier = Window.partitionBy(by).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+        return frame.withColumn(name, F.coalesce(F.sum(value).over(earlier), F.lit(0)).cast("long"))
+    group = GROUP
     grouped = frame.withColumn("_group", F.floor(F.col(at) / group))
     earlier = Window.unboundedPreceding, -1
     sums = grouped.groupBy(by, "_group").agg(F.sum(value).alias("_sum"))
@@ -155,14 +161,14 @@ def _longs(numbers: list[int]) -> Column:
     return F.expr(f"array({', '.join(f'bigint({n})' for n in numbers)})") if numbers else F.array().cast("array<bigint>")
 
 
-def plan_streams(sized: DataFrame, block: int = BLOCK) -> DataFrame:
-    """One row a source with text: its words, blocks, target and number of slots (``slots``).
+def plan_streams(sized: DataFrame, block: int = BLOCK, aims: DataFrame | None = None) -> DataFrame:
+    """One row a source with text: its words, blocks, target and number of slots (``slots``); ``aims`` are the targets, if at hand.
 
     ``short_at`` is the place, in each pass, of the source's last block, which
     may be short; slot k starts at word pass * source_size + place * block, less
     what the short block lacks if that came before.
     """
-    planned = targets(sized).withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
+    planned = (aims or targets(sized)).withColumn("blocks", F.ceil(F.col("source_size") / block).cast("long"))
     planned = planned.withColumn("key", F.coalesce(F.xxhash64("source"), F.lit(0).cast("long")))
     planned = planned.where("source_size > 0").withColumn("last", F.col("blocks") - 1).withColumn("wide", F.ceil(F.sqrt(F.col("blocks"))).cast("long"))
     planned = permuted(planned, "last", "short_at", backwards=True)
@@ -207,7 +213,7 @@ def draw_slots(planned: DataFrame, block: int = BLOCK, shard: int = SHARD) -> Da
     spark = planned.sparkSession
     known = ["source", "key", "blocks", "wide", "slots", "source_size", "goal", "lacks", "short_at"]
     total, sources = planned.agg(F.coalesce(F.sum("slots"), F.lit(0)), F.count("*")).first()
-    tasks = max(1, math.ceil(total / SLOTS_PER_TASK))
+    tasks = max(1, math.ceil(total / MOST_SLOTS), min(spark.sparkContext.defaultParallelism, math.ceil(total / LEAST_SLOTS)))
     at = F.pmod(F.xxhash64("id", F.lit(SEED)), F.lit(max(1, total)))
     drawn = spark.range(0, total, 1, tasks).select(F.col("id").alias("slot"), F.floor(F.col("id") / shard).alias("shard"), at.alias("at"))
     if sources > FEW_SOURCES:
@@ -219,7 +225,7 @@ def draw_slots(planned: DataFrame, block: int = BLOCK, shard: int = SHARD) -> Da
         drawn = drawn.select("shard", "slot", F.element_at(_longs([w.key for w in weights]), picked).alias("key"))
 
     counts = drawn.groupBy("key", "shard").agg(F.count("*").alias("n"))
-    starts = before(counts, "key", "shard", "n", "start")
+    starts = before(counts, "key", "shard", "n", "start", math.ceil(total / shard))
     within = Window.partitionBy("key", "shard").orderBy("slot")
     ranked = drawn.withColumn("rank", F.row_number().over(within) - 1)
     numbered = ranked.join(starts.select("key", "shard", "start"), ["key", "shard"]).select("shard", "slot", "key", (F.col("start") + F.col("rank")).alias("k"))
@@ -249,7 +255,7 @@ def _in_places(sized: DataFrame, places: DataFrame, alike: list[str]) -> DataFra
     rows = sized.alias("s").join(crowded.alias("c"), same("s", "c")).select("s.row", "s.doc_id", "s.source", "s.size", "c.place", "c.offset")
     rows = rows.withColumn("file_part", F.shiftright("row", 33))
     counts = rows.groupBy("place", "file_part").agg(F.count("*").alias("n"))
-    starts = before(counts, "place", "file_part", "n", "start").select(F.col("place").alias("in_place"), F.col("file_part").alias("in_part"), "start")
+    starts = before(counts, "place", "file_part", "n", "start", counts.agg(F.coalesce(F.max("file_part"), F.lit(0))).first()[0] + 1).select(F.col("place").alias("in_place"), F.col("file_part").alias("in_part"), "start")
     numbered = rows.withColumn("rank", F.row_number().over(Window.partitionBy("place", "file_part").orderBy("row")) - 1)
     numbered = numbered.join(starts, (F.col("place") == F.col("in_place")) & (F.col("file_part") == F.col("in_part")))
     return numbered.select("row", "doc_id", "source", "size", (F.col("offset") + (F.col("start") + F.col("rank")) * F.col("size")).alias("offset"))
@@ -264,13 +270,15 @@ def pack_blocks(sized: DataFrame, block: int = BLOCK, cell_rows: int = CELL_ROWS
     places = sized.where("size > 0").groupBy(*alike).agg(F.count("*").alias("n"), F.min("row").alias("row"))
     cells = max(1, math.ceil(sized.count() / cell_rows))
     places = places.withColumn("cell", F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(cells))).withColumn("words", F.col("n") * F.col("size"))
-    bases = before(places.groupBy("source", "cell").agg(F.sum("words").alias("words")), "source", "cell", "words", "base")
+    bases = before(places.groupBy("source", "cell").agg(F.sum("words").alias("words")), "source", "cell", "words", "base", cells)
     inside = Window.partitionBy("source", "cell").orderBy("doc_id", "size", "text_hash").rowsBetween(Window.unboundedPreceding, -1)
     offsets = places.withColumn("inside", F.coalesce(F.sum("words").over(inside), F.lit(0)))
     joined = offsets.alias("o").join(bases.alias("b"), F.col("o.source").eqNullSafe(F.col("b.source")) & (F.col("o.cell") == F.col("b.cell")))
     # A place is known by the first of its rows.
     laid = stored(joined.select(*(F.col(f"o.{c}") for c in alike), "o.n", "o.row", F.col("o.row").alias("place"), (F.col("base") + F.col("inside")).alias("offset")))
-    placed = laid.where("n = 1").select("row", "doc_id", "source", "size", "offset").unionByName(_in_places(sized, laid, alike))
+    placed = laid.where("n = 1").select("row", "doc_id", "source", "size", "offset")
+    if not laid.where("n > 1").isEmpty():
+        placed = placed.unionByName(_in_places(sized, laid, alike))
     first, last = F.floor(F.col("offset") / block), F.floor((F.col("offset") + F.col("size") - 1) / block)
     parts = placed.withColumn("block", F.explode(F.sequence(first, last)))
     start = F.greatest(F.col("offset") - F.col("block") * block, F.lit(0))
@@ -286,14 +294,15 @@ def mix_sources(documents: DataFrame, id_col: str = "doc_id", text_col: str = "t
     with scratch(documents.sparkSession) as kept:
         sized = sizes(documents.withColumn("_text_hash", F.xxhash64(F.col(text_col).cast("string"))), id_col, text_col, source_col, "_text_hash")
         sized = stored(sized.withColumnRenamed("_text_hash", "text_hash").withColumn("row", F.monotonically_increasing_id()))
-        planned = stored(plan_streams(sized, block))
+        aims = targets(sized)
+        planned = stored(plan_streams(sized, block, aims))
         slots = draw_slots(planned, block, shard)
         uses = slots.groupBy("source", "block").agg(F.count_if(F.col("words") >= block).alias("whole"), F.collect_list(F.when(F.col("words") < block, F.col("words"))).alias("cuts"))
         parts = pack_blocks(sized, block, cell_rows)
         both = parts.alias("p").join(uses.alias("u"), F.col("p.source").eqNullSafe(F.col("u.source")) & (F.col("p.block") == F.col("u.block")))
         cut_words = F.aggregate("cuts", F.lit(0).cast("long"), lambda a, c: a + F.greatest(F.lit(0).cast("long"), F.least(c - F.col("start"), F.col("p.words"))))
         taken = both.groupBy("row").agg(F.sum(F.col("whole") * F.col("p.words") + cut_words).alias("taken"))
-        all_targets = targets(sized).select("source", "source_size", "target")
+        all_targets = aims.select("source", "source_size", "target")
         rows = sized.alias("d").join(_small(all_targets.alias("t"), all_targets.count()), F.col("d.source").eqNullSafe(F.col("t.source")))
         rows = rows.select("d.row", "d.doc_id", "d.source", "d.size", "source_size", "target").join(taken, "row", "left")
         return kept(rows.select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
