@@ -136,6 +136,8 @@ class Index:
         low = np.searchsorted(self.codes, found, "left")
         many = np.searchsorted(self.codes, found, "right") - low
         at, low, many = at[many > 0], low[many > 0], many[many > 0]
+        if not len(at):
+            return
         so_far = np.cumsum(many)
         start = 0
         while start < len(at):
@@ -150,10 +152,12 @@ class Index:
         """Patterns and bands with their counts of hits; band b holds the hits of the half bands b and b + 1."""
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
         for owners, diagonals in self._hits(data):
-            half, hits = np.unique((owners << 32) | (diagonals + PIECE + Q) // (self.budgets[owners] + 1), return_counts=True)
-            merged, place = np.unique(np.concatenate([keys, half, half - 1]), return_inverse=True)
-            counts = np.bincount(place, np.concatenate([counts, hits, hits]), minlength=len(merged)).astype(np.int64)
-            keys = merged
+            half = (owners << 32) | (diagonals + PIECE + Q) // (self.budgets[owners] + 1)
+            new, hits = np.unique(np.concatenate([half, half - 1]), return_counts=True)
+            if len(keys):
+                new, place = np.unique(np.concatenate([keys, new]), return_inverse=True)
+                hits = np.bincount(place, np.concatenate([counts, hits]), minlength=len(new)).astype(np.int64)
+            keys, counts = new, hits
         return keys, counts
 
     def _short_items(self, data: bytes) -> Iterator[tuple[int | None, int, int, int]]:
