@@ -17,7 +17,7 @@ identifiers of the buckets that later offsets are in, over and over:
   minimisers, some one in sixty, are counted: a bucket of one is done, none of
   the windows that belong to it repeats.
 * Refinement. The windows of a suffix in an open bucket are sorted by what lies
-  at their offsets: first all of them together, then in runs of 32, of 8 and
+  at their offsets: first all of them together, then in runs of 16 and as
   single ones. A run's bucket is the bucket above it with the identifier of what
   all of its windows share; its own identifier is the pair of the buckets of its
   first and last window, which together cover it. Runs with equal identifiers in
@@ -29,10 +29,9 @@ Identifiers are 64-bit mixes of pairs. Runs are settled only if bucket,
 identifier and a digest of the run's bytes by another hash all agree, 192 bits
 in all: no bytes of different texts are taken for equal short of a collision in
 all three. Counts are combined before each shuffle, so a hot bucket costs each
-task one row. Groups beyond ``HOT`` of all rows, no more than 1 / HOT by their
-number, are settled by a broadcast of that bound instead of the shuffle. Other
-broadcasts are bitmaps of fixed size, which only spare rows: what lies behind
-them is exact.
+task one row; hot groups, whose number is bounded, are settled by a broadcast
+instead of the shuffle. Other broadcasts are bitmaps of fixed size, which only
+spare rows: what lies behind them is exact.
 
 Null texts are empty. Texts shorter than LENGTH have no repeats. Rows with the
 same id and text share their spans, and each is a repeat of the other. Matches
@@ -54,18 +53,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import among, bitmap, repeated
-from .common import map_rows, per_row, scratch, small_batches, stored
+from .common import join_sized, map_rows, per_row, scratch, small_batches, stored
 
 LENGTH = 200
 Q = 64
 WINDOWS = LENGTH - Q + 1
 #: Lengths of the runs that open buckets are refined by, after all windows of a suffix together.
-RUNS = (32, 8, 1)
+RUNS = (16, 1)
 PART = 1 << 18
 #: Bytes of texts that are worked on at once.
 CHUNK = 1 << 17
-#: A group is hot from this share of all rows on.
-HOT = 1 / 4096
 _PLACE = np.uint64(0xFFFFFF)
 _C = [np.uint64(c) for c in (0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
@@ -222,11 +219,8 @@ def refine(items: DataFrame, *ids: str) -> tuple[DataFrame, DataFrame]:
     """
     context = items.sparkSession.sparkContext
     groups = stored(items.groupBy(*GROUP).agg(F.count("*").alias("n"), F.min(F.struct(*ids)).alias("pointer")))
-    limit = max(1000, int(items.count() * HOT))
-    hot = groups.where(F.col("n") > limit).select(*GROUP)
-    marked = items.join(F.broadcast(hot.withColumn("hot", F.lit(True))), list(GROUP), "left")
-    cold = marked.where("hot is null").join(groups.where(F.col("n") <= limit).select(*GROUP, "n"), list(GROUP))
-    judged = stored(marked.where("hot").select(*ids, F.lit(True).alias("settled")).unionByName(cold.select(*ids, (F.col("n") > 1).alias("settled"))))
+    judged = join_sized(items, groups.select(*GROUP, "n"), list(GROUP), "n", items.count())
+    judged = stored(judged.select(*ids, (F.col("n") > 1).alias("settled")))
     held = context.broadcast(bitmap(groups.where("n = 1").select(F.col("g").alias("key"))))
 
     @F.pandas_udf("boolean")
