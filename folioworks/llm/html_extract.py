@@ -73,6 +73,10 @@ LOOSE = frozenset("header foot masthead topbar toolbar widget skip search discla
 WHOLE = frozenset("side left-side right-side side-bar side-panel side-column side-nav".split())
 #: A name that begins so tells what an element has beside it or is about, not what it is.
 BESIDE = ("has-", "with-", "no-", "without-", "not-", "category-", "tag-", "type-", "format-", "status-")
+#: A name that ends so tells a state, often that of the whole page.
+STATES = ("-open", "-closed", "-off", "-on", "-enabled", "-disabled")
+#: An element of such a name is no frame, whatever else it is named.
+CONTENT = frozenset("content main main-content page-content site-content post post-content post-body entry entry-content article article-body article-content story story-body".split())
 WRAPPER = frozenset("wrap wrapper page container layout site outer inner row col column grid root app document shell frame center body".split())
 
 NAME = re.compile(r"[a-zA-Z][^\s/>]*+")
@@ -90,7 +94,7 @@ def _attributes(source: str) -> dict[str, str]:
 def _named(name: str) -> int:
     """How much a class or id says of boilerplate: 3 for alien, 2 for a frame, 1 for loose words, 0 for none."""
     name = CAMEL.sub("-", name).lower().replace("_", "-")
-    if name.startswith(BESIDE):
+    if name.startswith(BESIDE) or name.endswith(STATES):
         return 0
     words = set(name.split("-"))
     return 3 if words & ALIEN else 2 if words & FRAME or name in WHOLE else 1 if words & LOOSE else 0
@@ -107,6 +111,8 @@ def _look(tag: str, source: str) -> tuple[int, int, str, bool]:
     role = attributes.get("role", "").lower()
     gone = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style
     named = max(map(_named, names), default=0)
+    if named < 3 and any(CAMEL.sub("-", n).lower().replace("_", "-") in CONTENT for n in names):
+        named = 0
     wraps = not names or any(WRAPPER & set(CAMEL.sub("-", n).lower().replace("_", "-").split("-")) for n in names)
     return (2 if gone else 1 if role in ROLES else 0), named, "main" + step[len(tag) :] if role == "main" and tag in CONTAINER else step, wraps
 
@@ -268,7 +274,9 @@ class _Page:
         if tag not in BLOCK:
             if source.endswith("/"):
                 return
-            noise = max(noise_here(), 2 if sure or tag in SKIPPED or named >= (2 if top.article else 1) else 0)
+            # In code, names are those of syntax.
+            code = top.tag == "pre" or top.count["code"] > 0
+            noise = max(noise_here(), 2 if sure or tag in SKIPPED or named >= (2 if top.article else 1) and not code else 0)
             link = tag == "a" or (top.inline[-1][2] if top.inline else top.link)
             top.inline.append((tag, noise, link))
             top.count[tag] += 1

@@ -22,14 +22,15 @@ ignored, whatever they are called.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, stored
+from .common import delete, map_rows, stored, stored_at
 
 ORDERS = (1, 2, 3)
 BUCKETS = 1 << 14
@@ -157,18 +158,24 @@ def learn(training: DataFrame, text_col: str = "text", lang_col: str = "lang", b
     rows = training.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).dropna()
     counted = map_rows(rows, lambda batches: _counted(batches, buckets), "lang string, bucket int, n long")
     counted = counted.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).groupBy("lang").agg(F.collect_list(F.struct("bucket", "n")).alias("row"))
-    # One row a language is ordered here.
-    learned = stored(counted.withColumn("place", F.row_number().over(Window.orderBy("lang")) - 1))
+    path, learned = stored_at(counted)
     texts = F.aggregate(F.filter("row", lambda x: x.bucket == buckets), F.lit(0).cast("long"), lambda a, x: a + x.n)
     number, all_texts = learned.agg(F.count("*"), F.sum(texts)).first()
-    for at in range(0, number, block):
-        table = learned.where((F.col("place") >= at) & (F.col("place") < at + block)).orderBy("place").select("lang", "row").toArrow().combine_chunks()
-        lists = table.column("row").chunk(0)
-        cells = lists.flatten()
-        counts = np.zeros((len(lists), buckets + 1))
-        owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
-        counts[owner, cells.field("bucket").to_numpy()] = cells.field("n").to_numpy()
-        yield Model(table.column("lang").to_pylist(), counts[:, :buckets], counts[:, buckets], all_texts)
+    try:
+        # Languages are dealt to blocks by a hash, half a block to each, so that none is much over.
+        blocks = 1 if number <= block else math.ceil(2 * number / block)
+        for at in range(blocks):
+            table = learned.where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == at).toArrow().sort_by("lang").combine_chunks()
+            if not table.num_rows:
+                continue
+            lists = table.column("row").chunk(0)
+            cells = lists.flatten()
+            counts = np.zeros((len(lists), buckets + 1))
+            owner = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            counts[owner, cells.field("bucket").to_numpy()] = cells.field("n").to_numpy()
+            yield Model(table.column("lang").to_pylist(), counts[:, :buckets], counts[:, buckets], all_texts)
+    finally:
+        delete(training.sparkSession, path)
 
 
 def _has_letter(text: str) -> bool:
@@ -188,7 +195,7 @@ def predict(texts: list[str | None], model: Model, so_far: list[tuple[str | None
     whole = np.logaddexp.reduce(totals, axis=1)
     found = [(model.langs[b], float(t), float(w)) if k else (None, 0.0, 0.0) for k, b, t, w in zip(known, best, top, whole, strict=True)]
     if so_far:
-        found = [(*(b[:2] if b[0] is None or b[1] >= n[1] else n[:2]), float(np.logaddexp(b[2], n[2]))) if b[0] is not None else n for b, n in zip(so_far, found, strict=True)]
+        found = [(*min(b[:2], n[:2], key=lambda x: (-x[1], x[0])), float(np.logaddexp(b[2], n[2]))) if b[0] is not None else n for b, n in zip(so_far, found, strict=True)]
     return found
 
 

@@ -22,7 +22,9 @@ text, whatever its label. Rows labelled 0 are used nowhere.
    standing with its number for its texts' mean. Within a range texts rank
    alike, so their losses are close to that of the mean.
 
-Every text is scored, a batch at a time. Empty and null texts are scored by their
+Every text is measured once; the measures are written to the shared folder, and
+the samples, the sums and the scores, a batch at a time, are made of them. Empty
+and null texts are scored by their
 measures like any other. With no positives or no text to learn from every score
 is the prior 0.5. Texts are scored by themselves, so ties and repeated rows, also
 of one id, give equal scores; of the rows that share a chosen id ``2 * sample``
@@ -41,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, scratch, stored
 from .quality_rules import CLASSES, base_counts, shape_codes
 
 SAMPLE = 4000
@@ -191,11 +193,28 @@ class Model:
     def __init__(self, scale: Scale | None = None, weights: np.ndarray | None = None, prior: float = 0.5):
         self.scale, self.weights, self.prior = scale, weights, prior
 
-    def score(self, texts: list[str | None]) -> np.ndarray:
-        """Scores of a batch of texts."""
-        if self.weights is None or not texts:
-            return np.full(len(texts), self.prior)
-        return _sigmoid(self.scale(np.array([measures(t) for t in texts])) @ self.weights).astype(float)
+    def score(self, rows: np.ndarray) -> np.ndarray:
+        """Scores of a batch of measures."""
+        if self.weights is None:
+            return np.full(len(rows), self.prior)
+        return _sigmoid(self.scale(rows) @ self.weights).astype(float)
+
+
+def measured(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id`` and ``features``, the packed measures, of every document."""
+    schema = pa.schema([("doc_id", pa.int64()), ("features", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            features = [measures(t).astype(np.float16).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(features, pa.binary())], schema=schema)
+
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return map_rows(rows, run, "doc_id long, features binary")
+
+
+def _unpacked(features: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(features), np.float16).reshape(-1, WIDTH).astype(np.float32)
 
 
 def _in_bins(held, bounds_and_ranking) -> Callable:
@@ -206,7 +225,7 @@ def _in_bins(held, bounds_and_ranking) -> Callable:
         sums = np.zeros((len(bounds) + 1, WIDTH + 1), np.int64)
         for batch in batches:
             if batch.num_rows:
-                rows = held.value(np.array([measures(t) for t in batch.column("text").to_pylist()]))
+                rows = held.value(_unpacked(batch.column("features").to_pylist()))
                 np.add.at(sums, np.searchsorted(bounds, rows @ ranking, "right"), np.rint(rows * UNIT).astype(np.int64))
         bins, features = np.nonzero(sums)
         yield pa.RecordBatch.from_arrays([pa.array(bins, pa.int32()), pa.array(features, pa.int32()), pa.array(sums[bins, features])], ["bin", "feature", "n"])
@@ -216,33 +235,32 @@ def _in_bins(held, bounds_and_ranking) -> Callable:
 
 def learn(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> Model:
     """The model of the rows where ``trains`` (over ``doc_id``) holds: a bounded sample of positives, all unlabelled text."""
-    context = documents.sparkSession.sparkContext
-    texts = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).where(trains)
-    trusted = labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("doc_id")).where(trains)
-    schema = pa.schema([("doc_id", pa.int64()), ("features", pa.binary())])
+    with scratch(documents.sparkSession):
+        return fit(stored(measured(documents, id_col, text_col)), labels, trains, id_col, label_col, sample)
 
-    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            features = [measures(t).astype(np.float16).tobytes() for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(features, pa.binary())], schema=schema)
+
+def fit(rows: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id", label_col: str = "quality", sample: int = SAMPLE) -> Model:
+    """The same of documents that are measured."""
+    context = rows.sparkSession.sparkContext
+    rows = rows.where(trains)
+    trusted = labels.where(F.col(label_col) == 1).select(F.col(id_col).cast("long").alias("doc_id")).where(trains)
 
     def sampled(ids: DataFrame) -> np.ndarray:
         # At most ``sample`` ids, and at most twice as many rows whatever ids repeat.
         chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
-        rows = map_rows(texts.join(F.broadcast(chosen), "doc_id"), featured, "doc_id long, features binary")
-        found = rows.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(2 * sample).select("features").toArrow().column("features").to_pylist()
-        return np.array([np.frombuffer(x, np.float16) for x in found], np.float32).reshape(-1, WIDTH)
+        found = rows.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(2 * sample)
+        return _unpacked(found.select("features").toArrow().column("features").to_pylist())
 
     positives = sampled(trusted)
     if not len(positives):
         return Model()
-    unlabelled = sampled(texts.select("doc_id"))
+    unlabelled = sampled(rows.select("doc_id"))
     scale = Scale(np.concatenate([positives, unlabelled]))
     positives, unlabelled = scale(positives), scale(unlabelled)
     ranking = fit_ranking(positives, unlabelled)
     bounds = thresholds(positives @ ranking, unlabelled @ ranking)
 
-    parts = map_rows(texts.select("text"), _in_bins(context.broadcast(scale), (bounds, ranking)), "bin int, feature int, n long")
+    parts = map_rows(rows.select("features"), _in_bins(context.broadcast(scale), (bounds, ranking)), "bin int, feature int, n long")
     found = parts.groupBy("bin", "feature").agg(F.sum("n").alias("n")).toArrow()
     sums = np.zeros((len(bounds) + 1, WIDTH + 1))
     sums[found.column("bin").to_numpy(), found.column("feature").to_numpy()] = found.column("n").to_numpy()
@@ -255,11 +273,14 @@ def learn(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str =
 
 def score_quality(documents: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", sample: int = SAMPLE) -> DataFrame:
     """``doc_id`` and ``score``, the probability of label 1, of every document."""
-    model = documents.sparkSession.sparkContext.broadcast(learn(documents, labels, trains, id_col, text_col, label_col, sample))
-    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    spark = documents.sparkSession
+    with scratch(spark) as kept:
+        rows = stored(measured(documents, id_col, text_col))
+        model = spark.sparkContext.broadcast(fit(rows, labels, trains, id_col, label_col, sample))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(model.value.score(batch.column("text").to_pylist()))], ["doc_id", "score"])
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                scores = model.value.score(_unpacked(batch.column("features").to_pylist()))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores)], ["doc_id", "score"])
 
-    return map_rows(rows, run, "doc_id long, score double")
+        return kept(map_rows(rows, run, "doc_id long, score double"))

@@ -41,6 +41,8 @@ def through_host(body: str) -> str:
         (f"<article><p title=it's>{LONG}</p><p title='a>b'>q</p></article>", [W, "q"]),
         (f"<div id=wrap><div id=inner><h2>T</h2><p>{LONG}</p><div class=comments><p>hi</p></div></div></div>", ["T", W]),
         (f"<article><p>{LONG}</p><ul><li>a<ul><li>b</ul><li>c</ul></article>", [W, "a", "b", "c"]),
+        (f"<body class='modal-open'><div class='post comments-open'><p>{LONG}</p><pre>x = 1 <span class='token comment'># one</span></pre><p><code>y <i class=comment># two</i></code> z <span class=ad>buy</span></p></div></body>", [W, "x = 1 # one", "y # two z"]),
+        (f"<div id=content class=sidebar-right><h1>T</h1><p>{LONG}</p></div><div class='right-sidebar'><p>x</p></div>", ["T", W]),
         (f"<article><p>{LONG}<aside>no</aside><p>x &amp; y &#8212; &eacute;<p>i<!-- c -->j</article>", [W, "x & y — é", "ij"]),
     ],
 )

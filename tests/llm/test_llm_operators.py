@@ -495,7 +495,7 @@ def test_every_unlabelled_text_counts(spark, monkeypatch):
         model = Q.learn(docs.repartition(parts), marks, F.lit(True), sample=40)
         means, counts, _ = seen[-1]
         assert counts.sum() == 300
-        whole = model.scale(np.array([Q.measures(t) for _, t in rows]))
+        whole = model.scale(np.array([Q.measures(t) for _, t in rows], np.float16).astype(np.float32))
         assert np.allclose((means * counts[:, None]).sum(axis=0), whole.sum(axis=0), atol=0.5)
     assert (seen[0][0] == seen[1][0]).all() and (seen[0][1] == seen[1][1]).all() and seen[0][2] == seen[1][2]
 
