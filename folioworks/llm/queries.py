@@ -16,6 +16,7 @@ from .quality_classifier import score_quality
 from .quality_rules import quality_verdicts
 from .simhash import simhash_classes
 from .source_mix import mix_sources
+from .spelling_variants import PLANTED, group_variants, vocabulary
 from .suffix_dedup import repeat_digests
 from .toxicity import score_toxicity
 
@@ -98,6 +99,11 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_conversations(damage(turns), turns)
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_variants(vocabulary(texts(spark, sf_dir, "documents"), planted=PLANTED)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 ORACLES["op1_chat_format"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
