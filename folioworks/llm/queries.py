@@ -12,6 +12,7 @@ from .conversation_repair import damage, repair_conversations
 from .decontaminate import contaminated_regions
 from .html_extract import extract_main_text
 from .language_id import identify
+from .lm_score import score_texts
 from .quality_classifier import score_quality
 from .quality_rules import quality_verdicts
 from .simhash import simhash_classes
@@ -104,6 +105,13 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_variants(vocabulary(texts(spark, sf_dir, "documents"), planted=PLANTED)).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+@query
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.pmod(fold_id("doc_id"), F.lit(7)) == 2, F.lit(False))
+    scored = score_texts(texts(spark, sf_dir, "documents"), ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 ORACLES["op1_chat_format"] = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, 'unknown') AS role, coalesce(text, '') AS text,
