@@ -7,7 +7,7 @@ for language and hand; orders and line items become a synthetic transcription.
 
 from __future__ import annotations
 
-from . import alignment, checks, statistics, transcription
+from . import alignment, checks, files, statistics, transcription
 from .registry import ORACLES, QUERIES
 
-__all__ = ["ORACLES", "QUERIES", "alignment", "checks", "statistics", "transcription"]
+__all__ = ["ORACLES", "QUERIES", "alignment", "checks", "files", "statistics", "transcription"]

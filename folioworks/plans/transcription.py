@@ -73,13 +73,21 @@ PARSED = f"""{TRANSCRIPT},
 
 @query(f"WITH {PARSED} SELECT file, page_ord, locus_page_id, locus_number, position, locus_type, subtype, transcriber, text, locus_page_id || ':' || locus_number AS locus_id, CAST(line_index AS BIGINT) AS line_index FROM loci")
 def ivtff_parse_lines(spark, sf_dir):
-    rows = ivtff.loci(transcript(spark, sf_dir), comments=False).withColumn("line_index", F.col("line_index").cast("long"))
+    return locus_rows(transcript(spark, sf_dir))
+
+
+def locus_rows(lines: DataFrame) -> DataFrame:
+    rows = ivtff.loci(lines, comments=False).withColumn("line_index", F.col("line_index").cast("long"))
     return rows.select("file", "page_ord", "locus_page_id", "locus_number", "position", "locus_type", "subtype", "transcriber", "text", "locus_id", "line_index")
 
 
 @query(f"WITH {PARSED} SELECT file, page_ord, page_id, quire, page_in_quire, bifolio, illustration, language, hand, folio, cluster, extraneous FROM pages_")
 def page_variables(spark, sf_dir):
-    return ivtff.pages(transcript(spark, sf_dir), comments=False).select("file", "page_ord", "page_id", *(f"variables.{c}" for c in ("quire", "page_in_quire", "bifolio", "illustration", "language", "hand", "folio", "cluster", "extraneous")))
+    return variable_rows(transcript(spark, sf_dir))
+
+
+def variable_rows(lines: DataFrame) -> DataFrame:
+    return ivtff.pages(lines, comments=False).select("file", "page_ord", "page_id", *(f"variables.{c}" for c in ("quire", "page_in_quire", "bifolio", "illustration", "language", "hand", "folio", "cluster", "extraneous")))
 
 
 COMMENTED = f"""{PARSED}, e AS (SELECT *, sum(CAST(is_page OR (is_locus AND page_ord > 0) AS INT)) OVER (PARTITION BY file ORDER BY line_no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS island FROM placed),
@@ -88,7 +96,11 @@ COMMENTED = f"""{PARSED}, e AS (SELECT *, sum(CAST(is_page OR (is_locus AND page
 
 @query(f"WITH {COMMENTED} SELECT file, page_ord, regexp_extract(line, {PAGE}, 1) AS page_id, coalesce(said, '') AS comments FROM e LEFT JOIN c USING (file, island) WHERE is_page")
 def page_comments(spark, sf_dir):
-    return ivtff.pages(transcript(spark, sf_dir)).select("file", "page_ord", "page_id", F.array_join("comments", "|").alias("comments"))
+    return comment_rows(transcript(spark, sf_dir))
+
+
+def comment_rows(lines: DataFrame) -> DataFrame:
+    return ivtff.pages(lines).select("file", "page_ord", "page_id", F.array_join("comments", "|").alias("comments"))
 
 
 @query(rf"""WITH {TRANSCRIPT} SELECT file, arg_max(regexp_extract(line, '^#=IVTFF\s+(\S+)', 1), line_no) AS format_version, nullif(arg_max(trim(regexp_extract(line, '^#=IVTFF\s+\S+\s*(.*)$', 1)), line_no), '') AS format_options FROM transcript WHERE line LIKE '#=IVTFF %' GROUP BY file""")

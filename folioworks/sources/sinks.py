@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import __version__
-from ..errors import ExportError
+from .ordered import digest_of_lines, write_lines
 
 
 def canonical_json(frame: DataFrame) -> Column:
@@ -23,23 +23,9 @@ def row_hash(frame: DataFrame) -> Column:
 
 
 def write_canonical_jsonl(frame: DataFrame, path: str, *order: Column | str) -> str:
-    """Rows in order as one local file with line feeds; returns its SHA-256.
-
-    The rows stream through the driver in order, a partition at a time: one
-    file of one byte sequence is what a published hash needs.
-    """
-    os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
-    rows = frame.orderBy(*order) if order else frame
-    digest = hashlib.sha256()
-    try:
-        with open(path, "wb") as file:
-            for (line,) in rows.select(canonical_json(frame)).toLocalIterator():
-                data = line.encode() + b"\n"
-                digest.update(data)
-                file.write(data)
-    except OSError as error:
-        raise ExportError("cannot write", path=path, error=str(error)) from error
-    return digest.hexdigest()
+    """Rows in order as one file with line feeds, written by executors; returns its SHA-256."""
+    write_lines(frame, canonical_json(frame), path, *order)
+    return digest_of_lines(frame.sparkSession, path).first()["sha256"]
 
 
 def write_jsonl(frame: DataFrame, path: str) -> None:

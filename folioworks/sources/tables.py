@@ -25,11 +25,15 @@ SOURCES = {"zl": ("eva", True), "it": ("eva", True), "cd": ("currier", False), "
 log = get_logger("sources")
 
 
+def bad_json_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``file, line_no, line`` of the lines of JSON lines files that are no JSON objects; blank ones are passed over."""
+    lines = read_lines(spark, path).where(F.col("line").rlike(r"\S"))
+    return lines.where(F.try_parse_json("line").isNull() | ~F.ltrim("line").startswith("{")).select("file", "line_no", "line")
+
+
 def check_jsonl(spark: SparkSession, path: str) -> None:
     """Raise, with its number, on the first line of a JSON lines file that is no JSON object."""
-    lines = read_lines(spark, path).where(F.col("line").rlike(r"\S"))
-    bad = lines.where(F.try_parse_json("line").isNull() | ~F.ltrim("line").startswith("{"))
-    first = bad.orderBy("file", "line_no").first()
+    first = bad_json_lines(spark, path).orderBy("file", "line_no").first()
     if first:
         raise InvalidFormatError(f"line {first.line_no} is no JSON object", first.line_no, first.line, file=first.file)
 
