@@ -23,6 +23,37 @@ def similarity(left: pd.Series, right: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, a, b).ratio() if a and b else 0.0 for a, b in zip(left, right, strict=True)], dtype=float)
 
 
+def ratio_bounds(left: Column, right: Column) -> Column:
+    """What the similarity of two texts cannot exceed: a struct of ``by_length`` and ``by_letters``.
+
+    Matching blocks hold at most the shorter text, and of each character at most
+    the fewer there are of it. Either text empty gives 0.
+    """
+    n, m = F.char_length(left), F.char_length(right)
+    both = n + m
+    times = lambda text, c: F.char_length(text) - F.char_length(F.replace(text, c, F.lit("")))
+    common = F.aggregate(F.array_distinct(F.split(left, "")), F.lit(0), lambda a, c: a + F.when(c == "", 0).otherwise(F.least(times(left, c), times(right, c))))
+    some = (n > 0) & (m > 0)
+    return F.struct(F.when(some, 2 * F.least(n, m) / both).otherwise(0.0).alias("by_length"), F.when(some, 2 * common / both).otherwise(0.0).alias("by_letters"))
+
+
+def verdicts(aligned: DataFrame, left: str = "zl", right: str = "it") -> DataFrame:
+    """``aligned`` with ``status`` and ``eva_agreement`` as ``compare`` gives them, without scores.
+
+    Texts that cannot be similar enough by their lengths or letters are told
+    by these; the cheaper bound is looked at first. Only what is left is matched.
+    """
+    a, b = normalize_for_comparison(F.col(f"{left}_text")), normalize_for_comparison(F.col(f"{right}_text"))
+    rows = aligned.withColumn("status", cheap_status(F.col(f"{left}_text"), F.col(f"{right}_text"), left, right))
+    bounds = ratio_bounds(a, b)
+    near = F.when(F.col("status").isNotNull() | (bounds["by_length"] < HIGH), False).otherwise(bounds["by_letters"] >= HIGH)
+    told = rows.withColumn("near", near)
+    easy = told.where(~F.col("near")).withColumn("status", F.coalesce("status", F.lit("content_mismatch")))
+    hard = told.where("near").withColumn("status", F.when(similarity(a, b) >= HIGH, "high_similarity").otherwise("content_mismatch"))
+    agreement = F.when(F.col("status").isin(*AGREEING), True).when(F.col("status") == "content_mismatch", False)
+    return easy.unionByName(hard).drop("near").withColumn("eva_agreement", agreement)
+
+
 def align(lines: DataFrame, sources: tuple[str, ...] = tuple(SOURCES), key: str = "line_id", text: str = "text", source: str = "source_id", order: str | Column = "line_no") -> DataFrame:
     """One row a key with a ``<source>_text`` column for each source.
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .streams import shuffled_compression, stream_compression
 
 
 def _all():
@@ -283,35 +284,9 @@ def compression(frame: DataFrame, text: str, *by: str, shuffled: bool = False, s
     )
 
 
-def corpus_compression(frame: DataFrame, text: str, order: str, block_bytes: int = 1 << 20, shuffled: bool = False, seed: int = 42) -> DataFrame:
-    """Compression of all texts in order: a row a block of about ``block_bytes``, and one, ``block`` -1, of the whole corpus.
-
-    The whole is the sum of the blocks, compressed one by one: a corpus of one
-    block is compressed as one string, a larger one gives a little more than one
-    stream would, as each block starts anew. Blocks hold texts, whole, by the
-    bytes before them, so they are bounded by a block and its last text however
-    the order is numbered. ``shuffled`` mixes each block's characters by a seed
-    of its own, made of ``seed`` and the block's number.
-    """
-    rows = frame.select(F.col(order).alias("at"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    low, high, n = rows.agg(F.min("at"), F.max("at"), F.count("*")).first()
-    if not n:
-        return compression(rows.withColumn("block", F.lit(0).cast("long")), "text", "block").limit(0)
-    # Sums of bytes by ranges of the order, then inside a range.
-    width = max(1, (high - low + 1) // max(1, n // 1000))
-    sized = rows.withColumn("range", F.floor((F.col("at") - low) / width)).withColumn("n", F.octet_length("text") + 1)
-    earlier = Window.unboundedPreceding, -1
-    bases = sized.groupBy("range").agg(F.sum("n").alias("n")).withColumn("group", F.floor(F.col("range") / 1000))
-    groups = bases.groupBy("group").agg(F.sum("n").alias("n")).select("group", F.coalesce(F.sum("n").over(Window.orderBy("group").rowsBetween(*earlier)), F.lit(0)).alias("base"))
-    bases = bases.withColumn("inside", F.coalesce(F.sum("n").over(Window.partitionBy("group").orderBy("range").rowsBetween(*earlier)), F.lit(0))).join(groups, "group").select("range", (F.col("base") + F.col("inside")).alias("base"))
-    inside = F.coalesce(F.sum("n").over(Window.partitionBy("range").orderBy("at", "text").rowsBetween(*earlier)), F.lit(0))
-    placed = sized.withColumn("inside", inside).join(bases, "range").withColumn("block", F.floor((F.col("base") + F.col("inside")) / block_bytes))
-    blocks = placed.groupBy("block").agg(F.sort_array(F.collect_list(F.struct("at", "text"))).alias("rows"))
-    each = compression(blocks.select("block", F.array_join("rows.text", " ").alias("text")), "text", "block", shuffled=shuffled, seed=seed, salt="block")
-    weigh = lambda c: (F.sum(F.col(c) * F.col("n_bytes")) / F.sum("n_bytes")).alias(c)
-    sums = each.agg(F.lit(-1).cast("long").alias("block"), F.sum("n_bytes").cast("int").alias("n_bytes"), F.sum("n_letters").cast("int").alias("n_letters"), weigh("gzip"), weigh("bz2"), weigh("lzma"))
-    bits = [(F.col(k) * F.col("n_bytes") * 8 / F.nullif(F.col("n_letters"), F.lit(0))).alias(f"{k}_bits") for k in ("gzip", "bz2", "lzma")]
-    return each.unionByName(sums.select("*", *bits))
+def corpus_compression(frame: DataFrame, text: str, order: str, shuffled: bool = False, seed: int = 42) -> DataFrame:
+    """Compression of all texts in order, or of their characters shuffled: a row a block, and one, ``block`` -1, of the corpus as one stream."""
+    return shuffled_compression(frame, text, seed) if shuffled else stream_compression(frame, text, order)
 
 
 def overview(frame: DataFrame, page: str, chars: str, words: str) -> DataFrame:

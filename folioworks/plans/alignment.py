@@ -116,3 +116,36 @@ def similarity_ratio(spark, sf_dir):
 def mismatch_records(spark, sf_dir):
     """Whole records; their scores have no SQL form."""
     return X.records(X.compare(X.align(source_lines(spark, sf_dir))))
+
+
+_BOUNDED = f"""{ALIGNED}, t AS (SELECT *, {STATUS} AS status, {NORM.format('zl_text')} AS a, {NORM.format('it_text')} AS b FROM aligned),
+ h AS (SELECT line_id, a, b, length(a) AS n, length(b) AS m FROM t WHERE status = 'to_compare'),
+ c AS (SELECT line_id, least(length(a) - length(replace(a, c, '')), length(b) - length(replace(b, c, ''))) AS k FROM (SELECT DISTINCT line_id, a, b, unnest(string_split(a, '')) AS c FROM h) WHERE c <> ''),
+ bounds AS (SELECT line_id, CASE WHEN n > 0 AND m > 0 THEN 2 * least(n, m) / (n + m) ELSE 0.0 END AS by_length, CASE WHEN n > 0 AND m > 0 THEN 2 * coalesce(k, 0) / (n + m) ELSE 0.0 END AS by_letters FROM h LEFT JOIN (SELECT line_id, sum(k) AS k FROM c GROUP BY 1) USING (line_id))"""
+
+
+@query(f"WITH {_BOUNDED} SELECT line_id, round(by_length, 6) AS by_length, round(by_letters, 6) AS by_letters FROM bounds")
+def similarity_bounds(spark, sf_dir):
+    """What the similarity of each line that has to be compared cannot exceed."""
+    rows = X.align(source_lines(spark, sf_dir)).where(X.cheap_status(F.col("zl_text"), F.col("it_text")).isNull())
+    bounds = X.ratio_bounds(T.normalize_for_comparison(F.col("zl_text")), T.normalize_for_comparison(F.col("it_text")))
+    return rows.select("line_id", bounds.alias("x")).select("line_id", F.round("x.by_length", 6).alias("by_length"), F.round("x.by_letters", 6).alias("by_letters"))
+
+
+@query(f"""WITH {_BOUNDED}, s AS (SELECT count(*) FILTER (status IN ('exact_match', 'normalized_match')) AS sure, count(*) FILTER (coalesce(zl_text, '') <> '' AND coalesce(it_text, '') <> '') AS both_present FROM t)
+ SELECT both_present, sure / both_present AS rate_at_least, (sure + (SELECT count(*) FROM bounds WHERE by_length >= 0.95 AND by_letters >= 0.95)) / both_present AS rate_at_most FROM s""")
+def agreement_range(spark, sf_dir):
+    """Between what the agreement of all lines lies, by what needs no matching; ``agreement_of_all_lines`` lies in it."""
+    rows = X.align(source_lines(spark, sf_dir))
+    a, b = T.normalize_for_comparison(F.col("zl_text")), T.normalize_for_comparison(F.col("it_text"))
+    status, bounds = X.cheap_status(F.col("zl_text"), F.col("it_text")), X.ratio_bounds(a, b)
+    told = rows.select("zl_text", "it_text", status.alias("status"), F.when(status.isNull(), bounds).alias("x"))
+    sure, there = F.count_if(F.col("status").isin("exact_match", "normalized_match")), F.count_if((F.coalesce("zl_text", F.lit("")) != "") & (F.coalesce("it_text", F.lit("")) != ""))
+    near = F.count_if((F.col("x.by_length") >= X.HIGH) & (F.col("x.by_letters") >= X.HIGH))
+    return told.agg(there.alias("both_present"), (sure / there).alias("rate_at_least"), ((sure + near) / there).alias("rate_at_most"))
+
+
+@query()
+def agreement_of_all_lines(spark, sf_dir):
+    """Counts of statuses over all lines and their agreement; matching has no SQL form."""
+    return X.statistics(X.verdicts(X.align(source_lines(spark, sf_dir))))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import charset
 from ..functions import text as T
 from ..operators import stats as S
+from ..operators import streams as R
 from ..operators.metadata import most_frequent
 from .registry import query, spread, table
 
@@ -396,3 +398,27 @@ def compression_ratio(spark, sf_dir):
 def shuffled_baseline(spark, sf_dir):
     """A seeded shuffle has no SQL form."""
     return S.corpus_compression(documents(spark, sf_dir), "text", "doc_id", shuffled=True)
+
+
+_JOINED = "j AS (SELECT string_agg(coalesce(text, ''), ' ' ORDER BY doc_id, text) AS data FROM documents)"
+
+
+@query(f"WITH {_JOINED}, n AS (SELECT strlen(data) AS n FROM j) SELECT k AS block, CAST(least({R.BLOCK}, n - k * {R.BLOCK}) AS BIGINT) AS n_bytes FROM n, range(0, (n + {R.BLOCK} - 1) // {R.BLOCK}) r(k)")
+def stream_blocks(spark, sf_dir):
+    """How the corpus is cut for the compressors."""
+    return S.corpus_compression(documents(spark, sf_dir), "text", "doc_id").where("block >= 0").select("block", "n_bytes")
+
+
+@query(f"WITH {_JOINED} SELECT c, count(*) AS n FROM (SELECT unnest(string_split(data, '')) AS c FROM j) WHERE c <> '' GROUP BY c")
+def shuffled_letters(spark, sf_dir):
+    """The characters of all blocks of the shuffled corpus, which are those of the corpus."""
+    corpus, letters = R.shuffled_blocks(documents(spark, sf_dir), "text")
+
+    def counted(batches):
+        for batch in batches:
+            for block in batch.column("id").to_pylist():
+                counts = corpus.counts(block)
+                yield pa.RecordBatch.from_pydict({"c": [chr(x) for x in letters], "n": counts}, pa.schema([("c", pa.string()), ("n", pa.int64())]))
+
+    blocks = spark.range(corpus.blocks).mapInArrow(counted, "c string, n long")
+    return blocks.groupBy("c").agg(F.sum("n").alias("n"))
