@@ -70,6 +70,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search form menu
 ALIEN = frozenset("ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion comment comments commentlist disqus reply replies respond related recommended recommendations share sharing newsletter subscribe subscription breadcrumb breadcrumbs pager pagination cookie cookies consent gdpr copyright paywall signup login".split())
 FRAME = frozenset("banner notice notices alert sidebar sidepanel aside menu nav navbar navigation social footer popup modal overlay announcement".split())
 LOOSE = frozenset("header foot masthead topbar toolbar widget skip search disclaimer discussion".split())
+#: With these alone a word of the first kinds names a part of an article too: ``related-posts`` does, ``related-work`` does not.
+PARTS = frozenset("more most top bottom left right inline inner outer main post posts article articles page pages story stories item items link links list lists listing box boxes block blocks bar button buttons icon icons section area container content contents wrap wrapper widget widgets group panel pane slot unit zone form field fields input signup count counter title heading header label body text meta author avatar thread threads feed card cards media social via tools toggle strip row col column embed holder div ul li float fixed sticky js".split())
 WHOLE = frozenset("side left-side right-side side-bar side-panel side-column side-nav".split())
 #: A name that begins so tells what an element has beside it or is about, not what it is.
 BESIDE = ("has-", "with-", "no-", "without-", "not-", "category-", "tag-", "type-", "format-", "status-")
@@ -91,18 +93,24 @@ def _attributes(source: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(source)} if source.strip(" /\n") else {}
 
 
-def _named(name: str) -> int:
-    """How much a class or id says of boilerplate: 3 for alien, 2 for a frame, 1 for loose words, 0 for none."""
+def _named(name: str, strictly: bool = False) -> int:
+    """How much a class or id says of boilerplate: 3 for alien, 2 for a frame, 1 for loose words, 0 for none.
+
+    ``strictly`` it says so only if it is made of such words and of ``PARTS``, as
+    an article's sections are named by their headings.
+    """
     name = CAMEL.sub("-", name).lower().replace("_", "-")
     if name.startswith(BESIDE) or name.endswith(STATES):
         return 0
     words = set(name.split("-"))
+    if strictly and not all(w in ALIEN or w in FRAME or w in LOOSE or w in PARTS or not w.isalpha() for w in words):
+        return 0
     return 3 if words & ALIEN else 2 if words & FRAME or name in WHOLE else 1 if words & LOOSE else 0
 
 
 @lru_cache(1 << 16)
-def _look(tag: str, source: str) -> tuple[int, int, str, bool]:
-    """What a tag's attributes say: boilerplate for certain (2), by name (as ``_named``), its step, whether it wraps."""
+def _look(tag: str, source: str) -> tuple[int, int, int, str, bool]:
+    """What a tag's attributes say: boilerplate for certain (2), by name (as ``_named``), strictly so, its step, whether it wraps."""
     attributes = _attributes(source)
     classes = attributes.get("class", "")
     step = ".".join([tag, *sorted(DIGITS.sub("#", classes).split())])
@@ -111,10 +119,11 @@ def _look(tag: str, source: str) -> tuple[int, int, str, bool]:
     role = attributes.get("role", "").lower()
     gone = "hidden" in attributes or attributes.get("aria-hidden", "").lower() == "true" or "display:none" in style or "visibility:hidden" in style
     named = max(map(_named, names), default=0)
-    if named < 3 and any(CAMEL.sub("-", n).lower().replace("_", "-") in CONTENT for n in names):
-        named = 0
+    strictly = max((_named(n, True) for n in names), default=0)
+    if any(CAMEL.sub("-", n).lower().replace("_", "-") in CONTENT for n in names):
+        named, strictly = named * (named == 3), strictly * (strictly == 3)
     wraps = not names or any(WRAPPER & set(CAMEL.sub("-", n).lower().replace("_", "-").split("-")) for n in names)
-    return (2 if gone else 1 if role in ROLES else 0), named, "main" + step[len(tag) :] if role == "main" and tag in CONTAINER else step, wraps
+    return (2 if gone else 1 if role in ROLES else 0), named, strictly, "main" + step[len(tag) :] if role == "main" and tag in CONTAINER else step, wraps
 
 
 class _Open:
@@ -158,7 +167,7 @@ class _Page:
         def flush() -> None:
             nonlocal linked
             if pieces:
-                text = " ".join(entities.unescape("".join(pieces)).split())
+                text = " ".join("".join(pieces).split())
                 if text:
                     self.blocks.append((stack[-1].number, text, max(0, len(text) - linked), stack[-1].tag in HEADING))
                 pieces.clear()
@@ -183,6 +192,8 @@ class _Page:
                 in_head = False
             if noise_here():
                 return
+            # A reference ends where its run of text does.
+            text = entities.unescape(text) if "&" in text else text
             pieces.append(text)
             top = stack[-1]
             if top.inline[-1][2] if top.inline else top.link:
@@ -269,7 +280,7 @@ class _Page:
             close(i)
 
     def _begin(self, tag, source, stack, everywhere, close, flush, noise_here) -> None:
-        sure, named, step, wraps = _look(tag, source)
+        sure, named, strictly, step, wraps = _look(tag, source)
         top = stack[-1]
         if tag not in BLOCK:
             if source.endswith("/"):
@@ -293,6 +304,8 @@ class _Page:
         top = stack[-1]
         kind = step.split(".", 1)[0]
         article = top.article or kind in ("article", "main")
+        if top.article or tag == "section":
+            named = strictly
         if kind in ("article", "main"):
             # A frame with a misleading name, or a form around the page, does not hide an article.
             noise = 2 if noise_here() >= 2 or sure == 2 else 0

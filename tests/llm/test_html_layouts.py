@@ -50,6 +50,29 @@ def test_the_whole_article_and_nothing_else(body, due):
     assert through_host(body) == "\n\n".join(due)
 
 
+SECTIONS = ["section id=related-work", "section id=comments-and-discussion", "section id=sharing-data", "section id=advertising-history", "section id=social-history", "section id=navigation-at-sea", "div class=share-price", "div class=recommended-dose"]
+BOILERPLATE = ["div class=comments", "section id=comments", "div class='comment-list'", "div class=share-buttons", "div class=related-posts", "section class='related-articles'", "div class=newsletter-signup", "div id=ad-slot-3", "div class=ad-300x250", "ul class=social-links", "div class=cookieBanner"]
+
+
+@pytest.mark.parametrize("part", SECTIONS)
+def test_sections_named_by_their_headings_stay(part):
+    tag = part.split()[0]
+    inner = f"<{part}><h2>H</h2><p>said here</p></{tag}>"
+    assert through_host(f"<article><h1>T</h1><p>{LONG}</p>{inner}</article>") == "\n\n".join(["T", W, "H", "said here"])
+
+
+@pytest.mark.parametrize("part", BOILERPLATE)
+def test_boilerplate_of_an_article_goes(part):
+    tag = part.split()[0]
+    inner = "<li>x" if tag == "ul" else "<p>x</p>"
+    assert through_host(f"<article><h1>T</h1><p>{LONG}</p><{part}>{inner}</{tag}><p>end</p></article>") == "\n\n".join(["T", W, "end"])
+
+
+@pytest.mark.parametrize(("source", "due"), [("AT&<b>amp</b>;T", "AT&amp;T"), ("&lt<i>;x</i>", "<;x"), ("&am<!-- -->p; &#<b>65</b>;", "&am" + "p; &#65;"), ("&amp;lt; &eacute;&#x41", "&lt; éA")])
+def test_references_end_with_their_run_of_text(source, due):
+    assert through_host(f"<article><p>{LONG}</p><p>{source}</p></article>") == W + "\n\n" + due
+
+
 def test_pages_without_a_main_text_are_empty():
     for body in ("", "<nav>a</nav>", "<div class=ad>x</div>", "<form><p>x</p></form>", "<script>x</script>", "<div class='cookie-banner'><p>x</p></div>"):
         assert extract(f"<html><body>{body}</body></html>", None) == ""
