@@ -247,7 +247,7 @@ def fit(rows: DataFrame, labels: DataFrame, trains: Column, id_col: str = "doc_i
 
     def sampled(ids: DataFrame) -> np.ndarray:
         # At most ``sample`` ids, and at most twice as many rows whatever ids repeat.
-        chosen = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).distinct()
+        chosen = ids.distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
         found = rows.join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(2 * sample)
         return _unpacked(found.select("features").toArrow().column("features").to_pylist())
 
