@@ -12,6 +12,12 @@ one. References of the ``most_broadcast`` languages with most rows are
 broadcast, which is bounded by the parameters; rows of further languages, none
 of which is frequent, are joined to theirs.
 
+No row is judged by itself: its own counts are taken out of its reference, and
+out of the pooled one, of which ``shrink_chars`` characters are mixed into the
+classes of each language. So a language of one row is judged by all the others'
+text. Its common words say nothing then: they count from ``least_short_words``
+short words of other rows on.
+
 Minimum-length guards: a histogram of a short text says little, so each
 distance counts only from a number of words on, and the distance allowed is a
 floor plus a slack that shrinks with the square root of the words. Common words
@@ -64,6 +70,9 @@ class Rules:
     common_floor: float = 0.25
     common_slack: float = 2.0
     common: int = 40
+    #: Characters of all text that a language's classes are taken with, and the short words of others that its common words need.
+    shrink_chars: int = 2000
+    least_short_words: int = 500
     most_broadcast: int = 512
 
 
@@ -145,15 +154,22 @@ def _count_languages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     yield from _emit(counts, schema)
 
 
-def _reference(entries: list[dict]) -> tuple[np.ndarray, dict[str, float]]:
-    """Class shares and shares of common words, of rows ``is_class, key, share``."""
-    classes, words = np.zeros(CLASSES), {}
+def _reference(entries: list[dict]) -> tuple[np.ndarray, dict[str, float], int, int]:
+    """Class shares, shares of common words, and of how many characters and short words, of rows ``is_class, key, share, total``."""
+    classes, words, totals = np.zeros(CLASSES), {}, {True: 0, False: 0}
     for entry in entries:
+        totals[entry["is_class"]] = entry["total"]
         if entry["is_class"]:
             classes[int(entry["key"])] = entry["share"]
         else:
             words[entry["key"]] = entry["share"]
-    return classes, words
+    return classes, words, totals[True], totals[False]
+
+
+def _others(share: np.ndarray, total: int, mine: np.ndarray, n: int) -> tuple[np.ndarray, int]:
+    """Shares of ``total`` things without the ``n`` of a document itself, and how many these are."""
+    left = max(0, total - n)
+    return np.maximum(0, share * total - mine) / max(1, left), left
 
 
 def references(documents: DataFrame, rules: Rules = Rules(), text_col: str = "text", lang_col: str = "lang") -> tuple[dict, DataFrame | None]:
@@ -180,7 +196,7 @@ def references(documents: DataFrame, rules: Rules = Rules(), text_col: str = "te
         common = common.drop("part")
         top = common.unionByName(both.where("is_class")).join(totals, ["lang", "is_class"])
         # At most ``common`` words and all classes a language.
-        entry = F.struct("is_class", (F.col("n") / F.col("total")).alias("share"), "key")
+        entry = F.struct("is_class", (F.col("n") / F.col("total")).alias("share"), "key", "total")
         lists = kept(top.groupBy("lang").agg(F.sort_array(F.collect_list(entry), asc=False).alias("reference")))
         chosen = F.col("lang").isin([POOLED, *frequent])
         found = {r.lang: _reference(r.reference) for r in lists.where(chosen).collect()}
@@ -201,18 +217,28 @@ def judge(text: str | None, lang: str | None, refs: dict, rules: Rules) -> tuple
     text = text or ""
     n, chars, symbols, dup_lines, repeated = counts = base_counts(text)
     failed = n < rules.least_words or 100 * repeated > rules.most_repeated_percent * n
-    classes, common = refs.get(lang or POOLED) or refs.get(POOLED) or (np.zeros(CLASSES), {})
+    nothing = np.zeros(CLASSES), {}, 0, 0
+    pooled = refs.get(POOLED) or nothing
+    classes, common, n_chars, n_short = refs.get(lang or POOLED) or pooled
     by_class = by_word = None
-    if n >= rules.class_words and classes.sum():
+    if n >= rules.class_words:
         mine = class_counts(text)
-        by_class = js_distance(mine / mine.sum(), classes)
+        size = int(mine.sum())
+        share, left = _others(classes, n_chars, mine, size)
+        # A small language is taken with some of all text.
+        all_share, all_left = _others(pooled[0], pooled[2], mine, size)
+        if all_left:
+            share, left = (share * left + all_share * rules.shrink_chars) / (left + rules.shrink_chars), left + rules.shrink_chars
+        if left and size:
+            by_class = js_distance(mine / size, share)
     if n >= rules.common_words and common:
         words = SHORT_WORD.findall(text.lower())
         seen = Counter(words)
         mine = np.array([seen[w] for w in common], float)
-        share = np.array(list(common.values()))
-        mine = np.append(mine, len(words) - mine.sum()) / max(1, len(words)) if words else np.append(0 * mine, 1.0)
-        by_word = js_distance(mine, np.append(share, max(0.0, 1 - share.sum())))
+        share, left = _others(np.array(list(common.values())), n_short, mine, len(words))
+        if left >= rules.least_short_words:
+            mine = np.append(mine, len(words) - mine.sum()) / max(1, len(words)) if words else np.append(0 * mine, 1.0)
+            by_word = js_distance(mine, np.append(share, max(0.0, 1 - share.sum())))
     root = max(1, n) ** 0.5
     good = not failed and (by_class or 0) <= rules.class_floor + rules.class_slack / root and (by_word or 0) <= rules.common_floor + rules.common_slack / root
     return (*counts, failed, by_class, by_word, good)
@@ -232,7 +258,7 @@ def _judged(documents: DataFrame, rules: Rules, text_col: str, lang_col: str, bo
             if REFERENCE in batch.schema.names:
                 own = batch.column(REFERENCE).to_pylist()
                 batch = batch.drop_columns([REFERENCE])
-                verdicts = [judge(t, x, {x: _reference(o)} if o else held.value, rules) for t, x, o in zip(texts, langs, own, strict=True)]
+                verdicts = [judge(t, x, {POOLED: held.value.get(POOLED), x: _reference(o)} if o else held.value, rules) for t, x, o in zip(texts, langs, own, strict=True)]
             else:
                 verdicts = [judge(t, x, held.value, rules) for t, x in zip(texts, langs, strict=True)]
             yield body(batch, verdicts)

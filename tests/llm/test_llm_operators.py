@@ -439,6 +439,21 @@ def test_removed_text_keeps_whole_characters(spark):
 # 6. Quality classifier
 
 
+def test_a_repeated_id_does_not_take_the_sample(spark, monkeypatch):
+    """Ids are made distinct before the sample is bounded."""
+    from folioworks.llm import quality_classifier as Q
+
+    chosen = []
+    unpacked = Q._unpacked
+    monkeypatch.setattr(Q, "_unpacked", lambda rows: chosen.append(len(rows)) or unpacked(rows))
+    rng = random.Random(16)
+    docs = spark.createDataFrame([(i, prose(rng, 60)) for i in range(300)], "doc_id long, text string")
+    first = spark.range(200).orderBy(F.xxhash64("id")).first()[0]
+    labels = spark.createDataFrame([(i, 1) for i in range(200)] + [(first, 1)] * 5000, "doc_id long, quality int")
+    Q.learn(docs, labels, F.lit(True), sample=200)
+    assert chosen[:2] == [200, 200]
+
+
 def test_held_out_quality(spark):
     folder = "/root/testdata/sf0.01"
     got = queries.QUERIES["op6_quality_classifier"](spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out").collect()
@@ -747,6 +762,14 @@ def test_junk_fails_and_prose_stays(spark):
     assert got[103].class_distance is None and Rules().least_words == 20
 
 
+def test_a_language_of_one_row_is_judged_by_the_others(spark):
+    rng = random.Random(15)
+    rows = [(i, prose(rng, 150), "en") for i in range(60)] + [(100, " ".join(["%1$$#"] * 300), "zz"), (101, " ".join(f"%{i}$$#" for i in range(300)), "zy"), (102, prose(rng, 150), "zx"), (103, prose(rng, 45), "zw")]
+    got = {r.doc_id: r for r in quality_verdicts(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert not got[100].kept and not got[101].kept and got[101].class_distance > 0.5
+    assert got[102].kept and got[103].kept and got[102].common_distance is None
+
+
 def test_distance_is_a_metric_between_zero_and_one():
     p, q = np.array([0.5, 0.5, 0]), np.array([0, 0, 1.0])
     assert js_distance(p, p) == 0 and js_distance(p, q) == pytest.approx(1) and js_distance(p, q) == js_distance(q, p)
@@ -768,7 +791,7 @@ def distance_by_hand(p, q):
 
 @pytest.mark.parametrize("most", [512, 2, 1])
 def test_verdicts_by_hand_for_any_number_of_languages(spark, most):
-    """References, distances and verdicts from plain counts; each language has its own reference."""
+    """References, distances and verdicts from plain counts; each language has its own reference, without the row itself."""
     import re
     import unicodedata
 
@@ -797,14 +820,18 @@ def test_verdicts_by_hand_for_any_number_of_languages(spark, most):
         n, r = len(text.split()), got[doc_id]
         due_class = due_word = None
         if n >= 20:
-            due_class = distance_by_hand(shares(classes(text)), shares(by_class[lang]))
+            others, pooled = ({k: c - classes(text)[k] for k, c in by_class[x].items()} for x in (lang, ""))
+            share = shares(pooled)
+            due_class = distance_by_hand(shares(classes(text)), shares({k: others.get(k, 0) + 2000 * share[k] for k in pooled}))
         if n >= 40:
             top = dict(sorted(by_word[lang].items(), key=lambda x: (-x[1], x[0]))[:40])
-            mine, whole = short(text), by_word[lang].total()
-            due_word = distance_by_hand(
-                {**{w: mine[w] / mine.total() for w in top}, None: 1 - sum(mine[w] for w in top) / mine.total()},
-                {**{w: c / whole for w, c in top.items()}, None: 1 - sum(top.values()) / whole},
-            )
+            mine = short(text)
+            top, whole = {w: c - mine[w] for w, c in top.items()}, by_word[lang].total() - mine.total()
+            if whole >= 500:
+                due_word = distance_by_hand(
+                    {**{w: mine[w] / mine.total() for w in top}, None: 1 - sum(mine[w] for w in top) / mine.total()},
+                    {**{w: c / whole for w, c in top.items()}, None: 1 - sum(top.values()) / whole},
+                )
         assert r.class_distance == (None if due_class is None else pytest.approx(due_class, abs=1e-6))
         assert r.common_distance == (None if due_word is None else pytest.approx(due_word, abs=1e-6))
         root = max(1, n) ** 0.5
