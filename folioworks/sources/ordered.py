@@ -67,6 +67,8 @@ def _moved(spark: SparkSession, part: str, path: str) -> None:
     system.delete(target, False)
     if not system.rename(spark._jvm.org.apache.hadoop.fs.Path(part), target):
         raise ExportError("cannot write", path=path, error="the file system does not move the parts there")
+    # A local file's check sums would fail it once anything else edits it.
+    system.delete(spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.crc"), False)
 
 
 def _joined(spark: SparkSession, parts: list[str]) -> bool:
