@@ -74,34 +74,38 @@ def classify(lines: DataFrame) -> DataFrame:
     return lines.withColumn("kind", kind)
 
 
-def placed(lines: DataFrame) -> DataFrame:
+def placed(lines: DataFrame, with_page: bool = False) -> DataFrame:
     """Classified lines with their page and comment group.
 
-    ``page_ord`` numbers the headers of a file, 0 before the first, and ``head``
-    is the header last met (its ``line_no`` and ``line``). ``line_index`` counts
-    the loci since then. ``island`` counts the accepted pages and loci before a
-    line: comments go to the next one.
+    ``page_ord`` numbers the headers of a file, 0 before the first, and
+    ``line_index`` counts the loci since the last one. ``with_page`` adds that
+    header's ``page_id`` and ``variables``, which are parsed at the header alone
+    and carried from there. ``island`` counts the accepted pages and loci before
+    a line: comments go to the next one.
     """
     split = ["split"] if "split" in lines.columns else []
     before = Window.partitionBy("file", *split).orderBy("line_no")
     upto = before.rowsBetween(Window.unboundedPreceding, 0)
     is_page, is_locus = F.col("kind") == "page", F.col("kind") == "locus"
     seen = classify(lines).withColumn("pages_", F.sum(is_page.cast("int")).over(upto)).withColumn("loci_", F.sum(is_locus.cast("int")).over(upto))
-    head = F.when(is_page, F.struct("line_no", "line", F.col("loci_").alias("loci")))
-    seen = seen.withColumn("last_", F.last(head, True).over(upto)).withColumn("first_", F.first(head["loci"], True).over(upto))
+    # Each is a column of its own, so that what a query does not use is pruned.
+    page = _page_columns("line") if with_page else {}
+    carries = {"last_": F.col("loci_")} | {f"{name}_": column for name, column in page.items()}
+    seen = seen.withColumns({name: F.last(F.when(is_page, column), True).over(upto) for name, column in carries.items()})
+    seen = seen.withColumn("first_", F.first(F.when(is_page, F.col("loci_")), True).over(upto))
     if split:
-        ends = seen.groupBy("file", "split").agg(F.max_by(F.struct("pages_", "loci_", "last_", "first_"), "line_no").alias("end"))
+        ends = seen.groupBy("file", "split").agg(F.max_by(F.struct("pages_", "loci_", "first_", *carries), "line_no").alias("end"))
         earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
-        sums = ends.withColumn("pages0", F.coalesce(F.sum("end.pages_").over(earlier), F.lit(0))).withColumn("loci0", F.coalesce(F.sum("end.loci_").over(earlier), F.lit(0)))
-        last = F.when(F.col("end.last_").isNotNull(), F.struct(F.col("end.last_.line_no"), F.col("end.last_.line"), (F.col("end.last_.loci") + F.col("loci0")).alias("loci")))
-        carried = sums.select("file", "split", "pages0", "loci0", F.last(last, True).over(earlier).alias("last0"), F.first(F.col("end.first_") + F.col("loci0"), True).over(earlier).alias("first0"))
+        sums = ends.select("file", "split", "end.*", *(F.coalesce(F.sum(f"end.{x}_").over(earlier), F.lit(0)).alias(f"{x}0") for x in ("pages", "loci")))
+        sums = sums.withColumns({"last_": F.col("last_") + F.col("loci0"), "first_": F.col("first_") + F.col("loci0")})
+        carried = sums.select("file", "split", "pages0", "loci0", F.first("first_", True).over(earlier).alias("first0"), *(F.last(x, True).over(earlier).alias(f"{x}0") for x in carries))
         seen = seen.join(carried, ["file", "split"])
-        here = F.when(F.col("last_").isNotNull(), F.struct("last_.line_no", "last_.line", (F.col("last_.loci") + F.col("loci0")).alias("loci")))
-        seen = seen.withColumns({"pages_": F.col("pages_") + F.col("pages0"), "last_": F.coalesce(here, F.col("last0")), "first_": F.coalesce("first0", F.col("first_") + F.col("loci0")), "loci_": F.col("loci_") + F.col("loci0")})
+        here = {x: F.col(x) for x in carries} | {"last_": F.col("last_") + F.col("loci0")}
+        seen = seen.withColumns({"pages_": F.col("pages_") + F.col("pages0"), "first_": F.coalesce("first0", F.col("first_") + F.col("loci0")), "loci_": F.col("loci_") + F.col("loci0"), **{x: F.coalesce(column, f"{x}0") for x, column in here.items()}})
     accepted = is_page | (is_locus & (F.col("pages_") > 0))
     # Loci before the first header are not accepted and belong to no page.
     island = F.when(F.col("pages_") > 0, F.col("pages_") + F.col("loci_") - F.col("first_")).otherwise(0) - accepted.cast("int")
-    return seen.select(*lines.columns, "kind", F.col("pages_").cast("long").alias("page_ord"), F.struct("last_.line_no", "last_.line").alias("head"), (F.col("loci_") - F.col("last_.loci")).cast("int").alias("line_index"), accepted.alias("accepted"), island.cast("long").alias("island"))
+    return seen.select(*lines.columns, "kind", F.col("pages_").cast("long").alias("page_ord"), (F.col("loci_") - F.col("last_")).cast("int").alias("line_index"), accepted.alias("accepted"), island.cast("long").alias("island"), *(F.col(f"{name}_").alias(name) for name in page))
 
 
 def strict_errors(lines: DataFrame) -> DataFrame:
@@ -127,14 +131,18 @@ def _with_comments(events: DataFrame, marked: DataFrame) -> DataFrame:
     return joined.withColumn("comments", F.coalesce(F.col("said.text"), F.array().cast("array<string>"))).drop("said", "island")
 
 
-def _page_columns(line: str) -> list[Column]:
-    return [F.regexp_extract(line, PAGE, 1).alias("page_id"), header_variables(F.regexp_extract(line, PAGE, 2)).alias("variables")]
+def _page_columns(line: str) -> dict[str, Column]:
+    return {"page_id": F.regexp_extract(line, PAGE, 1), "variables": header_variables(F.regexp_extract(line, PAGE, 2))}
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [column.alias(name) for name, column in columns.items()]
 
 
 def pages(lines: DataFrame, comments: bool = True) -> DataFrame:
     """One row a page header: ``file, page_ord, line_no, page_id, variables`` and its comments."""
     marked = placed(lines)
-    found = marked.where("kind = 'page'").select("file", "page_ord", "line_no", *_page_columns("line"), "island")
+    found = marked.where("kind = 'page'").select("file", "page_ord", "line_no", *_named(_page_columns("line")), "island")
     return _with_comments(found, marked) if comments else found.drop("island")
 
 
@@ -161,9 +169,9 @@ def loci(lines: DataFrame, comments: bool = True, with_page: bool = False) -> Da
     its page's; ``locus_id`` is made of its own. ``with_page`` adds the page's
     ``page_id`` and ``variables``, from the header that each line carries.
     """
-    marked = placed(lines)
+    marked = placed(lines, with_page)
     here = marked.where("kind = 'locus' and page_ord > 0")
-    found = here.select("file", "page_ord", "line_no", *_locus_columns(), *(_page_columns("head.line") if with_page else []), "island")
+    found = here.select("file", "page_ord", "line_no", *_locus_columns(), *(["page_id", "variables"] if with_page else []), "island")
     return _with_comments(found, marked) if comments else found.drop("island")
 
 
@@ -179,7 +187,7 @@ def pages_with_counts(lines: DataFrame) -> DataFrame:
     counted = marked.groupBy("file", "page_ord").agg(
         F.max(F.when(F.col("kind") == "page", F.col("line"))).alias("head"), F.count_if(F.col("kind") == "locus").alias("n_loci"), of_type("P").alias("line_count"), of_type("L").alias("label_count"), F.coalesce(F.bool_or(text), F.lit(False)).alias("has_text")
     )
-    return counted.select("file", "page_ord", *_page_columns("head"), "n_loci", "line_count", "label_count", "has_text")
+    return counted.select("file", "page_ord", *_named(_page_columns("head")), "n_loci", "line_count", "label_count", "has_text")
 
 
 def formats(lines: DataFrame) -> DataFrame:
