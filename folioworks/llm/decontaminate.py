@@ -31,9 +31,13 @@ The budget e is ``edits`` of the pattern's length. The result is one row a
 document, item and region: ``doc_id, item_id, start, end`` (bytes of the text)
 and ``edits``. Overlapping regions of one item are joined.
 
-The index is broadcast in blocks of ``index_bytes`` of item text at most, one
-block at a time: what a block finds or leaves is written before the next one is
-made, so a benchmark of any size is searched with the memory of a block. Hits are
+The index is broadcast in blocks of ``index_bytes`` of item text at most (and
+``LEAST_BLOCK`` at least), one block at a time: what a block finds or leaves is
+written before the next one is made. An item that is longer than a block is cut
+into segments that overlap by a piece, so that each of its patterns lies whole in
+one of them; its regions are joined over the blocks. So a benchmark of any size,
+and an item of any length, is searched with the memory of a block, in one pass
+over the documents for each block. Hits are
 counted some ``HITS`` at a time, so a text of one q-gram over and over takes no
 more memory than others. Texts of any length are searched whole, in overlapping
 parts. Items without text, null or blank, are not searched, nor those of fewer
@@ -51,7 +55,8 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import delete, map_rows, stored, stored_at
@@ -67,6 +72,8 @@ INDEX_BYTES = 2 << 20
 PART = 1 << 20
 HITS = 1 << 20
 BITS = 22
+#: Blocks are not made smaller than this, so that items are not cut to crumbs.
+LEAST_BLOCK = 4096
 _FOLD = bytes(b + 32 if 65 <= b <= 90 else 32 if b in b"\t\n\v\f\r" else b for b in range(256))
 #: Bytes of words: digits, letters and all of other scripts.
 _WORD = np.array([b >= 128 or chr(b).isalnum() for b in range(256)])
@@ -84,23 +91,43 @@ def grams(data: np.ndarray) -> np.ndarray:
     return eight[:n] * np.uint64(0xD6E8FEB86659FD93) + four[Q - 4 : Q - 4 + n] * np.uint64(0xA0761D6478BD642F)
 
 
+def folded(text: str) -> bytes:
+    return text.encode().translate(_FOLD)
+
+
+def segments(text: str, size: int) -> Iterator[tuple[bytes, bool]]:
+    """An item's folded text in segments, and whether each is the last one.
+
+    ``size`` is a multiple of both strides. A segment holds the patterns that
+    begin in its first ``size`` bytes, the last one all that are left.
+    """
+    data, at = folded(text).strip(), 0
+    while len(data) - at > size + PIECE:
+        yield data[at : at + size + PIECE], False
+        at += size
+    yield data[at:], True
+
+
 def _slots(code: np.ndarray) -> np.ndarray:
     return ((code * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 class Index:
-    """Patterns of some benchmark items and their q-grams, sorted."""
+    """Patterns of some benchmark items and their q-grams, sorted.
+
+    An item is an id and a text, or an id and one of ``segments``.
+    """
 
-    def __init__(self, items: list[tuple[int, str]], edits: float = EDITS, piece: int = PIECE, step: int = STEP):
+    def __init__(self, items: list[tuple], edits: float = EDITS, piece: int = PIECE, step: int = STEP):
         self.patterns: list[tuple[int | None, bytes, int]] = []
         self.short: dict[bytes, list[int | None]] = {}
-        for item_id, text in items:
-            data = text.encode().translate(_FOLD).strip()
+        for item_id, text, *of_segment in items:
+            data, last = (text, *of_segment) if of_segment else (folded(text).strip(), True)
             if len(data) < Q:
                 if data:
                     self.short.setdefault(data, []).append(item_id)
                 continue
-            starts = range(0, max(1, len(data) - piece + step), step)
+            starts = range(0, max(1, len(data) - piece + step) if last else len(data) - piece, step)
             for at in starts:
                 at = max(0, min(at, len(data) - piece))
                 part = data[at : at + piece]
@@ -108,7 +135,7 @@ class Index:
                 budget = min(int(edits * len(part)), (len(part) - Q) // Q)
                 self.patterns.append((item_id, part, max(0, budget)))
             if len(data) > WINDOW:
-                for at in range(0, len(data) - WINDOW + WINDOW_STEP, WINDOW_STEP):
+                for at in range(0, len(data) - WINDOW + WINDOW_STEP if last else len(data) - piece, WINDOW_STEP):
                     at = min(at, len(data) - WINDOW)
                     self.patterns.append((item_id, data[at : at + WINDOW], 0))
         codes, owners, places = [], [], []
@@ -187,7 +214,7 @@ class Index:
 
     def search(self, text: str | None) -> list[tuple[int | None, int, int, int]]:
         """``item_id, start, end, edits`` of the regions of a text, joined by item."""
-        data = (text or "").encode().translate(_FOLD)
+        data = folded(text or "")
         found = list(self._short_items(data))
         for at in range(0, max(1, len(data)), PART):
             base = max(0, at - 2 * PIECE)
@@ -237,17 +264,27 @@ def align(pattern: bytes, data: bytes, low: int, high: int, budget: int) -> tupl
     return (starts[k], len(pattern) + low + k, costs[k]) if costs[k] <= budget else None
 
 
-def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, least: int, index_bytes: int) -> Iterator[list[tuple[int, str]]]:
-    """Benchmark items in blocks of bounded size, streamed to the driver one partition at a time."""
+def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, least: int, index_bytes: int) -> Iterator[list[tuple[int, bytes, bool]]]:
+    """Segments of benchmark items in blocks of bounded size, streamed to the driver one partition at a time."""
+    most = max(index_bytes, LEAST_BLOCK)
+    size = (most - PIECE) // STEP * STEP
     items = benchmark.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("item_id").to_pylist(), batch.column("text").to_pylist(), strict=True)
+            found = [(item_id, *segment) for item_id, text in rows for segment in segments(text, size)]
+            columns = list(zip(*found, strict=True)) if found else [[], [], []]
+            types = (pa.int64(), pa.binary(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["item_id", "data", "last"])
+
     block, held = [], 0
-    for item_id, text in items.where(F.octet_length("text") >= least).toLocalIterator():
-        size = len(text.encode())
-        if block and held + size > index_bytes:
+    for item_id, data, last in map_rows(items.where(F.octet_length("text") >= least), cut, "item_id long, data binary, last boolean").toLocalIterator():
+        if block and held + len(data) > index_bytes:
             yield block
             block, held = [], 0
-        block.append((item_id, text))
-        held += size
+        block.append((item_id, bytes(data), last))
+        held += len(data)
     if block:
         yield block
 
@@ -256,28 +293,51 @@ def _blocks(benchmark: DataFrame, item_col: str, item_text_col: str, least: int,
 _MADE: list = [None, None]
 
 
-def _index(items: list[tuple[int, str]], edits: float) -> Index:
+def _index(items: list[tuple[int, bytes, bool]], edits: float) -> Index:
     if _MADE[0] is not items:
         _MADE[:] = [items, Index(items, edits)]
     return _MADE[1]
 
 
 REGION = pa.schema([(n, pa.int64()) for n in ("doc_id", "item_id", "start", "end", "edits")])
+_FOUND = REGION.append(pa.field("text_key", pa.int64()))
+
+
+def _text_key(text: str) -> int:
+    """A signed 64-bit hash of a text."""
+    return xxhash.xxh3_64_intdigest(text.encode()) - (1 << 63)
+
+
+def _over_blocks(parts: list[DataFrame]) -> DataFrame:
+    """Regions of several blocks, those of one item joined where they touch.
+
+    Rows of one id and text have the same regions in every block, each as often
+    as there are such rows, and get the joined ones as often.
+    """
+    of = ["doc_id", "text_key", "item_id"]
+    found = reduce(DataFrame.unionAll, (part.withColumn("block", F.lit(i)) for i, part in enumerate(parts)))
+    counted = found.groupBy(*of, "start", "end", "edits", "block").agg(F.count("*").alias("n"))
+    by_start = Window.partitionBy(*of).orderBy("start", "end", "edits", "block")
+    reach = F.max("end").over(by_start.rowsBetween(Window.unboundedPreceding, -1))
+    opens = counted.withColumn("opens", (F.coalesce(F.col("start") > reach, F.lit(True))).cast("int"))
+    runs = opens.withColumn("run", F.sum("opens").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
+    joined = runs.groupBy(*of, "run").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.max("edits").alias("edits"), F.max("n").alias("n"))
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), "n"))).select(*REGION.names)
 
 
 def contaminated_regions(documents: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", edits: float = EDITS, least: int = LEAST, index_bytes: int = INDEX_BYTES) -> DataFrame:
     """``doc_id, item_id, start, end, edits`` of every region that holds benchmark text."""
     context = documents.sparkSession.sparkContext
     rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    columns = ", ".join(f"{n} long" for n in REGION.names)
+    columns = ", ".join(f"{n} long" for n in _FOUND.names)
 
     def search_with(held):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = _index(held.value, edits)
             for batch in batches:
-                found = [(d, *x) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for x in index.search(t)]
-                values = list(zip(*found, strict=True)) if found else [[]] * len(REGION)
-                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], schema=REGION)
+                found = [(d, *x, _text_key(t)) for d, t in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True) for x in index.search(t)]
+                values = list(zip(*found, strict=True)) if found else [[]] * len(_FOUND)
+                yield pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], schema=_FOUND)
 
         return run
 
@@ -293,7 +353,7 @@ def contaminated_regions(documents: DataFrame, benchmark: DataFrame, id_col: str
         block = following
     if not parts:
         return rows.limit(0).select("doc_id", *(F.lit(0).cast("long").alias(n) for n in REGION.names[1:]))
-    return reduce(DataFrame.unionAll, parts)
+    return _over_blocks(parts) if len(parts) > 1 else parts[0].select(*REGION.names)
 
 
 def clean_documents(documents: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", edits: float = EDITS, least: int = LEAST, index_bytes: int = INDEX_BYTES) -> DataFrame:
