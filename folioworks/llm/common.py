@@ -54,6 +54,17 @@ def delete(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def free_names(frame: DataFrame, *names: str) -> list[str]:
+    """``names``, each with underscores behind it until no column of ``frame`` has it, in whatever case."""
+    taken, out = {c.lower() for c in frame.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
     """An area whose tables are deleted at its end.

@@ -45,7 +45,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_rows, scratch, stored
+from .common import free_names, map_rows, scratch, stored
 
 WINDOW = 8
 SYMBOLS = b"#*$%&|<>"
@@ -244,20 +244,18 @@ def judge(text: str | None, lang: str | None, refs: dict, rules: Rules) -> tuple
     return (*counts, failed, by_class, by_word, good)
 
 
-REFERENCE = "_language_reference"
-
-
 def _judged(documents: DataFrame, rules: Rules, text_col: str, lang_col: str, body: Callable, schema) -> DataFrame:
     """``documents`` through ``body``, which gets a batch and the verdicts of its rows."""
     refs, others = references(documents, rules, text_col, lang_col)
     held = documents.sparkSession.sparkContext.broadcast(refs)
+    language, reference = free_names(documents, "_language", "_language_reference")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, langs = batch.column(text_col).to_pylist(), batch.column(lang_col).to_pylist()
-            if REFERENCE in batch.schema.names:
-                own = batch.column(REFERENCE).to_pylist()
-                batch = batch.drop_columns([REFERENCE])
+            if reference in batch.schema.names:
+                own = batch.column(reference).to_pylist()
+                batch = batch.drop_columns([reference])
                 verdicts = [judge(t, x, {POOLED: held.value.get(POOLED), x: _reference(o)} if o else held.value, rules) for t, x, o in zip(texts, langs, own, strict=True)]
             else:
                 verdicts = [judge(t, x, held.value, rules) for t, x in zip(texts, langs, strict=True)]
@@ -266,8 +264,8 @@ def _judged(documents: DataFrame, rules: Rules, text_col: str, lang_col: str, bo
     if others is None:
         return map_rows(documents, run, schema)
     known = F.coalesce(F.col(lang_col).isin(list(refs)), F.lit(True))
-    others = others.select(F.col("lang").alias("_language"), F.col("reference").alias(REFERENCE))
-    rare = documents.where(~known).join(others, F.col(lang_col) == F.col("_language"), "left").drop("_language")
+    others = others.select(F.col("lang").alias(language), F.col("reference").alias(reference))
+    rare = documents.where(~known).join(others, F.col(lang_col) == F.col(language), "left").drop(language)
     return map_rows(documents.where(known), run, schema).unionByName(map_rows(rare, run, schema))
 
 

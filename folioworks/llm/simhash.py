@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import among, bitmap
-from .common import join_sized, map_rows, per_row, scratch, small_batches, stored
+from .common import free_names, join_sized, map_rows, per_row, scratch, small_batches, stored
 from .components import connected_components
 
 SHINGLE = 3
@@ -141,28 +141,29 @@ def one_of_each_class(documents: DataFrame, id_col: str = "doc_id", text_col: st
     spark = documents.sparkSession
     text = F.col(text_col).cast("string")
     hashes = {"text_hash": F.xxhash64(text), "row_hash": F.xxhash64(*(F.col(c) for c in documents.columns))}
-    names = {"doc_id": "_dup_id", "text_hash": "_dup_text", "row_hash": "_dup_row"}
+    added = free_names(documents, "_dup_id", "_dup_text", "_dup_row", "_dup_first", "_dup_here", "_dup_maybe", "_dup_body")
+    id_of, text_of, row_of, first, here_hash, is_maybe, body_hash = added
+    names = {"doc_id": id_of, "text_hash": text_of, "row_hash": row_of}
     with scratch(spark) as kept:
         classes = _rooted(fingerprints(documents, id_col, text_col, hashes), long_list)
         rows = stored(classes.groupBy("root", "fp", *names).agg(F.count("*").alias("n")))
         order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "fp", "text_hash", "row_hash")
         firsts = rows.groupBy("root").agg(F.min(order).alias("first"), F.sum("n").alias("all"), F.count("*").alias("kinds")).where(F.col("all") > 1)
-        known = join_sized(rows, firsts, ["root"], "kinds", rows.count()).withColumn("_dup_first", order == F.col("first"))
+        known = join_sized(rows, firsts, ["root"], "kinds", rows.count()).withColumn(first, order == F.col("first"))
         # Rows that go, and those that stay once though they are there twice.
-        marked = known.where("not _dup_first or n > 1").select(*(F.col(c).alias(x) for c, x in names.items()), "_dup_first").distinct()
+        marked = known.where(~F.col(first) | (F.col("n") > 1)).select(*(F.col(c).alias(x) for c, x in names.items()), first).distinct()
         marked = kept(marked)
-    held = spark.sparkContext.broadcast(bitmap(marked.select(F.col("_dup_row").alias("key"))))
+    held = spark.sparkContext.broadcast(bitmap(marked.select(F.col(row_of).alias("key"))))
 
     @F.pandas_udf("boolean")
     def maybe(keys: pd.Series) -> pd.Series:
         return pd.Series(among(held.value, keys.to_numpy(np.int64).view(np.uint64)))
 
-    here = small_batches(documents).withColumn("_dup_here", hashes["row_hash"]).withColumn("_dup_maybe", maybe("_dup_here"))
-    near = here.where("_dup_maybe").withColumn("_dup_body", hashes["text_hash"]).alias("d").join(
-        marked.alias("m"), (F.col("d._dup_here") == F.col("m._dup_row")) & (F.col("d._dup_body") == F.col("m._dup_text")) & F.col(f"d.{id_col}").cast("long").eqNullSafe(F.col("m._dup_id")), "left"
-    )
-    once = near.where("_dup_first").dropDuplicates(["_dup_id", "_dup_text", "_dup_row"])
-    stay = here.where("not _dup_maybe").select(documents.columns).union(near.where("_dup_first is null").select(documents.columns))
+    here = small_batches(documents).withColumn(here_hash, hashes["row_hash"]).withColumn(is_maybe, maybe(here_hash))
+    same = (F.col(here_hash) == F.col(row_of)) & (F.col(body_hash) == F.col(text_of)) & F.col(id_col).cast("long").eqNullSafe(F.col(id_of))
+    near = here.where(F.col(is_maybe)).withColumn(body_hash, hashes["text_hash"]).join(marked, same, "left")
+    once = near.where(F.col(first)).dropDuplicates([id_of, text_of, row_of])
+    stay = here.where(~F.col(is_maybe)).select(documents.columns).union(near.where(F.col(first).isNull()).select(documents.columns))
     return stay.union(once.select(documents.columns))
 
 

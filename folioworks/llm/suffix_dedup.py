@@ -53,7 +53,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import among, bitmap, repeated
-from .common import join_sized, map_rows, per_row, scratch, small_batches, stored
+from .common import free_names, join_sized, map_rows, per_row, scratch, small_batches, stored
 
 LENGTH = 200
 Q = 64
@@ -319,16 +319,20 @@ def _runs_in(held, length: int) -> Callable:
     return run_all
 
 
-KEY, TEXT, SPANS = "_repeat_key", "_repeat_text", "_repeat_spans"
+class _Names:
+    """Names of the columns that are added to a table: none of them is there already."""
 
+    def __init__(self, documents: DataFrame):
+        self.key, self.text, self.spans, self.maybe = free_names(documents, "_repeat_key", "_repeat_text", "_repeat_spans", "_repeat_maybe")
 
-def _keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+
+def _keyed(documents: DataFrame, names: _Names, id_col: str, text_col: str) -> DataFrame:
     """``documents`` with a hash of id and text, and the text as a string that is never null."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return documents.withColumn(TEXT, text).withColumn(KEY, F.xxhash64(F.col(id_col), F.col(TEXT)))
+    return documents.withColumn(names.text, text).withColumn(names.key, F.xxhash64(F.col(id_col), F.col(names.text)))
 
 
-def _with_lists(rows: DataFrame, lists: DataFrame, context) -> tuple[DataFrame, DataFrame]:
+def _with_lists(rows: DataFrame, names: _Names, lists: DataFrame, context) -> tuple[DataFrame, DataFrame]:
     """Rows that may be named by ``lists`` (``k`` and ``spans``), joined to them, and all other rows."""
     held = context.broadcast(bitmap(lists.select(F.col("k").alias("key"))))
 
@@ -336,17 +340,19 @@ def _with_lists(rows: DataFrame, lists: DataFrame, context) -> tuple[DataFrame,
     def maybe(keys: pd.Series) -> pd.Series:
         return pd.Series(among(held.value, keys.to_numpy(np.int64).view(np.uint64)))
 
-    marked = small_batches(rows).withColumn("_repeat_maybe", maybe(KEY))
-    lists = lists.select(F.col("k").alias(KEY), F.col("spans").alias(SPANS))
-    return marked.where("_repeat_maybe").drop("_repeat_maybe").join(lists, KEY, "left"), marked.where("not _repeat_maybe").drop("_repeat_maybe")
+    marked = small_batches(rows).withColumn(names.maybe, maybe(names.key))
+    lists = lists.select(F.col("k").alias(names.key), F.col("spans").alias(names.spans))
+    return marked.where(F.col(names.maybe)).drop(names.maybe).join(lists, names.key, "left"), marked.where(~F.col(names.maybe)).drop(names.maybe)
 
 
 def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``k``, the hash of id and text, and ``spans``, the packed windows of that text that repeat."""
     spark = documents.sparkSession
     context = spark.sparkContext
-    rows = _keyed(documents.select(id_col, text_col), id_col, text_col).where(F.octet_length(TEXT) >= LENGTH)
-    texts = rows.select(F.col(KEY).alias("k"), F.col(TEXT).alias("text"))
+    rows = documents.select(id_col, text_col)
+    names = _Names(rows)
+    rows = _keyed(rows, names, id_col, text_col).where(F.octet_length(names.text) >= LENGTH)
+    texts = rows.select(F.col(names.key).alias("k"), F.col(names.text).alias("text"))
 
     with scratch(spark) as kept:
         # Initial buckets, refined by all windows of a suffix together.
@@ -355,8 +361,8 @@ def repeated_spans(documents: DataFrame, id_col: str = "doc_id", text_col: str =
 
         # The bytes of the open spans; from here on the texts are not needed.
         lists = stored(opened.groupBy("k").agg(F.collect_set("at").alias("spans")))
-        near, _ = _with_lists(rows.select(KEY, TEXT), lists, context)
-        near = near.where(F.col(SPANS).isNotNull()).select(F.col(KEY).alias("k"), F.col(TEXT).alias("text"), F.col(SPANS).alias("spans"))
+        near, _ = _with_lists(rows.select(names.key, names.text), names, lists, context)
+        near = near.where(F.col(names.spans).isNotNull()).select(F.col(names.key).alias("k"), F.col(names.text).alias("text"), F.col(names.spans).alias("spans"))
         spans = stored(map_rows(near, _open_spans, "k long, at long, data binary"))
 
         # Open buckets, refined by shorter and shorter runs of windows.
@@ -401,28 +407,31 @@ def _whole_characters(data: bytes, ranges: list[tuple[int, int]]) -> list[tuple[
     return out
 
 
-def _documents_with_spans(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _documents_with_spans(documents: DataFrame, names: _Names, id_col: str, text_col: str) -> DataFrame:
     """``documents`` and the spans of each, null where nothing repeats."""
     lists = repeated_spans(documents, id_col, text_col)
-    near, far = _with_lists(_keyed(documents, id_col, text_col), lists, documents.sparkSession.sparkContext)
-    return near.unionByName(far.withColumn(SPANS, F.lit(None).cast("array<long>"))).drop(KEY)
+    near, far = _with_lists(_keyed(documents, names, id_col, text_col), names, lists, documents.sparkSession.sparkContext)
+    return near.unionByName(far.withColumn(names.spans, F.lit(None).cast("array<long>"))).drop(names.key)
 
 
 def repeat_digests(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row a document: ``doc_id, n_bytes, n_removed, n_spans, kept_sha256``."""
-    rows = _documents_with_spans(documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col)), "doc_id", text_col)
+    rows = documents.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    names = _Names(rows)
+    rows = _documents_with_spans(rows, names, "doc_id", "text")
     schema = pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string())])
 
     def row(doc_id, text, spans):
         data, ranges = text.encode(), merged(spans)
         return doc_id, len(data), sum(b - a for a, b in ranges), len(ranges), hashlib.sha256(kept_bytes(data, ranges)).hexdigest()
 
-    return map_rows(rows.select("doc_id", TEXT, SPANS), per_row(schema, row, "doc_id", TEXT, SPANS), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return map_rows(rows.select("doc_id", names.text, names.spans), per_row(schema, row, "doc_id", names.text, names.spans), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``documents`` with the repeated bytes taken out of the texts; characters cut by a range stay whole."""
-    rows = _documents_with_spans(documents, id_col, text_col)
+    names = _Names(documents)
+    rows = _documents_with_spans(documents, names, id_col, text_col)
 
     @F.pandas_udf("string")
     def rest(texts: pd.Series, spans: pd.Series) -> pd.Series:
@@ -434,5 +443,5 @@ def remove_repeats(documents: DataFrame, id_col: str = "doc_id", text_col: str =
             out.append(text)
         return pd.Series(out, dtype=object)
 
-    changed = small_batches(rows).withColumn(TEXT, F.when(F.col(SPANS).isNull(), F.col(text_col)).otherwise(rest(TEXT, SPANS)))
-    return changed.select(*(F.col(TEXT).alias(c) if c == text_col else F.col(c) for c in documents.columns))
+    changed = small_batches(rows).withColumn(names.text, F.when(F.col(names.spans).isNull(), F.col(text_col)).otherwise(rest(names.text, names.spans)))
+    return changed.select(*(F.col(names.text).alias(c) if c == text_col else F.col(c) for c in documents.columns))

@@ -10,7 +10,9 @@ import pytest
 import corpus_pipeline
 from folioworks.llm import source_mix
 from folioworks.llm.decontaminate import Index, clean_documents, contaminated_regions
-from folioworks.llm.quality_rules import quality_verdicts
+from folioworks.llm.quality_rules import Rules, good_documents, quality_verdicts
+from folioworks.llm.simhash import one_of_each_class
+from folioworks.llm.suffix_dedup import remove_repeats
 from folioworks.llm.toxicity import _distinct_texts
 
 
@@ -89,6 +91,35 @@ def test_rows_of_one_id_are_chosen_by_their_class(spark):
     assert not [r for r in got[0] if r[0] is None]
 
 
+#: Names that the filters give to columns of their own, in either case.
+OWN_NAMES = ["_repeat_key", "_REPEAT_TEXT", "_repeat_spans", "_repeat_maybe", "_language", "_language_reference", "_dup_id", "_dup_text", "_Dup_Row", "_dup_first", "_dup_here", "_dup_maybe", "_dup_body", "k", "spans", "fp", "n", "root"]
+
+
+def good_of_rare_languages(documents):
+    return good_documents(documents, Rules(most_broadcast=1))
+
+
+@pytest.mark.parametrize("filtered", [good_of_rare_languages, one_of_each_class, remove_repeats], ids=lambda f: f.__name__)
+def test_columns_of_any_name_are_kept(spark, filtered):
+    rng = random.Random(5)
+    shared = words(rng, 60)
+    texts = [f"{words(rng, 40)} {shared if i % 3 == 0 else ''} {words(rng, 40)}" for i in range(30)]
+    rows = [(i, t, "en" if i % 4 else "fr") for i, t in enumerate(texts + texts[:5])] + [(None, None, None), (99, "", "en"), (100, texts[0], None)]
+    types = "doc_id long, text string, lang string"
+    plain = spark.createDataFrame(rows, types)
+    wide = spark.createDataFrame([(*r, *(None if r[0] is None else f"{name}{r[0]}" for name in OWN_NAMES)) for r in rows], ", ".join([types, *(f"`{name}` string" for name in OWN_NAMES)])).repartition(3)
+    got = filtered(wide)
+    assert got.columns == wide.columns
+    found = got.collect()
+    assert all(r[name] == (None if r.doc_id is None else f"{name}{r.doc_id}") for r in found for name in OWN_NAMES)
+    if filtered is one_of_each_class:
+        assert sorted(r.doc_id for r in found) == [*range(30), 99]
+    elif filtered is remove_repeats:
+        assert len(found) == len(rows) and not [r for r in found if shared in (r.text or "")]
+    else:
+        assert sorted(str(r[:3]) for r in found) == sorted(str(r[:3]) for r in filtered(plain).collect())
+
+
 # 7. Mixing sources
 
 
