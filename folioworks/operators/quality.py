@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..errors import SchemaError
 from ..functions import charset, ids, text
+from ..sources.shared import stored
 
 # The fields a line record must have, and the two schemas.
 REQUIRED_FIELDS = "page_id line_number line_index line_id text text_clean line_type has_uncertain has_illegible has_alternatives has_high_ascii source source_version".split()
@@ -171,15 +172,26 @@ def broken_sequences(lines: DataFrame, page: str = "page_id", index: str = "line
     return _failures(found, "LINE_INDEX_SEQUENTIAL", F.col(page), bad, F.format_string("%d lines are numbered %d to %d", "n", "low", "high"))
 
 
-def order_violations(lines: DataFrame, position: str, bucket: int = 10_000, group: int = 4096) -> DataFrame:
+#: Lines to a range of positions.
+RANGE = 250_000
+
+
+def order_violations(lines: DataFrame, position: str, bucket: int | None = None, group: int = 4096) -> DataFrame:
     """Lines that come before their predecessor in reading order, with their ``position``.
 
     ``position`` is the file's own order, a whole number. Windows cover buckets
     of positions; the step from one bucket to the next is checked on the buckets'
-    ends, in groups of buckets, and on the groups' ends.
+    ends, in groups of buckets, and on the groups' ends. Without a width of
+    buckets they are ranges of some ``RANGE`` lines, however far apart positions lie.
     """
     key = ids.reading_order(F.col("page_id"), F.coalesce("line_index", F.lit(0)))
-    rows = lines.select("line_id", F.col(position).alias("at"), key.alias("key")).withColumn("bucket", F.floor(F.col("at") / bucket))
+    rows = lines.select("line_id", F.col(position).alias("at"), key.alias("key"))
+    if bucket is None:
+        ranges = max(1, min(10_000, -(-lines.count() // RANGE)))
+        # Stored, so that a line has one bucket in all that reads it.
+        rows = stored(rows.repartitionByRange(ranges, "at").withColumn("bucket", F.spark_partition_id()))
+    else:
+        rows = rows.withColumn("bucket", F.floor(F.col("at") / bucket))
 
     def stepped(frame: DataFrame, by: str | None, order: str, last: str) -> DataFrame:
         return frame.withColumn("before", F.lag(last).over(Window.partitionBy(by if by else F.lit(1)).orderBy(order)))

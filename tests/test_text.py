@@ -306,3 +306,17 @@ def test_summary(spark):
     assert (got["lines"], got["tokens"], got["types"], got["h0"], got["h1"], got["top_letters"]) == (2, 3, 2, 1.0, 1.0, {"a": 3, "b": 3})
     empty = S.summary(spark.createDataFrame([], "i long, t string"), "t", "i")
     assert empty["lines"] == empty["tokens"] == 0 and empty["h1"] is None
+
+
+def test_order_of_positions_far_apart(spark, monkeypatch):
+    """No window holds more than a range of lines, however far apart the positions lie."""
+    monkeypatch.setattr(Q, "RANGE", 100)
+    lines = [("f1r", i + 1, i) for i in range(499)] + [("f1r", 3, 499)]
+    frame = spark.createDataFrame([(f"{p}:{n}", p, n, at * 10**10) for p, n, at in lines], "line_id string, page_id string, line_index int, at long").repartition(3)
+    got = Q.order_violations(frame, "at")
+    assert [(r.record_id, r.position) for r in got.collect()] == [("f1r:3", 499 * 10**10)]
+    largest = {}
+    monkeypatch.setattr(Q, "stored", lambda rows: largest.setdefault("rows", rows))
+    Q.order_violations(frame, "at")
+    sizes = [r["count"] for r in largest["rows"].groupBy("bucket").count().collect()]
+    assert len(sizes) == 5 and max(sizes) < 300
