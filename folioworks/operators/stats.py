@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .grams import counted
 from .streams import shuffled_compression, stream_compression
 
 
@@ -167,34 +168,47 @@ def _tails(rows: DataFrame, k: int, order: list[str], *by: str) -> DataFrame:
 
 
 def running_letter_grams(frame: DataFrame, text: str, k: int, order: str, bucket: int = 1000, group: int = 1000, by: tuple[str, ...] = ()) -> DataFrame:
-    """Counts of ``ctx, c`` over the letters of all texts as one sequence, or one a group, in the order of a whole number.
+    """Counts of ``ctx, c`` over the letters of all texts as one sequence, or one a group, in the order of a whole number."""
+    return running_letter_counts(frame, text, (k,), order, bucket, group, by)[k]
+
+
+def running_letter_counts(frame: DataFrame, text: str, ks: tuple[int, ...], order: str, bucket: int = 1000, group: int = 1000, by: tuple[str, ...] = ()) -> dict[int, DataFrame]:
+    """The same for several numbers of letters before each, from one pass over the texts; with 0 ``ctx`` is empty.
 
     Contexts inside a text are counted where the text is read. Those that run
-    over from one text to the next need only each text's first and last k
+    over from one text to the next need only each text's first and last
     letters: these short rows are put in buckets of the order column, and
     buckets in groups. What comes before a text is found from its neighbours in
     the bucket, for a bucket's first texts from the ends of the buckets before,
     for a group's first buckets from the ends of the groups before. No task
     orders all texts, nor all buckets.
     """
-    letters = frame.select(*by, F.col(order).alias("at"), T.letters(F.col(text)).alias("letters")).where("letters <> ''")
-    inside = letters.select(*by, F.filter(F.split("letters", ""), lambda c: c != "").alias("chars")).select(*by, F.explode(_grams("chars", k)).alias("g"))
-
-    edges = letters.select(*by, "at", F.floor(F.col("at") / bucket).alias("bucket"), F.left("letters", F.lit(k)).alias("head"), F.right("letters", F.lit(k)).alias("tail"))
+    inside, edges = counted(frame, text, ks, order, by)
+    most = max(ks)
+    edges = edges.select(*by, F.col("_at").alias("at"), F.floor(F.col("_at") / bucket).alias("bucket"), F.col("_head").alias("head"), F.col("_tail").alias("tail"))
     edges = edges.withColumn("group", F.floor(F.col("bucket") / group))
-    before = lambda over: F.right(F.concat(*(F.coalesce(F.lag("tail", i).over(over), F.lit("")) for i in range(k, 0, -1))), F.lit(k))
-    near = edges.withColumn("near", before(Window.partitionBy(*by, "group", "bucket").orderBy("at", "head", "tail")))
-    buckets = _carried_over(_tails(edges, k, ["at", "head", "tail"], *by, "group", "bucket"), k, "bucket", *by, "group")
-    groups = _carried_over(_tails(buckets, k, ["bucket"], *by, "group"), k, "group", *by)
+    before = lambda over: F.right(F.concat(*(F.coalesce(F.lag("tail", i).over(over), F.lit("")) for i in range(most, 0, -1))), F.lit(most))
+    near = edges.withColumn("near", before(Window.partitionBy(*by, "group", "bucket").orderBy("at", "head", "tail"))) if most else edges
+    buckets = _carried_over(_tails(edges, most, ["at", "head", "tail"], *by, "group", "bucket"), most, "bucket", *by, "group") if most else edges
+    groups = _carried_over(_tails(buckets, most, ["bucket"], *by, "group"), most, "group", *by) if most else edges
 
     def joined(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
         same = reduce(lambda x, y: x & y, (F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in keys))
         return left.alias("l").join(right.alias("r"), same).select("l.*", "r.start")
 
-    starts = joined(buckets.withColumnRenamed("start", "here"), groups, [*by, "group"]).select(*by, "group", "bucket", F.right(F.concat("start", "here"), F.lit(k)).alias("start"))
-    run = joined(near, starts, [*by, "group", "bucket"]).select(*by, F.concat(F.right(F.concat("start", "near"), F.lit(k)), "head").alias("run"))
-    across = run.select(*by, F.filter(F.split("run", ""), lambda c: c != "").alias("chars")).select(*by, F.explode(_grams("chars", k)).alias("g"))
-    return inside.union(across).groupBy(*by, "g.ctx", "g.c").agg(F.count("*").alias("n"))
+    if most:
+        starts = joined(buckets.withColumnRenamed("start", "here"), groups, [*by, "group"]).select(*by, "group", "bucket", F.right(F.concat("start", "here"), F.lit(most)).alias("start"))
+        reached = joined(near, starts, [*by, "group", "bucket"]).select(*by, F.concat("start", "near").alias("left"), "head")
+
+    def of(k: int) -> DataFrame:
+        rows = inside.where(F.col("_k") == k).select(*by, "ctx", "c", "n")
+        if k:
+            run = reached.select(*by, F.concat(F.right("left", F.lit(k)), F.left("head", F.lit(k))).alias("run"))
+            across = run.select(*by, F.filter(F.split("run", ""), lambda c: c != "").alias("chars")).select(*by, F.explode(_grams("chars", k)).alias("g"))
+            rows = rows.union(across.select(*by, "g.ctx", "g.c", F.lit(1).cast("long").alias("n")))
+        return rows.groupBy(*by, "ctx", "c").agg(F.sum("n").alias("n"))
+
+    return {k: of(k) for k in ks}
 
 
 def bigram_ratios(grams: DataFrame, singles: DataFrame, k: int = 15) -> DataFrame:
@@ -298,10 +312,10 @@ def overview(frame: DataFrame, page: str, chars: str, words: str) -> DataFrame:
 
 def letter_entropies(frame: DataFrame, text: str, order: str, highest: int = 4) -> DataFrame:
     """One row: ``h0``, ``h1`` and the conditional entropies ``h2`` .. of the letters of all texts as one sequence."""
-    letters = character_counts(frame.select(T.letters(F.col(text)).alias(text)), text)
-    rows = entropy(letters).select(F.col("total").alias("letters"), "h0", F.col("entropy").alias("h1"))
+    found = running_letter_counts(frame, text, tuple(range(highest)), order)
+    rows = entropy(found[0]).select(F.col("total").alias("letters"), "h0", F.col("entropy").alias("h1"))
     for k in range(1, highest):
-        rows = rows.crossJoin(F.broadcast(conditional_entropy(running_letter_grams(frame, text, k, order)).select(F.col("entropy").alias(f"h{k + 1}"))))
+        rows = rows.crossJoin(F.broadcast(conditional_entropy(found[k]).select(F.col("entropy").alias(f"h{k + 1}"))))
     return rows
 
 

@@ -292,17 +292,17 @@ PAIRS = f"""{LETTERS}, g AS (SELECT lag(c) OVER (ORDER BY doc_id, pos) AS ctx, c
 
 @query(f"WITH {PAIRS} SELECT ctx || n.c AS pair, n.n, round(n.n / (a.n / t * b.n / t * (t - 1)), 6) AS ratio FROM n JOIN s a ON a.c = ctx JOIN s b ON b.c = n.c, t ORDER BY n.n DESC, pair LIMIT 15")
 def bigram_obs_exp(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    singles = S.character_counts(docs.select(T.letters(F.col("text")).alias("text")), "text")
-    return S.bigram_ratios(S.running_letter_grams(docs, "text", 1, "doc_id"), singles).select("pair", "n", F.round("ratio", 6).alias("ratio"))
+    found = S.running_letter_counts(documents(spark, sf_dir), "text", (0, 1), "doc_id")
+    singles = found[0].select("c", "n")
+    return S.bigram_ratios(found[1], singles).select("pair", "n", F.round("ratio", 6).alias("ratio"))
 
 
 @query(f"""WITH {PAIRS}, top AS (SELECT c, n FROM s ORDER BY n DESC, c LIMIT 20)
  SELECT a.c || b.c AS pair, round(a.n / t * b.n / t * t, 6) AS expected FROM top a, top b, t WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.ctx = a.c AND n.c = b.c) AND a.n / t * b.n / t * t > 10 ORDER BY expected DESC, pair LIMIT 10""")
 def missing_bigrams(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    singles = S.character_counts(docs.select(T.letters(F.col("text")).alias("text")), "text")
-    return S.missing_bigrams(S.running_letter_grams(docs, "text", 1, "doc_id"), singles, common=20).select("pair", F.round("expected", 6).alias("expected"))
+    found = S.running_letter_counts(documents(spark, sf_dir), "text", (0, 1), "doc_id")
+    singles = found[0].select("c", "n")
+    return S.missing_bigrams(found[1], singles, common=20).select("pair", F.round("expected", 6).alias("expected"))
 
 
 EDGES = r"""l AS (SELECT list_filter(list_transform(regexp_split_to_array(line, '[.,]'), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS w FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)),

@@ -10,6 +10,7 @@ import re
 from collections import Counter
 from difflib import SequenceMatcher
 
+import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -320,3 +321,32 @@ def test_order_of_positions_far_apart(spark, monkeypatch):
     Q.order_violations(frame, "at")
     sizes = [r["count"] for r in largest["rows"].groupBy("bucket").count().collect()]
     assert len(sizes) == 5 and max(sizes) < 300
+
+
+def test_texts_are_read_once_for_all_orders(spark):
+    """Letters and runs of several lengths come from one pass, and are those of the whole sequence."""
+    texts = ["ab é", None, "c", "", "abcabéß", "x" * 30, "漢a😀b"]
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(value):
+        calls.add(1)
+        return value
+
+    frame = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", seen("t").alias("t"))
+    got = S.running_letter_counts(frame, "t", (0, 1, 2, 3), "i", 2, 2)
+    whole = "".join(c for t in texts for c in t or "" if c.isalpha())
+    for k, counts in got.items():
+        want = Counter((whole[i - k : i], whole[i]) for i in range(k, len(whole)))
+        assert {(r.ctx, r.c): r.n for r in counts.collect()} == want
+    assert calls.value <= 2 * len(texts)
+
+
+def test_runs_of_letters_in_chunks():
+    from folioworks.operators import grams
+
+    codes = np.frombuffer("abab\nba".encode("utf-32-le"), "<u4").astype(np.int64)
+    assert dict(grams.count_runs(codes, 1)) == {"ab": 2, "ba": 2}
+    assert dict(grams.count_runs(codes, 1, 3)) == {"ab": 1, "ba": 1}
+    many = np.arange(0x4E00, 0x4E00 + 30_000, dtype=np.int64)
+    assert len(dict(grams.count_runs(many, 4))) == 29_996
