@@ -1,8 +1,9 @@
 """One text file of rows in order, written and hashed by executors.
 
 The order is cut into ranges, each written by a task as a numbered part. The file
-system puts the parts together where it can (``concat`` of a distributed one);
-where it cannot, one task copies their lines in order. The hash of a byte
+system puts the parts together where it can (``concat`` of a distributed one). In
+a shared folder of the ``file`` scheme each part is copied to its place in the file by
+a task of its own; elsewhere one task copies their lines in order. The hash of a byte
 sequence is sequential by nature: one task reads the file's lines as a stream,
 sorted on disk beyond its memory. The driver sees names of parts and the digest.
 """
@@ -10,7 +11,10 @@ sorted on disk beyond its memory. The driver sees names of parts and the digest.
 from __future__ import annotations
 
 import hashlib
+import os
+import shutil
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from py4j.protocol import Py4JJavaError
@@ -60,6 +64,50 @@ def digest_of_lines(spark: SparkSession, path: str) -> DataFrame:
     return lines_in_order(spark, path).select("data", "size").mapInArrow(_digest, "sha256 string, n_bytes long, n_lines long")
 
 
+def size_of_lines(spark: SparkSession, path: str) -> DataFrame:
+    """One row: ``n_bytes, n_lines`` of one text file, read in its splits."""
+    rows = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_size").alias("size"))
+    return rows.agg(F.coalesce(F.max("size"), F.lit(0)).alias("n_bytes"), F.count("*").alias("n_lines"))
+
+
+def _local(path: str) -> str:
+    """The name of a file of the ``file`` scheme."""
+    return "/" + path.removeprefix("file:").lstrip("/") if path.startswith("file:") else path
+
+
+def _into(target: str):
+    """A ``mapInArrow`` body: copies parts to their places in a file, and tells how many bytes."""
+
+    def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            copied = 0
+            for part, at in zip(batch.column("part").to_pylist(), batch.column("at").to_pylist(), strict=True):
+                with open(part, "rb") as source, open(target, "r+b") as file:
+                    file.seek(at)
+                    shutil.copyfileobj(source, file, 1 << 20)
+                    copied += file.tell() - at
+            yield pa.RecordBatch.from_pydict({"copied": [copied]}, pa.schema([("copied", pa.int64())]))
+
+    return body
+
+
+def _placed(spark: SparkSession, parts: list[str], path: str) -> bool:
+    """Copy all parts to their places in one file, a task each; whether the file system is one of shared names."""
+    system, there = file_system(spark, path)
+    if system.getScheme() != "file":
+        return False
+    sizes = [file_system(spark, part)[0].getFileStatus(spark._jvm.org.apache.hadoop.fs.Path(part)).getLen() for part in parts]
+    places = [0, *accumulate(sizes)][:-1]
+    target = _local(path)
+    os.makedirs(os.path.dirname(target) or ".", exist_ok=True)
+    open(target, "wb").close()
+    rows = spark.createDataFrame(list(zip(map(_local, parts), places, strict=True)), "part string, at long")
+    copied = rows.repartition(min(len(parts), 400)).mapInArrow(_into(target), "copied long").agg(F.sum("copied")).first()[0]
+    if copied != sum(sizes) or os.path.getsize(target) != sum(sizes):
+        raise ExportError("cannot write", path=path, error="the parts are not all in the file")
+    return True
+
+
 def _moved(spark: SparkSession, part: str, path: str) -> None:
     system, target = file_system(spark, path)
     if target.getParent() is not None:
@@ -86,17 +134,18 @@ def _joined(spark: SparkSession, parts: list[str]) -> bool:
     return True
 
 
-def write_lines(frame: DataFrame, line: Column, path: str, *order: Column | str, lines: int = RANGE) -> None:
+def write_lines(frame: DataFrame, line: Column, path: str, *order: Column | str, lines: int = RANGE, most: int = 10_000) -> None:
     """``line`` of all rows as one file at ``path``, in ``order`` or as the rows lie, a line feed after each.
 
     Lines hold no line feed; they may be binary, and are written as they are.
+    Parts are of some ``lines``, or larger if they would be more than ``most``.
     """
     spark = frame.sparkSession
     folder = f"{path}.parts"
     try:
         rows = frame
         if order:
-            ranges = max(1, min(10_000, -(-frame.count() // lines)))
+            ranges = max(1, min(most, -(-frame.count() // lines)))
             rows = frame.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
         rows.select(line.cast("string").alias("value")).write.mode("overwrite").option("lineSep", "\n").text(folder)
         parts = _parts(spark, folder)
@@ -105,6 +154,10 @@ def write_lines(frame: DataFrame, line: Column, path: str, *order: Column | str,
             parts = _parts(spark, folder)
         if parts and not _joined(spark, parts):
             copied = f"{path}.copied"
+            if _placed(spark, parts, copied):
+                _moved(spark, copied, path)
+                file_system(spark, folder)[0].delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
+                return
             lines_in_order(spark, folder).select(F.col("data").cast("string").alias("value")).write.mode("overwrite").option("lineSep", "\n").text(copied)
             _moved(spark, _parts(spark, copied)[0], path)
             file_system(spark, copied)[0].delete(spark._jvm.org.apache.hadoop.fs.Path(copied), True)
@@ -114,5 +167,5 @@ def write_lines(frame: DataFrame, line: Column, path: str, *order: Column | str,
             system, target = file_system(spark, path)
             system.create(target, True).close()
         file_system(spark, folder)[0].delete(spark._jvm.org.apache.hadoop.fs.Path(folder), True)
-    except (Py4JJavaError, PySparkException) as error:
+    except (Py4JJavaError, PySparkException, OSError) as error:
         raise ExportError("cannot write", path=path, error=str(error)[:500]) from error

@@ -22,9 +22,14 @@ def row_hash(frame: DataFrame) -> Column:
     return F.sha2(canonical_json(frame), 256)
 
 
+def write_canonical_lines(frame: DataFrame, path: str, *order: Column | str) -> None:
+    """The same without a hash, which one task would have to read the whole file for."""
+    write_lines(frame, canonical_json(frame), path, *order)
+
+
 def write_canonical_jsonl(frame: DataFrame, path: str, *order: Column | str) -> str:
     """Rows in order as one file with line feeds, written by executors; returns its SHA-256."""
-    write_lines(frame, canonical_json(frame), path, *order)
+    write_canonical_lines(frame, path, *order)
     return digest_of_lines(frame.sparkSession, path).first()["sha256"]
 
 

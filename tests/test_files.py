@@ -67,3 +67,26 @@ def test_volume_digests(spark):
         local = path.removeprefix("file:")
         assert digest_of_lines(spark, path).first().sha256 == hashlib.sha256(open(local, "rb").read()).hexdigest()
 
+
+
+def test_no_task_copies_or_reads_a_whole_file(spark, tmp_path, monkeypatch):
+    """Parts go to their places each by itself, sizes need no ordered scan, and splits do not grow in number with the file."""
+    from folioworks.sources import ordered
+
+    def whole(*_):
+        raise AssertionError("a whole file in one task")
+
+    monkeypatch.setattr(ordered, "lines_in_order", whole)
+    path = str(tmp_path / "a b%20é" / "x.txt")
+    write_lines(spark.range(1000), F.col("id"), path, "id", lines=100)
+    want = "".join(f"{i}\n" for i in range(1000)).encode()
+    assert open(path, "rb").read() == want
+    path = str(tmp_path / "plain.txt")
+    write_lines(spark.range(1000), F.col("id"), path, "id", lines=100)
+    got = ordered.size_of_lines(spark, path).first()
+    assert (got.n_bytes, got.n_lines) == (len(want), 1000)
+    assert all(r.n_lines > 0 and r.n_bytes > 0 for r in files.file_sizes(spark, "/root/testdata/sf0.001").collect())
+    files.mismatch_jsonl(spark, "/root/testdata/sf0.001").collect()
+    monkeypatch.setattr(files, "PIECES", 8)
+    lines = files.lines_of_volumes(spark, "/root/testdata/sf0.001")
+    assert lines.select("file", "split").distinct().count() <= 11
