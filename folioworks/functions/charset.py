@@ -94,7 +94,7 @@ def letter_count(checked: Column) -> Column:
 
 
 def word_count(checked: Column) -> Column:
-    return F.size(F.filter(F.split(checked, r"[.,\s]+"), lambda w: w != "")).cast("long")
+    return F.regexp_count(checked, F.lit(r"[^.,\s]+")).cast("long")
 
 
 def compound_counts(text: Column, lower: bool = True) -> Column:

@@ -38,7 +38,12 @@ def strip_markup(text: Column) -> Column:
 
 def clean_for_analysis(text: Column) -> Column:
     """``strip_markup`` without ``?!*``, and capital I as i."""
-    text = F.translate(strip_markup(text), "?!*", "")
+    return clean_of_stripped(strip_markup(text))
+
+
+def clean_of_stripped(stripped: Column) -> Column:
+    """The same of a text that ``strip_markup`` has been over."""
+    text = F.translate(stripped, "?!*", "")
     return squeeze(F.replace(text, F.lit("I"), F.lit("i")))
 
 
@@ -62,7 +67,11 @@ def is_uncertain(raw: Column) -> Column:
 
 
 def is_illegible(raw: Column) -> Column:
-    return strip_markup(raw).rlike(r"[!*]")
+    return marks_illegible(strip_markup(raw))
+
+
+def marks_illegible(stripped: Column) -> Column:
+    return F.contains(stripped, F.lit("!")) | F.contains(stripped, F.lit("*"))
 
 
 def has_alternatives(raw: Column) -> Column:

@@ -20,7 +20,9 @@ TEXT_POLICY = "clean_for_analysis"
 def line_table(lines: DataFrame, source_name: str = "primary", source_version: str = "") -> DataFrame:
     """One row a locus, with its page's attributes. ``lines`` is a frame of ``file, line_no, line``."""
     raw = F.col("text")
-    rows = loci(lines, comments=False, with_page=True).withColumn("text_clean", text.clean_for_analysis(raw))
+    rows = loci(lines, comments=False, with_page=True).withColumn("stripped", text.strip_markup(raw))
+    stripped = F.col("stripped")
+    rows = rows.withColumn("text_clean", text.clean_of_stripped(stripped))
     rows, checked = rows.withColumn("checked", charset.checked_text(F.col("text_clean"))), F.col("checked")
     return rows.select(
         "page_id",
@@ -38,8 +40,8 @@ def line_table(lines: DataFrame, source_name: str = "primary", source_version: s
         F.col("variables.illustration").alias("illustration_type"),
         charset.letter_count(checked).alias("char_count"),
         charset.word_count(checked).alias("word_count"),
-        text.is_uncertain(raw).alias("has_uncertain"),
-        text.is_illegible(raw).alias("has_illegible"),
+        F.contains(stripped, F.lit("?")).alias("has_uncertain"),
+        text.marks_illegible(stripped).alias("has_illegible"),
         text.has_alternatives(raw).alias("has_alternatives"),
         text.has_high_codes(raw).alias("has_high_ascii"),
         F.lit(source_name).alias("source"),

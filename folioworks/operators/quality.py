@@ -137,10 +137,14 @@ def _failures(rows: DataFrame, rule: str, record: Column, bad: Column, message:
     return rows.where(bad).select(F.lit(rule).alias("invariant"), record.alias("record_id"), said.alias("message"))
 
 
+_FLAGS = ("has_illegible", "has_uncertain", "has_high_ascii")
+
+
 def text_failures(lines: DataFrame) -> DataFrame:
     """Clean text that holds markup, marks or other characters, and flags that differ from the raw text."""
-    clean, raw, line = F.coalesce("text_clean", F.lit("")), F.coalesce("text", F.lit("")), F.col("line_id")
-    basis = text.strip_markup(raw)
+    raw_text = F.coalesce("text", F.lit(""))
+    lines = lines.select("line_id", "page_id", "line_number", *_FLAGS, F.coalesce("text_clean", F.lit("")).alias("clean"), raw_text.alias("raw"), text.strip_markup(raw_text).alias("basis"))
+    clean, raw, basis, line = F.col("clean"), F.col("raw"), F.col("basis"), F.col("line_id")
     differs = lambda name, due: F.coalesce(F.col(name), F.lit(False)) != due
     only_codes = text.strip(raw).rlike(r"^(@[0-9]+;)+$")
     rules = {
@@ -148,14 +152,16 @@ def text_failures(lines: DataFrame) -> DataFrame:
         "TEXT_CLEAN_NO_MARKERS": (charset.has_uncertainty_marks(clean), "clean text holds marks of doubt"),
         "TEXT_CLEAN_CHARSET": (~charset.is_clean(clean), F.concat(F.lit("clean text holds "), F.array_join(charset.unclean_characters(clean), ""))),
         "FLAG_BASIS_CLEAN": (~text.is_stripped(basis), "stripping leaves tags or braces"),
-        "HAS_ILLEGIBLE_CONTRACT": (differs("has_illegible", basis.rlike("[!*]")), "the flag is not what the text says"),
+        "HAS_ILLEGIBLE_CONTRACT": (differs("has_illegible", text.marks_illegible(basis)), "the flag is not what the text says"),
         "HAS_UNCERTAIN_CONTRACT": (differs("has_uncertain", F.contains(basis, F.lit("?"))), "the flag is not what the text says"),
         "LINE_ID_FORMAT": (line != F.concat_ws(":", F.coalesce("page_id", F.lit("")), F.coalesce("line_number", F.lit(0))), "the id is not made of page and number"),
         "HIGH_ASCII_FLAG": (differs("has_high_ascii", text.has_high_codes(raw)), "the flag is not what the text says"),
         "HIGH_ASCII_PRESERVED": (only_codes & (clean == ""), "clean text has lost its codes"),
     }
-    broken = [F.when(F.coalesce(bad, F.lit(False)), F.struct(F.lit(rule).alias("invariant"), (F.lit(said) if isinstance(said, str) else said).alias("message"))) for rule, (bad, said) in rules.items()]
-    rows = lines.select("line_id", F.explode(F.filter(F.array(*broken), lambda x: x.isNotNull())).alias("v"))
+    # Rules are columns, and only rows that break one are taken apart.
+    marked = lines.withColumns({rule: F.coalesce(bad, F.lit(False)) for rule, (bad, _) in rules.items()}).where(reduce(lambda a, b: a | b, map(F.col, rules)))
+    broken = [F.when(F.col(rule), F.struct(F.lit(rule).alias("invariant"), (F.lit(said) if isinstance(said, str) else said).alias("message"))) for rule, (_, said) in rules.items()]
+    rows = marked.select("line_id", F.explode(F.array(*broken)).alias("v")).where("v is not null")
     return rows.select("v.invariant", F.col("line_id").alias("record_id"), "v.message")
 
 
@@ -224,6 +230,9 @@ _FOUND = ("invariant", "record_id", "message")
 
 def invariant_failures(lines: DataFrame, position: str | None = None, expected_lines: int | None = None, expected_pages: int | None = None) -> DataFrame:
     """``invariant, record_id, message`` of all that a table of lines breaks; of order, the first place in the file only."""
+    # Every check reads the lines; they are made once.
+    read = ["line_id", "page_id", "line_number", "line_index", "text", "text_clean", *_FLAGS, *([position] if position else [])]
+    lines = stored(lines.select(*(F.col(c) for c in dict.fromkeys(read) if c in lines.columns)))
     parts = [text_failures(lines), duplicate_ids(lines), broken_sequences(lines), count_failures(lines, expected_lines, expected_pages)]
     if position:
         parts.append(order_violations(lines, position).orderBy("position").limit(1).select(*_FOUND))

@@ -51,11 +51,11 @@ BROKEN_LINES = f"""{P.LINES}, damaged AS (SELECT * REPLACE (CASE WHEN hash_ % 10
 def damaged_lines(spark, sf_dir):
     """Lines of the synthetic transcription, with their file, in which some cells are wrong."""
     loci = ivtff.loci(P.transcript(spark, sf_dir), comments=False, with_page=True)
-    raw = F.col("text")
+    raw, stripped = F.col("text"), F.col("stripped")
     checked = charset.checked_text(F.col("text_clean"))
-    sound = loci.withColumn("text_clean", T.clean_for_analysis(raw)).select(
+    sound = loci.withColumn("stripped", T.strip_markup(raw)).withColumn("text_clean", T.clean_of_stripped(stripped)).select(
         "file", "page_id", F.col("locus_number").alias("line_number"), F.col("line_index").cast("long").alias("line_index"), F.concat_ws(":", "page_id", "locus_number").alias("line_id"), "text", "text_clean", charset.letter_count(checked).alias("char_count"), charset.word_count(checked).alias("word_count"),
-        T.is_uncertain(raw).alias("has_uncertain"), T.is_illegible(raw).alias("has_illegible"), T.has_high_codes(raw).alias("has_high_ascii"),
+        F.contains(stripped, F.lit("?")).alias("has_uncertain"), T.marks_illegible(stripped).alias("has_illegible"), T.has_high_codes(raw).alias("has_high_ascii"),
     )
     h = F.substring("file", 2, 20).cast("long") * 7 + F.col("line_number") * 3 + F.char_length("text")
     hit = lambda n: h % n == 0

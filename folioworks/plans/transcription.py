@@ -45,10 +45,11 @@ def transcript(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def lines_by(rows: list, at: Column) -> Column:
         each = F.array(*(F.when(F.expr(which), F.struct((at + after).alias("line_no"), F.expr(line).alias("line"))) for which, after, line in rows))
-        return F.explode(F.filter(each, lambda x: x.isNotNull())).alias("x")
+        # Not filtered as an array: what a lambda's function reads is interpreted, not compiled.
+        return F.explode(each).alias("x")
 
-    of_orders = orders.select(file, lines_by([*_OTHERS, ("true", 1, _HEADER)], place)).select("file", "x.*")
-    of_files = orders.select("o_custkey").distinct().select(file, lines_by(_FIRST, F.lit(0).cast("long"))).select("file", "x.*")
+    of_orders = orders.select(file, lines_by([*_OTHERS, ("true", 1, _HEADER)], place)).where("x is not null").select("file", "x.*")
+    of_files = orders.select("o_custkey").distinct().select(file, lines_by(_FIRST, F.lit(0).cast("long"))).where("x is not null").select("file", "x.*")
     loci = items.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(file, F.expr(_PLACE).alias("line_no"), F.expr(_LOCUS).alias("line"))
     return of_orders.union(of_files).union(loci)
 

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 
 from ..errors import MalformedLocusError, MissingPageContextError
 from ..functions.text import strip
+from .shared import compiled
 
 FORMAT = r"^#=IVTFF\s+(\S+)\s*(.*)$"
 COMMENT = r"^#(.*)$"
 PAGE = r"^<(f[0-9]+[rv][0-9]*)>\s*(.*)$"
-VARIABLE = r"\$([A-Z])=([^\s$>]+)"
+VALUE = r"[^\s$>]+"
 LOCUS = r"^<(f[0-9]+[rv][0-9]*)\.([0-9]+),([+@=*]?)([PLCR])([0-9]*)(?:;([A-Z]))?>(.*)$"
 FILE_BREAKS = r"\r\n|\r|\n"
 TEXT_BREAKS = r"\r\n|[\n\r\x0b\x0c\x1c\x1d\x1e\x85\u2028\u2029]"
@@ -50,12 +51,13 @@ def lines_of(texts: DataFrame) -> DataFrame:
 
 def header_variables(header: Column) -> Column:
     """Struct of a page header's nine variables; of a repeated one the last counts."""
-    keys, values = F.regexp_extract_all(header, F.lit(VARIABLE), 1), F.regexp_extract_all(header, F.lit(VARIABLE), 2)
-    pairs = F.reverse(F.arrays_zip(keys.alias("key"), values.alias("value")))
 
     def last(letter: str, name: str) -> Column:
-        found = F.try_element_at(F.filter(pairs, lambda p: p["key"] == letter), F.lit(1))["value"]
-        return F.when(found.rlike("^[0-9]+$"), found.try_cast("int")) if name in NUMERIC else found
+        # One pass a variable: what stands before its last occurrence is passed over at once.
+        found = F.regexp_extract_all(header, F.lit(rf"^.*\${letter}=({VALUE})"), 1)
+        if name in NUMERIC:
+            return F.get(F.regexp_extract_all(F.get(found, 0), F.lit("^([0-9]+)$"), 1), 0).try_cast("int")
+        return F.get(found, 0)
 
     return F.struct(*(last(letter, name).alias(name) for letter, name in VARIABLES.items()))
 
@@ -87,7 +89,7 @@ def placed(lines: DataFrame, with_page: bool = False) -> DataFrame:
     before = Window.partitionBy("file", *split).orderBy("line_no")
     upto = before.rowsBetween(Window.unboundedPreceding, 0)
     is_page, is_locus = F.col("kind") == "page", F.col("kind") == "locus"
-    seen = classify(lines).withColumn("pages_", F.sum(is_page.cast("int")).over(upto)).withColumn("loci_", F.sum(is_locus.cast("int")).over(upto))
+    seen = classify(compiled(lines)).withColumn("pages_", F.sum(is_page.cast("int")).over(upto)).withColumn("loci_", F.sum(is_locus.cast("int")).over(upto))
     # Each is a column of its own, so that what a query does not use is pruned.
     page = _page_columns("line") if with_page else {}
     carries = {"last_": F.col("loci_")} | {f"{name}_": column for name, column in page.items()}
@@ -132,7 +134,7 @@ def _with_comments(events: DataFrame, marked: DataFrame) -> DataFrame:
 
 
 def _page_columns(line: str) -> dict[str, Column]:
-    return {"page_id": F.regexp_extract(line, PAGE, 1), "variables": header_variables(F.regexp_extract(line, PAGE, 2))}
+    return {"page_id": F.regexp_extract(line, PAGE, 1), "variables": header_variables(F.col(line))}
 
 
 def _named(columns: dict[str, Column]) -> list[Column]:
@@ -146,8 +148,15 @@ def pages(lines: DataFrame, comments: bool = True) -> DataFrame:
     return _with_comments(found, marked) if comments else found.drop("island")
 
 
+def _parts(line: str = "line") -> Column:
+    """The seven parts of a locus' line, from one match; parts that it lacks are empty."""
+    found = F.regexp_replace(line, f"{LOCUS}(?s:.*)", "\x01".join(f"${k}" for k in range(1, 8)))
+    return F.split(found, "\x01", 7)
+
+
 def _locus_columns() -> list[Column]:
-    part = lambda k: F.regexp_extract("line", LOCUS, k)
+    """A locus' columns; ``parts`` holds its parts."""
+    part = lambda k: F.get("parts", F.lit(k - 1))
     return [
         part(1).alias("locus_page_id"),
         part(2).cast("int").alias("locus_number"),
@@ -170,7 +179,7 @@ def loci(lines: DataFrame, comments: bool = True, with_page: bool = False) -> Da
     ``page_id`` and ``variables``, from the header that each line carries.
     """
     marked = placed(lines, with_page)
-    here = marked.where("kind = 'locus' and page_ord > 0")
+    here = marked.where("kind = 'locus' and page_ord > 0").withColumn("parts", _parts())
     found = here.select("file", "page_ord", "line_no", *_locus_columns(), *(["page_id", "variables"] if with_page else []), "island")
     return _with_comments(found, marked) if comments else found.drop("island")
 
@@ -182,10 +191,13 @@ def pages_with_counts(lines: DataFrame) -> DataFrame:
     paragraphs and labels; ``has_text`` tells whether any holds text.
     """
     marked = placed(lines).where("kind in ('page', 'locus') and page_ord > 0")
-    of_type = lambda letter: F.count_if((F.col("kind") == "locus") & (F.regexp_extract("line", LOCUS, 4) == letter))
-    text = F.when(F.col("kind") == "locus", strip(F.regexp_extract("line", LOCUS, 7)) != "")
+    marked = marked.withColumn("parts", F.when(F.col("kind") == "locus", _parts()))
+    # Narrow rows to be grouped: a header has no parts, a locus' line is read already.
+    marked = marked.select("file", "page_ord", "kind", F.when(F.col("kind") == "page", F.col("line")).alias("line"), F.get("parts", F.lit(3)).alias("letter"), (strip(F.get("parts", F.lit(6))) != "").alias("filled"))
+    of_type = lambda letter: F.count_if(F.col("letter") == letter)
+    text = F.col("filled")
     counted = marked.groupBy("file", "page_ord").agg(
-        F.max(F.when(F.col("kind") == "page", F.col("line"))).alias("head"), F.count_if(F.col("kind") == "locus").alias("n_loci"), of_type("P").alias("line_count"), of_type("L").alias("label_count"), F.coalesce(F.bool_or(text), F.lit(False)).alias("has_text")
+        F.max("line").alias("head"), F.count_if(F.col("kind") == "locus").alias("n_loci"), of_type("P").alias("line_count"), of_type("L").alias("label_count"), F.coalesce(F.bool_or(text), F.lit(False)).alias("has_text")
     )
     return counted.select("file", "page_ord", *_named(_page_columns("head")), "n_loci", "line_count", "label_count", "has_text")
 

@@ -10,6 +10,10 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Byte code of a method beyond which HotSpot does not compile it.
+HUGE = 8000
+
+
 def new_folder(spark: SparkSession, name: str = "files") -> str:
     """The name of a folder that is not there yet, in the folder of ``spark.checkpoint.dir``.
 
@@ -36,6 +40,19 @@ def stored(frame: DataFrame, name: str = "table") -> DataFrame:
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 
+def compiled(frame: DataFrame) -> DataFrame:
+    """``frame``, whose session now gives up generated methods that are too long for the JVM to compile.
+
+    Longer ones, of many expressions over text, would be interpreted, which takes
+    several times as long as the same expressions in methods of their own. The
+    setting is read when the frame runs, so it stays.
+    """
+    key, conf = "spark.sql.codegen.hugeMethodLimit", frame.sparkSession.conf
+    if int(conf.get(key, "65535")) > HUGE:
+        conf.set(key, HUGE)
+    return frame
+
+
 @contextmanager
 def splits_of(spark: SparkSession, n_bytes: int) -> Iterator[None]:
     """Files are read in splits of so many bytes, by what runs in here."""

@@ -343,3 +343,29 @@ def test_schemas_by_name(tmp_path):
     assert quality.load_schema("own", str(tmp_path)) == quality.load_schema(str(tmp_path / "own")) == {"type": "object"}
     with pytest.raises(FileNotFoundError):
         quality.load_schema("nobody")
+
+
+def test_lines_are_made_once_for_all_checks(spark):
+    """The checks share one reading of the lines, and long methods are not left to the JVM's interpreter."""
+    from pyspark.sql import functions as F
+
+    from folioworks.operators import quality as Q
+    from folioworks.sources import ivtff
+
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(value):
+        calls.add(1)
+        return value
+
+    spark.conf.unset("spark.sql.codegen.hugeMethodLimit")
+    lines = spark.createDataFrame([("a", 1, "<f1r> <! $Q=A $Q=B $B=x $C=7>"), ("a", 2, "<f1r.1,@P0;H> {n}da?in \x01x ")], "file string, line_no long, line string")
+    got = ivtff.loci(lines, comments=False, with_page=True).first()
+    assert (got.text, got.locus_number, got.transcriber, got.variables.quire, got.variables.bifolio, got.variables.cluster) == ("{n}da?in \x01x", 1, "H", "B", None, 7)
+    assert int(spark.conf.get("spark.sql.codegen.hugeMethodLimit")) == 8000
+    row = ("f1r:1", "f1r", 1, 1, "da?in", "da?in", False, False, False)
+    frame = spark.createDataFrame([row] * 3, "line_id string, page_id string, line_number int, line_index int, text string, text_clean string, has_illegible boolean, has_uncertain boolean, has_high_ascii boolean")
+    found = Q.invariant_failures(frame.withColumn("text", seen("text")), None, 5, 5)
+    assert {r.invariant for r in found.collect()} == {"TEXT_CLEAN_NO_MARKERS", "TEXT_CLEAN_CHARSET", "HAS_UNCERTAIN_CONTRACT", "LINE_ID_UNIQUE", "LINE_INDEX_SEQUENTIAL", "RECORD_COUNT", "PAGE_COUNT"}
+    assert calls.value == 3
