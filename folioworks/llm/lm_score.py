@@ -10,9 +10,8 @@ words, each with one added to its count.
    ids of the training words with them: combined in each task, then by a shuffle.
 2. The most frequent ids have slots of their own; the others share one, within which
    an id has its frequency over all training words, plus one.
-3. The model is fitted on the windows of a share of the training documents, chosen
-   by a hash: ``SHARE`` of them, more where that would be under ``LEAST_IDS`` ids. The share
-   is the same at every size beyond, so what it learns from grows with the corpus.
+3. The model is fitted on the windows of all training documents (``SHARE`` is 1; below
+   that it would be a share chosen by a hash, of ``LEAST_IDS`` ids at least).
    One bucket of some ``BUCKET`` ids comes first; from where it ends all buckets go on
    in parallel, and their weights are averaged.
 4. Every text is scored whole, in overlapping windows that score each id once, as
@@ -51,7 +50,7 @@ HOT, HELD = 1 << 17, 500_000
 #: Longer words go by a digest where they are counted, and are spelled in pieces.
 LONG_KEY, LONG_WORD = 64, 256
 #: The share of training documents that the attention model is fitted on, the ids it needs at least, and the ids of a bucket.
-SHARE, LEAST_IDS, BUCKET = 1 / 16, 3_000_000, 1_000_000
+SHARE, LEAST_IDS, BUCKET = 1.0, 3_000_000, 1_000_000
 #: Passes over the first bucket, and over all buckets after it.
 FIRST_PASSES, PASSES = 4, 1
 #: Weights that are averaged by a task before the driver has them.

@@ -141,3 +141,19 @@ def test_empty_table_and_clashing_names(spark):
     row = (3, "a b a", *"0123456789")
     held(lm_score.score_texts(spark.createDataFrame([row], f"{DOCS}, {extra}"), F.lit(True)).collect(), [row[:2]], lambda _: True)
     held(lm_score.score_texts(spark.createDataFrame([row], f"{DOCS}, {extra}"), F.lit(False)).collect(), [row[:2]], lambda _: False)
+
+
+def test_fitted_on_all_training_documents(spark, monkeypatch):
+    """Every training document's windows reach the fit, however many ids there are."""
+    monkeypatch.setattr(lm_score, "LEAST_IDS", 0)
+    monkeypatch.setattr(lm_score, "BUCKET", 500)
+    seen = []
+
+    def counted(windows, start, buckets):
+        seen.append(windows.count())
+        return start
+
+    monkeypatch.setattr(lm_score, "fitted", counted)
+    rows = [(i, "on the one " * 5) for i in range(60)]
+    lm_score.score_texts(spark.createDataFrame(rows, DOCS), F.col("doc_id") % 2 == 0).collect()
+    assert seen == [30]
