@@ -30,17 +30,25 @@ VARIABLES = {"Q": "quire", "P": "page_in_quire", "F": "folio", "B": "bifolio", "
 NUMERIC = ("bifolio", "cluster")
 
 
+#: Files up to which what numbers their splits, a row each, goes to all tasks.
+FEW_FILES = 10_000
+
+
 def _numbered(texts: DataFrame, breaks: str) -> DataFrame:
     return texts.select("file", F.posexplode(F.split("value", breaks)).alias("at", "line")).select("file", (F.col("at") + 1).alias("line_no"), "line")
 
 
 def read_lines(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """``file, line_no, line`` of text files, and the ``split`` a line is of; bytes that are no UTF-8 become U+FFFD."""
-    rows = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), F.make_valid_utf8("value").alias("line"))
+    texts = spark.read.text(paths)
+    rows = texts.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), F.make_valid_utf8("value").alias("line"))
     # Lines of a split are numbered without gaps; one row a split is summed over its file.
     sizes = rows.groupBy("file", "split").agg(F.min("at").alias("first"), F.count("*").alias("n"))
     earlier = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("file", "split", "first", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base"))
+    if len(texts.inputFiles()) <= FEW_FILES:
+        # Lines stay in the task that reads them; otherwise all of them would be shuffled and sorted by their files' names.
+        bases = F.broadcast(bases)
     return rows.join(bases, ["file", "split"]).select("file", (F.col("at") - F.col("first") + F.col("base") + 1).alias("line_no"), "line", "split")
 
 

@@ -90,3 +90,21 @@ def test_no_task_copies_or_reads_a_whole_file(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(files, "PIECES", 8)
     lines = files.lines_of_volumes(spark, "/root/testdata/sf0.001")
     assert lines.select("file", "split").distinct().count() <= 11
+
+
+def test_lines_stay_where_they_are_read(spark, tmp_path):
+    """Numbering the lines of splits shuffles no line, though nothing says that a file is small."""
+    (tmp_path / "t.txt").write_bytes(b"".join(b"line %d\n" % i for i in range(5000)))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, -1)
+    try:
+        with splits_of(spark, 5000):
+            lines = ivtff.read_lines(spark, str(tmp_path / "t.txt"))
+            rows = lines.collect()
+            plan = lines._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert sorted((r.line_no, r.line) for r in rows) == [(i + 1, f"line {i}") for i in range(5000)]
+    assert len({r.split for r in rows}) > 3
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
