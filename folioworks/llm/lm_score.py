@@ -228,21 +228,45 @@ class _Known:
         return self.broadcast.value
 
 
+def _dealt(seeds: np.ndarray, numbers: np.ndarray) -> np.ndarray:
+    """A place below 2^62 for each pair of a text's seed and a window's number, spread like random ones."""
+    x = seeds.astype(np.uint64) + (numbers.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return ((x ^ (x >> np.uint64(31))) >> np.uint64(2)).astype(np.int64)
+
+
+def _as_binary(rows: np.ndarray) -> pa.Array:
+    """The rows' bytes, taken over as they lie."""
+    rows = np.ascontiguousarray(rows)
+    offsets = np.arange(len(rows) + 1, dtype=np.int32) * np.int32(rows.itemsize * rows.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
+
+
+def _laid(spelled: Spelled, numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Texts end to end: their words and ends, where each text's begin, their slots, and where each text's begin."""
+    words = np.concatenate([np.append(n, 0) for n in numbers])
+    per_text = np.array([len(n) + 1 for n in numbers], np.int64)
+    first = np.cumsum(per_text) - per_text
+    sizes = np.add.reduceat(spelled.length[words], first)
+    return words, first, spelled.sequence(words), np.cumsum(sizes) - sizes
+
+
 def _windows(known: _Known, buckets: int):
     """A ``mapInArrow`` body: the windows of training texts, each with a bucket and a place in it."""
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelled = _spelled(known)
         for batch in batches:
-            texts = spelled.numbers([words_of(t) for t in batch.column("text").to_pylist()])
-            for numbers, dice in zip(texts, batch.column("dice").to_pylist(), strict=True):
-                slots = spelled.sequence(np.append(numbers, 0))
-                random, one = np.random.default_rng(dice & 0xFFFFFFFF), np.zeros(1, np.int64)
-                begin, of = attention.places(len(slots), one)
-                for at in range(0, len(begin), 4096):
-                    rows = attention.windows(slots, one, begin[at : at + 4096], of[at : at + 4096]).astype("<i2")
-                    place = random.integers(0, 1 << 62, len(rows))
-                    yield pa.RecordBatch.from_arrays([pa.array(place % buckets, pa.int32()), pa.array(place, pa.int64()), pa.array([r.tobytes() for r in rows], pa.binary())], schema=_WINDOWS)
+            if not len(batch):
+                continue
+            _, _, slots, starts = _laid(spelled, spelled.numbers([words_of(t) for t in batch.column("text").to_pylist()]))
+            begin, of = attention.places(len(slots), starts)
+            place = _dealt(np.array(batch.column("dice").to_pylist(), np.int64)[of], (begin - starts[of]) // attention.SPAN)
+            for at in range(0, len(begin), 4096):
+                own = slice(at, at + 4096)
+                rows = attention.windows(slots, starts, begin[own], of[own]).astype("<i2")
+                yield pa.RecordBatch.from_arrays([pa.array(place[own] % buckets, pa.int32()), pa.array(place[own]), _as_binary(rows)], schema=_WINDOWS)
 
     return body
 

@@ -157,3 +157,26 @@ def test_fitted_on_all_training_documents(spark, monkeypatch):
     rows = [(i, "on the one " * 5) for i in range(60)]
     lm_score.score_texts(spark.createDataFrame(rows, DOCS), F.col("doc_id") % 2 == 0).collect()
     assert seen == [30]
+
+
+def test_windows_of_a_batch_are_made_together():
+    """The same windows as text by text, places that depend on the text alone, and no Arrow batch for each text."""
+    import pyarrow as pa
+
+    class Known:
+        id, value = -7, (lm_score.VOCABULARY, {i: 5 for i in range(3000)}, {b" ": 1})
+
+    texts = ["on the one " * n for n in (0, 1, 7, 30, 31)] + [None, "É\u0000😀 a b\x1c漢字", "w" * 900]
+    dice = [-(1 << 63), (1 << 63) - 1, *range(2, len(texts))]
+    batch = lambda rows: pa.RecordBatch.from_pydict({"text": pa.array([texts[i] for i in rows], pa.string()), "dice": pa.array([dice[i] for i in rows], pa.int64())})
+    of = lambda rows: list(lm_score._windows(Known, 5)(iter([batch(rows)])))
+    found = of(range(len(texts)))
+    assert len(found) == 1
+    apart = [r for i in range(len(texts)) for b in of([i]) for r in b.to_pylist()]
+    assert found[0].to_pylist() == apart and len({r["place"] for r in apart}) == len(apart)
+    assert all(r["bucket"] == r["place"] % 5 and 0 <= r["place"] < 1 << 62 for r in apart)
+    speller = lm_score.Speller(lm_score.VOCABULARY)
+    slot, end = lm_score.Layout(Known.value[1], speller.opens).slot, np.array([attention.END], np.int16)
+    want = [np.concatenate([*([slot[speller.spell(w)[0]]] if (w := lm_score.words_of(t)) else []), end]) for t in texts]
+    rows = [np.frombuffer(r["slots"], "<i2") for r in apart]
+    assert np.array_equal(np.concatenate([r[-attention.SPAN :][r[-attention.SPAN :] >= 0] for r in rows]), np.concatenate(want))
