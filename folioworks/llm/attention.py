@@ -180,25 +180,29 @@ def loss_and_gradient(weights: np.ndarray, batch: np.ndarray) -> tuple[float, np
     d["group_bias"][:] = prob.sum(0)
     dh = prob @ p["group"].T
     loss = -found.sum(dtype=np.float64)
-    order = np.argsort(group, kind="stable")
-    stops = np.cumsum(np.bincount(group, minlength=GROUPS))
-    for g in range(GROUPS):
-        rows = order[(stops[g - 1] if g else 0) : stops[g]]
-        if len(rows):
-            prob = h[rows] @ p["member"][g] + p["member_bias"][g]
-            found, sums = _log_of(prob, target[rows] - g * MEMBERS)
-            prob /= sums[:, None]
-            loss -= found.sum(dtype=np.float64)
-            prob[np.arange(len(rows)), target[rows] - g * MEMBERS] -= 1
-            prob /= n
-            d["member"][g] = h[rows].T @ prob
-            d["member_bias"][g] = prob.sum(0)
-            dh[rows] += prob @ p["member"][g].T
+    # Those of a group lie together, so that only products are made group by group.
+    order = np.argsort(group.astype(np.int8), kind="stable")
+    h, group, target = h.take(order, 0), group.take(order), target.take(order)
+    stops = np.searchsorted(group, np.arange(GROUPS + 1))
+    slices = [(g, slice(stops[g], stops[g + 1])) for g in range(GROUPS) if stops[g + 1] > stops[g]]
+    prob = p["member_bias"].take(group, 0)
+    for g, own in slices:
+        prob[own] += h[own] @ p["member"][g]
+    found, sums = _log_of(prob, target - group * MEMBERS)
+    loss -= found.sum(dtype=np.float64)
+    prob /= sums[:, None]
+    prob[np.arange(len(group)), target - group * MEMBERS] -= 1
+    prob /= n
+    dh = dh.take(order, 0)
+    for g, own in slices:
+        d["member"][g] = h[own].T @ prob[own]
+        d["member_bias"][g] = prob[own].sum(0)
+        dh[own] += prob[own] @ p["member"][g].T
     dtop = np.zeros_like(top)
-    dtop[there] = dh
+    dtop[there[order]] = dh
     d["outer"][:] = inner.T @ dtop
     dinner = dtop @ p["outer"].T
-    dinner[inner <= 0] = 0
+    dinner *= inner > 0
     d["inner"][:] = mixed.T @ dinner
     d["inner_bias"][:] = dinner.sum(0)
     dmixed = dtop + dinner @ p["inner"].T
@@ -217,9 +221,10 @@ def loss_and_gradient(weights: np.ndarray, batch: np.ndarray) -> tuple[float, np
     dx[:, BEFORE:] += (dmixed + dquery @ p["query"].T).reshape(len(batch), SPAN, WIDTH)
     d["place"][:] = dx.sum(0)
     for name, ids in (("now", now.reshape(-1)), ("last", last.reshape(-1)), ("older", older.reshape(-1))):
-        order = np.argsort(ids, kind="stable")
-        present, first = np.unique(ids[order], return_index=True)
-        d[name][present] = np.add.reduceat(dx.reshape(-1, WIDTH)[order], first, axis=0)
+        order = np.argsort(ids.astype(np.int16), kind="stable")
+        ids = ids.take(order)
+        first = np.flatnonzero(np.diff(ids, prepend=-1))
+        d[name][ids[first]] = np.add.reduceat(dx.reshape(-1, WIDTH).take(order, 0), first, axis=0)
     return loss / n, gradient
 
 
