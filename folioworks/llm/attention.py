@@ -34,9 +34,13 @@ _SHAPES = {
     "inner": (WIDTH, HIDDEN), "inner_bias": (HIDDEN,), "outer": (HIDDEN, WIDTH),
     "group": (WIDTH, GROUPS), "group_bias": (GROUPS,), "member": (GROUPS, WIDTH, MEMBERS), "member_bias": (GROUPS, MEMBERS),
 }
-SIZE = sum(int(np.prod(s)) for s in _SHAPES.values())
+_ENDS = np.cumsum([int(np.prod(s)) for s in _SHAPES.values()]).tolist()
+_PLACES = {name: (slice(a, b), shape) for (name, shape), a, b in zip(_SHAPES.items(), [0, *_ENDS], _ENDS)}
+SIZE = _ENDS[-1]
 #: What a logit of attention can be at most: nothing is read from a later slot.
 _LIMITS = np.where(np.arange(WINDOW)[None, :] <= np.arange(BEFORE, WINDOW)[:, None], MOST, -1e9).astype(np.float32)
+#: What adds up the logits of groups and those of members.
+_SUMS = np.repeat(np.eye(2, dtype=np.float32), (GROUPS, MEMBERS), 0)
 
 
 def keep_memory() -> None:
@@ -52,12 +56,7 @@ def keep_memory() -> None:
 
 def parts(weights: np.ndarray) -> dict[str, np.ndarray]:
     """Views of the flat ``weights`` by name."""
-    out, at = {}, 0
-    for name, shape in _SHAPES.items():
-        n = int(np.prod(shape))
-        out[name] = weights[at : at + n].reshape(shape)
-        at += n
-    return out
+    return {name: weights[at].reshape(shape) for name, (at, shape) in _PLACES.items()}
 
 
 def first_weights(group_counts: np.ndarray | None = None, seed: int = 0) -> np.ndarray:
@@ -103,61 +102,84 @@ def text_scores(p: dict, slots: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
+def _mixing(p: dict) -> np.ndarray:
+    """What makes keys, scaled queries and values of inputs, side by side."""
+    return np.concatenate([p["key"], p["query"] * WIDTH**-0.5, p["value"]], 1)
+
+
+def _with_bias(matrix: np.ndarray, bias: np.ndarray) -> np.ndarray:
+    """The matrix, and its bias as a last row."""
+    return np.concatenate([matrix, bias[..., None, :]], -2)
+
+
+def _heads(p: dict) -> np.ndarray:
+    """For each group what makes the logits of all groups, and of its own members; the last row is the bias."""
+    group = _with_bias(p["group"], p["group_bias"])
+    return np.concatenate([np.broadcast_to(group, (GROUPS, *group.shape)), _with_bias(p["member"], p["member_bias"])], 2)
+
+
 def _forward(p: dict, batch: np.ndarray):
     """Inputs and what the layers make of them, for gradients too."""
     batch = batch.astype(np.int64)
     n = len(batch)
     known = np.maximum(batch, 0)
-    now, last, older = known[:, 2:-1], known[:, 1:-2], known[:, :-3]
-    x = p["now"].take(now, 0)
-    x += p["last"].take(last, 0)
-    x += p["older"].take(older, 0)
+    x = p["now"].take(known[:, 2:-1], 0)
+    x += p["last"].take(known[:, 1:-2], 0)
+    x += p["older"].take(known[:, :-3], 0)
     x += p["place"]
-    flat = x.reshape(n * WINDOW, WIDTH)
-    both = (flat @ np.concatenate([p["key"], p["value"]], 1)).reshape(n, WINDOW, 2 * WIDTH)
-    key, value = both[:, :, :WIDTH], both[:, :, WIDTH:]
-    own = np.ascontiguousarray(x[:, BEFORE:])
-    query = ((own.reshape(-1, WIDTH) @ p["query"]) * WIDTH**-0.5).reshape(n, SPAN, WIDTH)
+    # Keys, queries, values and a one, which adds the weights up.
+    made = np.empty((n, WINDOW, 3 * WIDTH + 1), x.dtype)
+    made[:, :, -1] = 1
+    np.matmul(x.reshape(-1, WIDTH), _mixing(p), out=made.reshape(n * WINDOW, -1)[:, :-1])
+    key, query, value = made[:, :, :WIDTH], made[:, BEFORE:, WIDTH : 2 * WIDTH], made[:, :, 2 * WIDTH :]
     seen = np.matmul(query, key.transpose(0, 2, 1))
     np.minimum(seen, _LIMITS, out=seen)
     np.exp(seen, out=seen)
-    total = seen.reshape(-1, WINDOW) @ np.ones(WINDOW, np.float32)
-    read = np.matmul(seen, value).reshape(-1, WIDTH)
-    read /= total[:, None]
-    mixed = own.reshape(-1, WIDTH) + read
+    read = np.matmul(seen, value).reshape(-1, WIDTH + 1)
+    total = read[:, -1:]
+    read = read[:, :-1] / total
+    mixed = (read.reshape(n, SPAN, WIDTH) + x[:, BEFORE:]).reshape(-1, WIDTH)
     inner = mixed @ p["inner"]
     inner += p["inner_bias"]
-    np.maximum(inner, 0, out=inner)
-    top = mixed + inner @ p["outer"]
-    return now, last, older, x, key, value, query, seen, total, mixed, inner, top
+    np.maximum(inner, np.zeros_like(inner), out=inner)
+    top = inner @ p["outer"]
+    top += mixed
+    return known, x, key, query, value, seen, total, read, mixed, inner, top
 
 
-def _log_of(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The log probability of the targets, and what the exponentials of a row add up to; they take the logits' place."""
-    np.minimum(logits, MOST, out=logits)
-    chosen = logits[np.arange(len(target)), target]
+def _log_of(logits: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """The log probability of the targets, what the exponentials of groups and of members add up to, which take the logits' place, and where the targets' lie in them."""
+    if logits.max(initial=0) > MOST:
+        np.minimum(logits, MOST, out=logits)
+    row = np.arange(0, logits.size, GROUPS + MEMBERS)
+    where = [row + target // MEMBERS, row + (GROUPS + target % MEMBERS)]
+    chosen = logits.take(where[0]) + logits.take(where[1])
     np.exp(logits, out=logits)
-    total = logits @ np.ones(logits.shape[1], np.float32)
-    return chosen - np.log(total), total
+    total = logits @ _SUMS
+    return chosen - np.log(total).sum(1), total, where
+
+
+def _by_group(batch: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, slice]]]:
+    """Where there are targets, those of a group together, the targets, and where each group's are."""
+    target = batch[:, -SPAN:].reshape(-1)
+    there = np.flatnonzero(target >= 0)
+    group = (target.take(there) // MEMBERS).astype(np.int8)
+    order = np.argsort(group, kind="stable")
+    stops = np.cumsum(np.bincount(group, minlength=GROUPS)).tolist()
+    there = there.take(order)
+    return there, target.take(there).astype(np.int64), [(g, slice(a, b)) for g, (a, b) in enumerate(zip([0, *stops], stops)) if b > a]
 
 
 def log_probabilities(p: dict, rows: np.ndarray) -> np.ndarray:
     """The natural log probability of each target of the windows, zero where there is none."""
     out = np.zeros(len(rows) * SPAN, np.float32)
     top = np.concatenate([_forward(p, rows[i : i + AT_ONCE])[-1] for i in range(0, len(rows), AT_ONCE)])
-    target = rows[:, -SPAN:].reshape(-1)
-    there = np.flatnonzero(target >= 0)
-    target = target[there]
-    order = np.argsort((target // MEMBERS).astype(np.int8), kind="stable")
-    there, target = there[order], target[order].astype(np.int64)
-    top, group = top.take(there, 0), target // MEMBERS
-    found = _log_of(top @ p["group"] + p["group_bias"], group)[0]
-    stops = np.searchsorted(group, np.arange(GROUPS + 1))
-    for g in range(GROUPS):
-        own = slice(stops[g], stops[g + 1])
-        if stops[g + 1] > stops[g]:
-            found[own] += _log_of(top[own] @ p["member"][g] + p["member_bias"][g], target[own] - g * MEMBERS)[0]
-    out[there] = found
+    there, target, slices = _by_group(rows)
+    heads = _heads(p)
+    for g, own in slices:
+        logits = top.take(there[own], 0) @ heads[g, :-1]
+        logits += heads[g, -1]
+        out[there[own]] = _log_of(logits, target[own])[0]
     return out.reshape(len(rows), SPAN)
 
 
@@ -165,82 +187,91 @@ def loss_and_gradient(weights: np.ndarray, batch: np.ndarray) -> tuple[float, np
     """Mean negative log probability of the targets, and its gradient."""
     p, gradient = parts(weights), np.zeros_like(weights)
     d = parts(gradient)
-    now, last, older, x, key, value, query, seen, total, mixed, inner, top = _forward(p, batch)
-    target = batch[:, -SPAN:].reshape(-1).astype(np.int64)
-    there = np.flatnonzero(target >= 0)
-    n = max(1, len(there))
-    h, target = top[there], target[there]
-    group = target // MEMBERS
-    prob = h @ p["group"] + p["group_bias"]
-    found, sums = _log_of(prob, group)
-    prob /= sums[:, None]
-    prob[np.arange(len(group)), group] -= 1
-    prob /= n
-    d["group"][:] = h.T @ prob
-    d["group_bias"][:] = prob.sum(0)
-    dh = prob @ p["group"].T
-    loss = -found.sum(dtype=np.float64)
+    known, x, key, query, value, seen, total, read, mixed, inner, top = _forward(p, batch)
     # Those of a group lie together, so that only products are made group by group.
-    order = np.argsort(group.astype(np.int8), kind="stable")
-    h, group, target = h.take(order, 0), group.take(order), target.take(order)
-    stops = np.searchsorted(group, np.arange(GROUPS + 1))
-    slices = [(g, slice(stops[g], stops[g + 1])) for g in range(GROUPS) if stops[g + 1] > stops[g]]
-    prob = p["member_bias"].take(group, 0)
+    there, target, slices = _by_group(batch)
+    n, size = max(1, len(there)), len(batch)
+    h, heads = np.ones((len(there), WIDTH + 1), top.dtype), _heads(p)
+    h[:, :-1] = top.take(there, 0)
+    prob = np.empty((len(there), GROUPS + MEMBERS), h.dtype)
     for g, own in slices:
-        prob[own] += h[own] @ p["member"][g]
-    found, sums = _log_of(prob, target - group * MEMBERS)
-    loss -= found.sum(dtype=np.float64)
-    prob /= sums[:, None]
-    prob[np.arange(len(group)), target - group * MEMBERS] -= 1
-    prob /= n
-    dh = dh.take(order, 0)
+        np.matmul(h[own], heads[g], out=prob[own])
+    found, sums, where = _log_of(prob, target)
+    each = prob.reshape(-1, 2, MEMBERS)
+    each *= (1 / (n * sums))[:, :, None]
+    for own in where:
+        prob.reshape(-1)[own] -= 1 / n
+    dh, dheads = np.empty((len(there), WIDTH), h.dtype), np.zeros_like(heads)
     for g, own in slices:
-        d["member"][g] = h[own].T @ prob[own]
-        d["member_bias"][g] = prob[own].sum(0)
-        dh[own] += prob[own] @ p["member"][g].T
-    dtop = np.zeros_like(top)
-    dtop[there[order]] = dh
+        np.matmul(prob[own], heads[g, :-1].T, out=dh[own])
+        np.matmul(h[own].T, prob[own], out=dheads[g])
+    shared = dheads[:, :, :GROUPS].sum(0)
+    d["group"][:], d["group_bias"][:] = shared[:-1], shared[-1]
+    d["member"][:], d["member_bias"][:] = dheads[:, :-1, GROUPS:], dheads[:, -1, GROUPS:]
+    dtop = np.zeros((len(top), WIDTH), h.dtype)
+    dtop[there] = dh
     d["outer"][:] = inner.T @ dtop
     dinner = dtop @ p["outer"].T
     dinner *= inner > 0
-    d["inner"][:] = mixed.T @ dinner
-    d["inner_bias"][:] = dinner.sum(0)
-    dmixed = dtop + dinner @ p["inner"].T
-    weight = seen / total.reshape(len(batch), SPAN, 1)
-    dread = dmixed.reshape(len(batch), SPAN, WIDTH)
-    dvalue = np.matmul(weight.transpose(0, 2, 1), dread)
-    dweight = np.matmul(dread, value.transpose(0, 2, 1))
-    dseen = weight * (dweight - (weight * dweight).sum(-1, keepdims=True))
-    dquery = np.matmul(dseen, key).reshape(-1, WIDTH) * WIDTH**-0.5
-    dkey = np.matmul(dseen.transpose(0, 2, 1), query)
-    flat, own = x.reshape(-1, WIDTH), x[:, BEFORE:].reshape(-1, WIDTH)
-    d["query"][:] = own.T @ dquery
-    d["key"][:] = flat.T @ dkey.reshape(-1, WIDTH)
-    d["value"][:] = flat.T @ dvalue.reshape(-1, WIDTH)
-    dx = (dkey.reshape(-1, WIDTH) @ p["key"].T + dvalue.reshape(-1, WIDTH) @ p["value"].T).reshape(x.shape)
-    dx[:, BEFORE:] += (dmixed + dquery @ p["query"].T).reshape(len(batch), SPAN, WIDTH)
-    d["place"][:] = dx.sum(0)
-    for name, ids in (("now", now.reshape(-1)), ("last", last.reshape(-1)), ("older", older.reshape(-1))):
-        order = np.argsort(ids.astype(np.int16), kind="stable")
-        ids = ids.take(order)
-        first = np.flatnonzero(np.diff(ids, prepend=-1))
-        d[name][ids[first]] = np.add.reduceat(dx.reshape(-1, WIDTH).take(order, 0), first, axis=0)
-    return loss / n, gradient
+    d["inner"][:], d["inner_bias"][:] = mixed.T @ dinner, dinner.sum(0)
+    dmixed = dinner @ p["inner"].T
+    dmixed += dtop
+    # The gradient is divided by the sum of a row's weights, rather than all the weights.
+    dread = np.empty((len(top), WIDTH + 1), h.dtype)
+    np.divide(dmixed, total, out=dread[:, :-1])
+    dread[:, -1] = -np.einsum("ij,ij->i", dread[:, :-1], read)
+    dread = dread.reshape(size, SPAN, -1)
+    dmade = np.zeros((size, WINDOW, 3 * WIDTH), h.dtype)
+    np.matmul(seen.transpose(0, 2, 1), dread[:, :, :-1], out=dmade[:, :, 2 * WIDTH :])
+    dseen = np.matmul(dread, value.transpose(0, 2, 1))
+    dseen *= seen
+    np.matmul(dseen.transpose(0, 2, 1), query, out=dmade[:, :, :WIDTH])
+    np.matmul(dseen, key, out=dmade[:, BEFORE:, WIDTH : 2 * WIDTH])
+    dmade = dmade.reshape(-1, 3 * WIDTH)
+    dmixing = x.reshape(-1, WIDTH).T @ dmade
+    d["key"][:], d["query"][:], d["value"][:] = dmixing[:, :WIDTH], dmixing[:, WIDTH : 2 * WIDTH] * WIDTH**-0.5, dmixing[:, 2 * WIDTH :]
+    # Two rows without a gradient on both sides: a slot is the oldest of one input, the last of the next, and the one after's own.
+    dx = np.zeros((size, WINDOW + 4, WIDTH), h.dtype)
+    dx[:, 2:-2] = (dmade @ _mixing(p).T).reshape(size, WINDOW, WIDTH)
+    dx[:, 2 + BEFORE : -2] += dmixed.reshape(size, SPAN, WIDTH)
+    d["place"][:] = dx[:, 2:-2].sum(0)
+    three = np.lib.stride_tricks.as_strided(dx, (size * (WINDOW + 4) - 2, 3 * WIDTH), (dx.strides[1], dx.strides[2]), writeable=False)
+    ids = known[:, :-1].reshape(-1)
+    order = np.argsort(ids.astype(np.int16), kind="stable")
+    ids = ids.take(order)
+    first = np.flatnonzero(np.diff(ids, prepend=-1))
+    at = (np.arange(size)[:, None] * (WINDOW + 4) + np.arange(WINDOW + 2)).reshape(-1)
+    # Added up two numbers at once, as complex ones.
+    sums = np.add.reduceat(three[at.take(order)].view(np.result_type(dx, np.complex64)), first, axis=0).view(dx.dtype)
+    ids = ids[first]
+    d["now"][ids], d["last"][ids], d["older"][ids] = sums[:, :WIDTH], sums[:, WIDTH : 2 * WIDTH], sums[:, 2 * WIDTH :]
+    return -found.sum(dtype=np.float64) / n, gradient
 
 
 def fit(weights: np.ndarray, rows: np.ndarray, steps: int, rate: float = RATE, seed: int = 0) -> np.ndarray:
     """``weights`` after ``steps`` steps of Adam over ``rows``, windows in random order, the rate going down to a twentieth."""
     weights = weights.copy()
     rng = np.random.default_rng(seed)
-    mean, square = np.zeros_like(weights), np.zeros_like(weights)
+    mean, square, change = np.zeros_like(weights), np.zeros_like(weights), np.empty_like(weights)
     order, at = rng.permutation(len(rows)), 0
     for step in range(1, steps + 1):
         if at >= len(order):
             order, at = rng.permutation(len(rows)), 0
         _, gradient = loss_and_gradient(weights, rows[order[at : at + BATCH]])
         at += BATCH
-        mean += (1 - DECAYS[0]) * (gradient - mean)
-        square += (1 - DECAYS[1]) * (gradient * gradient - square)
         now = rate * (0.05 + 0.95 * (1 - step / steps)) * min(1, step / 30)
-        weights -= now * (mean / (1 - DECAYS[0] ** step)) / (np.sqrt(square / (1 - DECAYS[1] ** step)) + 1e-8)
+        mean *= DECAYS[0]
+        square *= DECAYS[1]
+        np.multiply(gradient, 1 - DECAYS[0], out=change)
+        mean += change
+        gradient *= gradient
+        gradient *= 1 - DECAYS[1]
+        square += gradient
+        # The means are divided by what their first steps lack, all in one factor.
+        lack = (1 - DECAYS[1] ** step) ** 0.5
+        np.sqrt(square, out=change)
+        change += 1e-8 * lack
+        np.divide(mean, change, out=change)
+        change *= now * lack / (1 - DECAYS[0] ** step)
+        weights -= change
     return weights

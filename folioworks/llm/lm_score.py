@@ -30,11 +30,12 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -47,6 +48,8 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_multi_50k.tiktoken"
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words that are counted at all tasks, and distinct words that a task holds at once.
 HOT, HELD = 1 << 17, 500_000
+#: Bytes of words that a task counts at once, and of texts that it looks up words for at once.
+COUNTED, TOGETHER = 32 << 20, 4 << 20
 #: Longer words go by a digest where they are counted, and are spelled in pieces.
 LONG_KEY, LONG_WORD = 64, 256
 #: The share of training documents that the attention model is fitted on, the ids it needs at least, and the ids of a bucket.
@@ -70,6 +73,22 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode().lower().split()
 
 
+def words_in(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """As ``words_of``, the words of all texts end to end, and which text each is of."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    flat, of = words.flatten(), pc.list_parent_indices(words).to_numpy()
+    # White space at a text's ends leaves an empty word there.
+    there = pc.greater(pc.binary_length(flat), 0)
+    return flat.filter(there).cast(pa.binary()), of[there.to_numpy(zero_copy_only=False)]
+
+
+def keys_of(words: pa.Array) -> pa.Array:
+    """As ``key_of``, of all words."""
+    if (pc.max(pc.binary_length(words)).as_py() or 0) <= LONG_KEY:
+        return words
+    return pa.array([key_of(w) for w in words.to_pylist()], pa.binary())
+
+
 def ranks_of(vocabulary: str) -> dict[bytes, int]:
     with open(vocabulary, "rb") as lines:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
@@ -139,23 +158,29 @@ def _counting(vocabulary: str):
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         speller = Speller(vocabulary)
-        learned, others = Counter(), Counter()
+        learned, others = [], []
         ids = np.zeros(speller.size, np.int64)
 
         def handed():
-            if learned:
-                found, lengths = speller.spell(list(learned))
-                np.add.at(ids, found, np.repeat(np.fromiter(learned.values(), np.int64, len(learned)), lengths))
-            for counts, in_training in ((learned, True), (others, False)):
-                n = pa.array(list(counts.values()), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([key_of(w) for w in counts], pa.binary()), pa.nulls(len(counts), pa.int32()), n if in_training else pa.array([0] * len(counts), pa.int64()), n], schema=_COUNTS)
-                counts.clear()
-
+            for words, in_training in ((learned, True), (others, False)):
+                found = pa.chunked_array(words, pa.binary()).value_counts()
+                words.clear()
+                if not len(found):
+                    continue
+                distinct, n = found.field("values"), found.field("counts")
+                if in_training:
+                    spelled, lengths = speller.spell(distinct.to_pylist())
+                    np.add.at(ids, spelled, np.repeat(n.to_numpy(), lengths))
+                yield pa.RecordBatch.from_arrays([keys_of(distinct), pa.nulls(len(n), pa.int32()), n if in_training else pa.array(np.zeros(len(n), np.int64)), n], schema=_COUNTS)
+
+        held = 0
         for batch in batches:
-            for text, train in zip(batch.column("text").to_pylist(), batch.column("train").to_pylist(), strict=True):
-                (learned if train else others).update(words_of(text))
-                if len(learned) + len(others) > HELD:
-                    yield from handed()
+            for words, own in ((learned, batch.column("train")), (others, pc.invert(batch.column("train")))):
+                words.append(words_in(batch.column("text").filter(own))[0])
+                held += words[-1].nbytes
+            if held > COUNTED:
+                yield from handed()
+                held = 0
         yield from handed()
         there = np.flatnonzero(ids)
         yield pa.RecordBatch.from_arrays([pa.nulls(len(there), pa.binary()), pa.array(there, pa.int32()), pa.array(ids[there], pa.int64()), pa.array(ids[there], pa.int64())], schema=_COUNTS)
@@ -175,12 +200,16 @@ class Spelled:
         self.length, self.first, self.count, self.rare = np.ones(1, np.int64), np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros(1)
         self.slots = np.array([END], np.int16)
 
-    def numbers(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        """For each text the numbers of its words, and 0 for its end."""
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The numbers of distinct words; 0 is the end's."""
         if len(self.number) > HELD:
             self.clear()
-        new = list(set().union(*texts) - self.number.keys())
-        if new:
+        words = words.to_pylist()
+        found = np.fromiter(map(self.number.get, words, repeat(-1)), np.int64, len(words))
+        there = np.flatnonzero(found < 0)
+        if len(there):
+            new = [words[i] for i in there.tolist()]
+            found[there] = np.arange(len(self.length), len(self.length) + len(new))
             self.number.update(zip(new, range(len(self.length), len(self.length) + len(new)), strict=True))
             ids, lengths = self.speller.spell(new)
             first = np.cumsum(lengths) - lengths
@@ -189,8 +218,7 @@ class Spelled:
             self.length = np.append(self.length, lengths)
             self.slots = np.append(self.slots, self.layout.slot[ids])
             self.count = np.append(self.count, [self.hot.get(key_of(w), -1) for w in new])
-        look = self.number.__getitem__
-        return [np.fromiter(map(look, words), np.int64, len(words)) for words in texts]
+        return found
 
     def sequence(self, numbers: np.ndarray) -> np.ndarray:
         """The slots of words, end to end."""
@@ -243,13 +271,29 @@ def _as_binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(offsets), pa.py_buffer(rows)])
 
 
-def _laid(spelled: Spelled, numbers: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Texts end to end: their words and ends, where each text's begin, their slots, and where each text's begin."""
-    words = np.concatenate([np.append(n, 0) for n in numbers])
-    per_text = np.array([len(n) + 1 for n in numbers], np.int64)
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in larger batches, so that a word that they share is looked up once; none is empty."""
+    some: list[pa.RecordBatch] = []
+    for batch in batches:
+        some.append(batch)
+        if sum(b.nbytes for b in some) > TOGETHER:
+            yield from pa.Table.from_batches(some).combine_chunks().to_batches()
+            some = []
+    if some:
+        yield from pa.Table.from_batches(some).combine_chunks().to_batches()
+
+
+def _laid(spelled: Spelled, texts: pa.Array):
+    """Texts end to end: their words' and ends' numbers, where each text's begin, their slots, where each text's begin; their words without the ends, and which text each is of."""
+    words, of = words_in(texts)
+    words = words.dictionary_encode()
+    numbers = np.zeros(len(words) + len(texts), np.int64)
+    # Each text before has an end.
+    numbers[np.arange(len(words)) + of] = spelled.numbers(words.dictionary)[words.indices.to_numpy()]
+    per_text = np.bincount(of, minlength=len(texts)) + 1
     first = np.cumsum(per_text) - per_text
-    sizes = np.add.reduceat(spelled.length[words], first)
-    return words, first, spelled.sequence(words), np.cumsum(sizes) - sizes
+    sizes = np.add.reduceat(spelled.length[numbers], first)
+    return numbers, first, spelled.sequence(numbers), np.cumsum(sizes) - sizes, words, of
 
 
 def _windows(known: _Known, buckets: int):
@@ -257,10 +301,8 @@ def _windows(known: _Known, buckets: int):
 
     def body(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         spelled = _spelled(known)
-        for batch in batches:
-            if not len(batch):
-                continue
-            _, _, slots, starts = _laid(spelled, spelled.numbers([words_of(t) for t in batch.column("text").to_pylist()]))
+        for batch in _together(batches):
+            _, _, slots, starts, _, _ = _laid(spelled, batch.column("text"))
             begin, of = attention.places(len(slots), starts)
             place = _dealt(np.array(batch.column("dice").to_pylist(), np.int64)[of], (begin - starts[of]) // attention.SPAN)
             for at in range(0, len(begin), 4096):
@@ -317,24 +359,18 @@ def _scoring(known: _Known, weights, tokens: int, kinds: int):
         spelled, p = _spelled(known), attention.parts(np.frombuffer(weights.value, np.float32).copy())
         below = np.log10(tokens + kinds + 1)
         end = known.value[2][b" "]
-        for batch in batches:
-            texts = [words_of(t) for t in batch.column("text").to_pylist()]
-            numbers = spelled.numbers(texts)
+        for batch in _together(batches):
+            numbers, first, slots, starts, words, of = _laid(spelled, batch.column("text"))
             spelled.count[0] = end
-            words = np.concatenate([np.append(n, 0) for n in numbers]) if numbers else np.zeros(0, np.int64)
-            per_text = np.array([len(n) + 1 for n in numbers], np.int64)
-            first = np.cumsum(per_text) - per_text
-            count = spelled.count[words]
-            logs = np.add.reduceat(np.where(count >= 0, np.log10(np.maximum(count, 0) + 1), 0) - below, first) if len(words) else np.zeros(0)
-            known_words = np.add.reduceat((count > 0).astype(np.int64), first) if len(words) else np.zeros(0, np.int64)
-            slots = spelled.sequence(words)
-            starts = np.append(0, np.cumsum(np.add.reduceat(spelled.length[words], first)))[:-1] if len(words) else first
-            if len(words):
-                scores = np.add.reduceat(spelled.rare[words], first) + attention.text_scores(p, slots, starts)
-            else:
-                scores = np.zeros(0)
-            cold = [[key_of(own[i]) for i in np.flatnonzero(count[a : a + len(own)] < 0).tolist()] for own, a in zip(texts, first.tolist(), strict=True)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("train"), batch.column("row"), pa.array(per_text), pa.array(known_words), pa.array(logs), pa.array(scores / np.log(10)), pa.array(cold, pa.list_(pa.binary()))], schema=_SCORES)
+            count = spelled.count[numbers]
+            logs = np.add.reduceat(np.where(count >= 0, np.log10(np.maximum(count, 0) + 1), 0) - below, first)
+            known_words = np.add.reduceat((count > 0).astype(np.int64), first)
+            scores = np.add.reduceat(spelled.rare[numbers], first) + attention.text_scores(p, slots, starts)
+            unknown = np.flatnonzero(count[np.arange(len(words)) + of] < 0)
+            ends = np.append(0, np.cumsum(np.bincount(of[unknown], minlength=len(batch))))
+            cold = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys_of(words.dictionary).take(words.indices.take(pa.array(unknown))))
+            per_text = np.diff(np.append(first, len(numbers)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("train"), batch.column("row"), pa.array(per_text), pa.array(known_words), pa.array(logs), pa.array(scores / np.log(10)), cold], schema=_SCORES)
 
     return body
 

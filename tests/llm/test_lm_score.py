@@ -180,3 +180,52 @@ def test_windows_of_a_batch_are_made_together():
     want = [np.concatenate([*([slot[speller.spell(w)[0]]] if (w := lm_score.words_of(t)) else []), end]) for t in texts]
     rows = [np.frombuffer(r["slots"], "<i2") for r in apart]
     assert np.array_equal(np.concatenate([r[-attention.SPAN :][r[-attention.SPAN :] >= 0] for r in rows]), np.concatenate(want))
+
+
+def test_words_of_many_texts_at_once():
+    """The same words and keys as text by text, and small batches that share their look-ups."""
+    import pyarrow as pa
+
+    texts = [None, "", " \t\n ", "  A b\x0bÀ\x1cc\r", "x", "É\u0000😀 a b\x1c漢字 ﬁ\u00a0ÀZ", "w" * 65 + " " + "W" * 64, "on the one"]
+    words, of = lm_score.words_in(pa.array(texts, pa.string()))
+    want = [[w for w in words_of(t)] for t in texts]
+    assert words.to_pylist() == [w.encode() for own in want for w in own]
+    assert of.tolist() == [i for i, own in enumerate(want) for _ in own]
+    assert lm_score.keys_of(words).to_pylist() == [lm_score.key_of(w) for w in words.to_pylist()]
+    assert lm_score.words_in(pa.array([], pa.string()))[0].to_pylist() == []
+
+    class Known:
+        id, value = -8, (lm_score.VOCABULARY, {i: 5 for i in range(3000)}, {b" ": 1})
+
+    batch = lambda rows: pa.RecordBatch.from_pydict({"text": pa.array([texts[i] for i in rows], pa.string()), "dice": pa.array(list(rows), pa.int64())})
+    of = lambda *batches: list(lm_score._windows(Known, 5)(iter(map(batch, batches))))
+    apart, (whole,) = of(range(3), range(0), range(3, 5), range(5, 8)), of(range(8))
+    assert len(apart) == 1 and apart[0].equals(whole)
+    assert of(range(0)) == of() == []
+
+
+def test_counts_in_parts(monkeypatch):
+    """Counts that a task hands on in parts add up, of training texts and of others."""
+    from collections import Counter
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(lm_score, "COUNTED", 64)
+    texts = ["on the one " * 3, "The x" + "y" * 70, None, "one", "ONE two"]
+    trains = [True, False, True, True, False]
+    batches = (pa.RecordBatch.from_pydict({"text": pa.array([t], pa.string()), "train": [own]}) for t, own in zip(texts, trains, strict=True))
+    parts = [r for b in lm_score._counting(lm_score.VOCABULARY)(batches) for r in b.to_pylist()]
+    learned, all_texts = Counter(), Counter()
+    for r in parts:
+        if r["key"] is not None:
+            learned[r["key"]] += r["c"]
+            all_texts[r["key"]] += r["n"]
+    want = [lm_score.words_of(t) for t in texts]
+    assert all_texts == Counter(lm_score.key_of(w) for own in want for w in own)
+    assert +learned == Counter(lm_score.key_of(w) for own, train in zip(want, trains, strict=True) for w in own if train)
+    ids = lm_score.Speller(lm_score.VOCABULARY).spell([w for own, train in zip(want, trains, strict=True) for w in own if train])[0]
+    found = Counter()
+    for r in parts:
+        if r["key"] is None:
+            found[r["id"]] += r["c"]
+    assert found == Counter(ids.tolist())
